@@ -1,0 +1,173 @@
+"""The given ``events`` table in the shapes the library works on.
+
+``k`` is the number in ``props``. Faults (blank ids, bad times, cut lines, odd
+spellings) depend on ``k`` or the id, so that every rule has rows to act on.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickbasin.functions.dates import IngestDay
+from clickbasin.plans.curate import write_curated
+from clickbasin.plans.paths import LakePaths
+from clickbasin.schemas import PARTITION_KEYS
+from clickbasin.session import pin, scratch_path
+from clickbasin.streaming.landing import line_stream, start_landing
+
+# The day on which the streamed lines are said to arrive.
+ARRIVAL = IngestDay("2024", "02", "01")
+ARRIVAL_TS = "2024-02-01 06:00:00"
+PROCESSED_AT = "2024-02-02 03:00:00"
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pin(spark).read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_id", "CAST(ts AS TIMESTAMP) AS ts", "user_id", "event_type", "value",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+    )
+
+
+def curated_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "ts AS event_ts",
+        "CASE WHEN k % 17 <> 0 THEN CAST(user_id AS STRING) END AS user_id",
+        "CASE k % 7 WHEN 0 THEN 'US' WHEN 1 THEN 'GB' WHEN 2 THEN 'IN' WHEN 3 THEN 'DE'"
+        " WHEN 4 THEN 'BR' WHEN 5 THEN 'JP' END AS country",
+        "concat('s-', CAST(user_id AS STRING), '-', CAST(k % 3 AS STRING)) AS session_id",
+        "value",
+        "CASE WHEN event_type = 'error' THEN CASE k % 5 WHEN 0 THEN 'Shoes' WHEN 1 THEN 'shoes'"
+        " WHEN 2 THEN 'laptop' WHEN 3 THEN '' END END AS query",
+        "CASE WHEN event_type IN ('click', 'purchase') AND k % 11 <> 0"
+        " THEN concat('SKU-', CAST(1000 + k AS STRING)) END AS sku",
+        "CASE WHEN event_type IN ('click', 'purchase') THEN 1 + k % 5 END AS quantity",
+        "ts + INTERVAL '1' DAY AS processed_at",
+        "CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'add_to_cart'"
+        " WHEN 'signup' THEN 'login' WHEN 'error' THEN 'search' ELSE event_type END AS event_type",
+        "date_format(ts, 'yyyy') AS year",
+        "date_format(ts, 'MM') AS month",
+        "date_format(ts, 'dd') AS day",
+    )
+
+
+def curated_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated shape with money as decimals, whose sums have no rounding order."""
+    return curated_shape(spark, sf_dir).withColumn("value", F.col("value").cast("decimal(18,2)"))
+
+
+def curated_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated shape with a few rows that break each quality constraint."""
+    n = F.col("event_id").cast("long")
+    return curated_shape(spark, sf_dir).withColumns(
+        {
+            "event_id": F.when(n % 997 == 500, None)
+            .when(n % 499 == 1, (n - 1).cast("string"))
+            .otherwise(F.col("event_id")),
+            "value": F.when(n % 389 == 7, -F.col("value") - 1).otherwise(F.col("value")),
+            "quantity": F.when((n % 211 == 3) & F.col("quantity").isNotNull(), F.lit(40)).otherwise(
+                F.col("quantity")
+            ),
+        }
+    )
+
+
+def raw_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).selectExpr(
+        "CASE WHEN k % 13 = 0 THEN ' ' WHEN k % 29 = 0 THEN NULL"
+        " ELSE CAST(CASE WHEN event_id % 5 = 1 THEN event_id - 1 ELSE event_id END AS STRING) END AS event_id",
+        "CASE WHEN k % 19 = 0 THEN 'not-a-timestamp'"
+        " ELSE date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\") END AS ts",
+        "CAST(user_id AS STRING) AS user_id",
+        "named_struct('country', CASE WHEN k % 7 <> 6 THEN concat('C', CAST(k % 7 AS STRING)) END,"
+        " 'session_id', concat('s-', CAST(user_id AS STRING)), 'value', value,"
+        " 'query', CASE WHEN event_type = 'error' THEN 'tent' END,"
+        " 'sku', CASE WHEN event_type = 'purchase' THEN concat('SKU-', CAST(k AS STRING)) END,"
+        " 'quantity', CASE WHEN event_type = 'purchase' THEN 1 + k % 5 END) AS payload",
+        "event_type",
+        "date_format(ts, 'yyyy') AS year",
+        "date_format(ts, 'MM') AS month",
+        "date_format(ts, 'dd') AS day",
+    )
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a line of JSON text, some of them damaged.
+
+    By ``k``: cut off (23), without (31), with empty (37) or null (41) type;
+    id key in capitals (43), country key capitalised (17); quantity as text (19);
+    a key nobody declared (29).
+    """
+    return (
+        events(spark, sf_dir)
+        .selectExpr(
+            "k",
+            "concat('{',"
+            " CASE WHEN k % 31 = 30 THEN '' WHEN k % 37 = 36 THEN '\"event_type\":\"\",'"
+            " WHEN k % 41 = 40 THEN '\"event_type\":null,'"
+            " ELSE concat('\"event_type\":\"', event_type, '\",') END,"
+            " CASE WHEN k % 43 = 42 THEN '\"EVENT_ID\":\"' ELSE '\"event_id\":\"' END,"
+            " CAST(CASE WHEN event_id % 5 = 1 THEN event_id - 1 ELSE event_id END AS STRING), '\",',"
+            " '\"ts\":\"', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\"), '\",',"
+            " '\"user_id\":\"', CAST(user_id AS STRING), '\",',"
+            " '\"payload\":{', CASE WHEN k % 17 = 16 THEN '\"Country\":\"C' ELSE '\"country\":\"C' END,"
+            " CAST(k % 7 AS STRING), '\",',"
+            " '\"session_id\":\"s-', CAST(user_id AS STRING), '\",',"
+            " CASE WHEN event_type = 'error' THEN '\"query\":\"Trail tent\",' ELSE '' END,"
+            " CASE WHEN event_type = 'purchase' THEN concat('\"sku\":\"SKU-', CAST(k AS STRING),"
+            "   '\",\"quantity\":', CASE WHEN k % 19 = 18 THEN '\"many\"' ELSE CAST(1 + k % 5 AS STRING) END, ',')"
+            "   ELSE '' END,"
+            " CASE WHEN k % 29 = 28 THEN '\"coupon\":\"WINTER\",' ELSE '' END,"
+            " '\"value\":', CAST(CAST(value AS DECIMAL(18,2)) AS STRING), '}}') AS line",
+        )
+        .selectExpr("CASE WHEN k % 23 = 22 THEN left(line, 45) ELSE line END AS value")
+    )
+
+
+# Tables written once per session and data folder; others read them.
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        path = scratch_path(spark, name)
+        write(path)
+        _written[key] = path
+    return _written[key]
+
+
+def raw_table(spark: SparkSession, sf_dir: str) -> str:
+    """The raw shape as gzip JSON under event_type/year/month/day."""
+
+    def write(path: str) -> None:
+        raw_shape(spark, sf_dir).write.partitionBy(*PARTITION_KEYS).option("compression", "gzip").json(path)
+
+    return _once(spark, sf_dir, "raw", write)
+
+
+def curated_table(spark: SparkSession, sf_dir: str) -> str:
+    """The curated shape as Parquet under event_type/year/month/day."""
+    return _once(
+        spark, sf_dir, "curated", lambda path: write_curated(curated_shape(spark, sf_dir), path)
+    )
+
+
+def landed_lake(spark: SparkSession, sf_dir: str, *, parquet: bool = False) -> LakePaths:
+    """A lake whose raw layer got all event lines through the landing stream."""
+
+    def write(path: str) -> None:
+        lake = LakePaths(path)
+        incoming = f"{path}/incoming"
+        event_lines(spark, sf_dir).write.text(incoming)
+        start_landing(
+            line_stream(spark, incoming),
+            lake,
+            f"{path}/landing-checkpoint",
+            parquet=parquet,
+            drain=True,
+            arrival=F.lit(ARRIVAL_TS).cast("timestamp"),
+        ).awaitTermination()
+
+    return LakePaths(_once(spark, sf_dir, "lake-parquet" if parquet else "lake", write))
