@@ -112,7 +112,7 @@ def _revenue_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_raw_day(pin(spark), given.raw_table(spark, sf_dir), ONE_DAY)
-    return _shown(_flat_payload(rows)).drop("_corrupt_record")
+    return _shown(_flat_payload(rows)).drop("_malformed_line")
 
 
 def _curated_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +121,7 @@ def _curated_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = given.landed_lake(pin(spark), sf_dir)
-    return _shown(_flat_payload(read_raw_day(spark, lake.raw, given.ARRIVAL))).drop("_corrupt_record")
+    return _shown(_flat_payload(read_raw_day(spark, lake.raw, given.ARRIVAL))).drop("_malformed_line")
 
 
 # Landing ---------------------------------------------------------------------
@@ -142,7 +142,7 @@ def _landed_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ingest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = given.landed_lake(pin(spark), sf_dir, parquet=True)
     rows = read_raw_day(spark, lake.raw, given.ARRIVAL, parquet=True)
-    return _shown(_flat_payload(rows)).drop("_corrupt_record")
+    return _shown(_flat_payload(rows)).drop("_malformed_line")
 
 
 # Validation and de-duplication -----------------------------------------------

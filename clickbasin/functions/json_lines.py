@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,20 +12,45 @@ from clickbasin.schemas import CORRUPT_COLUMN, PAYLOAD, RAW_DATA
 
 _KEYS = [*RAW_DATA.fieldNames(), *PAYLOAD.fieldNames()]
 
-# A declared key that is not spelled in lower case. A quote inside a JSON string
-# is escaped, so `"name":` with bare quotes can only be a key.
-_ODD_CASE = r'(?<!\\)"(?=[^"]*[A-Z])(?i:' + "|".join(_KEYS) + r')"\s*:'
-
 
 def fold_declared_keys(line: Column) -> Column:
     """Lower the declared key names of a line, leaving every value as it is.
 
-    Lines already in lower case cost one pattern test and are not rewritten.
+    A quote inside a JSON string is escaped, so ``"name":`` with bare quotes can
+    only be a key.
     """
-    folded = line
     for key in _KEYS:
-        folded = F.regexp_replace(folded, rf'(?<!\\)"(?i:{key})"(\s*:)', rf'"{key}"$1')
-    return F.when(line.rlike(_ODD_CASE), folded).otherwise(line)
+        line = F.regexp_replace(line, rf'(?<!\\)"(?i:{key})"(\s*:)', rf'"{key}"$1')
+    return line
+
+
+def decode_unread(line: Column, decoded: Column) -> Column:
+    """Decode again, in lower-case spelling, a line that names a field read as null.
+
+    Null for every other line. The test is a plain substring search for the null
+    fields only, far cheaper than a pattern; a hit that is no odd spelling after
+    all costs a second decoding and changes nothing.
+    """
+    lowered = F.lower(line)
+    fields = [(name, decoded[name]) for name in RAW_DATA.fieldNames()]
+    fields += [(name, decoded["payload"][name]) for name in PAYLOAD.fieldNames()]
+    unread = [value.isNull() & F.contains(lowered, F.lit(f'"{name}"')) for name, value in fields]
+    return F.when(reduce(Column.__or__, unread), decode(fold_declared_keys(line), RAW_DATA))
+
+
+def merge_decoded(first: Column, again: Column) -> list[Column]:
+    """The raw columns of both readings; a key spelled as declared wins."""
+    payload = F.when(
+        first["payload"].isNotNull() | again["payload"].isNotNull(),
+        F.struct(
+            *[
+                F.coalesce(first["payload"][name], again["payload"][name]).alias(name)
+                for name in PAYLOAD.fieldNames()
+            ]
+        ),
+    )
+    plain = [name for name in RAW_DATA.fieldNames() if name != "payload"]
+    return [F.coalesce(first[name], again[name]).alias(name) for name in plain] + [payload.alias("payload")]
 
 
 def decode(line: Column, schema: T.StructType) -> Column:

@@ -71,10 +71,10 @@ class _Constraint:
 def measure(events: DataFrame, rules: QualityRules, by: Sequence[str] = ()) -> DataFrame:
     """One row of measurements per group.
 
-    Two narrow scans. The first needs no shuffle beyond one partial row per task
-    and group. The second reads the id alone and counts it in two steps; copies
-    are summed in the map tasks, so an id holding much of the data is no hot
-    spot. Their rows are merged by a last tiny aggregate instead of a join.
+    Two scans that share no data column. The first needs no shuffle beyond one
+    partial row per task and group. The second reads the id alone and counts it
+    in two steps; copies are summed in the map tasks, so an id holding much of
+    the data is no hot spot. A last tiny aggregate merges their rows, no join.
     """
     outside = (
         ~F.col("event_type").isin(list(rules.allowed_event_types))
@@ -83,7 +83,6 @@ def measure(events: DataFrame, rules: QualityRules, by: Sequence[str] = ()) -> D
     )
     totals = events.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count("event_id").alias("event_id_present"),
         F.count("event_ts").alias("event_ts_present"),
         F.count("event_type").alias("event_type_present"),
         F.count("user_id").alias("user_id_present"),
@@ -92,19 +91,28 @@ def measure(events: DataFrame, rules: QualityRules, by: Sequence[str] = ()) -> D
         F.max("quantity").alias("max_quantity"),
         F.count_if(outside).alias("outside_types"),
     )
-    single_ids = (
+    ids = (
         events.where(F.col("event_id").isNotNull())
         .groupBy(*by, "event_id")
         .agg(F.count(F.lit(1)).alias("_copies"))
         .groupBy(*by)
-        .agg(F.count_if(F.col("_copies") == 1).alias("single_event_ids"))
+        .agg(
+            F.sum("_copies").alias("event_id_present"),
+            F.count_if(F.col("_copies") == 1).alias("single_event_ids"),
+        )
     )
-    names = [name for name in totals.columns if name not in by] + ["single_event_ids"]
+    # A group without a single id has no row on the second side.
     return (
-        totals.unionByName(single_ids, allowMissingColumns=True)
+        totals.unionByName(ids, allowMissingColumns=True)
         .groupBy(*by)
-        .agg(*[F.max(name).alias(name) for name in names])
-        .withColumn("single_event_ids", F.coalesce("single_event_ids", F.lit(0)))
+        .agg(
+            *[F.max(name).alias(name) for name in totals.columns if name not in by],
+            *[
+                F.coalesce(F.max(name), F.lit(0)).alias(name)
+                for name in ids.columns
+                if name not in by
+            ],
+        )
     )
 
 

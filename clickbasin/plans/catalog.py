@@ -48,15 +48,16 @@ def register_day(spark: SparkSession, table: str, root: str, day: IngestDay) ->
     The table's columns are left as declared, whatever the files contain.
     Returns the number of partitions the day has.
     """
-    types = [folder_event_type(folder) for folder in glob(spark, day_glob(root, day))]
-    if types:
+    folders = glob(spark, day_glob(root, day))
+    if folders:
         specs = " ".join(
-            f"PARTITION (event_type={_literal(t)}, year='{day.year}', month='{day.month}', day='{day.day}')"
-            for t in types
+            f"PARTITION (event_type = {_literal(folder_event_type(folder))}, year = '{day.year}',"
+            f" month = '{day.month}', day = '{day.day}') LOCATION {_literal(folder)}"
+            for folder in folders
         )
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
         spark.catalog.refreshTable(table)
-    return len(types)
+    return len(folders)
 
 
 def _literal(text: str | None) -> str:

@@ -12,7 +12,8 @@ DATE_KEYS = ["year", "month", "day"]
 MISSING_EVENT_ID = "missing_event_id"
 UNPARSEABLE_TS = "unparseable_ts"
 
-CORRUPT_COLUMN = "_corrupt_record"
+# Not Spark's default name: its JSON reader blanks a column of that name on the way back.
+CORRUPT_COLUMN = "_malformed_line"
 REASON_COLUMN = "_reject_reason"
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickbasin.functions.dates import IngestDay
-from clickbasin.functions.json_lines import decode, fold_declared_keys, is_blank
+from clickbasin.functions.json_lines import decode, decode_unread, is_blank, merge_decoded
 from clickbasin.schemas import CORRUPT_COLUMN, PARTITION_FIELDS, RAW, RAW_DATA
 from clickbasin.sources.storage import day_glob, glob
 
@@ -21,12 +21,17 @@ def decode_lines(lines: DataFrame, *, any_case: bool = True) -> DataFrame:
     ``value`` (the partition columns) pass through.
     """
     others = [name for name in lines.columns if name != "value"]
-    text = fold_declared_keys(F.col("value")) if any_case else F.col("value")
-    # Generating the columns, rather than projecting them, keeps a later filter on
-    # them from being moved below the parse, which would then run twice per line.
-    return lines.where(~is_blank(F.col("value"))).select(
-        F.inline(F.array(decode(text, RAW_DATA))), *others
-    ).select(*RAW_DATA.fieldNames(), *others, CORRUPT_COLUMN)
+    line, decoded = F.col("value"), F.col("_decoded")
+    # Generating a column, rather than projecting it, keeps later expressions and
+    # filters from repeating the parse behind it.
+    rows = lines.where(~is_blank(line)).select(
+        "value", *others, F.explode(F.array(decode(line, RAW_DATA))).alias("_decoded")
+    )
+    corrupt = decoded[CORRUPT_COLUMN].alias(CORRUPT_COLUMN)
+    if not any_case:
+        return rows.select(*[decoded[name].alias(name) for name in RAW_DATA.fieldNames()], *others, corrupt)
+    rows = rows.select("_decoded", *others, F.explode(F.array(decode_unread(line, decoded))).alias("_again"))
+    return rows.select(*merge_decoded(decoded, F.col("_again")), *others, corrupt)
 
 
 def read_raw(spark: SparkSession, root: str, *, any_case: bool = True) -> DataFrame:

@@ -1,0 +1,147 @@
+import glob
+import gzip
+import json
+
+import pytest
+from conftest import STAMP, event
+from pyspark.sql import functions as F
+
+from clickbasin.functions.dates import IngestDay, ingest_day
+from clickbasin.plans.curate import curate_day
+from clickbasin.schemas import RAW
+from clickbasin.sources.curated import read_curated
+from clickbasin.sources.raw import read_raw_day
+from clickbasin.streaming.incremental import curate_new_days
+from clickbasin.streaming.landing import Buffering, batch_writer, line_stream, start_landing, with_route
+
+ARRIVAL = "2024-03-07 23:59:59"
+DAY = ingest_day("2024-03-07")
+
+
+def stamp(text=ARRIVAL):
+    return F.lit(text).cast("timestamp")
+
+
+def typed(event_type, event_id, **payload):
+    return json.dumps({"event_type": event_type, **event(event_id, **payload)})
+
+
+GOOD = [typed("search", "1", query="Tent  é"), typed("login", "2"), typed("search", "3")]
+BAD = ['{"event_type":"search", broken', '{"event_id":"4"}', '{"event_type":null}', '{"event_type":""}', "[1]"]
+
+
+@pytest.fixture
+def feed(tmp_path):
+    folder = tmp_path / "incoming"
+    folder.mkdir()
+
+    def put(name, lines):
+        (folder / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
+
+    put.folder = str(folder)
+    return put
+
+
+def drain(spark, feed, lake, tmp_path, **options):
+    query = start_landing(
+        line_stream(spark, feed.folder), lake, str(tmp_path / "checkpoint"), drain=True, arrival=stamp(), **options
+    )
+    query.awaitTermination()
+
+
+def lines_below(root):
+    found = []
+    for path in glob.glob(f"{root}/**/*.gz", recursive=True):
+        with gzip.open(path, "rt", encoding="utf-8") as lines:
+            found += lines.read().splitlines()
+    return sorted(found)
+
+
+def test_lines_land_unchanged_by_type_and_arrival_day(spark, feed, lake, tmp_path):
+    feed("a.json", GOOD + BAD + ["", "  "])
+    drain(spark, feed, lake, tmp_path)
+    assert lines_below(lake.raw) == sorted(GOOD)
+    assert lines_below(lake.errors) == sorted(BAD)
+    assert len(glob.glob(f"{lake.raw}/event_type=search/{DAY.folder()}/*.gz")) >= 1
+    assert len(glob.glob(f"{lake.errors}/result=processing-failed/{DAY.folder()}/*.gz")) >= 1
+    assert {r["event_id"] for r in read_raw_day(spark, lake.raw, DAY).collect()} == {"1", "2", "3"}
+
+
+def test_restart_adds_only_what_is_new(spark, feed, lake, tmp_path):
+    feed("a.json", GOOD)
+    drain(spark, feed, lake, tmp_path)
+    drain(spark, feed, lake, tmp_path)
+    assert lines_below(lake.raw) == sorted(GOOD)
+    feed("b.json", [typed("search", "9"), *BAD])
+    drain(spark, feed, lake, tmp_path)
+    assert len(lines_below(lake.raw)) == len(GOOD) + 1
+    assert lines_below(lake.errors) == sorted(BAD)
+
+
+def test_batch_run_again_after_a_crash_does_not_duplicate(spark, lake):
+    frame = spark.createDataFrame([(line,) for line in GOOD + BAD], "value string")
+    routed = with_route(frame, stamp())
+    batch_writer(lake)(routed, 7)
+    batch_writer(lake)(routed, 8)
+    # A new writer stands for the restarted process; it repeats the last batch.
+    batch_writer(lake)(routed, 8)
+    assert lines_below(lake.raw) == sorted(GOOD * 2)
+    assert lines_below(lake.errors) == sorted(BAD * 2)
+
+
+def test_default_arrival_is_the_batch_clock(spark, feed, lake, tmp_path):
+    feed("a.json", GOOD)
+    start_landing(line_stream(spark, feed.folder), lake, str(tmp_path / "c"), drain=True).awaitTermination()
+    with open(glob.glob(str(tmp_path / "c" / "offsets" / "0"))[0], encoding="utf-8") as offsets:
+        millis = json.loads(offsets.read().splitlines()[1])["batchTimestampMs"]
+    at = spark.range(1).select(F.date_format(F.timestamp_millis(F.lit(millis)), "yyyy-MM-dd")).first()[0]
+    assert read_raw_day(spark, lake.raw, ingest_day(at)).count() == 3
+
+
+def test_late_events_stay_on_the_arrival_day(spark, feed, lake, tmp_path):
+    feed("a.json", [json.dumps({"event_type": "login", **event("old", ts="2020-01-01T00:00:00Z")})])
+    drain(spark, feed, lake, tmp_path)
+    assert read_raw_day(spark, lake.raw, DAY).first()["ts"] == "2020-01-01T00:00:00Z"
+
+
+def test_parquet_conversion(spark, feed, lake, tmp_path):
+    feed("a.json", [*GOOD, typed("purchase", "5", quantity=4, value=1.5), *BAD])
+    drain(spark, feed, lake, tmp_path, parquet=True)
+    rows = read_raw_day(spark, lake.raw, DAY, parquet=True)
+    assert rows.columns[:-1] == RAW.fieldNames()
+    found = {r["event_id"]: r["payload"] for r in rows.collect()}
+    assert set(found) == {"1", "2", "3", "5"} and found["5"].quantity == 4
+    assert glob.glob(f"{lake.raw}/**/*.snappy.parquet", recursive=True)
+    assert lines_below(lake.errors) == sorted(BAD)
+    assert curate_day(spark, lake, DAY, parquet=True).curated_rows == 4
+
+
+def test_buffer_limits():
+    assert Buffering() == Buffering(64, 60)
+    for bad in [(0, 60), (129, 60), (64, 59), (64, 901)]:
+        with pytest.raises(ValueError):
+            Buffering(*bad)
+
+
+def test_only_days_with_new_files_are_curated(spark, lake, drop_lines, tmp_path):
+    seen = []
+
+    def curate(day: IngestDay):
+        seen.append(day.iso())
+        curate_day(spark, lake, day, processed_at=STAMP)
+
+    def catch_up():
+        seen.clear()
+        curate_new_days(spark, lake, str(tmp_path / "bookmark"), curate).awaitTermination()
+        return list(seen)
+
+    first, second = ingest_day("2024-03-05"), ingest_day("2024-03-06")
+    drop_lines(lake.raw, "search", [event("1")], first)
+    drop_lines(lake.raw, "login", [event("2")], second)
+    assert catch_up() == ["2024-03-05", "2024-03-06"]
+    assert catch_up() == []
+    # A second file of a day, holding a later copy of an id of the first file.
+    drop_lines(lake.raw, "search", [event("1", ts="2024-03-05T23:00:00Z", user_id="late")], first, "part-1")
+    assert catch_up() == ["2024-03-05"]
+    rows = read_curated(spark, lake.curated).collect()
+    assert sorted((r["event_id"], r["user_id"]) for r in rows) == [("1", "late"), ("2", "u1")]
