@@ -35,6 +35,7 @@ from clickbasin.plans import curate, dashboard, reports
 from clickbasin.plans.catalog import create_tables, database_names, partitions, register_all
 from clickbasin.plans.daily_run import run_day
 from clickbasin.plans.paths import LakePaths
+from clickbasin.plans.quality_run import JOB_NAME, NAMESPACE
 from clickbasin.schemas import CURATED, DATE_KEYS, PARTITION_KEYS, RAW_DATA, REASON_COLUMN
 from clickbasin.session import pin
 from clickbasin.sources import testdata as given
@@ -166,12 +167,12 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = quality.QualityRules(max_quantity=25.0)
     summaries = quality.summary(_results(spark, sf_dir, rules), DATE_KEYS)
     at = F.expr("to_timestamp(concat(year, '-', month, '-', day)) + INTERVAL '27' HOUR")
-    return quality.metrics(summaries, "DataQuality", "curated-events-quality", at)
+    return quality.metrics(summaries, NAMESPACE, JOB_NAME, at)
 
 
 def _alarms(missing: str) -> Query:
     return lambda spark, sf_dir: alarm_states(
-        _metrics(spark, sf_dir), quality_alarms(missing), ALARM_START, ALARM_END
+        _metrics(spark, sf_dir), quality_alarms(missing), ALARM_START, ALARM_END, [JOB_NAME]
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clickbasin.functions.dates import clock
 from clickbasin.operators.quality import CHECK_SUCCESS, CONSTRAINTS_FAILED
+from clickbasin.session import small_frame
 
 # States, statistics, comparisons and missing-data rules.
 ALARM = "ALARM"
@@ -82,12 +83,13 @@ def alarm_states(
     alarms: Sequence[Alarm],
     start: datetime | str,
     end: datetime | str,
+    jobs: Sequence[str] | None = None,
 ) -> DataFrame:
     """``job_name, alarm, period_start, datapoints, value, state`` for every period.
 
     Periods cover ``[start, end)`` and begin at multiples of their length since
-    the epoch, so days are UTC days. Jobs are those that ever reported a metric.
-    A period without data follows the alarm's missing-data rule; ``ignore``
+    the epoch, so days are UTC days. ``jobs`` names the jobs to judge, also those
+    that never reported; by default it is every job in ``points``. A period without data follows the alarm's missing-data rule; ``ignore``
     keeps the state before it.
     """
     first, last = F.unix_timestamp(clock(start)), F.unix_timestamp(clock(end))
@@ -112,10 +114,13 @@ def alarm_states(
         )
     )
     # The spine is as long as the time range, whatever the number of points.
+    named = (
+        points.select("job_name").distinct()
+        if jobs is None
+        else small_frame(points.sparkSession, [(name,) for name in jobs], "job_name string")
+    )
     spine = (
-        points.select("job_name")
-        .distinct()
-        .select("job_name", F.inline(definitions))
+        named.select("job_name", F.inline(definitions))
         .withColumn("_first", first - F.pmod(first, length))
         .where(F.col("_first") < last)
         .withColumn("_period", F.explode(F.sequence(F.col("_first"), last - 1, length)))

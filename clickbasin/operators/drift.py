@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickbasin.functions.json_lines import fold_declared_keys
+from clickbasin.session import small_frame
 
 ADDED = "added"
 MISSING = "missing"
@@ -26,7 +26,7 @@ def file_schema_drift(spark: SparkSession, declared: T.StructType, found: T.Stru
         for name, kind in wanted.items()
         if name in seen and seen[name] != kind
     ]
-    return spark.createDataFrame(rows, _DRIFT)
+    return small_frame(spark, rows, _DRIFT)
 
 
 def parquet_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -34,11 +34,6 @@ def parquet_schema(spark: SparkSession, path: str) -> T.StructType:
     return spark.read.option("mergeSchema", True).parquet(path).schema
 
 
-def _json_kind(value: Column) -> Column:
-    """JSON type of a variant, without the precision details."""
-    return F.regexp_extract(F.schema_of_variant(value), r"^[A-Z]+", 0)
-
-
 # JSON types a declared type reads without loss.
 _FITTING = {
     "string": ["STRING"],
@@ -52,53 +47,61 @@ _FITTING = {
 def json_drift(lines: DataFrame, declared: T.StructType) -> DataFrame:
     """``column, json_type, change, rows`` for keys of JSON lines that left the schema.
 
-    ``column`` is a key or ``parent.key``. Every line is looked at: each maps to
-    its (key, type) pairs, which are counted in the map tasks. A declared key
-    no line has is ``missing`` with zero rows. Null values and lines that are
-    not JSON objects are no evidence either way, and key spelling is folded first.
+    ``column`` is a key or ``parent.key``; declared keys match in any case. Every
+    line is looked at: it yields its (key, type) pairs, which are counted in the
+    map tasks. A declared key no line has is ``missing`` with zero rows. Null
+    values and lines that are not JSON objects are no evidence either way.
     """
-    objects = lines.select(
-        F.from_json(fold_declared_keys(F.col("value")), "map<string,variant>").alias("_top")
+    structs = [field.name for field in declared if isinstance(field.dataType, T.StructType)]
+    entry = "array<struct<key:string,value:variant>>"
+    members = F.when(
+        F.lower("_key").isin(structs), F.map_entries(F.try_variant_get("_value", "$", "map<string,variant>"))
     )
-    structs = [field for field in declared if isinstance(field.dataType, T.StructType)]
-
-    def entries(object_map: Column, parent: str) -> Column:
-        return F.transform(
-            F.map_entries(object_map),
-            lambda e: F.struct(
-                F.concat(F.lit(parent), e["key"]).alias("column"), _json_kind(e["value"]).alias("json_type")
-            ),
+    kind = F.schema_of_variant("_entry.value")  # such as DECIMAL(4,2) or OBJECT<a: BIGINT>
+    counted = (
+        lines.select(F.explode(F.from_json("value", "map<string,variant>")).alias("_key", "_value"))
+        # The value itself, under a null key, and its members.
+        .select(
+            "_key",
+            F.explode(
+                F.concat(
+                    F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("_value").alias("value"))),
+                    F.coalesce(members, F.array().cast(entry)),
+                )
+            ).alias("_entry"),
         )
-
-    top = entries(F.col("_top"), "")
-    nested = [
-        entries(
-            F.try_variant_get(F.col("_top")[field.name], "$", "map<string,variant>"), f"{field.name}."
+        .select(
+            "_key",
+            F.col("_entry.key").alias("_member"),
+            F.substring_index(F.substring_index(kind, "(", 1), "<", 1).alias("json_type"),
         )
-        for field in structs
-    ]
-    empty = F.array().cast("array<struct<column:string,json_type:string>>")
-    seen = (
-        objects.where(F.col("_top").isNotNull())
-        .select(F.inline(F.concat(top, *[F.coalesce(part, empty) for part in nested])))
         .where(F.col("json_type") != "VOID")
-        .groupBy("column", "json_type")
+        .groupBy("_key", "_member", "json_type")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
+    # From here on there is a row per spelling and type, not per line.
+    declared_keys = [field.name for field in declared]
+    declared_members = [f.name for field in declared if field.name in structs for f in field.dataType]
+
+    def folded(name: str, known: list[str]) -> Column:
+        return F.when(F.lower(name).isin(known), F.lower(name)).otherwise(F.col(name))
+
+    path = F.concat_ws(".", folded("_key", declared_keys), folded("_member", declared_members))
+    seen = (
+        counted.withColumn("column", path).groupBy("column", "json_type").agg(F.sum("rows").alias("rows"))
+    )
     wanted: list[tuple[str, list[str]]] = []
     for field in declared:
-        kind = field.dataType.typeName() if field in structs else field.dataType.simpleString()
-        wanted.append((field.name, _FITTING[kind]))
-        if field in structs:
+        if field.name not in structs:
+            wanted.append((field.name, _FITTING[field.dataType.simpleString()]))
+        else:
+            wanted.append((field.name, _FITTING["struct"]))
             wanted += [
                 (f"{field.name}.{inner.name}", _FITTING[inner.dataType.simpleString()])
                 for inner in field.dataType
             ]
-    declared_rows = lines.sparkSession.createDataFrame(
-        wanted, "_column string, _fitting array<string>"
-    )
-    # The declared side has one row per schema column, hence the broadcast.
-    known = seen.join(F.broadcast(declared_rows), F.col("column") == F.col("_column"), "left").select(
+    declared_rows = small_frame(lines.sparkSession, wanted, "_column string, _fitting array<string>")
+    known = seen.join(declared_rows, F.col("column") == F.col("_column"), "left").select(
         "column",
         "json_type",
         F.when(F.col("_column").isNull(), ADDED)

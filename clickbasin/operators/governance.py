@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickbasin.schemas import TAG_ASSIGNMENT
+from clickbasin.schemas import PARTITION_KEYS, TAG_ASSIGNMENT
+from clickbasin.session import small_frame
 
 # The two tags, their values, and the default assignments.
 LAYER = "layer"
@@ -50,11 +51,12 @@ def default_assignments(
     curated = databases["curated"]
     rows.append((curated, None, None, SENSITIVITY, "internal"))
     rows += [(curated, table, column, SENSITIVITY, "confidential") for column in confidential]
-    return spark.createDataFrame(rows, TAG_ASSIGNMENT)
+    return small_frame(spark, rows, TAG_ASSIGNMENT)
 
 
 def columns_of(spark: SparkSession, database: str, table: str, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame(
+    return small_frame(
+        spark,
         [(database, table, name, at) for at, name in enumerate(schema.fieldNames())],
         "database string, table string, column string, position int",
     )
@@ -62,32 +64,24 @@ def columns_of(spark: SparkSession, database: str, table: str, schema: T.StructT
 
 def resolve_tags(columns: DataFrame, assignments: DataFrame) -> DataFrame:
     """Every column's tags: its own, else its table's, else its database's."""
-    keys = [LAYER, SENSITIVITY]
-
-    def level(wanted: list[str], prefix: str) -> DataFrame:
-        scoped = assignments
-        for part in ["table", "column"]:
-            scoped = scoped.where(F.col(part).isNotNull() if part in wanted else F.col(part).isNull())
-        return scoped.groupBy(*wanted).agg(
-            *[F.max(F.when(F.col("tag") == key, F.col("tag_value"))).alias(prefix + key) for key in keys]
+    target = columns.alias("c")
+    tags = assignments.alias("t")
+    applies = (
+        (F.col("c.database") == F.col("t.database"))
+        & (F.col("t.table").isNull() | (F.col("t.table") == F.col("c.table")))
+        & (F.col("t.column").isNull() | (F.col("t.column") == F.col("c.column")))
+    )
+    closeness = F.col("t.table").isNotNull().cast("int") + F.col("t.column").isNotNull().cast("int")
+    own = {key: F.col("t.tag") == key for key in (LAYER, SENSITIVITY)}
+    return (
+        target.join(tags, applies, "left")
+        .groupBy("c.database", "c.table", "c.column", "c.position")
+        .agg(
+            *[
+                F.max_by(F.col("t.tag_value"), F.when(is_key, closeness)).alias(key)
+                for key, is_key in own.items()
+            ]
         )
-
-    resolved = columns
-    for wanted, prefix in (
-        (["database", "table", "column"], "_column_"),
-        (["database", "table"], "_table_"),
-        (["database"], "_database_"),
-    ):
-        resolved = resolved.join(level(wanted, prefix), wanted, "left")
-    return resolved.select(
-        "database",
-        "table",
-        "column",
-        "position",
-        *[
-            F.coalesce(f"_column_{key}", f"_table_{key}", f"_database_{key}").alias(key)
-            for key in keys
-        ],
     )
 
 
@@ -105,6 +99,16 @@ def governed(data: DataFrame, resolved: DataFrame, grant: Grant) -> DataFrame:
     The projection reaches the scan, so hidden columns are not even read.
     """
     columns = readable_columns(resolved, grant)
-    if not columns:
-        raise PermissionError("the grant covers no column of this table")
+    if "SELECT" not in grant.privileges or not columns:
+        raise PermissionError("the grant lets nobody read a column of this table")
     return data.select(*columns)
+
+
+def governed_append(
+    rows: DataFrame, resolved: DataFrame, grant: Grant, path: str, keys: Sequence[str] = PARTITION_KEYS
+) -> None:
+    """Append Parquet rows for a principal that may insert into every column of ``rows``."""
+    hidden = set(rows.columns) - set(readable_columns(resolved, grant))
+    if "INSERT" not in grant.privileges or hidden:
+        raise PermissionError(f"the grant does not cover writing {sorted(hidden) or 'this table'}")
+    rows.write.mode("append").option("compression", "snappy").partitionBy(*keys).parquet(path)

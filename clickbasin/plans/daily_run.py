@@ -14,12 +14,13 @@ from clickbasin.plans.curate import curate_day
 from clickbasin.plans.dashboard import refresh_dataset
 from clickbasin.plans.paths import LakePaths
 from clickbasin.plans.quality_run import verify_day
+from clickbasin.session import small_frame
 
 SUCCEEDED = "SUCCEEDED"
 FAILED = "FAILED"
 NOT_RUN = "NOT_RUN"
 
-_STATUS = "position int, step string, status string, rows long, message string"
+_STATUS = "position int, step string, status string, rows bigint, message string"
 
 
 def run_day(
@@ -77,4 +78,4 @@ def run_day(
         except Exception as error:  # any failure ends the run, whatever its kind
             failed = True
             report.append((position, name, FAILED, None, f"{type(error).__name__}: {error}"))
-    return spark.createDataFrame(report, _STATUS)
+    return small_frame(spark, report, _STATUS)

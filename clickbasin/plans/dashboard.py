@@ -50,9 +50,9 @@ def daily_event_volume(dataset: DataFrame) -> DataFrame:
 
 
 def _write(dataset: DataFrame, path: str, overwrite_mode: str) -> None:
+    """A plain copy: the curated files are well sized already, so nothing is shuffled."""
     (
-        dataset.hint("rebalance", "event_type")
-        .write.mode("overwrite")
+        dataset.write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite_mode)
         .option("compression", "snappy")
         .partitionBy(*PARTITION_KEYS)

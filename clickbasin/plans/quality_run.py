@@ -19,6 +19,7 @@ from clickbasin.operators.quality import (
 )
 from clickbasin.plans.paths import LakePaths
 from clickbasin.schemas import RESULT
+from clickbasin.session import small_frame
 from clickbasin.sources.curated import read_curated_day
 
 # Where the metrics are filed unless told otherwise.
@@ -75,9 +76,7 @@ def verify_day(
         # Eight to ten rows, judged on the executors.
         found = constraint_results(measure(partition, rules), rules).collect()
     unstamped = RESULT[:-1]
-    results = spark.createDataFrame(
-        [tuple(row[name] for name in unstamped.names) for row in found], unstamped
-    )
+    results = small_frame(spark, [tuple(row[name] for name in unstamped.names) for row in found], unstamped)
     if found:
         write_results(results.withColumn("verified_at", stamp), lake.quality_results, day)
     verdict = summary(results)

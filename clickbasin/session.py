@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Runtime settings, safe to change on a live session. Partition values must stay
 # text ('01', not 1), days are UTC days, and a rewrite replaces only the
@@ -55,3 +59,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="clickbasin-")
     return f"{root.rstrip('/')}/clickbasin/{label}-{uuid.uuid4().hex}"
+
+
+def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
+    """A handful of rows (tags, statuses, verdicts) as a local table.
+
+    Spark knows the size of such a table, so a join with it is broadcast without
+    a hint, and only while it is small.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    records = [dict(zip(schema.fieldNames(), row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(schema)), schema)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickbasin.functions.dates import IngestDay
 from clickbasin.schemas import CURATED
+from clickbasin.session import small_frame
 from clickbasin.sources.storage import day_glob, exists, glob
 
 
@@ -24,5 +25,5 @@ def read_curated_day(spark: SparkSession, root: str, day: IngestDay) -> DataFram
     if not exists(spark, root):
         return None
     if not glob(spark, day_glob(root, day)):
-        return spark.createDataFrame([], CURATED)
+        return small_frame(spark, [], CURATED)
     return spark.read.schema(CURATED).option("basePath", root).parquet(day_glob(root, day))

@@ -31,6 +31,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "event_type",
         "value",
+        F.col("ts").cast("date").cast("string").alias("date"),
         F.explode(F.array(F.get_json_object("props", "$.k").cast("int"))).alias("k"),
     )
 
@@ -52,9 +53,9 @@ def curated_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts + INTERVAL '1' DAY AS processed_at",
         "CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'add_to_cart'"
         " WHEN 'signup' THEN 'login' WHEN 'error' THEN 'search' ELSE event_type END AS event_type",
-        "date_format(ts, 'yyyy') AS year",
-        "date_format(ts, 'MM') AS month",
-        "date_format(ts, 'dd') AS day",
+        "substr(date, 1, 4) AS year",
+        "substr(date, 6, 2) AS month",
+        "substr(date, 9, 2) AS day",
     )
 
 
@@ -92,9 +93,9 @@ def raw_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
         " 'sku', CASE WHEN event_type = 'purchase' THEN concat('SKU-', CAST(k AS STRING)) END,"
         " 'quantity', CASE WHEN event_type = 'purchase' THEN 1 + k % 5 END) AS payload",
         "event_type",
-        "date_format(ts, 'yyyy') AS year",
-        "date_format(ts, 'MM') AS month",
-        "date_format(ts, 'dd') AS day",
+        "substr(date, 1, 4) AS year",
+        "substr(date, 6, 2) AS month",
+        "substr(date, 9, 2) AS day",
     )
 
 
@@ -148,7 +149,8 @@ def raw_table(spark: SparkSession, sf_dir: str) -> str:
     """The raw shape as gzip JSON under event_type/year/month/day."""
 
     def write(path: str) -> None:
-        raw_shape(spark, sf_dir).write.partitionBy(*PARTITION_KEYS).option("compression", "gzip").json(path)
+        rows = raw_shape(spark, sf_dir).hint("rebalance", *PARTITION_KEYS)
+        rows.write.partitionBy(*PARTITION_KEYS).option("compression", "gzip").json(path)
 
     return _once(spark, sf_dir, "raw", write)
 

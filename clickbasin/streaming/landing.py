@@ -28,7 +28,11 @@ _KEY = T.StructType([T.StructField("event_type", T.StringType())])
 
 @dataclass(frozen=True)
 class Buffering:
-    """How much one micro-batch takes at most, and how often one starts."""
+    """Text per landed file at most, and seconds between micro-batches.
+
+    The size is that of one buffer, hence of one task's share: a micro-batch
+    fills a buffer on every core, so throughput grows with the cluster.
+    """
 
     mebibytes: int = 64
     seconds: int = 60
@@ -38,16 +42,21 @@ class Buffering:
             if not low <= value <= high:
                 raise ValueError(f"{value} is outside {low}-{high}")
 
+    def batch_bytes(self, buffers: int) -> int:
+        return self.mebibytes * 1024 * 1024 * max(buffers, 1)
+
 
-def line_stream(spark: SparkSession, folder: str, buffering: Buffering = Buffering()) -> DataFrame:
+def line_stream(
+    spark: SparkSession, folder: str, buffering: Buffering = Buffering(), buffers: int | None = None
+) -> DataFrame:
     """A folder of JSON-lines files as a stream with a ``value`` column.
 
+    ``buffers`` is how many buffers a micro-batch fills; by default one per core.
     Any other streaming frame with a text ``value`` column (a message queue, for
-    instance) can take its place.
+    instance) can take the place of the folder.
     """
-    return (
-        spark.readStream.option("maxBytesPerTrigger", str(buffering.mebibytes * 1024 * 1024)).text(folder)
-    )
+    limit = buffering.batch_bytes(buffers or spark.sparkContext.defaultParallelism)
+    return spark.readStream.option("maxBytesPerTrigger", str(limit)).text(folder)
 
 
 def with_route(lines: DataFrame, arrival: Column | None = None) -> DataFrame:

@@ -72,6 +72,13 @@ def test_shorter_staleness_period_and_many_jobs(spark):
     assert [k for k, v in sorted(stale.items()) if v == "OK"] == [("job", 3), ("other", 5)]
 
 
+def test_job_that_never_reported_is_stale(gap):
+    rows = alarm_states(gap, quality_alarms(), "2024-03-01 00:00:00", "2024-03-02 00:00:00", ["job", "silent"])
+    assert {(r["job_name"], r["state"]) for r in rows.where("alarm = 'stale-results'").collect()} == {
+        ("job", "OK"), ("silent", "ALARM"),
+    }
+
+
 def test_staleness_can_be_left_out_and_bounds_hold():
     assert len(quality_alarms(staleness_seconds=None)) == 2
     with pytest.raises(ValueError):

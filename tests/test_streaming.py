@@ -1,6 +1,7 @@
 import glob
 import gzip
 import json
+import time
 
 import pytest
 from conftest import STAMP, event
@@ -89,6 +90,19 @@ def test_batch_run_again_after_a_crash_does_not_duplicate(spark, lake):
     assert lines_below(lake.errors) == sorted(BAD * 2)
 
 
+def test_running_stream_lands_what_arrives_between_triggers(spark, feed, lake, tmp_path):
+    feed("a.json", GOOD)
+    query = start_landing(line_stream(spark, feed.folder), lake, str(tmp_path / "c"), arrival=stamp())
+    try:
+        for _ in range(150):
+            if lines_below(lake.raw) == sorted(GOOD):
+                break
+            time.sleep(0.2)
+        assert lines_below(lake.raw) == sorted(GOOD)
+    finally:
+        query.stop()
+
+
 def test_default_arrival_is_the_batch_clock(spark, feed, lake, tmp_path):
     feed("a.json", GOOD)
     start_landing(line_stream(spark, feed.folder), lake, str(tmp_path / "c"), drain=True).awaitTermination()
@@ -118,6 +132,7 @@ def test_parquet_conversion(spark, feed, lake, tmp_path):
 
 def test_buffer_limits():
     assert Buffering() == Buffering(64, 60)
+    assert Buffering().batch_bytes(1000) == 64_000 * 1024 * 1024
     for bad in [(0, 60), (129, 60), (64, 59), (64, 901)]:
         with pytest.raises(ValueError):
             Buffering(*bad)

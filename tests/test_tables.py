@@ -144,6 +144,15 @@ def test_engineer_sees_all_and_raw_is_granted_to_nobody(spark, resolved):
             governance.governed(frame, raw, grant)
 
 
+def test_only_engineers_may_write(spark, resolved, tmp_path):
+    frame, path = table(spark, [row(1)]), str(tmp_path / "c")
+    with pytest.raises(PermissionError):
+        governance.governed_append(frame, resolved, governance.ANALYST, path)
+    governance.governed_append(frame, resolved, governance.ENGINEER, path)
+    governance.governed_append(frame, resolved, governance.ENGINEER, path)
+    assert read_curated(spark, path).count() == 2
+
+
 # Scan budget -----------------------------------------------------------------
 
 
