@@ -60,8 +60,11 @@ def curated_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The curated shape with money as decimals, whose sums have no rounding order."""
-    return curated_shape(spark, sf_dir).withColumn("value", F.col("value").cast("decimal(18,2)"))
+    """The curated shape with money as decimals, whose sums have no rounding order.
+
+    The amounts have two digits; the further ones are for the averages.
+    """
+    return curated_shape(spark, sf_dir).withColumn("value", F.col("value").cast("decimal(20,8)"))
 
 
 def curated_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from clickbasin.functions.dates import day_columns
+from clickbasin.functions.dates import IngestDay, day_columns
 from clickbasin.functions.json_lines import decode, is_blank
 from clickbasin.plans.paths import LakePaths
 from clickbasin.schemas import CORRUPT_COLUMN, DATE_KEYS, PARTITION_KEYS, RAW
@@ -90,10 +90,21 @@ def undeliverable(routed: DataFrame) -> DataFrame:
     return routed.where(F.col("result").isNotNull()).select("value", "result", *DATE_KEYS)
 
 
+def _gather(rows: DataFrame, key: str) -> DataFrame:
+    """Bring rows of one folder together, so that a batch of n tasks writes about n files.
+
+    Left alone, every task would write a file per event type. Ranges are cut from
+    a sample, and the hash lets them cut through a type that fills many of them.
+    """
+    tasks = rows.rdd.getNumPartitions()
+    return rows if tasks == 1 else rows.repartitionByRange(tasks, key, F.xxhash64("value"))
+
+
 def _write_lines(rows: DataFrame, path: str, keys: list[str], prefix: str) -> None:
     """The source text, one record per line, gzip. ``prefix`` starts the file names."""
     (
-        rows.write.mode("append")
+        _gather(rows, keys[0])
+        .write.mode("append")
         .partitionBy(*keys)
         .option("compression", "gzip")
         .option("mapreduce.output.basename", prefix)
@@ -103,7 +114,7 @@ def _write_lines(rows: DataFrame, path: str, keys: list[str], prefix: str) -> No
 
 def _write_parquet(rows: DataFrame, path: str, prefix: str) -> None:
     (
-        decode_lines(rows)
+        decode_lines(_gather(rows, PARTITION_KEYS[0]))
         .select(*RAW.fieldNames())
         .write.mode("append")
         .partitionBy(*PARTITION_KEYS)
@@ -113,6 +124,16 @@ def _write_parquet(rows: DataFrame, path: str, prefix: str) -> None:
     )
 
 
+def _remove_attempt(routed: DataFrame, lake: LakePaths, prefix: str) -> None:
+    """Delete files an earlier attempt at this batch left in the days it writes to."""
+    spark = routed.sparkSession
+    for row in routed.select(*DATE_KEYS).distinct().collect():
+        day = IngestDay(*row).folder()
+        for folder in (f"{lake.raw}/event_type=*", f"{lake.errors}/result=*"):
+            for leftover in glob(spark, f"{folder}/{day}/{prefix}-*"):
+                delete(spark, leftover)
+
+
 def batch_writer(lake: LakePaths, *, parquet: bool = False) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that lands a routed batch once, even if run twice.
 
@@ -124,16 +145,13 @@ def batch_writer(lake: LakePaths, *, parquet: bool = False) -> Callable[[DataFra
     started: set[str] = set()
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
         prefix = f"{query}-{batch_id:012d}"
-        if query not in started:
-            started.add(query)
-            for root in (f"{lake.raw}/event_type=*", f"{lake.errors}/result=*"):
-                for leftover in glob(spark, f"{root}/year=*/month=*/day=*/{prefix}-*"):
-                    delete(spark, leftover)
         routed = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if query not in started:
+                _remove_attempt(routed, lake, prefix)
+                started.add(query)
             if parquet:
                 _write_parquet(delivered(routed), lake.raw, prefix)
             else:

@@ -103,6 +103,17 @@ def test_running_stream_lands_what_arrives_between_triggers(spark, feed, lake, t
         query.stop()
 
 
+def test_big_batch_writes_about_a_file_per_task(spark, lake):
+    # Two thirds of the lines are of one type.
+    lines = [typed("search" if n % 3 else f"t{n % 4}", str(n)) for n in range(600)]
+    frame = spark.createDataFrame([(line,) for line in lines], "value string").repartition(8)
+    batch_writer(lake)(with_route(frame, stamp()), 0)
+    assert lines_below(lake.raw) == sorted(lines)
+    search = glob.glob(f"{lake.raw}/event_type=search/**/*.gz", recursive=True)
+    assert len(search) >= 4  # the hot type is split
+    assert len(glob.glob(f"{lake.raw}/**/*.gz", recursive=True)) <= 8 + 5
+
+
 def test_default_arrival_is_the_batch_clock(spark, feed, lake, tmp_path):
     feed("a.json", GOOD)
     start_landing(line_stream(spark, feed.folder), lake, str(tmp_path / "c"), drain=True).awaitTermination()
