@@ -24,14 +24,13 @@ def fold_declared_keys(line: Column) -> Column:
     return line
 
 
-def decode_unread(line: Column, decoded: Column) -> Column:
+def decode_unread(line: Column, lowered: Column, decoded: Column) -> Column:
     """Decode again, in lower-case spelling, a line that names a field read as null.
 
     Null for every other line. The test is a plain substring search for the null
     fields only, far cheaper than a pattern; a hit that is no odd spelling after
     all costs a second decoding and changes nothing.
     """
-    lowered = F.lower(line)
     fields = [(name, decoded[name]) for name in RAW_DATA.fieldNames()]
     fields += [(name, decoded["payload"][name]) for name in PAYLOAD.fieldNames()]
     unread = [value.isNull() & F.contains(lowered, F.lit(f'"{name}"')) for name, value in fields]

@@ -97,8 +97,9 @@ def alarm_states(
     definitions = _definitions(alarms)
 
     # Every point meets the alarms on its metric, then folds to one row per period.
+    longest = F.make_dt_interval(secs=F.lit(max(a.period_seconds for a in alarms)))
     observed = (
-        points.where(F.col("ts") < clock(end))
+        points.where((F.col("ts") >= clock(start) - longest) & (F.col("ts") < clock(end)))
         .select(
             "job_name",
             "value",

@@ -14,6 +14,7 @@ from clickbasin.operators.dedup import latest_per_event
 from clickbasin.operators.validate import accepted, rejected, with_verdict
 from clickbasin.plans.paths import LakePaths
 from clickbasin.schemas import DATE_KEYS, PARTITION_KEYS, REASON_COLUMN
+from clickbasin.session import pin
 from clickbasin.sources.curated import read_curated_day
 from clickbasin.sources.raw import read_raw_day
 from clickbasin.sources.storage import replace_day
@@ -87,17 +88,21 @@ def curate_day(
     processed_at: datetime | str | None = None,
     any_case: bool = True,
     parquet: bool = False,
+    raw: DataFrame | None = None,
     keep_decoded: bool = True,
 ) -> CurateOutcome:
     """Recompute one ingest day from raw; running it again changes nothing.
 
     A day without raw rows writes nothing; a day without valid rows writes only
-    the quarantine. The decoded day is kept on the executors between the count
+    the quarantine. ``raw`` takes the place of the raw files, for instance a day of
+    a catalogued table. The decoded day is kept on the executors between the count
     and the two writes, because decompressing and parsing JSON is the dear part;
     ``keep_decoded=False`` reads it again instead, for a backfill larger than
     the executors' disks. Lost blocks are recomputed from the raw files.
     """
-    raw = read_raw_day(spark, lake.raw, day, any_case=any_case, parquet=parquet)
+    pin(spark)
+    if raw is None:
+        raw = read_raw_day(spark, lake.raw, day, any_case=any_case, parquet=parquet)
     if raw is None:
         return CurateOutcome(0, 0, 0)
     stamp = fixed_clock(processed_at)

@@ -13,7 +13,7 @@ from clickbasin.plans.catalog import TABLE, register_day
 from clickbasin.plans.curate import curate_day
 from clickbasin.plans.dashboard import refresh_dataset
 from clickbasin.plans.paths import LakePaths
-from clickbasin.plans.quality_run import verify_day
+from clickbasin.plans.quality_run import JOB_NAME, NAMESPACE, verify_day
 from clickbasin.session import small_frame
 
 SUCCEEDED = "SUCCEEDED"
@@ -30,6 +30,8 @@ def run_day(
     *,
     databases: dict[str, str] | None = None,
     rules: QualityRules = QualityRules(),
+    namespace: str = NAMESPACE,
+    job_name: str = JOB_NAME,
     fail_on_error: bool = True,
     refresh_dashboard: bool = True,
     processed_at: datetime | str | None = None,
@@ -52,7 +54,14 @@ def run_day(
 
     def verify() -> int:
         outcome = verify_day(
-            spark, lake, day, rules, verified_at=processed_at, fail_on_error=fail_on_error
+            spark,
+            lake,
+            day,
+            rules,
+            namespace=namespace,
+            job_name=job_name,
+            verified_at=processed_at,
+            fail_on_error=fail_on_error,
         )
         return outcome.rows_verified
 

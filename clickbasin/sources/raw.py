@@ -30,7 +30,10 @@ def decode_lines(lines: DataFrame, *, any_case: bool = True) -> DataFrame:
     corrupt = decoded[CORRUPT_COLUMN].alias(CORRUPT_COLUMN)
     if not any_case:
         return rows.select(*[decoded[name].alias(name) for name in RAW_DATA.fieldNames()], *others, corrupt)
-    rows = rows.select("_decoded", *others, F.explode(F.array(decode_unread(line, decoded))).alias("_again"))
+    again = decode_unread(line, F.col("_lowered"), decoded)
+    rows = rows.withColumn("_lowered", F.lower(line)).select(
+        "_decoded", *others, F.explode(F.array(again)).alias("_again")
+    )
     return rows.select(*merge_decoded(decoded, F.col("_again")), *others, corrupt)
 
 

@@ -15,6 +15,7 @@ from clickbasin.functions.dates import IngestDay, day_columns
 from clickbasin.functions.json_lines import decode, is_blank
 from clickbasin.plans.paths import LakePaths
 from clickbasin.schemas import CORRUPT_COLUMN, DATE_KEYS, PARTITION_KEYS, RAW
+from clickbasin.session import pin
 from clickbasin.sources.raw import decode_lines
 from clickbasin.sources.storage import delete, glob
 
@@ -177,6 +178,7 @@ def start_landing(
 
     ``parquet`` converts to the raw table's columns on the way in.
     """
+    pin(lines.sparkSession)
     writer = (
         with_route(lines, arrival)
         .writeStream.foreachBatch(batch_writer(lake, parquet=parquet))
