@@ -13,21 +13,34 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickbasin.functions.dates import IngestDay, ingest_day
 from clickbasin.functions.params import flag, optional_number
+from clickbasin.operators.alarms import DAY_SECONDS, MISSING_RULES, alarm_states, quality_alarms
+from clickbasin.operators.drift import json_drift
+from clickbasin.operators.governance import (
+    ANALYST,
+    ENGINEER,
+    columns_of,
+    default_assignments,
+    governed,
+    resolve_tags,
+)
 from clickbasin.operators.quality import QualityRules
 from clickbasin.operators.scan_budget import check_scan
 from clickbasin.plans import dashboard, reports
-from clickbasin.plans.catalog import create_tables, database_names
+from clickbasin.plans.catalog import TABLE, create_tables, database_names
 from clickbasin.plans.curate import curate_day
 from clickbasin.plans.daily_run import FAILED, run_day
 from clickbasin.plans.dashboard import refresh_dataset
 from clickbasin.plans.paths import LakePaths
 from clickbasin.plans.quality_run import JOB_NAME, NAMESPACE, verify_day
 from clickbasin.plans.query_results import save_result
+from clickbasin.schemas import CURATED, METRIC, RAW_DATA
 from clickbasin.session import pin
 from clickbasin.sources.curated import read_curated
+from clickbasin.sources.storage import day_glob
 from clickbasin.streaming.incremental import curate_new_days
 from clickbasin.streaming.landing import Buffering, line_stream, start_landing
 
@@ -48,6 +61,9 @@ REPORTS = {
     for name in ["kpi_total_events", "kpi_total_value", "events_by_type", "daily_event_volume"]
 }
 
+MONTHLY = "revenue_by_type_country"
+AUDIENCES = {"analyst": ANALYST, "engineer": ENGINEER}
+
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="clickbasin")
@@ -96,8 +112,19 @@ def _parser() -> argparse.ArgumentParser:
     daily.add_argument("--project", default="", help="with --environment: register tables")
     daily.add_argument("--environment", default="")
 
+    alarms = job("alarms", "show the alarm states over the stored metrics", dated=False)
+    alarms.add_argument("--start", required=True, help="first moment, UTC")
+    alarms.add_argument("--end", required=True, help="moment after the last, UTC")
+    alarms.add_argument("--missing", default="notBreaching", choices=MISSING_RULES)
+    alarms.add_argument("--staleness-seconds", default=str(DAY_SECONDS), help="blank: no such alarm")
+    alarms.add_argument("--metric-job-name", default=JOB_NAME)
+
+    job("drift", "show how the raw lines of a day deviate from the declared keys")
+
     report = job("report", "compute a saved report and keep its result", dated=False)
-    report.add_argument("--name", required=True, choices=sorted(REPORTS))
+    report.add_argument("--name", required=True, choices=sorted([*REPORTS, MONTHLY]))
+    report.add_argument("--month", default="", help=f"YYYY-MM, for {MONTHLY}")
+    report.add_argument("--audience", default="engineer", choices=sorted(AUDIENCES))
     report.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     report.add_argument("--scan-cap-bytes", default="", help="refuse to scan more; blank: no cap")
     return parser
@@ -116,9 +143,38 @@ def _report(spark: SparkSession, lake: LakePaths, options: argparse.Namespace) -
     curated = read_curated(spark, lake.curated)
     if curated is None:
         raise FileNotFoundError(lake.curated)
+    names = database_names("lake", "default")
+    tags = resolve_tags(
+        columns_of(spark, names["curated"], TABLE, CURATED), default_assignments(spark, names, TABLE)
+    )
+    view = governed(curated, tags, AUDIENCES[options.audience])
+    where = None
+    if options.name == MONTHLY:
+        year, month = options.month.split("-")
+        where = (F.col("year") == year) & (F.col("month") == month)
+        result = reports.revenue_by_type_country(view, year, month)
+    else:
+        result = REPORTS[options.name](view)
     cap = optional_number(options.scan_cap_bytes)
-    check_scan(spark, lake.curated, None if cap is None else int(cap))
-    return save_result(REPORTS[options.name](curated), lake, options.name, options.format)
+    check_scan(spark, lake.curated, None if cap is None else int(cap), where)
+    return save_result(result, lake, options.name, options.format)
+
+
+def _alarms(spark: SparkSession, lake: LakePaths, options: argparse.Namespace) -> DataFrame:
+    staleness = optional_number(options.staleness_seconds)
+    return alarm_states(
+        spark.read.schema(METRIC).parquet(lake.metrics),
+        quality_alarms(options.missing, None if staleness is None else int(staleness)),
+        options.start,
+        options.end,
+        [options.metric_job_name],
+    ).orderBy("alarm", "period_start")
+
+
+def _drift(spark: SparkSession, lake: LakePaths, day: IngestDay) -> DataFrame:
+    declared = T.StructType([T.StructField("event_type", T.StringType()), *RAW_DATA.fields])
+    lines = spark.read.text(day_glob(lake.raw, day)).select("value")
+    return json_drift(lines, declared).orderBy("column", "json_type")
 
 
 def main(arguments: Sequence[str] | None = None) -> int:
@@ -147,8 +203,14 @@ def main(arguments: Sequence[str] | None = None) -> int:
     if options.job == "report":
         print(_report(spark, lake, options))
         return 0
+    if options.job == "alarms":
+        _alarms(spark, lake, options).show(1000, truncate=False)
+        return 0
 
     day = ingest_day(options.process_date)
+    if options.job == "drift":
+        _drift(spark, lake, day).show(1000, truncate=False)
+        return 0
     if options.job == "curate":
         print(day.iso(), curate_day(spark, lake, day, parquet=flag(options.parquet)))
         return 0

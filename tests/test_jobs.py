@@ -2,6 +2,7 @@ import json
 
 import pytest
 from conftest import DAY, event
+from pyspark.errors import AnalysisException
 
 from clickbasin.jobs import main
 from clickbasin.plans.catalog import create_tables, database_names, register_day
@@ -41,6 +42,24 @@ def test_day_from_the_command_line(spark, lake, drop_lines, run):
         run("report", "--name", "revenue_by_date", "--scan-cap-bytes", "1")
 
 
+def test_reports_alarms_and_drift(spark, lake, drop_lines, run):
+    drop_lines(lake.raw, "purchase", [event("1", country="US", value=2.0, colour="red")])
+    run("daily", *DATE)
+    monthly = ["--name", "revenue_by_type_country", "--month", "2024-03", "--audience", "analyst"]
+    path = run("report", *monthly)[1].strip()
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("purchase", "US", 2.0)]
+    with pytest.raises(AnalysisException, match="UNRESOLVED_COLUMN"):
+        run("report", "--name", "daily_active_users", "--audience", "analyst")
+    assert run("report", "--name", "daily_active_users")[0] == 0
+    out = run("alarms", "--start", "2024-03-01 00:00:00", "--end", "2024-03-02 00:00:00")[1]
+    assert "stale-results" in out and "ALARM" in out
+    quiet = run(
+        "alarms", "--start", "2024-03-01 00:00:00", "--end", "2024-03-02 00:00:00", "--staleness-seconds", ""
+    )[1]
+    assert "ALARM" not in quiet and "check-failed" in quiet
+    assert "payload.colour" in run("drift", *DATE)[1]
+
+
 def test_landing_and_incremental_curation(spark, lake, run, tmp_path):
     source = tmp_path / "incoming"
     source.mkdir()
