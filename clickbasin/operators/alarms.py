@@ -89,8 +89,9 @@ def alarm_states(
 
     Periods cover ``[start, end)`` and begin at multiples of their length since
     the epoch, so days are UTC days. ``jobs`` names the jobs to judge, also those
-    that never reported; by default it is every job in ``points``. A period without data follows the alarm's missing-data rule; ``ignore``
-    keeps the state before it.
+    that never reported; by default it is every job in ``points``. A period
+    without data follows the alarm's missing-data rule; ``ignore`` keeps the
+    state before it.
     """
     first, last = F.unix_timestamp(clock(start)), F.unix_timestamp(clock(end))
     length = F.col("period_seconds")

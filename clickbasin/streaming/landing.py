@@ -71,7 +71,8 @@ def with_route(lines: DataFrame, arrival: Column | None = None) -> DataFrame:
     key = F.col("_key.event_type")
     return (
         lines.where(~is_blank(F.col("value")))
-        .select("value", decode(F.col("value"), _KEY).alias("_key"))
+        # Generated, so that the filters on the route do not parse the line again.
+        .select("value", F.explode(F.array(decode(F.col("value"), _KEY))).alias("_key"))
         .select(
             "value",
             F.nullif(key, F.lit("")).alias("event_type"),

@@ -76,10 +76,8 @@ def test_filters_and_columns_reach_the_scan(stored):
 
 
 def test_arrival_filter_compares_whole_dates(spark):
-    days = [("2023", "12", "31"), ("2024", "02", "10"), ("2024", "03", "09"), ("2024", "03", "10"), ("2025", "01", "01")]
-    rows = [
-        row(i, year=y, month=m, day=d) for i, (y, m, d) in enumerate(days)
-    ]
+    days = ["2023-12-31", "2024-02-10", "2024-03-09", "2024-03-10", "2025-01-01"]
+    rows = [row(i, year=text[:4], month=text[5:7], day=text[8:]) for i, text in enumerate(days)]
     frame = table(spark, rows).selectExpr(
         "event_id", "TIMESTAMP '2024-03-12 00:00:00' AS event_ts", "event_type", "year", "month", "day"
     )
