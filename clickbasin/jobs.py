@@ -1,6 +1,6 @@
 """Command line of the jobs, for ``spark-submit``.
 
-    spark-submit clickbasin/jobs.py daily --lake s3a://my-lake --process-date 2024-03-05
+    PYTHONPATH=/path/to/repository spark-submit clickbasin/jobs.py daily --lake s3a://my-lake
 
 Parameters are text, as a scheduler hands them over: blank means "not set".
 """

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickbasin.functions.dates import IngestDay
 from clickbasin.plans.paths import LakePaths
 from clickbasin.schemas import CURATED, PARTITION_KEYS, RAW
-from clickbasin.sources.storage import day_glob, folder_event_type, glob
+from clickbasin.sources.storage import NULL_PARTITION, day_glob, folder_event_type, glob
 
 TABLE = "events"
 
@@ -43,20 +43,29 @@ def register_all(spark: SparkSession, table: str) -> None:
 
 
 def register_day(spark: SparkSession, table: str, root: str, day: IngestDay) -> int:
-    """Register one day's partitions, listing that day's folders only.
+    """Bring one day's registered partitions in line with that day's folders.
 
-    The table's columns are left as declared, whatever the files contain.
-    Returns the number of partitions the day has.
+    New folders are added, partitions whose folder a rerun removed are dropped;
+    the table's columns stay as declared, whatever the files contain. Only that
+    day is listed. Returns the number of partitions the day has.
     """
-    folders = glob(spark, day_glob(root, day))
-    if folders:
-        specs = " ".join(
-            f"PARTITION (event_type = {_literal(folder_event_type(folder))}, year = '{day.year}',"
-            f" month = '{day.month}', day = '{day.day}') LOCATION {_literal(folder)}"
-            for folder in folders
-        )
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
-        spark.catalog.refreshTable(table)
+    folders = {folder_event_type(folder): folder for folder in glob(spark, day_glob(root, day))}
+    date = f"year = '{day.year}', month = '{day.month}', day = '{day.day}'"
+    registered = {
+        folder_event_type(row["partition"])
+        for row in spark.sql(f"SHOW PARTITIONS {table} PARTITION ({date})").collect()
+    }
+    added = [
+        f"PARTITION (event_type = {_literal(kind)}, {date}) LOCATION {_literal(folder)}"
+        for kind, folder in folders.items()
+        if kind not in registered
+    ]
+    gone = [f"PARTITION (event_type = {_literal(kind)}, {date})" for kind in registered - folders.keys()]
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone)}")
+    spark.catalog.refreshTable(table)
     return len(folders)
 
 
@@ -67,8 +76,13 @@ def _literal(text: str | None) -> str:
 
 
 def partitions(spark: SparkSession, table: str) -> DataFrame:
-    """The registered partitions, one column per key."""
+    """The registered partitions, one column per key, with their real values."""
+
+    def value(key: str) -> Column:
+        text = F.regexp_extract("partition", rf"(?:^|/){key}=([^/]*)", 1)
+        # Folder names escape special characters as %XX; a plus sign is itself.
+        plain = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+        return F.when(text != NULL_PARTITION, plain)
+
     spec = spark.sql(f"SHOW PARTITIONS {table}")
-    return spec.select(
-        *[F.regexp_extract("partition", rf"{key}=([^/]*)", 1).alias(key) for key in PARTITION_KEYS]
-    )
+    return spec.select(*[value(key).alias(key) for key in PARTITION_KEYS])

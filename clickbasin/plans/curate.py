@@ -72,8 +72,10 @@ def write_curated(curated: DataFrame, path: str) -> None:
 
 
 def write_quarantine(rows: DataFrame, path: str) -> None:
+    """Replace the partitions ``rows`` produces. A few rows of every task make a few files."""
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", "event_type")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_KEYS)
         .json(path)

@@ -113,3 +113,14 @@ def test_hot_event_type_is_split_over_files(spark, lake, drop_lines):
         for name in sizes:
             spark.conf.unset(f"spark.sql.adaptive.{name}")
     assert len(glob.glob(f"{lake.curated}/event_type=search/**/*.parquet", recursive=True)) > 1
+
+
+def test_scattered_rejects_make_few_files(spark, lake, drop_lines):
+    for part in range(12):
+        drop_lines(lake.raw, "search", [event(f"{part}"), event(None)], name=f"part-{part}")
+    spark.conf.set("spark.sql.files.openCostInBytes", "512m")  # a task per file
+    try:
+        assert run(spark, lake) == CurateOutcome(24, 12, 12)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(glob.glob(f"{lake.quarantine}/**/*.json", recursive=True)) == 1

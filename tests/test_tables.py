@@ -59,6 +59,23 @@ def test_curated_table_reads_what_the_job_wrote(spark, lake, names, drop_lines):
     assert spark.table(curated).count() == 2
 
 
+def test_partitions_that_vanished_are_unregistered(spark, lake, names, drop_lines):
+    curated = f"{names['curated']}.events"
+    for kind, name in (("search", "1"), ("__HIVE_DEFAULT_PARTITION__", "2"), ("a%3A'b", "3")):
+        drop_lines(lake.raw, kind, [event(name)])
+    curate_day(spark, lake, DAY)
+    assert catalog.register_day(spark, curated, lake.curated, DAY) == 3
+    assert spark.table(curated).count() == 3
+    listed = catalog.partitions(spark, curated).select("event_type", "day").collect()
+    assert {tuple(r) for r in listed} == {("search", "05"), (None, "05"), ("a:'b", "05")}
+    drop_lines(lake.raw, "__HIVE_DEFAULT_PARTITION__", [])
+    drop_lines(lake.raw, "a%3A'b", [])
+    curate_day(spark, lake, DAY)
+    assert catalog.register_day(spark, curated, lake.curated, DAY) == 1
+    assert spark.table(curated).count() == 1
+    assert catalog.partitions(spark, curated).count() == 1
+
+
 # Drift -----------------------------------------------------------------------
 
 
