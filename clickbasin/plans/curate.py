@@ -53,16 +53,18 @@ def row_counts(raw: DataFrame) -> DataFrame:
     )
 
 
-def write_curated(curated: DataFrame, path: str) -> None:
+def write_curated(curated: DataFrame, path: str, *, size_files: bool = True) -> None:
     """Replace the partitions ``curated`` produces.
 
-    The rebalance sizes files to the advisory partition size and splits an event
-    type that outgrows it over several tasks. Ordering by event time within the
-    order the writer needs anyway gives the row groups narrow time ranges.
+    ``size_files`` rebalances by event type: files come out at the advisory
+    partition size, a type that outgrows it is split over several tasks, and a
+    rare type does not leave a file per task. It costs a shuffle of the rows.
+    Ordering by event time within the order the writer needs anyway gives the
+    row groups narrow time ranges.
     """
+    rows = curated.hint("rebalance", "event_type") if size_files else curated
     (
-        curated.hint("rebalance", "event_type")
-        .sortWithinPartitions(*PARTITION_KEYS, "event_ts")
+        rows.sortWithinPartitions(*PARTITION_KEYS, "event_ts")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -92,6 +94,7 @@ def curate_day(
     parquet: bool = False,
     raw: DataFrame | None = None,
     keep_decoded: bool = True,
+    size_files: bool = True,
 ) -> CurateOutcome:
     """Recompute one ingest day from raw; running it again changes nothing.
 
@@ -101,6 +104,7 @@ def curate_day(
     and the two writes, because decompressing and parsing JSON is the dear part;
     ``keep_decoded=False`` reads it again instead, for a backfill larger than
     the executors' disks. Lost blocks are recomputed from the raw files.
+    ``size_files`` is explained at ``write_curated``.
     """
     pin(spark)
     if raw is None:
@@ -127,7 +131,9 @@ def curate_day(
         if valid == 0:
             return CurateOutcome(quarantined, 0, quarantined)
         curated = latest_per_event(accepted(judged, stamp))
-        replace_day(spark, lake.curated, day, lambda: write_curated(curated, lake.curated))
+        replace_day(
+            spark, lake.curated, day, lambda: write_curated(curated, lake.curated, size_files=size_files)
+        )
     finally:
         if keep_decoded:
             judged.unpersist()

@@ -41,7 +41,11 @@ def test_every_query_has_its_sql():
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, duck, name):
-    found = contract.queries()[name](spark, SF_DIR).toPandas()
+    frame = contract.queries()[name](spark, SF_DIR)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert "Python" not in plan and "Pandas" not in plan
+    found = frame.toPandas()
     assert len(found) > 0
     if name not in ROWS_ONLY:
         assert rows_of(found) == rows_of(duck.execute(contract.oracle_sql()[name]).df())

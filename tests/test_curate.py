@@ -44,6 +44,8 @@ def test_run_twice_gives_the_same(spark, lake, drop_lines):
     before = contents(spark, lake.curated)
     assert run(spark, lake, keep_decoded=False) == first
     assert contents(spark, lake.curated) == before
+    assert run(spark, lake, size_files=False) == first
+    assert contents(spark, lake.curated) == before
     assert spark.read.json(lake.quarantine).count() == 1
 
 

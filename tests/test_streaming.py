@@ -5,6 +5,7 @@ import time
 
 import pytest
 from conftest import STAMP, event
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from clickbasin.functions.dates import IngestDay, ingest_day
@@ -12,6 +13,7 @@ from clickbasin.plans.curate import curate_day
 from clickbasin.schemas import RAW
 from clickbasin.sources.curated import read_curated
 from clickbasin.sources.raw import read_raw_day
+from clickbasin.streaming import landing
 from clickbasin.streaming.incremental import curate_new_days
 from clickbasin.streaming.landing import Buffering, batch_writer, line_stream, start_landing, with_route
 
@@ -90,6 +92,28 @@ def test_batch_run_again_after_a_crash_does_not_duplicate(spark, lake):
     assert lines_below(lake.errors) == sorted(BAD * 2)
 
 
+def test_stream_that_died_between_its_writes_resumes_without_duplicates(
+    spark, feed, lake, tmp_path, monkeypatch
+):
+    feed("a.json", GOOD + BAD)
+    write = landing._write_lines
+
+    def die_on_errors(rows, path, keys, prefix):
+        if path == lake.errors:
+            raise OSError("lost")
+        write(rows, path, keys, prefix)
+
+    monkeypatch.setattr(landing, "_write_lines", die_on_errors)
+    with pytest.raises(StreamingQueryException):
+        drain(spark, feed, lake, tmp_path)
+    assert lines_below(lake.raw) == sorted(GOOD) and lines_below(lake.errors) == []
+    monkeypatch.undo()
+    feed("b.json", [typed("login", "8")])
+    drain(spark, feed, lake, tmp_path)
+    assert lines_below(lake.raw) == sorted([*GOOD, typed("login", "8")])
+    assert lines_below(lake.errors) == sorted(BAD)
+
+
 def test_running_stream_lands_what_arrives_between_triggers(spark, feed, lake, tmp_path):
     feed("a.json", GOOD)
     query = start_landing(line_stream(spark, feed.folder), lake, str(tmp_path / "c"), arrival=stamp())
