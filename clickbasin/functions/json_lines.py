@@ -16,11 +16,11 @@ _KEYS = [*RAW_DATA.fieldNames(), *PAYLOAD.fieldNames()]
 def fold_declared_keys(line: Column) -> Column:
     """Lower the declared key names of a line, leaving every value as it is.
 
-    A quote inside a JSON string is escaped, so ``"name":`` with bare quotes can
-    only be a key.
+    Quotes inside a JSON string are escaped, so ``"name":`` can only be the end of
+    a key.
     """
     for key in _KEYS:
-        line = F.regexp_replace(line, rf'(?<!\\)"(?i:{key})"(\s*:)', rf'"{key}"$1')
+        line = F.regexp_replace(line, rf'"(?i:{key})"(\s*:)', rf'"{key}"$1')
     return line
 
 

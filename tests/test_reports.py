@@ -1,6 +1,7 @@
 import pytest
 
 from clickbasin.functions.dates import ingest_day
+from clickbasin.operators import ranking
 from clickbasin.plans import dashboard, query_results, reports
 from clickbasin.plans.curate import write_curated
 from clickbasin.schemas import CURATED
@@ -101,6 +102,13 @@ def test_real_category_named_other_and_null_stay_apart(spark):
         dashboard.events_by_type(table(spark, rows), 0)
 
 
+def test_many_leaders_are_joined_without_a_broadcast_hint(spark, monkeypatch):
+    rows = [row(f"{t}-{i}", f"t{t}") for t in range(6) for i in range(6 - t)]
+    expected = [tuple(r) for r in dashboard.events_by_type(table(spark, rows), 4).collect()]
+    monkeypatch.setattr(ranking, "MAX_BROADCAST_LEADERS", 3)
+    assert [tuple(r) for r in dashboard.events_by_type(table(spark, rows), 4).collect()] == expected
+
+
 def test_kpis_ignore_null_ids_and_sum_every_type(spark):
     frame = table(spark, [row(1, value=2.0), row(2, "purchase", value=3.0), row(None, value=None)])
     with_null = frame.selectExpr("IF(event_id = 'None', NULL, event_id) AS event_id", "value")
