@@ -101,20 +101,16 @@ def json_drift(lines: DataFrame, declared: T.StructType) -> DataFrame:
                 for inner in field.dataType
             ]
     declared_rows = small_frame(lines.sparkSession, wanted, "_column string, _fitting array<string>")
-    known = seen.join(declared_rows, F.col("column") == F.col("_column"), "left").select(
-        "column",
-        "json_type",
+    # One join for both sides, so that the lines are scanned once.
+    compared = seen.join(declared_rows, F.col("column") == F.col("_column"), "full_outer")
+    change = (
         F.when(F.col("_column").isNull(), ADDED)
+        .when(F.col("column").isNull(), MISSING)
         .when(~F.array_contains("_fitting", F.col("json_type")), TYPE_CHANGED)
-        .alias("change"),
-        "rows",
-    )
-    absent = declared_rows.join(
-        seen.select(F.col("column").alias("_seen")).distinct(), F.col("_column") == F.col("_seen"), "left_anti"
-    ).select(
-        F.col("_column").alias("column"),
-        F.lit(None).cast("string").alias("json_type"),
-        F.lit(MISSING).alias("change"),
-        F.lit(0).cast("long").alias("rows"),
     )
-    return known.where(F.col("change").isNotNull()).unionByName(absent)
+    return compared.select(
+        F.coalesce("column", "_column").alias("column"),
+        "json_type",
+        change.alias("change"),
+        F.coalesce("rows", F.lit(0)).alias("rows"),
+    ).where(F.col("change").isNotNull())

@@ -96,10 +96,14 @@ def _gather(rows: DataFrame, key: str) -> DataFrame:
     """Bring rows of one folder together, so that a batch of n tasks writes about n files.
 
     Left alone, every task would write a file per event type. Ranges are cut from
-    a sample, and the hash lets them cut through a type that fills many of them.
+    a sample; the row number lets them cut through a type that fills many of
+    them, even when its lines are copies of each other.
     """
     tasks = rows.rdd.getNumPartitions()
-    return rows if tasks == 1 else rows.repartitionByRange(tasks, key, F.xxhash64("value"))
+    if tasks == 1:
+        return rows
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.repartitionByRange(tasks, key, "_row").drop("_row")
 
 
 def _write_lines(rows: DataFrame, path: str, keys: list[str], prefix: str) -> None:

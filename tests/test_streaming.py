@@ -128,8 +128,8 @@ def test_running_stream_lands_what_arrives_between_triggers(spark, feed, lake, t
 
 
 def test_big_batch_writes_about_a_file_per_task(spark, lake):
-    # Two thirds of the lines are of one type.
-    lines = [typed("search" if n % 3 else f"t{n % 4}", str(n)) for n in range(600)]
+    # Two thirds of the lines are of one type, and copies of one line at that.
+    lines = [typed("search", "same") if n % 3 else typed(f"t{n % 4}", str(n)) for n in range(600)]
     frame = spark.createDataFrame([(line,) for line in lines], "value string").repartition(8)
     batch_writer(lake)(with_route(frame, stamp()), 0)
     assert lines_below(lake.raw) == sorted(lines)
