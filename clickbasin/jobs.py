@@ -124,6 +124,9 @@ def _parser() -> argparse.ArgumentParser:
     report = job("report", "compute a saved report and keep its result", dated=False)
     report.add_argument("--name", required=True, choices=sorted([*REPORTS, MONTHLY]))
     report.add_argument("--month", default="", help=f"YYYY-MM, for {MONTHLY}")
+    report.add_argument(
+        "--table", default="", help="catalogued curated table, whose pruned partitions alone are listed"
+    )
     report.add_argument("--audience", default="engineer", choices=sorted(AUDIENCES))
     report.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     report.add_argument("--scan-cap-bytes", default="", help="refuse to scan more; blank: no cap")
@@ -140,7 +143,7 @@ def _rules(options: argparse.Namespace) -> QualityRules:
 
 
 def _report(spark: SparkSession, lake: LakePaths, options: argparse.Namespace) -> str:
-    curated = read_curated(spark, lake.curated)
+    curated = spark.table(options.table) if options.table else read_curated(spark, lake.curated)
     if curated is None:
         raise FileNotFoundError(lake.curated)
     names = database_names("lake", "default")

@@ -28,9 +28,13 @@ def _create(spark: SparkSession, name: str, schema: T.StructType, how: str, path
 
 
 def create_tables(spark: SparkSession, names: dict[str, str], lake: LakePaths) -> None:
-    """Declare the three databases and the raw and curated external tables."""
-    for layer, database in names.items():
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake.root}/{layer}'")
+    """Declare the three databases and the raw and curated external tables.
+
+    Dropping a database deletes its folder, so the databases get folders apart
+    from the data, which outlives them.
+    """
+    for database in names.values():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake.catalog}/{database}'")
     _create(spark, f"{names['raw']}.{TABLE}", RAW, "json OPTIONS (mode 'PERMISSIVE')", lake.raw)
     _create(
         spark, f"{names['curated']}.{TABLE}", CURATED, "parquet OPTIONS (compression 'snappy')", lake.curated

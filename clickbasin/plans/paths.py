@@ -43,3 +43,8 @@ class LakePaths:
     @property
     def query_results(self) -> str:
         return self._under("query-results")
+
+    @property
+    def catalog(self) -> str:
+        """Empty folders of the databases; the tables are external."""
+        return self._under("catalog")

@@ -44,7 +44,11 @@ def test_day_from_the_command_line(spark, lake, drop_lines, run):
 
 def test_reports_alarms_and_drift(spark, lake, drop_lines, run):
     drop_lines(lake.raw, "purchase", [event("1", country="US", value=2.0, colour="red")])
-    run("daily", *DATE)
+    run("daily", *DATE, "--project", "job", "--environment", "report")
+    counts = run("report", "--name", "daily_event_counts", "--table", "job_report_curated.events")[1].strip()
+    assert spark.read.parquet(counts).first()["events"] == 1
+    for layer in ("raw", "staging", "curated"):
+        spark.sql(f"DROP DATABASE job_report_{layer} CASCADE")
     monthly = ["--name", "revenue_by_type_country", "--month", "2024-03", "--audience", "analyst"]
     path = run("report", *monthly)[1].strip()
     assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("purchase", "US", 2.0)]

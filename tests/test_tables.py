@@ -59,6 +59,18 @@ def test_curated_table_reads_what_the_job_wrote(spark, lake, names, drop_lines):
     assert spark.table(curated).count() == 2
 
 
+def test_dropping_a_database_keeps_the_data(spark, lake, drop_lines):
+    drop_lines(lake.raw, "search", [event("1")])
+    found = catalog.database_names("dropped", "test")
+    catalog.create_tables(spark, found, lake)
+    curate_day(spark, lake, DAY)
+    catalog.register_day(spark, f"{found['curated']}.events", lake.curated, DAY)
+    for database in found.values():
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    assert read_curated(spark, lake.curated).count() == 1
+    assert curate_day(spark, lake, DAY).raw_rows == 1
+
+
 def test_partitions_that_vanished_are_unregistered(spark, lake, names, drop_lines):
     curated = f"{names['curated']}.events"
     for kind, name in (("search", "1"), ("__HIVE_DEFAULT_PARTITION__", "2"), ("a%3A'b", "3")):
