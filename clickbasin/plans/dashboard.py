@@ -9,7 +9,7 @@ from clickbasin.functions.dates import IngestDay
 from clickbasin.operators.ranking import top_n_and_other
 from clickbasin.schemas import CURATED, PARTITION_KEYS
 from clickbasin.sources.curated import read_curated, read_curated_day
-from clickbasin.sources.storage import exists, replace_day
+from clickbasin.sources.storage import ALL_DAYS, day_glob, exists, replace_partitions
 
 # Fixed value: bars shown before the remainder is folded.
 CATEGORY_LIMIT = 20
@@ -49,11 +49,11 @@ def daily_event_volume(dataset: DataFrame) -> DataFrame:
     )
 
 
-def _write(dataset: DataFrame, path: str, overwrite_mode: str) -> None:
+def _write(dataset: DataFrame, path: str) -> None:
     """A plain copy: the curated files are well sized already, so nothing is shuffled."""
     (
         dataset.write.mode("overwrite")
-        .option("partitionOverwriteMode", overwrite_mode)
+        .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(*PARTITION_KEYS)
         .parquet(path)
@@ -67,20 +67,15 @@ def refresh_dataset(
 
     Without ``day`` everything is rebuilt. With ``day`` only that day's
     partitions are replaced, which gives the same table when no other day
-    changed and does not copy the whole history every night.
+    changed and does not copy the whole history every night. Either way the
+    dataset stays readable until its new files are complete.
     """
-    if day is None or not exists(spark, dataset_root):
-        curated = read_curated(spark, curated_root)
-        if curated is None:
-            return False
-        _write(bi_dataset(curated), dataset_root, "static")
-        return True
-    curated = read_curated_day(spark, curated_root, day)
+    whole = day is None or not exists(spark, dataset_root)
+    curated = read_curated(spark, curated_root) if whole else read_curated_day(spark, curated_root, day)
     if curated is None:
         return False
-    replace_day(
-        spark, dataset_root, day, lambda: _write(bi_dataset(curated), dataset_root, "dynamic")
-    )
+    pattern = f"{dataset_root.rstrip('/')}/{ALL_DAYS}" if whole else day_glob(dataset_root, day)
+    replace_partitions(spark, pattern, lambda: _write(bi_dataset(curated), dataset_root))
     return True
 
 

@@ -42,6 +42,9 @@ def any_file(spark: SparkSession, folder: str) -> str | None:
     return listing.next().getPath().toString() if listing.hasNext() else None
 
 
+ALL_DAYS = "event_type=*/year=*/month=*/day=*"
+
+
 def day_glob(root: str, day: IngestDay) -> str:
     return f"{root.rstrip('/')}/event_type=*/{day.folder()}"
 
@@ -53,14 +56,19 @@ def folder_event_type(folder: str) -> str | None:
     return None if value == NULL_PARTITION else value
 
 
-def replace_day(spark: SparkSession, root: str, day: IngestDay, write: Callable[[], None]) -> None:
-    """Run a dynamic-overwrite ``write`` so that the day holds its output only.
+def replace_partitions(spark: SparkSession, pattern: str, write: Callable[[], None]) -> None:
+    """Run a dynamic-overwrite ``write`` so that the folders behind ``pattern`` hold its output only.
 
     Dynamic overwrite leaves alone the partitions it produces no row for. A
     partition that still has a file from before the write is such a leftover.
+    Nothing is removed when the write fails.
     """
-    before = {folder: any_file(spark, folder) for folder in glob(spark, day_glob(root, day))}
+    before = {folder: any_file(spark, folder) for folder in glob(spark, pattern)}
     write()
     for folder, file in before.items():
         if any_file(spark, folder) is None if file is None else exists(spark, file):
             delete(spark, folder)
+
+
+def replace_day(spark: SparkSession, root: str, day: IngestDay, write: Callable[[], None]) -> None:
+    replace_partitions(spark, day_glob(root, day), write)

@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 
 from clickbasin.functions.dates import ingest_day
@@ -130,8 +132,11 @@ def test_dataset_refresh_full_and_by_day(spark, tmp_path):
     assert dashboard.refresh_dataset(spark, curated, dataset)
     assert by_day == sorted(r["event_id"] for r in spark.read.parquet(dataset).collect())
     assert by_day == ["1", "2", "3", "4", "5"]
+    shutil.rmtree(f"{curated}/event_type=search/year=2024/month=03/day=06")
+    assert dashboard.refresh_dataset(spark, curated, dataset)
+    assert spark.read.parquet(dataset).count() == 4
     dashboard.dataset_view(spark, curated, "bi_direct")
-    assert spark.table("bi_direct").count() == 5
+    assert spark.table("bi_direct").count() == 4
 
 
 def test_exports(spark, tmp_path, lake):
