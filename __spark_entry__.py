@@ -9,6 +9,7 @@ fault it was given, not by parsing it).
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -217,7 +218,31 @@ def _daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("position", "step", "status", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
+def _training_data():
+    """The queries for training data, where that part of the library and its pipeline are present."""
+    if importlib.util.find_spec("clickbasin.llm") is None:
+        return None
+    from clickbasin.llm import entries
+
+    return entries
+
+
 def queries() -> dict[str, Query]:
+    found = core_queries()
+    if more := _training_data():
+        found |= more.queries()
+        if importlib.util.find_spec("corpus_pipeline") is not None:
+            import corpus_pipeline
+
+            found["pipeline"] = corpus_pipeline.run
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    return core_oracle_sql() | (more.oracle_sql() if (more := _training_data()) else {})
+
+
+def core_queries() -> dict[str, Query]:
     return {
         "raw_day_scan": _raw_day_scan,
         "raw_decode": _raw_decode,
@@ -496,7 +521,7 @@ SELECT job_name, alarm, period_start, datapoints, value,
 FROM own"""
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     strict = _results_sql(STRICT)
     result_columns = (
         'year, month, day, "check", check_level, check_status, "constraint", constraint_status,'

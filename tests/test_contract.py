@@ -35,20 +35,20 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
-    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(contract.core_queries()) - set(contract.core_oracle_sql()) == ROWS_ONLY
+    assert set(contract.core_oracle_sql()) <= set(contract.core_queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.core_queries()))
 def test_query(spark, duck, name):
-    frame = contract.queries()[name](spark, SF_DIR)
+    frame = contract.core_queries()[name](spark, SF_DIR)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "Python" not in plan and "Pandas" not in plan
     found = frame.toPandas()
     assert len(found) > 0
     if name not in ROWS_ONLY:
-        assert rows_of(found) == rows_of(duck.execute(contract.oracle_sql()[name]).df())
+        assert rows_of(found) == rows_of(duck.execute(contract.core_oracle_sql()[name]).df())
 
 
 def test_entry(spark):
