@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickbasin.llm import quality_cnn, toxicity
+from clickbasin.llm import pii, quality_cnn, toxicity
 from clickbasin.llm.support import fold, labelled_sample, table
 
 # Folds and threshold of the two scoring queries.
@@ -42,10 +42,24 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, lambda text: quality_cnn.quality(net, text), QUALITY_FOLDS, QUALITY_HELD_OUT)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document; see ``pii``."""
+    rows = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = pii.of_kinds(F.col("spans"), pii.BASE)
+    return rows.select(
+        "doc_id",
+        *[F.size(pii.of_kinds(F.col("spans"), (kind,))).cast("long").alias(f"n_{kind.name}") for kind in pii.BASE],
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op5_quality": op5_quality,
+        "op10_pii": op10_pii,
     }
 
 
