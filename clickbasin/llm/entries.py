@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickbasin.llm import pii, quality_cnn, toxicity
+import public_tokenizers
+
+from clickbasin.llm import ngram_join, packing, pii, quality_cnn, toxicity
 from clickbasin.llm.support import fold, labelled_sample, table
 
 # Folds and threshold of the two scoring queries.
@@ -42,6 +44,17 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, lambda text: quality_cnn.quality(net, text), QUALITY_FOLDS, QUALITY_HELD_OUT)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as sequences of tokens; see ``packing``."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document; see ``ngram_join``."""
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document; see ``pii``."""
     rows = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -58,7 +71,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_packing": op2_packing,
         "op5_quality": op5_quality,
+        "op6_ngram_join": op6_ngram_join,
         "op10_pii": op10_pii,
     }
 

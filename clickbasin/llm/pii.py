@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickbasin.llm.support import free_name
+
 Check = Callable[[Column], Column]
 
 
@@ -189,17 +191,10 @@ def _score(kind: Kind, before: Column, after: Column) -> Column:
     return F.least(F.lit(1.0), F.round(score, 2))
 
 
-def _inner(column: str, taken: list[str]) -> str:
-    """A working column's name that no column of the table has."""
-    while column in taken:
-        column += "_"
-    return column
-
-
 def _of_one_kind(frame: DataFrame, kind: Kind, whole: Column, held: str) -> DataFrame:
     """Adds ``held``: the confirmed spans of one kind, null where the pattern is not found."""
     taken = [*frame.columns, held]
-    match_name, gap_name, start_name = (_inner(f"_{kind.name}_{part}", taken) for part in ("match", "gap", "start"))
+    match_name, gap_name, start_name = (free_name(f"_{kind.name}_{part}", taken) for part in ("match", "gap", "start"))
     match, gap, start = F.col(match_name), F.col(gap_name), F.col(start_name)
     some = F.size(match) > 0
     found = F.regexp_extract_all(whole, F.lit(kind.pattern), F.lit(0))
@@ -234,7 +229,7 @@ def with_spans(frame: DataFrame, text: str = "text", out: str = "spans") -> Data
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     found = []
     for kind in KINDS:
-        found.append(_inner(f"_{kind.name}_spans", [*frame.columns, out]))
+        found.append(free_name(f"_{kind.name}_spans", [*frame.columns, out]))
         frame = _of_one_kind(frame, kind, whole, found[-1])
     none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,score:double>>")
     return frame.withColumn(out, F.concat(*[F.coalesce(F.col(held), none) for held in found])).drop(*found)
@@ -261,7 +256,7 @@ def masked(frame: DataFrame, text: str = "text", certain: float = CERTAIN) -> Da
     names = list(columns)
 
     def inner(part: str) -> str:
-        names.append(_inner(f"_mask_{part}", names))
+        names.append(free_name(f"_mask_{part}", names))
         return names[-1]
 
     spans, ends, first, groups, blocks = (inner(x) for x in ("spans", "ends", "first", "groups", "blocks"))

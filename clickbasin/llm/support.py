@@ -70,3 +70,11 @@ def per_worker(key: object, make: Callable[[], object]) -> object:
     if key not in held:
         held[key] = make()
     return held[key]
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, or a longer one, that no column is called, in any case."""
+    lower = {column.lower() for column in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
