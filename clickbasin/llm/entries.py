@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from clickbasin.llm import ngram_join, packing, pii, quality_cnn, toxicity
+from clickbasin.llm import html_extract, ngram_join, packing, pii, quality_cnn, toxicity
 from clickbasin.llm.support import fold, labelled_sample, table
 
 # Folds and threshold of the two scoring queries.
@@ -36,6 +36,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, lambda text: toxicity.toxicity(lexicon, text), TOXIC_FOLDS, TOXIC_HELD_OUT)
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page; see ``html_extract``."""
+    pages = table(spark, sf_dir, "pages")
+    extractor = html_extract.train(pages)
+    rows = pages.select("page_id", "url", html_extract.main_text(extractor, F.col("html")).alias("text"))
+    return rows.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; see ``quality_cnn``."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -72,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_packing": op2_packing,
+        "op4_html": op4_html,
         "op5_quality": op5_quality,
         "op6_ngram_join": op6_ngram_join,
         "op10_pii": op10_pii,
