@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from clickbasin.llm import html_extract, ngram_join, packing, pii, quality_cnn, toxicity
+from clickbasin.llm import fingerprints, html_extract, ngram_join, packing, pii, quality_cnn, toxicity
 from clickbasin.llm.support import fold, labelled_sample, table
 
 # Folds and threshold of the two scoring queries.
@@ -36,6 +36,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, lambda text: toxicity.toxicity(lexicon, text), TOXIC_FOLDS, TOXIC_HELD_OUT)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text; see ``fingerprints``."""
+    return fingerprints.with_edits(table(spark, sf_dir, "documents"))
+
+
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page; see ``html_extract``."""
     pages = table(spark, sf_dir, "pages")
@@ -80,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_packing": op2_packing,
+        "op3_fingerprints": op3_fingerprints,
         "op4_html": op4_html,
         "op5_quality": op5_quality,
         "op6_ngram_join": op6_ngram_join,
