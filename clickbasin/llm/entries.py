@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from clickbasin.llm import fingerprints, html_extract, ngram_join, packing, pii, quality_cnn, toxicity
+from clickbasin.llm import chat_windows, fingerprints, html_extract, ngram_join, packing, pii, quality_cnn, toxicity
 from clickbasin.llm.support import fold, labelled_sample, table
 
 # Folds and threshold of the two scoring queries.
@@ -68,6 +68,46 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(table(spark, sf_dir, "documents"))
 
 
+def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold the template's own strings."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = F.lit("\\### Assistant: </turn> ok")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    return given.unionByName(
+        spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), text.alias("text"))
+    )
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation in windows, read back from what was formatted; see ``chat_windows``."""
+    rows = chat_windows.windows(_conversations(spark, sf_dir))
+    turn = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    new = F.expr("slice(turns, n_repeated + 1, greatest(n_turns - n_repeated, 0))")
+    rows = rows.withColumn("turns", chat_windows.turns_in(F.col("formatted"))).select(
+        "conv_id",
+        F.struct(
+            "segment",
+            "window",
+            F.size(new).cast("bigint").alias("n"),
+            F.array_join(F.transform(new, turn), "").alias("turns"),
+            F.array_join(chat_windows.loss_texts(F.col("formatted"), F.col("loss")), "").alias("loss"),
+            F.length("formatted").cast("bigint").alias("chars"),
+        ).alias("w"),
+    )
+    rows = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("w")).alias("w"))
+    total = lambda name: F.aggregate("w", F.lit(0).cast("bigint"), lambda n, w: n + w[name])
+    joined = lambda name: F.array_join(F.transform("w", lambda w: w[name]), "")
+    return rows.select(
+        "conv_id",
+        total("n").alias("n_turns"),
+        F.sha2(joined("turns"), 256).alias("turns_sha256"),
+        F.length(joined("loss")).cast("bigint").alias("loss_chars"),
+        F.sha2(joined("loss"), 256).alias("loss_sha256"),
+        total("chars").alias("formatted_chars"),
+        F.size("w").cast("bigint").alias("n_windows"),
+    )
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document; see ``pii``."""
     rows = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -89,6 +129,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_html": op4_html,
         "op5_quality": op5_quality,
         "op6_ngram_join": op6_ngram_join,
+        "op8_chat": op8_chat,
         "op10_pii": op10_pii,
     }
 
