@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
-from clickbasin.llm import chat_windows, fingerprints, html_extract, ngram_join, packing, pii, quality_cnn, toxicity
+from clickbasin.llm import (
+    chat_windows,
+    fingerprints,
+    html_extract,
+    nearest,
+    ngram_join,
+    packing,
+    pii,
+    quality_cnn,
+    toxicity,
+)
 from clickbasin.llm.support import fold, labelled_sample, table
 
 # Folds and threshold of the two scoring queries.
@@ -68,6 +77,11 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(table(spark, sf_dir, "documents"))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest vectors of every twentieth vector; see ``nearest``."""
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold the template's own strings."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -129,6 +143,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_html": op4_html,
         "op5_quality": op5_quality,
         "op6_ngram_join": op6_ngram_join,
+        "op7_nearest": op7_nearest,
         "op8_chat": op8_chat,
         "op10_pii": op10_pii,
     }
