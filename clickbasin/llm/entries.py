@@ -18,6 +18,7 @@ from clickbasin.llm import (
     pii,
     quality_cnn,
     toxicity,
+    unigram,
 )
 from clickbasin.llm.support import fold, labelled_sample, table
 
@@ -122,6 +123,22 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as pieces, and whether they decode to it again; see ``unigram``."""
+    docs = table(spark, sf_dir, "documents")
+    shared = spark.sparkContext.broadcast(unigram.encoder(public_tokenizers.path("piece_bpe_32k.model")))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("ids", unigram.pieces(shared, F.col("text")))
+    rows = rows.withColumn("decoded", unigram.decoded(shared, F.col("ids")))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.col("text")).alias("round_trip"),
+    )
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document; see ``pii``."""
     rows = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -145,6 +162,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_ngram_join": op6_ngram_join,
         "op7_nearest": op7_nearest,
         "op8_chat": op8_chat,
+        "op9_pieces": op9_pieces,
         "op10_pii": op10_pii,
     }
 
