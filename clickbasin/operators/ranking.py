@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The leaders are at most n short rows; above this many they are not broadcast.
-MAX_BROADCAST_LEADERS = 10_000
-
 
 def top_n_and_other(
     counts: DataFrame, category: str, measure: str, n: int, other_label: str = "other"
@@ -23,8 +20,6 @@ def top_n_and_other(
         counts.orderBy(F.desc(measure), F.asc(category)).limit(n).select(F.col(category).alias("_leader"),
                                                                         F.lit(True).alias("_kept"))
     )
-    if n <= MAX_BROADCAST_LEADERS:
-        leaders = F.broadcast(leaders)
     marked = counts.join(leaders, F.col(category).eqNullSafe(F.col("_leader")), "left")
     folded = F.col("_kept").isNull()
     return (

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickbasin.functions.dates import IngestDay
+from clickbasin.operators.money import total
 from clickbasin.operators.ranking import top_n_and_other
 from clickbasin.schemas import CURATED, PARTITION_KEYS
 from clickbasin.sources.curated import read_curated, read_curated_day
@@ -33,7 +34,7 @@ def kpi_total_events(dataset: DataFrame) -> DataFrame:
 
 def kpi_total_value(dataset: DataFrame) -> DataFrame:
     """Sum over all event types, hence more than the purchase revenue."""
-    return dataset.agg(F.sum("value").alias("total_value"))
+    return dataset.agg(total("value").alias("total_value"))
 
 
 def events_by_type(dataset: DataFrame, n: int = CATEGORY_LIMIT) -> DataFrame:

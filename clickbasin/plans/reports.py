@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickbasin.functions.dates import clock
+from clickbasin.operators.money import average, total
 from clickbasin.schemas import DATE_KEYS
 
 # Event types the reports ask for, and the length of ranked lists.
@@ -21,6 +22,13 @@ SALES_TYPES = ["add_to_cart", "purchase"]
 SEARCH = "search"
 LIST_LENGTH = 50
 
+# The partitions that reports read, where it is not all of them.
+READ_ONLY = {
+    "revenue_by_date": {"event_type": [PURCHASE]},
+    "top_skus_by_quantity": {"event_type": SALES_TYPES},
+    "top_search_queries": {"event_type": [SEARCH]},
+}
+
 
 def _newest_days() -> list[Column]:
     return [F.desc(name) for name in DATE_KEYS]
@@ -40,8 +48,8 @@ def revenue_by_date(curated: DataFrame) -> DataFrame:
         .groupBy(*DATE_KEYS)
         .agg(
             F.count(F.lit(1)).alias("purchases"),
-            F.sum("value").alias("revenue"),
-            F.avg("value").alias("avg_order_value"),
+            total("value").alias("revenue"),
+            average("value").alias("avg_order_value"),
         )
         .orderBy(*_newest_days())
     )
@@ -133,6 +141,6 @@ def revenue_by_type_country(curated: DataFrame, year: str, month: str) -> DataFr
     return (
         curated.where((F.col("year") == year) & (F.col("month") == month))
         .groupBy("event_type", "country")
-        .agg(F.sum("value").alias("revenue"))
+        .agg(total("value").alias("revenue"))
         .orderBy("event_type", "country")
     )

@@ -107,7 +107,6 @@ def test_real_category_named_other_and_null_stay_apart(spark):
 def test_many_leaders_are_joined_without_a_broadcast_hint(spark, monkeypatch):
     rows = [row(f"{t}-{i}", f"t{t}") for t in range(6) for i in range(6 - t)]
     expected = [tuple(r) for r in dashboard.events_by_type(table(spark, rows), 4).collect()]
-    monkeypatch.setattr(ranking, "MAX_BROADCAST_LEADERS", 3)
     assert [tuple(r) for r in dashboard.events_by_type(table(spark, rows), 4).collect()] == expected
 
 
