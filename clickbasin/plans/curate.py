@@ -91,16 +91,16 @@ def curate_day(
     *,
     processed_at: datetime | str | None = None,
     any_case: bool = True,
-    parquet: bool = False,
+    parquet: bool | None = None,
     raw: DataFrame | None = None,
     keep_decoded: bool = True,
     size_files: bool = True,
 ) -> CurateOutcome:
     """Recompute one ingest day from raw; running it again changes nothing.
 
-    A day without raw rows writes nothing; a day without valid rows writes only
-    the quarantine. ``raw`` takes the place of the raw files, for instance a day of
-    a catalogued table. The decoded day is kept on the executors between the count
+    A day without raw rows writes nothing. A day that ends up without valid rows has no
+    curated partitions afterwards. ``raw`` takes the place of the raw files, for instance
+    a catalogued table; only the day's rows of it count. ``parquet`` is as in ``read_raw_day``. The decoded day is kept on the executors between the count
     and the two writes, because decompressing and parsing JSON is the dear part;
     ``keep_decoded=False`` reads it again instead, for a backfill larger than
     the executors' disks. Lost blocks are recomputed from the raw files.
@@ -111,6 +111,7 @@ def curate_day(
         raw = read_raw_day(spark, lake.raw, day, any_case=any_case, parquet=parquet)
     if raw is None:
         return CurateOutcome(0, 0, 0)
+    raw = raw.where(day.condition())
     stamp = fixed_clock(processed_at)
     judged = with_verdict(raw)
     if keep_decoded:
@@ -129,6 +130,8 @@ def curate_day(
 
         replace_day(spark, lake.quarantine, day, quarantine)
         if valid == 0:
+            # What an earlier run wrote goes, so that the outcome and the table agree.
+            replace_day(spark, lake.curated, day, lambda: None)
             return CurateOutcome(quarantined, 0, quarantined)
         curated = latest_per_event(accepted(judged, stamp))
         replace_day(

@@ -6,6 +6,7 @@ from clickbasin.functions.dates import ingest_day
 from clickbasin.plans.curate import CurateOutcome, curate_day
 from clickbasin.schemas import CURATED
 from clickbasin.sources.curated import read_curated, read_curated_day
+from clickbasin.sources.raw import read_raw
 
 
 def run(spark, lake, **options):
@@ -79,6 +80,28 @@ def test_only_bad_rows_leave_curated_untouched(spark, lake, drop_lines):
     assert types_on_disk(lake.quarantine) == {"search"}
 
 
+def test_a_day_that_turns_all_invalid_loses_its_curated_rows(spark, lake, drop_lines):
+    drop_lines(lake.raw, "search", [event("1"), event("2")])
+    drop_lines(lake.raw, "search", [event("3")], ingest_day("2024-03-06"))
+    run(spark, lake)
+    curate_day(spark, lake, ingest_day("2024-03-06"), processed_at=STAMP)
+    drop_lines(lake.raw, "search", [event(None)])
+    assert run(spark, lake) == CurateOutcome(1, 0, 1)
+    assert read_curated_day(spark, lake.curated, DAY).count() == 0
+    assert types_on_disk(lake.curated) == set()
+    assert [r["event_id"] for r in read_curated(spark, lake.curated).collect()] == ["3"]
+
+
+def test_a_wider_raw_frame_touches_only_its_day(spark, lake, drop_lines):
+    next_day = ingest_day("2024-03-06")
+    for day in (DAY, next_day):
+        drop_lines(lake.raw, "search", [event("1"), event(day.day)], day)
+        curate_day(spark, lake, day, processed_at=STAMP)
+    before = contents(spark, lake.curated)
+    assert run(spark, lake, raw=read_raw(spark, lake.raw)) == CurateOutcome(2, 2, 0)
+    assert contents(spark, lake.curated) == before and len(before) == 4
+
+
 def test_no_rows_write_nothing(spark, lake, drop_lines):
     assert run(spark, lake) == CurateOutcome(0, 0, 0)
     drop_lines(lake.raw, "search", ["", "  "])
