@@ -91,7 +91,7 @@ def alarm_states(
     the epoch, so days are UTC days. ``jobs`` names the jobs to judge, also those
     that never reported; by default it is every job in ``points``. A period
     without data follows the alarm's missing-data rule; ``ignore`` keeps the
-    state before it.
+    state before it, which may come from points before ``start``.
     """
     first, last = F.unix_timestamp(clock(start)), F.unix_timestamp(clock(end))
     length = F.col("period_seconds")
@@ -99,16 +99,25 @@ def alarm_states(
 
     # Every point meets the alarms on its metric, then folds to one row per period.
     longest = F.make_dt_interval(secs=F.lit(max(a.period_seconds for a in alarms)))
+    recent = F.col("ts") >= clock(start) - longest
+    # Only alarms that keep a state have to look further back.
+    keeps = any(a.missing == "ignore" for a in alarms)
+    asked = points.where(F.col("ts") < clock(end))
     observed = (
-        points.where((F.col("ts") >= clock(start) - longest) & (F.col("ts") < clock(end)))
+        (asked if keeps else asked.where(recent))
         .select(
             "job_name",
             "value",
             F.unix_timestamp("ts").alias("_at"),
-            F.inline(F.filter(definitions, lambda d: d["alarm_metric"] == F.col("metric"))),
+            F.inline(
+                F.filter(
+                    definitions,
+                    lambda d: (d["alarm_metric"] == F.col("metric")) & (recent | (d["missing"] == "ignore")),
+                )
+            ),
         )
         .withColumn("_period", F.col("_at") - F.pmod("_at", length))
-        .groupBy("job_name", "alarm", "_period")
+        .groupBy("job_name", "alarm", "_period", "statistic", "comparison", "threshold", "period_seconds", "missing")
         .agg(
             F.count("value").alias("datapoints"),
             F.sum("value").alias("_sum"),
@@ -127,7 +136,8 @@ def alarm_states(
         .where(F.col("_first") < last)
         .withColumn("_period", F.explode(F.sequence(F.col("_first"), last - 1, length)))
     )
-    joined = spine.join(observed, ["job_name", "alarm", "_period"], "left").withColumn(
+    measured = ["job_name", "alarm", "_period", "datapoints", "_sum", "_min"]
+    joined = spine.join(observed.select(*measured), ["job_name", "alarm", "_period"], "left").withColumn(
         "datapoints", F.coalesce("datapoints", F.lit(0).cast("long"))
     )
     value = (
@@ -145,13 +155,23 @@ def alarm_states(
     )
     # Null only under "ignore"; a partition holds one alarm's periods, not its points.
     own_state = F.when(F.col("datapoints") == 0, when_missing).when(breaching, ALARM).otherwise(OK)
+    if keeps:
+        # The last state of each alarm before the first period: one row per job and alarm.
+        earlier = (
+            observed.where((F.col("missing") == "ignore") & (F.col("_period") < first - F.pmod(first, length)))
+            .groupBy("job_name", "alarm")
+            .agg(F.max_by(own_state, "_period").alias("_before"))
+        )
+        joined = joined.join(earlier, ["job_name", "alarm"], "left")
+    else:
+        joined = joined.withColumn("_before", F.lit(None).cast("string"))
     history = Window.partitionBy("job_name", "alarm").orderBy("_period")
     return (
         joined.withColumn("value", value)
         .withColumn("_own", own_state)
         .withColumn(
             "state",
-            F.coalesce(F.last("_own", ignorenulls=True).over(history), F.lit(INSUFFICIENT)),
+            F.coalesce(F.last("_own", ignorenulls=True).over(history), "_before", F.lit(INSUFFICIENT)),
         )
         .select(
             "job_name",

@@ -79,6 +79,15 @@ def test_job_that_never_reported_is_stale(gap):
     }
 
 
+def test_ignore_remembers_what_was_before_the_start(spark):
+    frame = points(spark, {"2024-03-01 03:00:00": (2, 0), "2024-03-04 03:00:00": (0, 1)})
+    late = alarm_states(frame, quality_alarms("ignore"), "2024-03-03 00:00:00", "2024-03-06 00:00:00")
+    states = {(r["alarm"], r["period_start"].day): r["state"] for r in late.collect()}
+    assert [states["check-failed", d] for d in (3, 4, 5)] == ["ALARM", "OK", "OK"]
+    assert [states["constraints-failed", d] for d in (3, 4, 5)] == ["ALARM", "OK", "OK"]
+    assert [states["stale-results", d] for d in (3, 4, 5)] == ["ALARM", "OK", "ALARM"]
+
+
 def test_staleness_can_be_left_out_and_bounds_hold():
     assert len(quality_alarms(staleness_seconds=None)) == 2
     with pytest.raises(ValueError):
