@@ -55,13 +55,35 @@ def merge_decoded(first: Column, again: Column) -> list[Column]:
 def decode(line: Column, schema: T.StructType) -> Column:
     """Parse a line into ``schema`` plus the corrupt-record column.
 
-    A line that is not a JSON object yields nulls; a field of the wrong type
-    yields a null field. In both cases the text is kept in the corrupt column.
+    A line that is not one JSON object and nothing else yields nulls; a field of the
+    wrong type yields a null field. In both cases the text is kept in the corrupt column.
     """
     full = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    return F.from_json(
+    parsed = F.from_json(
         line, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     )
+    nothing = F.struct(
+        *[F.lit(None).cast(field.dataType).alias(field.name) for field in schema],
+        line.alias(CORRUPT_COLUMN),
+    )
+    return F.when(is_one_object(line), parsed).otherwise(nothing)
+
+
+def is_one_object(line: Column) -> Column:
+    """Whether the line holds exactly one JSON object.
+
+    Parsing stops behind the first object, so what follows it on the line (another
+    record, for want of a line break) would vanish. Put into an array, with a key behind
+    the array, the line must be an array of one and the key must still be found.
+    """
+    framed = F.from_json(
+        F.concat(F.lit('{"line":['), line, F.lit('],"end":1}')), "struct<line:array<struct<_:string>>,end:int>"
+    )
+    # Handed to a function, so that the expression behind it occurs once.
+    return F.exists(
+        F.array(framed),
+        lambda f: (F.size(f["line"]) == 1) & F.get(f["line"], 0).isNotNull() & f["end"].isNotNull(),
+    ).eqNullSafe(True)
 
 
 def is_blank(line: Column) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from clickbasin.functions.dates import IngestDay, ingest_day
 from clickbasin.functions.params import flag, optional_number
 from clickbasin.operators.alarms import DAY_SECONDS, MISSING_RULES, alarm_states, quality_alarms
-from clickbasin.operators.drift import json_drift
+from clickbasin.operators.drift import json_drift, parquet_drift
 from clickbasin.operators.governance import (
     ANALYST,
     ENGINEER,
@@ -30,7 +30,7 @@ from clickbasin.operators.governance import (
 from clickbasin.operators.quality import QualityRules
 from clickbasin.operators.scan_budget import check_scan
 from clickbasin.plans import dashboard, reports
-from clickbasin.plans.catalog import TABLE, create_tables, database_names
+from clickbasin.plans.catalog import TABLE, create_tables, database_names, location
 from clickbasin.plans.curate import curate_day
 from clickbasin.plans.daily_run import FAILED, run_day
 from clickbasin.plans.dashboard import refresh_dataset
@@ -38,8 +38,9 @@ from clickbasin.plans.paths import LakePaths
 from clickbasin.plans.quality_run import JOB_NAME, NAMESPACE, verify_day
 from clickbasin.plans.query_results import save_result
 from clickbasin.schemas import CURATED, METRIC, RAW_DATA
-from clickbasin.session import pin
+from clickbasin.session import pin, small_frame
 from clickbasin.sources.curated import read_curated
+from clickbasin.sources.raw import PARQUET, raw_format
 from clickbasin.sources.storage import day_glob
 from clickbasin.streaming.incremental import curate_new_days
 from clickbasin.streaming.landing import Buffering, line_stream, start_landing
@@ -85,20 +86,25 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--metric-namespace", default=NAMESPACE)
         sub.add_argument("--metric-job-name", default=JOB_NAME)
 
+    def raw_option(sub: argparse.ArgumentParser) -> None:
+        sub.add_argument("--parquet", default="", help="whether raw files are Parquet; blank: the files tell")
+
     land = job("land", "run the landing stream", dated=False)
     land.add_argument("--source", required=True, help="folder of JSON-lines files")
     land.add_argument("--checkpoint", required=True)
     land.add_argument("--buffer-mib", type=int, default=64)
     land.add_argument("--buffer-seconds", type=int, default=60)
+    land.add_argument("--buffers", default="", help="buffers a batch fills; blank: one per core at the start")
+    land.add_argument("--archive", default="", help="folder that landed source files are moved to")
     land.add_argument("--parquet", default="false")
     land.add_argument("--drain", default="false", help="take what is there and stop")
 
     curate = job("curate", "recompute one curated day")
-    curate.add_argument("--parquet", default="false", help="raw files are Parquet")
+    raw_option(curate)
 
     news = job("curate-new", "recompute the days that got new raw files", dated=False)
     news.add_argument("--checkpoint", required=True)
-    news.add_argument("--parquet", default="false", help="raw files are Parquet")
+    raw_option(news)
 
     quality_options(job("quality", "verify one curated day"))
 
@@ -109,17 +115,18 @@ def _parser() -> argparse.ArgumentParser:
     daily = job("daily", "register, curate, verify and refresh one day")
     quality_options(daily)
     daily.add_argument("--refresh-dashboard", default="true")
+    raw_option(daily)
     daily.add_argument("--project", default="", help="with --environment: register tables")
     daily.add_argument("--environment", default="")
 
-    alarms = job("alarms", "show the alarm states over the stored metrics", dated=False)
+    alarms = job("alarms", "keep the alarm states over the stored metrics as a result", dated=False)
     alarms.add_argument("--start", required=True, help="first moment, UTC")
     alarms.add_argument("--end", required=True, help="moment after the last, UTC")
     alarms.add_argument("--missing", default="notBreaching", choices=MISSING_RULES)
     alarms.add_argument("--staleness-seconds", default=str(DAY_SECONDS), help="blank: no such alarm")
     alarms.add_argument("--metric-job-name", default=JOB_NAME)
 
-    job("drift", "show how the raw lines of a day deviate from the declared keys")
+    job("drift", "keep how the raw files of a day deviate from what is declared as a result")
 
     report = job("report", "compute a saved report and keep its result", dated=False)
     report.add_argument("--name", required=True, choices=sorted([*REPORTS, MONTHLY]))
@@ -127,7 +134,7 @@ def _parser() -> argparse.ArgumentParser:
     report.add_argument(
         "--table", default="", help="catalogued curated table, whose pruned partitions alone are listed"
     )
-    report.add_argument("--audience", default="engineer", choices=sorted(AUDIENCES))
+    report.add_argument("--audience", default="analyst", choices=sorted(AUDIENCES))
     report.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     report.add_argument("--scan-cap-bytes", default="", help="refuse to scan more; blank: no cap")
     return parser
@@ -142,6 +149,10 @@ def _rules(options: argparse.Namespace) -> QualityRules:
     )
 
 
+def _raw_parquet(options: argparse.Namespace) -> bool | None:
+    return flag(options.parquet) if options.parquet.strip() else None
+
+
 def _report(spark: SparkSession, lake: LakePaths, options: argparse.Namespace) -> str:
     curated = spark.table(options.table) if options.table else read_curated(spark, lake.curated)
     if curated is None:
@@ -151,15 +162,17 @@ def _report(spark: SparkSession, lake: LakePaths, options: argparse.Namespace) -
         columns_of(spark, names["curated"], TABLE, CURATED), default_assignments(spark, names, TABLE)
     )
     view = governed(curated, tags, AUDIENCES[options.audience])
-    where = None
+    # The partitions the report's own filters leave.
+    keys = dict(reports.READ_ONLY.get(options.name, {}))
     if options.name == MONTHLY:
         year, month = options.month.split("-")
-        where = (F.col("year") == year) & (F.col("month") == month)
+        keys |= {"year": [year], "month": [month]}
         result = reports.revenue_by_type_country(view, year, month)
     else:
         result = REPORTS[options.name](view)
     cap = optional_number(options.scan_cap_bytes)
-    check_scan(spark, lake.curated, None if cap is None else int(cap), where)
+    root = location(spark, options.table) if options.table else lake.curated
+    check_scan(spark, root, None if cap is None else int(cap), keys=keys)
     return save_result(result, lake, options.name, options.format)
 
 
@@ -175,11 +188,24 @@ def _alarms(spark: SparkSession, lake: LakePaths, options: argparse.Namespace) -
 
 
 def _drift(spark: SparkSession, lake: LakePaths, day: IngestDay) -> DataFrame:
+    """Drift of a day's keys, or of its files' columns where they are Parquet; no rows for a day without files."""
+    found = raw_format(spark, lake.raw, day)
+    if found == PARQUET:
+        return parquet_drift(spark, lake.raw, day, RAW_DATA).orderBy("column", "found_type")
     declared = T.StructType([T.StructField("event_type", T.StringType()), *RAW_DATA.fields])
+    if found is None:
+        return json_drift(small_frame(spark, [], "value string"), declared).where(F.lit(False))
     lines = spark.read.text(day_glob(lake.raw, day)).select("value")
     return json_drift(lines, declared).orderBy("column", "json_type")
 
 
+def _keep(result: DataFrame, lake: LakePaths, name: str) -> None:
+    """The whole result is stored; of it the first rows are shown."""
+    path = save_result(result, lake, name)
+    print(path)
+    result.sparkSession.read.parquet(path).show(truncate=False)
+
+
 def main(arguments: Sequence[str] | None = None) -> int:
     options = _parser().parse_args(arguments)
     spark = pin(SparkSession.builder.appName(f"clickbasin-{options.job}").getOrCreate())
@@ -188,7 +214,13 @@ def main(arguments: Sequence[str] | None = None) -> int:
     if options.job == "land":
         buffering = Buffering(options.buffer_mib, options.buffer_seconds)
         start_landing(
-            line_stream(spark, options.source, buffering),
+            line_stream(
+                spark,
+                options.source,
+                buffering,
+                int(options.buffers) if options.buffers else None,
+                options.archive or None,
+            ),
             lake,
             options.checkpoint,
             buffering=buffering,
@@ -199,7 +231,7 @@ def main(arguments: Sequence[str] | None = None) -> int:
     if options.job == "curate-new":
 
         def curate(day: IngestDay) -> None:
-            print(day.iso(), curate_day(spark, lake, day, parquet=flag(options.parquet)))
+            print(day.iso(), curate_day(spark, lake, day, parquet=_raw_parquet(options)))
 
         curate_new_days(spark, lake, options.checkpoint, curate).awaitTermination()
         return 0
@@ -207,15 +239,15 @@ def main(arguments: Sequence[str] | None = None) -> int:
         print(_report(spark, lake, options))
         return 0
     if options.job == "alarms":
-        _alarms(spark, lake, options).show(1000, truncate=False)
+        _keep(_alarms(spark, lake, options), lake, "alarms")
         return 0
 
     day = ingest_day(options.process_date)
     if options.job == "drift":
-        _drift(spark, lake, day).show(1000, truncate=False)
+        _keep(_drift(spark, lake, day), lake, f"drift-{day.iso()}")
         return 0
     if options.job == "curate":
-        print(day.iso(), curate_day(spark, lake, day, parquet=flag(options.parquet)))
+        print(day.iso(), curate_day(spark, lake, day, parquet=_raw_parquet(options)))
         return 0
     if options.job == "refresh":
         refresh_dataset(spark, lake.curated, lake.dataset, None if flag(options.full) else day)
@@ -236,7 +268,7 @@ def main(arguments: Sequence[str] | None = None) -> int:
     databases = None
     if options.project and options.environment:
         databases = database_names(options.project, options.environment)
-        create_tables(spark, databases, lake)
+        create_tables(spark, databases, lake, parquet=bool(_raw_parquet(options)))
     status: DataFrame = run_day(
         spark,
         lake,
@@ -247,6 +279,7 @@ def main(arguments: Sequence[str] | None = None) -> int:
         job_name=options.metric_job_name,
         fail_on_error=flag(options.fail_on_error),
         refresh_dashboard=flag(options.refresh_dashboard),
+        parquet=_raw_parquet(options),
     )
     status.orderBy("position").show(truncate=False)
     return int(not status.where(F.col("status") == FAILED).isEmpty())

@@ -6,11 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickbasin.functions.dates import IngestDay
+from clickbasin.functions.json_lines import is_one_object
 from clickbasin.session import small_frame
+from clickbasin.sources.storage import day_glob, glob
 
 ADDED = "added"
 MISSING = "missing"
 TYPE_CHANGED = "type_changed"
+UNREADABLE = "unreadable"
+# Stands for a column where a whole line cannot be taken apart.
+WHOLE_LINE = "(line)"
 
 _DRIFT = "column string, declared_type string, found_type string, change string"
 
@@ -30,10 +36,31 @@ def file_schema_drift(spark: SparkSession, declared: T.StructType, found: T.Stru
 
 
 def parquet_schema(spark: SparkSession, path: str) -> T.StructType:
-    """The merged schema of the files below ``path``; footers are read by tasks."""
+    """The merged schema of the files below ``path``; it fails where types disagree, see ``parquet_drift``."""
     return spark.read.option("mergeSchema", True).parquet(path).schema
 
 
+def parquet_drift(spark: SparkSession, root: str, day: IngestDay, declared: T.StructType) -> DataFrame:
+    """``file_schema_drift`` of every Parquet file of an ingest day, each deviation once.
+
+    Schemas are compared file by file and never merged, as merging fails on the very
+    type changes that are looked for. Only that day's footers are read.
+    """
+    found: set[tuple] = set()
+    wanted = {field.name: field.dataType.simpleString() for field in declared}
+    for folder in glob(spark, day_glob(root, day)):
+        for path in glob(spark, f"{folder}/*.parquet"):
+            seen = {f.name: f.dataType.simpleString() for f in spark.read.parquet(path).schema}
+            found |= {(name, kind, None, MISSING) for name, kind in wanted.items() if name not in seen}
+            found |= {(name, None, kind, ADDED) for name, kind in seen.items() if name not in wanted}
+            found |= {
+                (name, kind, seen[name], TYPE_CHANGED)
+                for name, kind in wanted.items()
+                if name in seen and seen[name] != kind
+            }
+    return small_frame(spark, sorted(found, key=repr), _DRIFT)
+
+
 # JSON types a declared type reads without loss.
 _FITTING = {
     "string": ["STRING"],
@@ -47,70 +74,104 @@ _FITTING = {
 def json_drift(lines: DataFrame, declared: T.StructType) -> DataFrame:
     """``column, json_type, change, rows`` for keys of JSON lines that left the schema.
 
-    ``column`` is a key or ``parent.key``; declared keys match in any case. Every
-    line is looked at: it yields its (key, type) pairs, which are counted in the
-    map tasks. A declared key no line has is ``missing`` with zero rows. Null
-    values and lines that are not JSON objects are no evidence either way.
+    ``column`` is a key or ``parent.key``; declared keys match in any case. Every line is
+    looked at once and compared with the schema in place: it yields rows for what deviates
+    and one for what it has, which are counted in the map tasks. A number that the
+    declared integer cannot hold deviates as ``BIGINT`` or ``DECIMAL``. A declared key no
+    line has is ``missing`` with zero rows. An object whose keys cannot be taken apart (a
+    key occurs twice inside) is ``unreadable``, as column ``(line)``. Null values and lines
+    that are not one JSON object are no evidence either way.
     """
     structs = [field.name for field in declared if isinstance(field.dataType, T.StructType)]
-    entry = "array<struct<key:string,value:variant>>"
-    members = F.when(
-        F.lower("_key").isin(structs), F.map_entries(F.try_variant_get("_value", "$", "map<string,variant>"))
+    kinds: dict[str, str] = {}
+    for field in declared:
+        kinds[field.name] = "struct" if field.name in structs else field.dataType.simpleString()
+        if field.name in structs:
+            kinds |= {f"{field.name}.{inner.name}": inner.dataType.simpleString() for inner in field.dataType}
+
+    def folded(path: Column) -> Column:
+        return F.when(F.lower(path).isin(list(kinds)), F.lower(path)).otherwise(path)
+
+    def found(path: Column, value: Column) -> Column:
+        kind = F.schema_of_variant(value)  # such as DECIMAL(4,2) or OBJECT<a: BIGINT>
+        return F.struct(
+            folded(path).alias("column"),
+            F.substring_index(F.substring_index(kind, "(", 1), "<", 1).alias("json_type"),
+            value.alias("value"),
+        )
+
+    def members(entry: Column) -> Column:
+        inner = F.map_entries(F.try_variant_get(entry["value"], "$", "map<string,variant>"))
+        return F.transform(inner, lambda m: found(F.concat(F.lower(entry["key"]), F.lit("."), m["key"]), m["value"]))
+
+    keys = F.map_entries("_map")
+    nested = F.transform(F.filter(keys, lambda e: F.lower(e["key"]).isin(structs)), members)
+    none = F.array().cast("array<struct<column:string,json_type:string,value:variant>>")
+    pairs = F.concat(
+        F.transform(keys, lambda e: found(e["key"], e["value"])),
+        F.flatten(F.filter(nested, lambda m: m.isNotNull())),
     )
-    kind = F.schema_of_variant("_entry.value")  # such as DECIMAL(4,2) or OBJECT<a: BIGINT>
+
+    def fits(pair: Column) -> Column:
+        fitting = F.lit(False)
+        for kind in sorted(set(kinds.values())):
+            own = pair["column"].isin([path for path, own in kinds.items() if own == kind])
+            holds = pair["json_type"].isin(_FITTING[kind])
+            if kind == "int":
+                holds = holds & F.try_variant_get(pair["value"], "$", "int").isNotNull()
+            fitting = fitting | (own & holds)
+        return fitting
+
+    deviating = F.transform(
+        F.filter("_pairs", lambda p: ~fits(p)),
+        lambda p: F.struct(p["column"].alias("column"), p["json_type"].alias("json_type")),
+    )
+    broken = F.array(F.struct(F.lit(WHOLE_LINE).alias("column"), F.lit("OBJECT").alias("json_type")))
+    nothing = F.array(F.struct(F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("json_type")))
+    # Generated columns, so that a line is parsed once.
+    # An empty object besides, so that a table without lines has its missing keys as well.
+    empty = small_frame(lines.sparkSession, [("{}",)], "value string")
     counted = (
-        lines.select(F.explode(F.from_json("value", "map<string,variant>")).alias("_key", "_value"))
-        # The value itself, under a null key, and its members.
+        lines.select("value")
+        .union(empty)
+        .where(is_one_object(F.col("value")))
+        .select(F.explode(F.array(F.from_json("value", "map<string,variant>"))).alias("_map"))
         .select(
-            "_key",
-            F.explode(
-                F.concat(
-                    F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("_value").alias("value"))),
-                    F.coalesce(members, F.array().cast(entry)),
-                )
-            ).alias("_entry"),
+            F.col("_map").isNull().alias("_broken"),
+            F.explode(F.array(F.coalesce(F.filter(pairs, lambda p: p["json_type"] != "VOID"), none))).alias("_pairs"),
         )
         .select(
-            "_key",
-            F.col("_entry.key").alias("_member"),
-            F.substring_index(F.substring_index(kind, "(", 1), "<", 1).alias("json_type"),
+            F.transform("_pairs", lambda p: p["column"]).alias("_has"),
+            F.explode(F.concat(nothing, F.when(F.col("_broken"), broken).otherwise(deviating))).alias("_found"),
+        )
+        .groupBy("_found.column", "_found.json_type")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.bool_or(F.array_contains("_has", path)).alias(f"_has_{n}") for n, path in enumerate(kinds)],
         )
-        .where(F.col("json_type") != "VOID")
-        .groupBy("_key", "_member", "json_type")
-        .agg(F.count(F.lit(1)).alias("rows"))
     )
-    # From here on there is a row per spelling and type, not per line.
-    declared_keys = [field.name for field in declared]
-    declared_members = [f.name for field in declared if field.name in structs for f in field.dataType]
-
-    def folded(name: str, known: list[str]) -> Column:
-        return F.when(F.lower(name).isin(known), F.lower(name)).otherwise(F.col(name))
-
-    path = F.concat_ws(".", folded("_key", declared_keys), folded("_member", declared_members))
-    seen = (
-        counted.withColumn("column", path).groupBy("column", "json_type").agg(F.sum("rows").alias("rows"))
+    # From here on there is a row per deviation, and one that knows which declared keys there were.
+    lacking = F.array(
+        *[
+            F.struct(F.lit(path).alias("column"), F.col(f"_has_{n}").alias("seen"))
+            for n, path in enumerate(kinds)
+        ]
     )
-    wanted: list[tuple[str, list[str]]] = []
-    for field in declared:
-        if field.name not in structs:
-            wanted.append((field.name, _FITTING[field.dataType.simpleString()]))
-        else:
-            wanted.append((field.name, _FITTING["struct"]))
-            wanted += [
-                (f"{field.name}.{inner.name}", _FITTING[inner.dataType.simpleString()])
-                for inner in field.dataType
-            ]
-    declared_rows = small_frame(lines.sparkSession, wanted, "_column string, _fitting array<string>")
-    # One join for both sides, so that the lines are scanned once.
-    compared = seen.join(declared_rows, F.col("column") == F.col("_column"), "full_outer")
     change = (
-        F.when(F.col("_column").isNull(), ADDED)
-        .when(F.col("column").isNull(), MISSING)
-        .when(~F.array_contains("_fitting", F.col("json_type")), TYPE_CHANGED)
+        F.when(F.col("column") == WHOLE_LINE, UNREADABLE)
+        .when(F.col("column").isin(list(kinds)), TYPE_CHANGED)
+        .otherwise(ADDED)
     )
-    return compared.select(
-        F.coalesce("column", "_column").alias("column"),
-        "json_type",
-        change.alias("change"),
-        F.coalesce("rows", F.lit(0)).alias("rows"),
-    ).where(F.col("change").isNotNull())
+    out = F.when(
+        F.col("column").isNull(),
+        F.transform(
+            F.filter(lacking, lambda p: ~p["seen"]),
+            lambda p: F.struct(
+                p["column"].alias("column"),
+                F.lit(None).cast("string").alias("json_type"),
+                F.lit(MISSING).alias("change"),
+                F.lit(0).cast("long").alias("rows"),
+            ),
+        ),
+    ).otherwise(F.array(F.struct("column", "json_type", change.alias("change"), "rows")))
+    return counted.select(F.inline(out))

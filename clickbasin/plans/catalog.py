@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from clickbasin.functions.dates import IngestDay
 from clickbasin.plans.paths import LakePaths
-from clickbasin.schemas import CURATED, PARTITION_KEYS, RAW
+from clickbasin.schemas import CURATED, PARTITION_KEYS, RAW, RAW_LINES
 from clickbasin.sources.storage import NULL_PARTITION, day_glob, folder_event_type, glob
 
 TABLE = "events"
@@ -27,20 +27,34 @@ def _create(spark: SparkSession, name: str, schema: T.StructType, how: str, path
     )
 
 
-def create_tables(spark: SparkSession, names: dict[str, str], lake: LakePaths) -> None:
+def create_tables(
+    spark: SparkSession, names: dict[str, str], lake: LakePaths, *, parquet: bool = False
+) -> None:
     """Declare the three databases and the raw and curated external tables.
 
+    The raw table holds lines of text, for ``read_raw_table`` to decode with the tolerance
+    that file scans have; with ``parquet``, what the converting ingest writes.
+
     Dropping a database deletes its folder, so the databases get folders apart
     from the data, which outlives them.
     """
     for database in names.values():
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake.catalog}/{database}'")
-    _create(spark, f"{names['raw']}.{TABLE}", RAW, "json OPTIONS (mode 'PERMISSIVE')", lake.raw)
+    if parquet:
+        _create(spark, f"{names['raw']}.{TABLE}", RAW, "parquet", lake.raw)
+    else:
+        _create(spark, f"{names['raw']}.{TABLE}", RAW_LINES, "text", lake.raw)
     _create(
         spark, f"{names['curated']}.{TABLE}", CURATED, "parquet OPTIONS (compression 'snappy')", lake.curated
     )
 
 
+def location(spark: SparkSession, table: str) -> str:
+    """The folder of a catalogued table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return described.where(F.col("col_name") == "Location").first()["data_type"]
+
+
 def register_all(spark: SparkSession, table: str) -> None:
     """Register every partition folder, old and new."""
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")

@@ -35,19 +35,22 @@ def run_day(
     fail_on_error: bool = True,
     refresh_dashboard: bool = True,
     processed_at: datetime | str | None = None,
+    parquet: bool | None = None,
 ) -> DataFrame:
     """Run the steps and report ``position, step, status, rows, message``.
 
     The first failing step ends the run; later ones are ``NOT_RUN``. With
-    ``databases`` the day's raw and curated partitions are registered too.
+    ``databases`` the day's raw and curated partitions are registered too; without,
+    that step is ``NOT_RUN`` as well. ``parquet`` is as in ``read_raw_day``: by default
+    the files tell.
     ``rows``: partitions registered, rows curated, rows verified.
     """
 
-    def register() -> int | None:
-        return register_day(spark, f"{databases['raw']}.{TABLE}", lake.raw, day) if databases else None
+    def register() -> int:
+        return register_day(spark, f"{databases['raw']}.{TABLE}", lake.raw, day)
 
     def curate() -> int:
-        outcome = curate_day(spark, lake, day, processed_at=processed_at)
+        outcome = curate_day(spark, lake, day, processed_at=processed_at, parquet=parquet)
         if databases:
             register_day(spark, f"{databases['curated']}.{TABLE}", lake.curated, day)
         return outcome.curated_rows
@@ -79,7 +82,7 @@ def run_day(
     report = []
     failed = False
     for position, (name, step) in enumerate(steps, start=1):
-        if failed:
+        if failed or step is register and not databases:
             report.append((position, name, NOT_RUN, None, None))
             continue
         try:

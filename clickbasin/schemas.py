@@ -37,6 +37,7 @@ PAYLOAD = T.StructType(
 
 RAW_DATA = T.StructType(_strings(["event_id", "ts", "user_id"]) + [T.StructField("payload", PAYLOAD)])
 RAW = T.StructType(RAW_DATA.fields + PARTITION_FIELDS)
+RAW_LINES = T.StructType(_strings(["value"]) + PARTITION_FIELDS)
 
 CURATED_DATA = T.StructType(
     [

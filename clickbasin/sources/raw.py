@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickbasin.functions.dates import IngestDay
 from clickbasin.functions.json_lines import decode, decode_unread, is_blank, merge_decoded
-from clickbasin.schemas import CORRUPT_COLUMN, PARTITION_FIELDS, RAW, RAW_DATA
+from clickbasin.schemas import CORRUPT_COLUMN, RAW, RAW_DATA, RAW_LINES
 from clickbasin.sources.storage import day_glob, glob
 
-_LINES = T.StructType([T.StructField("value", T.StringType())] + PARTITION_FIELDS)
+# Formats of raw files.
+LINES, PARQUET = "lines", "parquet"
+
 
 
 def decode_lines(lines: DataFrame, *, any_case: bool = True) -> DataFrame:
@@ -39,26 +40,59 @@ def decode_lines(lines: DataFrame, *, any_case: bool = True) -> DataFrame:
 
 def read_raw(spark: SparkSession, root: str, *, any_case: bool = True) -> DataFrame:
     """All raw events below ``root``."""
-    return decode_lines(spark.read.schema(_LINES).text(root), any_case=any_case)
+    return decode_lines(spark.read.schema(RAW_LINES).text(root), any_case=any_case)
+
+
+class UnexpectedFormat(ValueError):
+    """A day's raw files are not all in the format that was expected."""
+
+
+def raw_format(spark: SparkSession, root: str, day: IngestDay) -> str | None:
+    """``lines`` or ``parquet``, by the names of the day's files; ``None`` when there are none."""
+    names = [path.rsplit("/", 1)[-1] for path in glob(spark, f"{day_glob(root, day)}/*")]
+    kinds = {PARQUET if name.endswith(".parquet") else LINES for name in names if name[0] not in "._"}
+    if len(kinds) > 1:
+        raise UnexpectedFormat(f"the raw files of {day.iso()} are partly Parquet and partly lines")
+    return kinds.pop() if kinds else None
 
 
 def read_raw_day(
-    spark: SparkSession, root: str, day: IngestDay, *, any_case: bool = True, parquet: bool = False
+    spark: SparkSession, root: str, day: IngestDay, *, any_case: bool = True, parquet: bool | None = None
 ) -> DataFrame | None:
     """One ingest day, all event types; ``None`` when nothing landed that day.
 
     Only the folders of that day are listed, so the cost does not grow with the
-    age of the lake. ``parquet`` reads the layout of the converting ingest.
+    age of the lake. The files tell whether they hold lines or, from the converting
+    ingest, Parquet; a day that mixes both is refused, and so is one that is not what
+    ``parquet`` says.
     """
-    if not glob(spark, day_glob(root, day)):
+    found = raw_format(spark, root, day)
+    if found is None:
         return None
+    if parquet is not None and parquet != (found == PARQUET):
+        raise UnexpectedFormat(f"the raw files of {day.iso()} are {found}")
     reader = spark.read.option("basePath", root)
-    if parquet:
-        rows = reader.schema(RAW).parquet(day_glob(root, day))
-        return rows.select(*RAW.fieldNames(), F.lit(None).cast("string").alias(CORRUPT_COLUMN))
-    return decode_lines(reader.schema(_LINES).text(day_glob(root, day)), any_case=any_case)
+    if found == PARQUET:
+        return _as_raw(reader.schema(RAW).parquet(day_glob(root, day)))
+    return decode_lines(reader.schema(RAW_LINES).text(day_glob(root, day)), any_case=any_case)
+
+
+def _as_raw(rows: DataFrame) -> DataFrame:
+    """Rows of the converting ingest, none of which is malformed."""
+    return rows.select(*RAW.fieldNames(), F.lit(None).cast("string").alias(CORRUPT_COLUMN))
+
+
+def read_raw_table(table: DataFrame, *, any_case: bool = True) -> DataFrame:
+    """The raw columns of a catalogued raw table, whichever format it was created for.
+
+    A table of lines is decoded as files are, with the same tolerance. Filters on the
+    partition columns reach the scan.
+    """
+    if "value" in table.columns:
+        return decode_lines(table, any_case=any_case)
+    return _as_raw(table)
 
 
-def scan_raw_day(table: DataFrame, day: IngestDay) -> DataFrame:
+def scan_raw_day(table: DataFrame, day: IngestDay, *, any_case: bool = True) -> DataFrame:
     """One ingest day of a catalogued raw table, by partition pruning."""
-    return table.where(day.condition())
+    return read_raw_table(table.where(day.condition()), any_case=any_case)

@@ -11,12 +11,17 @@ from clickbasin.functions.dates import IngestDay
 from clickbasin.operators.scan_budget import PARTITIONED_FILES
 from clickbasin.plans.paths import LakePaths
 from clickbasin.schemas import DATE_KEYS
+from clickbasin.streaming.landing import NO_AGE_LIMIT
 
 
 def new_files(spark: SparkSession, raw_root: str) -> DataFrame:
     """A stream with one row per raw file not seen before. No file is opened."""
     return (
-        spark.readStream.format("binaryFile").schema(PARTITIONED_FILES).load(raw_root).select("path", *DATE_KEYS)
+        spark.readStream.format("binaryFile")
+        .schema(PARTITIONED_FILES)
+        .option("maxFileAge", NO_AGE_LIMIT)
+        .load(raw_root)
+        .select("path", *DATE_KEYS)
     )
 
 

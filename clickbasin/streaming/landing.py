@@ -14,13 +14,14 @@ from pyspark.sql.streaming import StreamingQuery
 from clickbasin.functions.dates import IngestDay, day_columns
 from clickbasin.functions.json_lines import decode, is_blank
 from clickbasin.plans.paths import LakePaths
-from clickbasin.schemas import CORRUPT_COLUMN, DATE_KEYS, PARTITION_KEYS, RAW
+from clickbasin.schemas import CORRUPT_COLUMN, DATE_KEYS, PARTITION_KEYS, RAW, RAW_DATA
 from clickbasin.session import pin
 from clickbasin.sources.raw import decode_lines
 from clickbasin.sources.storage import delete, glob
 
-# Error folder name, and the limits of the delivery buffer.
+# Error folder names, and the limits of the delivery buffer.
 FAILED = "processing-failed"
+NOT_CONVERTED = "format-conversion-failed"
 BUFFER_MIB = (1, 128)
 BUFFER_SECONDS = (60, 900)
 
@@ -47,17 +48,31 @@ class Buffering:
         return self.mebibytes * 1024 * 1024 * max(buffers, 1)
 
 
+# Spark's file streams pass over files much older than the newest one they saw. Nothing may be
+# passed over here, so the limit lies beyond any backfill.
+NO_AGE_LIMIT = "36500d"
+
+
 def line_stream(
-    spark: SparkSession, folder: str, buffering: Buffering = Buffering(), buffers: int | None = None
+    spark: SparkSession,
+    folder: str,
+    buffering: Buffering = Buffering(),
+    buffers: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """A folder of JSON-lines files as a stream with a ``value`` column.
 
-    ``buffers`` is how many buffers a micro-batch fills; by default one per core.
+    ``buffers`` is how many buffers a micro-batch fills; by default one per core there
+    is when the stream starts, so name it where executors come later. ``archive`` is a
+    folder landed files are moved to, without which every trigger lists all of them.
     Any other streaming frame with a text ``value`` column (a message queue, for
     instance) can take the place of the folder.
     """
     limit = buffering.batch_bytes(buffers or spark.sparkContext.defaultParallelism)
-    return spark.readStream.option("maxBytesPerTrigger", str(limit)).text(folder)
+    reader = spark.readStream.option("maxBytesPerTrigger", str(limit)).option("maxFileAge", NO_AGE_LIMIT)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.text(folder)
 
 
 def with_route(lines: DataFrame, arrival: Column | None = None) -> DataFrame:
@@ -84,6 +99,23 @@ def with_route(lines: DataFrame, arrival: Column | None = None) -> DataFrame:
     )
 
 
+def with_conversion(routed: DataFrame) -> DataFrame:
+    """Add the line's raw columns as ``_raw``, and route away the lines that lose something by it.
+
+    A field of the wrong type, or a number its type cannot hold, is null after decoding.
+    Such a line goes to the errors with its text.
+    """
+    keys = [*routed.columns]
+    decoded = decode_lines(routed.withColumn("_line", F.col("value")))
+    lossy = F.col("result").isNull() & F.col(CORRUPT_COLUMN).isNotNull()
+    return decoded.select(
+        F.col("_line").alias("value"),
+        *[F.col(name) for name in keys if name not in ("value", "result")],
+        F.when(lossy, NOT_CONVERTED).otherwise(F.col("result")).alias("result"),
+        F.struct(*RAW_DATA.fieldNames()).alias("_raw"),
+    )
+
+
 def delivered(routed: DataFrame) -> DataFrame:
     return routed.where(F.col("result").isNull()).select("value", *PARTITION_KEYS)
 
@@ -120,7 +152,8 @@ def _write_lines(rows: DataFrame, path: str, keys: list[str], prefix: str) -> No
 
 def _write_parquet(rows: DataFrame, path: str, prefix: str) -> None:
     (
-        decode_lines(_gather(rows, PARTITION_KEYS[0]))
+        _gather(rows, PARTITION_KEYS[0])
+        .select("_raw.*", *PARTITION_KEYS)
         .select(*RAW.fieldNames())
         .write.mode("append")
         .partitionBy(*PARTITION_KEYS)
@@ -153,13 +186,14 @@ def batch_writer(lake: LakePaths, *, parquet: bool = False) -> Callable[[DataFra
     def land(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
         prefix = f"{query}-{batch_id:012d}"
-        routed = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        routed = (with_conversion(batch) if parquet else batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if query not in started:
                 _remove_attempt(routed, lake, prefix)
                 started.add(query)
             if parquet:
-                _write_parquet(delivered(routed), lake.raw, prefix)
+                good = routed.where(F.col("result").isNull()).select("_raw", *PARTITION_KEYS)
+                _write_parquet(good, lake.raw, prefix)
             else:
                 _write_lines(delivered(routed), lake.raw, PARTITION_KEYS, prefix)
             _write_lines(undeliverable(routed), lake.errors, ["result", *DATE_KEYS], prefix)
@@ -181,7 +215,8 @@ def start_landing(
 ) -> StreamingQuery:
     """Run the landing stream. ``drain`` takes what is there and stops.
 
-    ``parquet`` converts to the raw table's columns on the way in.
+    ``parquet`` converts to the raw table's columns on the way in; lines that lose
+    something by that go to the error route.
     """
     pin(lines.sparkSession)
     writer = (

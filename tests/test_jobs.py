@@ -54,7 +54,9 @@ def test_reports_alarms_and_drift(spark, lake, drop_lines, run):
     assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("purchase", "US", 2.0)]
     with pytest.raises(AnalysisException, match="UNRESOLVED_COLUMN"):
         run("report", "--name", "daily_active_users", "--audience", "analyst")
-    assert run("report", "--name", "daily_active_users")[0] == 0
+    assert run("report", "--name", "daily_active_users", "--audience", "engineer")[0] == 0
+    with pytest.raises(AnalysisException, match="UNRESOLVED_COLUMN"):
+        run("report", "--name", "daily_active_users")
     out = run("alarms", "--start", "2024-03-01 00:00:00", "--end", "2024-03-02 00:00:00")[1]
     assert "stale-results" in out and "ALARM" in out
     quiet = run(

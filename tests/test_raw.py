@@ -1,9 +1,10 @@
+import pytest
 from conftest import DAY, event
 
 from clickbasin.functions.dates import fixed_clock, ingest_day
 from clickbasin.operators.validate import accepted, rejected, with_verdict
 from clickbasin.schemas import CURATED, RAW
-from clickbasin.sources.raw import decode_lines, read_raw, read_raw_day
+from clickbasin.sources.raw import UnexpectedFormat, decode_lines, raw_format, read_raw, read_raw_day
 
 
 def decoded(spark, *lines, **options):
@@ -102,4 +103,29 @@ def test_json_is_parsed_once_behind_a_filter(spark):
     good = accepted(with_verdict(decode_lines(frame, any_case=False).selectExpr(
         "*", "'t' AS event_type", "'2024' AS year", "'03' AS month", "'05' AS day")), fixed_clock(None))
     plan = good._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json") == 1
+    # Once for the fields, once for whether the line is one object.
+    assert plan.count("from_json") == 2
+
+
+def test_a_line_is_one_object_or_malformed(spark):
+    good = ['{"event_id":"1"}', ' {"event_id":"1", "payload":{"value":NaN}}  ', '{"event_id":"1","x":"}{"}']
+    bad = [
+        '{"event_id":"1"}{"event_id":"2"}', '{"event_id":"1"},{"event_id":"2"}', '{"event_id":"1"} # end',
+        '{"event_id":"1"}]', '{"event_id":"1"}]}', '[{"event_id":"1"}]', "7", "null",
+    ]
+    frame = spark.createDataFrame([(line,) for line in good + bad], "value string")
+    rows = decode_lines(frame).collect()
+    assert [r["event_id"] for r in rows] == ["1"] * len(good) + [None] * len(bad)
+    assert [r["_malformed_line"] for r in rows] == [None] * len(good) + bad
+
+
+def test_format_is_found_and_a_wrong_one_refused(spark, lake, drop_lines):
+    drop_lines(lake.raw, "search", [event("1")])
+    assert raw_format(spark, lake.raw, DAY) == "lines"
+    with pytest.raises(UnexpectedFormat):
+        read_raw_day(spark, lake.raw, DAY, parquet=True)
+    rows = read_raw_day(spark, lake.raw, DAY).select(*RAW.fieldNames())
+    rows.write.mode("append").partitionBy("event_type", "year", "month", "day").parquet(lake.raw)
+    with pytest.raises(UnexpectedFormat, match="partly"):
+        read_raw_day(spark, lake.raw, DAY)
+    assert raw_format(spark, lake.raw, ingest_day("2020-01-01")) is None

@@ -1,6 +1,7 @@
 import glob
 import gzip
 import json
+import os
 import time
 
 import pytest
@@ -138,6 +139,47 @@ def test_big_batch_writes_about_a_file_per_task(spark, lake):
     assert len(glob.glob(f"{lake.raw}/**/*.gz", recursive=True)) <= 8 + 5
 
 
+def test_files_of_any_age_are_taken(spark, feed, lake, tmp_path):
+    feed("a.json", GOOD[:1])
+    drain(spark, feed, lake, tmp_path)
+    feed("old.json", GOOD[1:])
+    long_ago = time.time() - 40 * 86_400
+    os.utime(os.path.join(feed.folder, "old.json"), (long_ago, long_ago))
+    drain(spark, feed, lake, tmp_path)
+    assert lines_below(lake.raw) == sorted(GOOD)
+
+
+def test_days_of_old_files_are_curated(spark, lake, drop_lines, tmp_path):
+    seen = []
+    drop_lines(lake.raw, "search", [event("1")], DAY)
+    curate_new_days(spark, lake, str(tmp_path / "c"), seen.append).awaitTermination()
+    restored = ingest_day("2024-01-02")
+    drop_lines(lake.raw, "search", [event("2")], restored)
+    long_ago = time.time() - 40 * 86_400
+    for path in glob.glob(f"{lake.raw}/event_type=search/{restored.folder()}/*"):
+        os.utime(path, (long_ago, long_ago))
+    curate_new_days(spark, lake, str(tmp_path / "c"), seen.append).awaitTermination()
+    assert seen == [DAY, restored]
+
+
+def test_landed_source_files_can_be_moved_away(spark, feed, lake, tmp_path):
+    for name, lines in (("a.json", GOOD[:1]), ("b.json", GOOD[1:2]), ("c.json", GOOD[2:])):
+        feed(name, lines)
+        stream = line_stream(spark, feed.folder, archive=str(tmp_path / "done"))
+        start_landing(stream, lake, str(tmp_path / "k"), drain=True, arrival=stamp()).awaitTermination()
+    assert lines_below(lake.raw) == sorted(GOOD)
+    assert not os.path.exists(os.path.join(feed.folder, "a.json"))
+
+
+def test_lines_that_lose_something_in_conversion_go_to_the_errors(spark, feed, lake, tmp_path):
+    lossy = [typed("purchase", "5", quantity="many"), typed("purchase", "6", quantity=3_000_000_000)]
+    feed("a.json", [*GOOD, *lossy, *BAD, GOOD[0] + GOOD[1]])
+    drain(spark, feed, lake, tmp_path, parquet=True)
+    assert read_raw_day(spark, lake.raw, DAY).count() == len(GOOD)
+    assert lines_below(f"{lake.errors}/result=format-conversion-failed") == sorted(lossy)
+    assert lines_below(f"{lake.errors}/result=processing-failed") == sorted([*BAD, GOOD[0] + GOOD[1]])
+
+
 def test_default_arrival_is_the_batch_clock(spark, feed, lake, tmp_path):
     feed("a.json", GOOD)
     start_landing(line_stream(spark, feed.folder), lake, str(tmp_path / "c"), drain=True).awaitTermination()

@@ -104,6 +104,35 @@ def test_file_drift_reports_without_applying(spark, tmp_path):
     assert drift.file_schema_drift(spark, declared, declared).count() == 0
 
 
+def test_file_drift_of_a_day_with_conflicting_types(spark, tmp_path):
+    root = str(tmp_path / "t")
+    day = ingest_day("2024-03-05")
+    folder = f"{root}/event_type=search/{day.folder()}"
+    spark.range(1).selectExpr("CAST(id AS INT) AS id", "'x' AS name").write.parquet(folder)
+    spark.range(1).selectExpr("'7' AS id").write.mode("append").parquet(folder)
+    declared = T.StructType.fromDDL("id int, name string")
+    assert {tuple(r) for r in drift.parquet_drift(spark, root, day, declared).collect()} == {
+        ("id", "int", "string", "type_changed"),
+        ("name", "string", None, "missing"),
+    }
+    assert drift.parquet_drift(spark, root, ingest_day("2024-03-06"), declared).count() == 0
+
+
+def test_json_drift_sees_unreadable_objects_and_numbers_out_of_range(spark):
+    lines = [
+        '{"event_id":"1","ts":"t","user_id":"u","payload":{"quantity":3000000000,"value":1}}',
+        '{"event_id":"1","payload":{"sku":"a","sku":"b"}}',
+        '{"event_id":"1"} and more',
+        '{"payload":{"country":"a","session_id":"b","query":"c","sku":"d","quantity":12345678901234567890}}',
+    ]
+    frame = spark.createDataFrame([(line,) for line in lines], "value string")
+    assert {tuple(r) for r in drift.json_drift(frame, RAW_DATA).collect()} == {
+        ("payload.quantity", "BIGINT", "type_changed", 1),
+        ("payload.quantity", "DECIMAL", "type_changed", 1),
+        ("(line)", "OBJECT", "unreadable", 1),
+    }
+
+
 def test_json_drift_counts_every_deviating_line(spark):
     lines = [
         '{"event_id":"1","ts":"t","user_id":7,"payload":{"value":1,"quantity":2.5,"colour":"red"}}',
