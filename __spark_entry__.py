@@ -1,7 +1,7 @@
 """Contract with the driver: the registered queries and their SQL counterparts.
 
 Every query takes ``(spark, sf_dir)`` and works on the whole ``events`` table,
-brought into raw, curated or JSON-lines form by ``clickbasin.sources.testdata``.
+brought into raw, curated or JSON-lines form by ``given_events``.
 The SQL builds the same form by itself and states the expected result without
 repeating the library's steps where it can (a landed line is predicted from the
 fault it was given, not by parsing it).
@@ -10,13 +10,17 @@ fault it was given, not by parsing it).
 from __future__ import annotations
 
 import importlib.util
-from collections.abc import Callable
+import re
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickbasin.functions.dates import ingest_day
+import given_events as given
+from clickbasin.functions.dates import IngestDay, ingest_day
 from clickbasin.operators import quality
 from clickbasin.operators.alarms import alarm_states, quality_alarms
 from clickbasin.operators.dedup import latest_per_event
@@ -30,19 +34,20 @@ from clickbasin.operators.governance import (
     governed,
     resolve_tags,
 )
-from clickbasin.operators.scan_budget import scan_bytes
+from clickbasin.operators.scan_budget import scan_bytes, scan_partitions
 from clickbasin.operators.validate import accepted, rejected, with_verdict
 from clickbasin.plans import curate, dashboard, reports
-from clickbasin.plans.catalog import create_tables, database_names, partitions, register_all
+from clickbasin.plans.catalog import TABLE, create_tables, database_names, partitions, register_day
 from clickbasin.plans.daily_run import run_day
 from clickbasin.plans.paths import LakePaths
 from clickbasin.plans.quality_run import JOB_NAME, NAMESPACE
-from clickbasin.schemas import CURATED, DATE_KEYS, PARTITION_KEYS, RAW_DATA, REASON_COLUMN
-from clickbasin.session import pin
-from clickbasin.sources import testdata as given
-from clickbasin.sources.curated import read_curated_day
-from clickbasin.sources.raw import read_raw_day
-from clickbasin.streaming.landing import delivered, undeliverable, with_route
+from clickbasin.schemas import CURATED, DATE_KEYS, PARTITION_KEYS, RAW_DATA, REASON_COLUMN, RESULT
+from clickbasin.session import pin, scratch_path, small_frame
+from clickbasin.sources.curated import read_curated, read_curated_day
+from clickbasin.sources.raw import read_raw_day, scan_raw_day
+from clickbasin.sources.storage import ALL_DAYS, glob
+from clickbasin.streaming.incremental import curate_new_days
+from clickbasin.streaming.landing import NOT_CONVERTED, delivered, undeliverable, with_route
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = "2024-01-31 00:00:00"
@@ -54,6 +59,9 @@ STRICT = quality.QualityRules(
     max_quantity=25.0,
 )
 RELAXED = quality.QualityRules(required_completeness=0.999)
+# After the first points, and where the incremental run's second drop begins.
+LATE_START = "2024-01-20 00:00:00"
+SECOND_DROP = "2024-01-21 00:00:00"
 ALARM_START, ALARM_END = "2023-12-29 00:00:00", "2024-02-04 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,24 +97,9 @@ def _raw(query: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: query(given.raw_shape(spark, sf_dir))
 
 
-def _money(query: Callable[[DataFrame], DataFrame], *names: str) -> Query:
-    """Sum money as decimals, then show it as double."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        result = query(given.curated_exact(spark, sf_dir))
-        return result.withColumns({name: F.col(name).cast("double") for name in names})
-
-    return run
-
-
 def _revenue_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = reports.revenue_by_date(given.curated_exact(spark, sf_dir))
-    return result.withColumns(
-        {
-            "revenue": F.col("revenue").cast("double"),
-            "avg_order_value": F.round(F.col("avg_order_value").cast("double"), 4),
-        }
-    )
+    result = reports.revenue_by_date(given.curated_shape(spark, sf_dir))
+    return result.withColumn("avg_order_value", F.round("avg_order_value", 4))
 
 
 # Scans -----------------------------------------------------------------------
@@ -118,7 +111,7 @@ def _raw_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _curated_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(read_curated_day(pin(spark), given.curated_table(spark, sf_dir), ONE_DAY))
+    return _shown(read_curated_day(pin(spark), given.curated_lake(spark, sf_dir).curated, ONE_DAY))
 
 
 def _raw_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,9 +134,14 @@ def _landed_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pin(spark).read.text(given.landed_lake(spark, sf_dir).errors)
 
 
+def _conversion_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = given.landed_lake(pin(spark), sf_dir, parquet=True)
+    return spark.read.text(lake.errors).where(F.col("result") == NOT_CONVERTED)
+
+
 def _ingest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = given.landed_lake(pin(spark), sf_dir, parquet=True)
-    rows = read_raw_day(spark, lake.raw, given.ARRIVAL, parquet=True)
+    rows = read_raw_day(spark, lake.raw, given.ARRIVAL)
     return _shown(_flat_payload(rows)).drop("_malformed_line")
 
 
@@ -171,9 +169,9 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.metrics(summaries, NAMESPACE, JOB_NAME, at)
 
 
-def _alarms(missing: str) -> Query:
+def _alarms(missing: str, start: str = ALARM_START) -> Query:
     return lambda spark, sf_dir: alarm_states(
-        _metrics(spark, sf_dir), quality_alarms(missing), ALARM_START, ALARM_END, [JOB_NAME]
+        _metrics(spark, sf_dir), quality_alarms(missing), start, ALARM_END, [JOB_NAME]
     )
 
 
@@ -194,28 +192,109 @@ def _schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_drift(given.event_lines(spark, sf_dir), declared)
 
 
+def _kept(frame: DataFrame, label: str) -> DataFrame:
+    """The rows in a scratch table, so that what they were read from can be dropped."""
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def _databases(spark: SparkSession, lake: LakePaths, *, parquet: bool = False) -> Iterator[dict[str, str]]:
+    """The lake's catalogued tables, dropped again at the end; their data stays."""
+    names = database_names("clickbasin-" + uuid.uuid4().hex, "dev")
+    create_tables(spark, names, lake, parquet=parquet)
+    try:
+        yield names
+    finally:
+        for database in names.values():
+            spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def _registered_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = given.curated_table(pin(spark), sf_dir)
-    table = "clickbasin_" + path.rsplit("-", 1)[1]
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({CURATED.toDDL()}) USING parquet "
-        f"PARTITIONED BY ({', '.join(PARTITION_KEYS)}) LOCATION '{path}'"
-    )
-    register_all(spark, table)
-    return partitions(spark, table)
+    lake = given.curated_lake(pin(spark), sf_dir)
+    days = {re.search(r"year=(\d+)/month=(\d+)/day=(\d+)", path) for path in glob(spark, f"{lake.curated}/{ALL_DAYS}")}
+    with _databases(spark, lake) as names:
+        table = f"{names['curated']}.{TABLE}"
+        for day in sorted({IngestDay(*found.groups()) for found in days}):
+            register_day(spark, table, lake.curated, day)
+        return _kept(partitions(spark, table), "partitions")
 
 
 def _scan_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_bytes(pin(spark), given.curated_table(spark, sf_dir))
+    return scan_bytes(pin(spark), given.curated_lake(spark, sf_dir).curated)
 
 
-def _daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scan_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = {"event_type": reports.SALES_TYPES, "year": ["2024"], "month": ["01"]}
+    return scan_partitions(pin(spark), given.curated_lake(spark, sf_dir).curated, keys)
+
+
+def _raw_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = given.landed_lake(pin(spark), sf_dir)
+    with _databases(spark, lake) as names:
+        table = f"{names['raw']}.{TABLE}"
+        register_day(spark, table, lake.raw, given.ARRIVAL)
+        rows = scan_raw_day(spark.table(table), given.ARRIVAL)
+        return _kept(_shown(_flat_payload(rows)).drop("_malformed_line"), "raw-table")
+
+
+def _daily_run(parquet: bool) -> Query:
     """All lines arrived on one day, so the run of that day covers the whole table."""
-    lake: LakePaths = given.landed_lake(pin(spark), sf_dir)
-    names = database_names("clickbasin-" + lake.root.rsplit("-", 1)[1], "dev")
-    create_tables(spark, names, lake)
-    report = run_day(spark, lake, given.ARRIVAL, databases=names, processed_at=given.PROCESSED_AT)
-    return report.select("position", "step", "status", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lake = given.landed_lake(pin(spark), sf_dir, parquet=parquet)
+        with _databases(spark, lake, parquet=parquet) as names:
+            report = run_day(spark, lake, given.ARRIVAL, databases=names, processed_at=given.PROCESSED_AT)
+        return report.select("position", "step", "status", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+    return run
+
+
+# What the jobs store --------------------------------------------------------
+
+
+def _stored_lake(spark: SparkSession, sf_dir: str) -> LakePaths:
+    return given.processed_lake(pin(spark), sf_dir, STRICT)
+
+
+def _stored_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(read_curated(spark, _stored_lake(spark, sf_dir).curated))
+
+
+def _stored_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(spark.read.parquet(_stored_lake(spark, sf_dir).dataset))
+
+
+def _stored_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = rejected(with_verdict(given.raw_shape(spark, sf_dir))).schema
+    rows = spark.read.schema(schema).json(_stored_lake(spark, sf_dir).quarantine)
+    return _shown(_flat_payload(rows)).withColumnRenamed(REASON_COLUMN, "reject_reason")
+
+
+def _stored_quality_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{_stored_lake(spark, sf_dir).quality_results}/{given.ARRIVAL.folder()}"
+    return spark.read.schema(RESULT).json(folder).drop("verified_at")
+
+
+def _report_through_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = _stored_lake(spark, sf_dir)
+    with _databases(spark, lake) as names:
+        table = f"{names['curated']}.{TABLE}"
+        register_day(spark, table, lake.curated, given.ARRIVAL)
+        return _kept(reports.daily_event_counts(spark.table(table)), "report")
+
+
+def _incremental_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days that two runs find news on: files before a moment first, later ones and a few old days then."""
+    lake = LakePaths(scratch_path(pin(spark), "incremental"))
+    found: list[tuple] = []
+    for run, rows in enumerate(given.two_drops(spark, sf_dir, SECOND_DROP), start=1):
+        rows.write.mode("append").partitionBy(*PARTITION_KEYS).json(lake.raw)
+        curate_new_days(
+            spark, lake, f"{lake.root}/bookmark", lambda day, run=run: found.append((run, *day))
+        ).awaitTermination()
+    return small_frame(spark, found, "run int, year string, month string, day string")
 
 
 def _training_data():
@@ -269,13 +348,12 @@ def core_queries() -> dict[str, Query]:
         "events_by_country": _curated(reports.events_by_country),
         "hourly_event_rate": _curated(lambda curated: reports.hourly_event_rate(curated, AS_OF)),
         "partition_freshness": _curated(reports.partition_freshness),
-        "revenue_by_type_country": _money(
-            lambda curated: reports.revenue_by_type_country(_governed(curated, ANALYST), "2024", "01"),
-            "revenue",
+        "revenue_by_type_country": _curated(
+            lambda curated: reports.revenue_by_type_country(_governed(curated, ANALYST), "2024", "01")
         ),
         "bi_dataset": _curated(lambda curated: _shown(dashboard.bi_dataset(curated))),
         "kpi_total_events": _curated(dashboard.kpi_total_events),
-        "kpi_total_value": _money(dashboard.kpi_total_value, "total_value"),
+        "kpi_total_value": _curated(dashboard.kpi_total_value),
         "events_by_type_topn": _curated(lambda curated: dashboard.events_by_type(curated, 3)),
         "daily_event_volume": _curated(dashboard.daily_event_volume),
         "dq_constraints": _results,
@@ -284,12 +362,23 @@ def core_queries() -> dict[str, Query]:
         "dq_metrics": _metrics,
         "alarm_states": _alarms("notBreaching"),
         "alarm_states_ignore": _alarms("ignore"),
+        "alarm_states_ignore_late": _alarms("ignore", LATE_START),
         "schema_drift": _schema_drift,
         "governed_analyst_view": _curated(lambda curated: _shown(_governed(curated, ANALYST))),
         "governed_engineer_view": _curated(lambda curated: _shown(_governed(curated, ENGINEER))),
         "registered_partitions": _registered_partitions,
         "scan_bytes": _scan_bytes,
-        "daily_run": _daily_run,
+        "scan_partitions": _scan_partitions,
+        "raw_table_scan": _raw_table_scan,
+        "ingest_conversion_errors": _conversion_errors,
+        "daily_run": _daily_run(parquet=False),
+        "daily_run_parquet": _daily_run(parquet=True),
+        "stored_curated": _stored_curated,
+        "stored_dataset": _stored_dataset,
+        "stored_quarantine": _stored_quarantine,
+        "stored_quality_results": _stored_quality_results,
+        "report_through_table": _report_through_table,
+        "incremental_days": _incremental_days,
     }
 
 
@@ -362,7 +451,8 @@ _LINES = (
     _EVENTS
     + """,
 facts AS (
-  SELECT ev.*, k % 23 = 22 AS cut,
+  SELECT ev.*, k % 23 = 22 AS cut, k % 47 = 46 OR k % 59 = 58 AS overfull,
+    event_type = 'purchase' AND (k % 19 = 18 OR k % 13 = 12) AS lossy,
     CASE WHEN k % 31 = 30 THEN '' WHEN k % 37 = 36 THEN '"event_type":"",'
       WHEN k % 41 = 40 THEN '"event_type":null,' ELSE '"event_type":"' || event_type || '",' END AS type_part,
     k % 31 = 30 OR k % 37 = 36 OR k % 41 = 40 AS typeless,
@@ -371,17 +461,20 @@ facts AS (
   FROM ev
 ),
 lines AS (
-  SELECT *, cut OR typeless AS undeliverable,
-    CASE WHEN cut THEN left(whole, 45) ELSE whole END AS line
+  SELECT *, cut OR typeless OR overfull AS undeliverable,
+    CASE WHEN cut THEN left(whole, 45) WHEN k % 47 = 46 THEN whole || whole
+      WHEN k % 59 = 58 THEN whole || ' # end' ELSE whole END AS line
   FROM (
     SELECT *, '{' || type_part
       || CASE WHEN k % 43 = 42 THEN '"EVENT_ID":"' ELSE '"event_id":"' END || id || '",'
       || '"ts":"' || ts_text || '","user_id":"' || user_id || '","payload":{'
       || CASE WHEN k % 17 = 16 THEN '"Country":"C' ELSE '"country":"C' END || (k % 7) || '",'
+      || CASE WHEN k % 53 = 52 THEN '"session_id":"none",' ELSE '' END
       || '"session_id":"s-' || user_id || '",'
       || CASE WHEN event_type = 'error' THEN '"query":"Trail tent",' ELSE '' END
       || CASE WHEN event_type = 'purchase' THEN '"sku":"SKU-' || k || '","quantity":'
-           || CASE WHEN k % 19 = 18 THEN '"many"' ELSE CAST(1 + k % 5 AS VARCHAR) END || ',' ELSE '' END
+           || CASE WHEN k % 19 = 18 THEN '"many"' WHEN k % 13 = 12 THEN '3000000000'
+              ELSE CAST(1 + k % 5 AS VARCHAR) END || ',' ELSE '' END
       || CASE WHEN k % 29 = 28 THEN '"coupon":"WINTER",' ELSE '' END
       || '"value":' || CAST(value AS DECIMAL(18,2)) || '}}' AS whole
     FROM facts)
@@ -391,12 +484,28 @@ decoded AS (
     's-' || user_id AS session_id, CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS value,
     CASE WHEN event_type = 'error' THEN 'Trail tent' END AS query,
     CASE WHEN event_type = 'purchase' THEN 'SKU-' || k END AS sku,
-    CASE WHEN event_type = 'purchase' AND k % 19 <> 18 THEN CAST(1 + k % 5 AS DOUBLE) END AS quantity,
-    event_type, '2024' AS year, '02' AS month, '01' AS day
+    CASE WHEN event_type = 'purchase' AND NOT lossy THEN CAST(1 + k % 5 AS DOUBLE) END AS quantity,
+    event_type, '2024' AS year, '02' AS month, '01' AS day, lossy
   FROM lines WHERE NOT undeliverable
 )"""
 )
 
+# All raw rows as if they had arrived on one day, and what curating that day keeps.
+_STORED = (
+    _RAW
+    + f""",
+arrived AS (SELECT * REPLACE ('2024' AS year, '02' AS month, '01' AS day) FROM judged),
+kept AS (
+  SELECT * EXCLUDE (ts, reject_reason), TIMESTAMP '{given.PROCESSED_AT}' AS processed_at
+  FROM arrived WHERE reject_reason IS NULL
+  QUALIFY row_number() OVER (
+    PARTITION BY event_id
+    ORDER BY event_ts DESC NULLS LAST, event_type NULLS FIRST, user_id NULLS FIRST,
+      session_id NULLS FIRST, country NULLS FIRST, value NULLS FIRST, query NULLS FIRST,
+      sku NULLS FIRST, quantity NULLS FIRST) = 1
+)"""
+)
+
 _FAULTY = (
     _CURATED
     + """,
@@ -425,7 +534,11 @@ measures AS (
 )
 
 
-def _results_sql(rules: quality.QualityRules) -> str:
+# The constraints' measures, over the stored rows instead of the faulty ones.
+_STORED_FAULTY = _STORED + ",\nfaulty AS (SELECT * FROM kept),\n" + _FAULTY[_FAULTY.index("copies AS (") :]
+
+
+def _results_sql(rules: quality.QualityRules, measured: str = _FAULTY) -> str:
     """CTEs ending in ``results``: one SELECT per constraint, united."""
     least = rules.required_completeness
     wanted = [
@@ -452,7 +565,7 @@ def _results_sql(rules: quality.QualityRules) -> str:
         for level, name, value, holds in wanted
     )
     return (
-        _FAULTY
+        measured
         + f""",
 judged_constraints AS ({rows}),
 results AS (
@@ -534,7 +647,17 @@ FROM lines WHERE NOT undeliverable"""
     failed = f"""WITH {_LINES}
 SELECT line AS value, 'processing-failed' AS result, '2024' AS year, '02' AS month, '01' AS day
 FROM lines WHERE undeliverable"""
-    decoded = f"WITH {_LINES} SELECT * FROM decoded"
+    decoded = f"WITH {_LINES} SELECT * EXCLUDE (lossy) FROM decoded"
+    stored = f"WITH {_STORED}"
+
+    def run(which: str) -> str:
+        return f"""WITH {_LINES},
+found AS (SELECT count(DISTINCT event_id) AS ids, count(DISTINCT event_type) AS types FROM decoded {which})
+SELECT 1 AS position, 'register_partitions' AS step, 'SUCCEEDED' AS status, types AS "rows" FROM found
+UNION ALL SELECT 2, 'raw_to_curated', 'SUCCEEDED', ids FROM found
+UNION ALL SELECT 3, 'quality_checks', 'SUCCEEDED', ids FROM found
+UNION ALL SELECT 4, 'refresh_dashboard', 'SUCCEEDED', 0"""
+
     return {
         "raw_day_scan": f"WITH {_RAW} SELECT * FROM raw WHERE year = '2024' AND month = '01' AND day = '15'",
         "raw_decode": decoded,
@@ -544,7 +667,31 @@ SELECT * FROM curated WHERE year = '2024' AND month = '01' AND day = '15'""",
         "ingest_errors": failed,
         "ingest_landed": landed,
         "ingest_landed_errors": failed,
-        "ingest_parquet": decoded,
+        "ingest_parquet": f"{decoded} WHERE NOT lossy",
+        "ingest_conversion_errors": f"""WITH {_LINES}
+SELECT line AS value, 'format-conversion-failed' AS result, '2024' AS year, '02' AS month, '01' AS day
+FROM lines WHERE lossy AND NOT undeliverable""",
+        "raw_table_scan": decoded,
+        "stored_curated": f"{stored} SELECT * FROM kept",
+        "stored_dataset": f"{stored} SELECT *, date_trunc('day', event_ts) AS event_date FROM kept",
+        "stored_quarantine": f"""{stored}
+SELECT * EXCLUDE (event_ts) FROM arrived WHERE reject_reason IS NOT NULL""",
+        "stored_quality_results": f"""WITH {_results_sql(STRICT, _STORED_FAULTY)}
+SELECT "check", check_level, check_status, "constraint", constraint_status, constraint_message, rows_verified
+FROM results""",
+        "report_through_table": f"""{stored}
+SELECT year, month, day, event_type, count(*) AS events FROM kept GROUP BY ALL""",
+        "incremental_days": f"""WITH {_EVENTS}
+SELECT DISTINCT 1 AS run, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day
+FROM ev WHERE ts < TIMESTAMP '{SECOND_DROP}'
+UNION ALL
+SELECT DISTINCT 2, strftime(ts, '%Y'), strftime(ts, '%m'), strftime(ts, '%d')
+FROM ev WHERE ts >= TIMESTAMP '{SECOND_DROP}' OR k % 10 = 0""",
+        "scan_partitions": f"""WITH {_CURATED}
+SELECT DISTINCT event_type, year, month, day FROM curated
+WHERE event_type IN ('add_to_cart', 'purchase') AND year = '2024' AND month = '01'""",
+        "alarm_states_ignore_late": f"""SELECT * FROM ({_alarm_sql("ignore")})
+WHERE period_start >= TIMESTAMP '{LATE_START}'""",
         "raw_to_curated": f"""WITH {_RAW}
 SELECT *, TIMESTAMP '{given.PROCESSED_AT}' AS processed_at FROM latest""",
         "quarantine_rows": f"""WITH {_RAW}
@@ -610,7 +757,14 @@ FROM curated GROUP BY 1 ORDER BY 1""",
         "alarm_states": _alarm_sql("notBreaching"),
         "alarm_states_ignore": _alarm_sql("ignore"),
         "schema_drift": f"""WITH {_LINES},
-whole_lines AS (SELECT * FROM lines WHERE NOT cut)
+objects AS (SELECT * FROM lines WHERE NOT cut AND NOT overfull),
+whole_lines AS (SELECT * FROM objects WHERE k % 53 <> 52)
+SELECT '(line)' AS "column", 'OBJECT' AS json_type, 'unreadable' AS change, count(*) AS "rows"
+FROM objects WHERE k % 53 = 52
+UNION ALL
+SELECT 'payload.quantity', 'BIGINT', 'type_changed', count(*)
+FROM whole_lines WHERE event_type = 'purchase' AND k % 13 = 12 AND k % 19 <> 18
+UNION ALL
 SELECT 'payload.coupon' AS "column", 'STRING' AS json_type, 'added' AS change, count(*) AS "rows"
 FROM whole_lines WHERE k % 29 = 28
 UNION ALL
@@ -619,10 +773,6 @@ FROM whole_lines WHERE event_type = 'purchase' AND k % 19 = 18""",
         "governed_analyst_view": f"WITH {_CURATED} SELECT {analyst} FROM curated",
         "governed_engineer_view": f"WITH {_CURATED} SELECT {analyst}, user_id, session_id FROM curated",
         "registered_partitions": f"WITH {_CURATED} SELECT DISTINCT event_type, year, month, day FROM curated",
-        "daily_run": f"""WITH {_LINES},
-found AS (SELECT count(DISTINCT event_id) AS ids, count(DISTINCT event_type) AS types FROM decoded)
-SELECT 1 AS position, 'register_partitions' AS step, 'SUCCEEDED' AS status, types AS "rows" FROM found
-UNION ALL SELECT 2, 'raw_to_curated', 'SUCCEEDED', ids FROM found
-UNION ALL SELECT 3, 'quality_checks', 'SUCCEEDED', ids FROM found
-UNION ALL SELECT 4, 'refresh_dashboard', 'SUCCEEDED', 0""",
+        "daily_run": run(""),
+        "daily_run_parquet": run("WHERE NOT lossy"),
     }

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickbasin.functions.dates import IngestDay
+from clickbasin.operators.quality import QualityRules
 from clickbasin.plans.curate import write_curated
+from clickbasin.plans.daily_run import run_day
 from clickbasin.plans.paths import LakePaths
 from clickbasin.schemas import PARTITION_KEYS
 from clickbasin.session import pin, scratch_path
@@ -59,14 +61,6 @@ def curated_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def curated_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The curated shape with money as decimals, whose sums have no rounding order.
-
-    The amounts have two digits; the further ones are for the averages.
-    """
-    return curated_shape(spark, sf_dir).withColumn("value", F.col("value").cast("decimal(20,8)"))
-
-
 def curated_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The curated shape with a few rows that break each quality constraint."""
     n = F.col("event_id").cast("long")
@@ -83,8 +77,9 @@ def curated_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_shape(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     return events(spark, sf_dir).selectExpr(
+        *more,
         "CASE WHEN k % 13 = 0 THEN ' ' WHEN k % 29 = 0 THEN NULL"
         " ELSE CAST(CASE WHEN event_id % 5 = 1 THEN event_id - 1 ELSE event_id END AS STRING) END AS event_id",
         "CASE WHEN k % 19 = 0 THEN 'not-a-timestamp'"
@@ -107,7 +102,8 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     By ``k``: cut off (23), without (31), with empty (37) or null (41) type;
     id key in capitals (43), country key capitalised (17); quantity as text (19);
-    a key nobody declared (29).
+    a key nobody declared (29); quantity beyond an integer (13); a payload key twice
+    (53); a second object on the line (47); other text behind the object (59).
     """
     return (
         events(spark, sf_dir)
@@ -123,15 +119,20 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             " '\"user_id\":\"', CAST(user_id AS STRING), '\",',"
             " '\"payload\":{', CASE WHEN k % 17 = 16 THEN '\"Country\":\"C' ELSE '\"country\":\"C' END,"
             " CAST(k % 7 AS STRING), '\",',"
+            " CASE WHEN k % 53 = 52 THEN '\"session_id\":\"none\",' ELSE '' END,"
             " '\"session_id\":\"s-', CAST(user_id AS STRING), '\",',"
             " CASE WHEN event_type = 'error' THEN '\"query\":\"Trail tent\",' ELSE '' END,"
             " CASE WHEN event_type = 'purchase' THEN concat('\"sku\":\"SKU-', CAST(k AS STRING),"
-            "   '\",\"quantity\":', CASE WHEN k % 19 = 18 THEN '\"many\"' ELSE CAST(1 + k % 5 AS STRING) END, ',')"
+            "   '\",\"quantity\":', CASE WHEN k % 19 = 18 THEN '\"many\"'"
+            "   WHEN k % 13 = 12 THEN '3000000000' ELSE CAST(1 + k % 5 AS STRING) END, ',')"
             "   ELSE '' END,"
             " CASE WHEN k % 29 = 28 THEN '\"coupon\":\"WINTER\",' ELSE '' END,"
             " '\"value\":', CAST(CAST(value AS DECIMAL(18,2)) AS STRING), '}}') AS line",
         )
-        .selectExpr("CASE WHEN k % 23 = 22 THEN left(line, 45) ELSE line END AS value")
+        .selectExpr(
+            "CASE WHEN k % 23 = 22 THEN left(line, 45) WHEN k % 47 = 46 THEN concat(line, line)"
+            " WHEN k % 59 = 58 THEN concat(line, ' # end') ELSE line END AS value"
+        )
     )
 
 
@@ -158,11 +159,37 @@ def raw_table(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "raw", write)
 
 
-def curated_table(spark: SparkSession, sf_dir: str) -> str:
-    """The curated shape as Parquet under event_type/year/month/day."""
-    return _once(
-        spark, sf_dir, "curated", lambda path: write_curated(curated_shape(spark, sf_dir), path)
-    )
+def curated_lake(spark: SparkSession, sf_dir: str) -> LakePaths:
+    """A lake whose curated layer has the curated shape as Parquet under event_type/year/month/day."""
+
+    def write(path: str) -> None:
+        write_curated(curated_shape(spark, sf_dir), LakePaths(path).curated)
+
+    return LakePaths(_once(spark, sf_dir, "curated", write))
+
+
+def processed_lake(spark: SparkSession, sf_dir: str, rules: QualityRules) -> LakePaths:
+    """A lake that got all raw rows on one day, which was then curated, verified and put on the dashboard."""
+
+    def write(path: str) -> None:
+        lake = LakePaths(path)
+        date = {"year": ARRIVAL.year, "month": ARRIVAL.month, "day": ARRIVAL.day}
+        rows = raw_shape(spark, sf_dir).withColumns({name: F.lit(value) for name, value in date.items()})
+        rows.hint("rebalance", "event_type").write.partitionBy(*PARTITION_KEYS).json(lake.raw)
+        report = run_day(
+            spark, lake, ARRIVAL, rules=rules, processed_at=PROCESSED_AT, fail_on_error=False
+        )
+        if not report.where("status = 'FAILED'").isEmpty():
+            raise RuntimeError(report.collect())
+
+    return LakePaths(_once(spark, sf_dir, "processed", write))
+
+
+def two_drops(spark: SparkSession, sf_dir: str, moment: str) -> list[DataFrame]:
+    """The raw shape in two parts: what is before ``moment``, and then the rest with a tenth of it again."""
+    rows = raw_shape(spark, sf_dir, "ts AS at", "k")
+    early = F.col("at") < F.lit(moment).cast("timestamp")
+    return [part.drop("at", "k") for part in (rows.where(early), rows.where(~early | (F.col("k") % 10 == 0)))]
 
 
 def landed_lake(spark: SparkSession, sf_dir: str, *, parquet: bool = False) -> LakePaths:
