@@ -538,6 +538,8 @@ def fit(pages: list[str]) -> Extractor:
 def train(pages: DataFrame, id_column: str = "page_id", column: str = "html", most: int = SAMPLE_PAGES) -> Extractor:
     """Fit on at most ``most`` pages, picked by a hash of their ids, alike on every run."""
     known = pages.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{column}`").alias("html")).dropna()
+    # Only the fit leaves out pages of more than a million characters, so that the driver can hold the sample.
+    known = known.where(F.length("html") <= 1_000_000)
     ids = [row.id for row in known.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(most).collect()]
     chosen = known.where(F.col("id").isin(ids)).groupBy("id").agg(F.max("html").alias("html"))
     return fit([row.html for row in sorted(chosen.collect())])

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 SAMPLE_ROWS = 4_000
 SAMPLE_CHUNKS = 16
 EPOCHS = 8
+# Bytes a filter sees, and bytes in a chunk.
+WIDTH, CHUNK = 8, 128
 PAD = 256
 
 
@@ -113,11 +115,17 @@ def constant(share: float) -> Network:
     )
 
 
+def sampled_chunks(text: str, width: int = WIDTH, chunk: int = CHUNK) -> np.ndarray:
+    """At most ``SAMPLE_CHUNKS`` chunks of a text, spread evenly over it."""
+    every = chunks_of(text.encode("utf-8", "replace"), width, chunk)
+    return every[np.unique(np.linspace(0, len(every) - 1, SAMPLE_CHUNKS).astype(int))]
+
+
 def fit(
-    texts: list[str], labels: list[int], filters: int = 16, width: int = 8, chunk: int = 128, dim: int = 8,
+    cut: list[np.ndarray], labels: list[int], filters: int = 16, width: int = WIDTH, chunk: int = CHUNK, dim: int = 8,
     epochs: int = EPOCHS, seed: int = 7,
 ) -> Network:
-    """Adam on the log loss, with the gradient through the two poolings written out.
+    """Adam on the log loss of documents given as chunks, with the gradient through both poolings written out.
 
     With no labels, or labels of one class, every text gets the smoothed share of that class.
     """
@@ -125,11 +133,6 @@ def fit(
     if len(y) == 0 or y.min() == y.max():
         return constant((y.sum() + 0.5) / (len(y) + 1))
     rng = np.random.default_rng(seed)
-    cut = []
-    for text in texts:
-        all_chunks = chunks_of(text.encode("utf-8", "replace"), width, chunk)
-        take = np.unique(np.linspace(0, len(all_chunks) - 1, SAMPLE_CHUNKS).astype(int))
-        cut.append(all_chunks[take])
     p = {
         "table": rng.normal(0, 0.5, (PAD + 1, dim)).astype(np.float32),
         "filters": rng.normal(0, 1 / np.sqrt(width * dim), (width * dim, filters)).astype(np.float32),
@@ -141,7 +144,9 @@ def fit(
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     step = 0
     size = max(8, min(64, len(y) // 8))
-    epochs = max(epochs, min(60, -(-1200 * size // max(1, len(y)) // 1)) if len(y) < 1000 else epochs)
+    # A small sample is gone over more often, for about as many steps.
+    if len(y) < 1000:
+        epochs = max(epochs, min(60, 1200 * size // len(y)))
     for epoch in range(epochs):
         rate = 0.01 * 0.5 * (1 + np.cos(np.pi * epoch / epochs)) + 1e-4
         order = rng.permutation(len(y))
@@ -184,9 +189,18 @@ def fit(
 
 
 def train(sample: DataFrame) -> Network:
-    """Fit on (doc_id, text, label) rows, whose number the caller has bounded."""
-    rows = sorted(sample.collect())
-    return fit([row.text for row in rows], [row.label for row in rows])
+    """Fit on (doc_id, text, label) rows, whose number the caller has bounded.
+
+    Chunks are cut on the executors, so what the driver gets is bounded in bytes as well.
+    """
+
+    @F.arrow_udf("binary")
+    def cut(texts: pa.Array) -> pa.Array:
+        return pa.array([sampled_chunks(text or "").tobytes() for text in texts.to_pylist()], pa.binary())
+
+    rows = sorted(sample.select("doc_id", cut("text").alias("chunks"), "label").collect(), key=lambda row: (row.doc_id, row.chunks))
+    chunks = [np.frombuffer(row.chunks, dtype=np.int16).reshape(-1, CHUNK) for row in rows]
+    return fit(chunks, [row.label for row in rows])
 
 
 def quality(net: Network, text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 Folding is one character for one character, so every match has its place in the original text:
 letters become lower case, look-alikes of other scripts and decorated forms become Latin, and
-digits and signs that stand between letters become the letters they replace. A term counts where
+digits and signs between letters, or before the first one, become the letters they replace. A term counts where
 a word begins; a whole-word term must also end there. Matches inside an exception phrase do not
 count. The summed weights, taken by themselves and per hundred words, give one probability.
 """
@@ -43,7 +43,7 @@ LOOK_ALIKES = {
 # What digits and signs between letters stand for.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
 # Letters with marks that are letters of their own in the languages at hand.
-OWN_LETTERS = set("äöüßàâæçéèêëîïôœùûÿñáíóú")
+OWN_LETTERS = set("äöüßàâæçéèêîôœùûñáíóú")
 # Terms every lexicon starts from, with their weights, and phrases that lift them.
 SEED_TERMS = {
     "idiot": 1.0, "moron": 1.0, "imbecile": 1.0, "stupid": 0.7, "loser": 0.7, "scum": 1.0, "scumbag": 1.5,
@@ -51,7 +51,7 @@ SEED_TERMS = {
 }
 EXCEPTIONS = ("idiot proof", "idiot's guide", "sore loser", "pond scum", "stupid question")
 
-_BETWEEN = re.compile(r"(?<=[^\W\d_])[0134578@$!]{1,3}(?=[^\W\d_])")
+_BETWEEN = re.compile(r"(?:(?<=[^\W\d_])|(?<![\w@$!]))[0134578@$!]{1,3}(?=[^\W\d_])")
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _SIGNS = str.maketrans(SUBSTITUTES)
 
