@@ -14,6 +14,7 @@ from clickbasin.llm import (
     html_extract,
     nearest,
     ngram_join,
+    oracles,
     packing,
     pii,
     quality_cnn,
@@ -168,4 +169,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for those that it can express; the others train, sketch, search or tokenize."""
+    return {"op6_ngram_join": oracles.NGRAM_JOIN, "op8_chat": oracles.CHAT}
