@@ -104,6 +104,7 @@ def _parser() -> argparse.ArgumentParser:
 
     news = job("curate-new", "recompute the days that got new raw files", dated=False)
     news.add_argument("--checkpoint", required=True)
+    news.add_argument("--announced", default="false", help="go by the landing's announcements, list no raw files")
     raw_option(news)
 
     quality_options(job("quality", "verify one curated day"))
@@ -233,7 +234,9 @@ def main(arguments: Sequence[str] | None = None) -> int:
         def curate(day: IngestDay) -> None:
             print(day.iso(), curate_day(spark, lake, day, parquet=_raw_parquet(options)))
 
-        curate_new_days(spark, lake, options.checkpoint, curate).awaitTermination()
+        curate_new_days(
+            spark, lake, options.checkpoint, curate, announced=flag(options.announced)
+        ).awaitTermination()
         return 0
     if options.job == "report":
         print(_report(spark, lake, options))

@@ -10,7 +10,7 @@ from clickbasin.operators.money import total
 from clickbasin.operators.ranking import top_n_and_other
 from clickbasin.schemas import CURATED, PARTITION_KEYS
 from clickbasin.sources.curated import read_curated, read_curated_day
-from clickbasin.sources.storage import ALL_DAYS, day_glob, exists, replace_partitions
+from clickbasin.sources.storage import delete, exists, partition_folders, replace_day
 
 # Fixed value: bars shown before the remainder is folded.
 CATEGORY_LIMIT = 20
@@ -75,8 +75,14 @@ def refresh_dataset(
     curated = read_curated(spark, curated_root) if whole else read_curated_day(spark, curated_root, day)
     if curated is None:
         return False
-    pattern = f"{dataset_root.rstrip('/')}/{ALL_DAYS}" if whole else day_glob(dataset_root, day)
-    replace_partitions(spark, pattern, lambda: _write(bi_dataset(curated), dataset_root))
+    if whole:
+        _write(bi_dataset(curated), dataset_root)
+        # Curated has a folder for every partition that has rows; others in the dataset are leftovers.
+        wanted = partition_folders(spark, curated_root)
+        for folder in sorted(partition_folders(spark, dataset_root) - wanted):
+            delete(spark, f"{dataset_root.rstrip('/')}/{folder}")
+    else:
+        replace_day(spark, dataset_root, day, lambda: _write(bi_dataset(curated), dataset_root))
     return True
 
 

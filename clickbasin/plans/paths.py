@@ -20,6 +20,11 @@ class LakePaths:
     def errors(self) -> str:
         return self._under("raw", "errors")
 
+    @property
+    def landed_days(self) -> str:
+        """Which days each landing batch wrote to."""
+        return self._under("raw", "landed-days")
+
     @property
     def quarantine(self) -> str:
         return self._under("staging", "quarantine")

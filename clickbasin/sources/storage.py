@@ -56,19 +56,21 @@ def folder_event_type(folder: str) -> str | None:
     return None if value == NULL_PARTITION else value
 
 
-def replace_partitions(spark: SparkSession, pattern: str, write: Callable[[], None]) -> None:
-    """Run a dynamic-overwrite ``write`` so that the folders behind ``pattern`` hold its output only.
+def partition_folders(spark: SparkSession, root: str) -> set[str]:
+    """All partition folders below ``root``, relative to it; one listing, and none of their files."""
+    depth = ALL_DAYS.count("/") + 1
+    return {"/".join(path.split("/")[-depth:]) for path in glob(spark, f"{root.rstrip('/')}/{ALL_DAYS}")}
+
+
+def replace_day(spark: SparkSession, root: str, day: IngestDay, write: Callable[[], None]) -> None:
+    """Run a dynamic-overwrite ``write`` so that the day's folders hold its output only.
 
     Dynamic overwrite leaves alone the partitions it produces no row for. A
     partition that still has a file from before the write is such a leftover.
     Nothing is removed when the write fails.
     """
-    before = {folder: any_file(spark, folder) for folder in glob(spark, pattern)}
+    before = {folder: any_file(spark, folder) for folder in glob(spark, day_glob(root, day))}
     write()
     for folder, file in before.items():
         if any_file(spark, folder) is None if file is None else exists(spark, file):
             delete(spark, folder)
-
-
-def replace_day(spark: SparkSession, root: str, day: IngestDay, write: Callable[[], None]) -> None:
-    replace_partitions(spark, day_glob(root, day), write)

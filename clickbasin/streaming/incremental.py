@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clickbasin.functions.dates import IngestDay
 from clickbasin.operators.scan_budget import PARTITIONED_FILES
 from clickbasin.plans.paths import LakePaths
-from clickbasin.schemas import DATE_KEYS
+from clickbasin.schemas import DATE_KEYS, PARTITION_FIELDS
 from clickbasin.streaming.landing import NO_AGE_LIMIT
 
 
@@ -25,15 +26,26 @@ def new_files(spark: SparkSession, raw_root: str) -> DataFrame:
     )
 
 
+def announced_days(spark: SparkSession, lake: LakePaths) -> DataFrame:
+    """A stream with a row per day and landing batch not seen before: one small file per batch is listed."""
+    days = spark.readStream.schema(T.StructType(PARTITION_FIELDS[1:]))
+    return days.option("maxFileAge", NO_AGE_LIMIT).json(lake.landed_days)
+
+
 def curate_new_days(
     spark: SparkSession,
     lake: LakePaths,
     checkpoint: str,
     curate: Callable[[IngestDay], object],
+    *,
+    announced: bool = False,
 ) -> StreamingQuery:
     """Call ``curate`` for every ingest day that received files since the last run.
 
-    The checkpoint remembers the files already seen. A day with new files is
+    The checkpoint remembers the files already seen. By default those are the raw files, all of
+    which are listed on every run; with ``announced`` they are the announcements that the landing
+    writes, so that a run costs the same however old the lake is. A checkpoint belongs to one of
+    the two. A day with new files is
     recomputed as a whole, so its de-duplication also covers the files of
     earlier runs and a repeated batch changes nothing.
     """
@@ -44,7 +56,7 @@ def curate_new_days(
             curate(IngestDay(*row))
 
     return (
-        new_files(spark, lake.raw)
+        (announced_days(spark, lake) if announced else new_files(spark, lake.raw))
         .writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -14,8 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from clickbasin.functions.dates import IngestDay, day_columns
 from clickbasin.functions.json_lines import decode, is_blank
 from clickbasin.plans.paths import LakePaths
-from clickbasin.schemas import CORRUPT_COLUMN, DATE_KEYS, PARTITION_KEYS, RAW, RAW_DATA
-from clickbasin.session import pin
+from clickbasin.schemas import CORRUPT_COLUMN, DATE_KEYS, PARTITION_FIELDS, PARTITION_KEYS, RAW, RAW_DATA
+from clickbasin.session import pin, small_frame
 from clickbasin.sources.raw import decode_lines
 from clickbasin.sources.storage import delete, glob
 
@@ -163,11 +163,28 @@ def _write_parquet(rows: DataFrame, path: str, prefix: str) -> None:
     )
 
 
+def _days(routed: DataFrame) -> list[IngestDay]:
+    """The arrival days of a batch: one, or two around midnight."""
+    return [IngestDay(*row) for row in routed.select(*DATE_KEYS).distinct().collect()]
+
+
+def announce_days(spark: SparkSession, lake: LakePaths, days: list[IngestDay], name: str) -> None:
+    """Tell incremental curation that files were added to ``days``; ``name`` starts the file's name.
+
+    The landing stream does this for every batch. Whoever copies raw files into the lake by
+    other means calls it afterwards.
+    """
+    rows = small_frame(spark, [tuple(day) for day in days], T.StructType(PARTITION_FIELDS[1:]))
+    rows.coalesce(1).write.mode("append").option("mapreduce.output.basename", name).json(lake.landed_days)
+
+
 def _remove_attempt(routed: DataFrame, lake: LakePaths, prefix: str) -> None:
     """Delete files an earlier attempt at this batch left in the days it writes to."""
     spark = routed.sparkSession
-    for row in routed.select(*DATE_KEYS).distinct().collect():
-        day = IngestDay(*row).folder()
+    for leftover in glob(spark, f"{lake.landed_days}/{prefix}-*"):
+        delete(spark, leftover)
+    for found in _days(routed):
+        day = found.folder()
         for folder in (f"{lake.raw}/event_type=*", f"{lake.errors}/result=*"):
             for leftover in glob(spark, f"{folder}/{day}/{prefix}-*"):
                 delete(spark, leftover)
@@ -197,6 +214,7 @@ def batch_writer(lake: LakePaths, *, parquet: bool = False) -> Callable[[DataFra
             else:
                 _write_lines(delivered(routed), lake.raw, PARTITION_KEYS, prefix)
             _write_lines(undeliverable(routed), lake.errors, ["result", *DATE_KEYS], prefix)
+            announce_days(batch.sparkSession, lake, _days(routed), prefix)
         finally:
             routed.unpersist()
 

@@ -16,7 +16,14 @@ from clickbasin.sources.curated import read_curated
 from clickbasin.sources.raw import read_raw_day
 from clickbasin.streaming import landing
 from clickbasin.streaming.incremental import curate_new_days
-from clickbasin.streaming.landing import Buffering, batch_writer, line_stream, start_landing, with_route
+from clickbasin.streaming.landing import (
+    Buffering,
+    announce_days,
+    batch_writer,
+    line_stream,
+    start_landing,
+    with_route,
+)
 
 ARRIVAL = "2024-03-07 23:59:59"
 DAY = ingest_day("2024-03-07")
@@ -162,6 +169,22 @@ def test_days_of_old_files_are_curated(spark, lake, drop_lines, tmp_path):
     assert seen == [DAY, restored]
 
 
+def test_announced_days_are_curated_without_listing_raw(spark, feed, lake, tmp_path):
+    seen = []
+
+    def run():
+        curate_new_days(spark, lake, str(tmp_path / "c"), seen.append, announced=True).awaitTermination()
+
+    feed("a.json", GOOD)
+    drain(spark, feed, lake, tmp_path)
+    run()
+    run()
+    assert seen == [DAY]
+    announce_days(spark, lake, [ingest_day("2024-01-02"), DAY], "restored")
+    run()
+    assert seen == [DAY, ingest_day("2024-01-02"), DAY]
+
+
 def test_landed_source_files_can_be_moved_away(spark, feed, lake, tmp_path):
     for name, lines in (("a.json", GOOD[:1]), ("b.json", GOOD[1:2]), ("c.json", GOOD[2:])):
         feed(name, lines)
