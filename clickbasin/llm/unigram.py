@@ -28,7 +28,7 @@ from clickbasin.llm.support import per_worker
 
 MARKER = "▁"
 # Words of more characters are encoded one by one; so many encoded words are kept; so many texts go together.
-SHORT, CACHED, TOGETHER = 24, 800_000, 500
+SHORT, CACHED, TOGETHER = 24, 600_000, 500
 # Fixed value: how much less than the worst piece an uncovered character scores.
 PENALTY = 10.0
 # Stands for a marker character that the text itself has; no text has it, and it is encoded as bytes.
@@ -128,8 +128,12 @@ class Encoder:
         self.unknown = min(pieces.scores.values(), default=0.0) - PENALTY
         self.longest = max((len(t.encode()) for t in pieces.texts.values()), default=1)
         self.byte_ids = np.array(pieces.bytes_, dtype=np.int64)
-        self.plain = {i: text.replace(MARKER, " ").encode() for i, text in pieces.texts.items()}
-        self.plain |= {i: bytes([b]) for b, i in enumerate(pieces.bytes_)}
+        # What each id stands for, one behind the other; the last place is for what is no piece.
+        plain = {i: text.replace(MARKER, " ").encode() for i, text in pieces.texts.items()}
+        plain |= {i: bytes([b]) for b, i in enumerate(pieces.bytes_)}
+        self.lengths = np.array([len(plain.get(i, b"")) for i in range(top + 1)])
+        self.places = np.cumsum(self.lengths) - self.lengths
+        self.letters = np.frombuffer(b"".join(plain.get(i, b"") for i in range(top + 1)), dtype=np.uint8)
         if any(MARKER in text.lstrip(MARKER) for text in pieces.texts.values()):
             raise ValueError("a piece has a marker behind another character")
         # Where no piece may reach across: before markers, and around characters of no piece.
@@ -261,13 +265,25 @@ class Encoder:
         split = [self.words(text) for text in texts]
         if len(cache) > CACHED:
             cache.clear()
-        self.fill(cache, {word for words in split for word in words if word not in cache})
-        return [np.frombuffer(b"".join([cache[word] for word in words]), dtype="<i4") for words in split]
+        self.fill(cache, set().union(*split).difference(cache))
+        return [np.frombuffer(b"".join(map(cache.__getitem__, words)), dtype="<i4") for words in split]
 
-    def decode(self, ids: list[int]) -> str:
-        """The text that ids stand for: markers become spaces, byte pieces bytes, and the first space goes."""
-        data = b"".join([self.plain.get(i, b"") for i in ids])
-        return data.decode("utf-8", "replace").removeprefix(" ")
+    def decode(self, ids: list[int] | np.ndarray) -> str:
+        """The text that ids stand for: markers become spaces, byte pieces bytes, and the first space goes.
+
+        Ids that are no pieces stand for nothing, bytes that are no text for the replacement character.
+        """
+        return self.decode_all(np.asarray(ids, dtype=np.int64), np.array([0, len(ids)]))[0]
+
+    def decode_all(self, ids: np.ndarray, edges: np.ndarray) -> list[str]:
+        """The texts of several lists of ids, which lie one behind the other between ``edges``."""
+        ids = np.where((ids < 0) | (ids >= len(self.lengths) - 1), len(self.lengths) - 1, ids)
+        sizes = self.lengths[ids]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        data = self.letters[np.repeat(self.places[ids] - ends + sizes, sizes) + np.arange(total)].tobytes()
+        cuts = np.concatenate([[0], ends])[edges].tolist()
+        return [data[a:b].decode("utf-8", "replace").removeprefix(" ") for a, b in zip(cuts, cuts[1:])]
 
 
 def encoder(path: str) -> Encoder:
@@ -298,6 +314,13 @@ def decoded(shared: Broadcast, ids: Column) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
         for batch in batches:
-            yield pa.array([own.decode(row.values.to_pylist()) if row.is_valid else "" for row in batch], pa.string())
+            batch = batch.fill_null([])
+            edges = batch.offsets.to_numpy()
+            flat = batch.values.fill_null(-1).to_numpy()
+            found = []
+            for at in range(0, len(batch), 50):
+                part = edges[at : at + 51]
+                found += own.decode_all(flat[part[0] : part[-1]], part - part[0])
+            yield pa.array(found, pa.string())
 
     return decode(ids)

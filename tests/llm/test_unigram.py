@@ -90,6 +90,9 @@ def test_odd_rows(spark, full):
     rows = rows.withColumn("back", unigram.decoded(shared, rows.ids)).collect()
     assert [r.back for r in rows] == [t or "" for t in ODD * 2]
     assert rows[0].ids == [] and rows[1].ids == []
+    given = spark.createDataFrame([(None,), ([],), ([5, -1, 10**6, None, 5],), ([3 + 0xFF],)], "ids array<int>")
+    back = [r.back for r in given.select(unigram.decoded(shared, given.ids).alias("back")).collect()]
+    assert back == ["", "", "\x02\x02", "\ufffd"]
     assert frame.where("false").withColumn("ids", unigram.pieces(shared, frame.text)).count() == 0
 
 
