@@ -28,7 +28,7 @@ from clickbasin.llm.support import per_worker
 
 MARKER = "▁"
 # Words of more characters are encoded one by one; so many encoded words are kept; so many texts go together.
-SHORT, CACHED, TOGETHER = 24, 600_000, 500
+SHORT, CACHED, TOGETHER = 24, 250_000, 250
 # Fixed value: how much less than the worst piece an uncovered character scores.
 PENALTY = 10.0
 # Stands for a marker character that the text itself has; no text has it, and it is encoded as bytes.
