@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,8 +50,16 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
     return pin(spark)
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, not yet existing path for a written table.
+@cache
+def _local_root() -> str:
+    """One folder of this machine for as long as the process runs."""
+    root = tempfile.mkdtemp(prefix="clickbasin-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    """Where this application's written tables go.
 
     The root is the shared folder the cluster names in ``spark.checkpoint.dir``.
     Only a local session may fall back to a folder of this machine.
@@ -57,8 +68,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="clickbasin-")
-    return f"{root.rstrip('/')}/clickbasin/{label}-{uuid.uuid4().hex}"
+        root = _local_root()
+    return f"{root.rstrip('/')}/clickbasin/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh, not yet existing path for a written table."""
+    return f"{_scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote below the scratch root; frames that read it become invalid."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:

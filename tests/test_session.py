@@ -1,27 +1,29 @@
+import os
 from types import SimpleNamespace
 
 import pytest
 
+from clickbasin import session
 from clickbasin.session import RUNTIME_SETTINGS, pin, scratch_path, small_frame
 
 
 def stub(master, checkpoint_dir=None):
     return SimpleNamespace(
         conf=SimpleNamespace(get=lambda key, default=None: checkpoint_dir),
-        sparkContext=SimpleNamespace(master=master),
+        sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
     )
 
 
 def test_written_tables_go_to_the_shared_folder():
     path = scratch_path(stub("yarn", "s3a://shared/checkpoints/"), "raw")
-    assert path.startswith("s3a://shared/checkpoints/clickbasin/raw-")
+    assert path.startswith("s3a://shared/checkpoints/clickbasin/app-1/raw-")
     assert path != scratch_path(stub("yarn", "s3a://shared/checkpoints/"), "raw")
 
 
 def test_only_a_local_session_may_use_this_machine():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(stub("yarn"), "raw")
-    assert "/clickbasin/raw-" in scratch_path(stub("local[4]"), "raw")
+    assert "/clickbasin/app-1/raw-" in scratch_path(stub("local[4]"), "raw")
 
 
 def test_pin_changes_a_foreign_session(spark):
@@ -37,3 +39,19 @@ def test_small_frames_are_local_and_broadcast_by_size(spark):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LocalTableScan" in plan
     assert small_frame(spark, [], "name string").isEmpty()
+
+
+def test_scratch_is_cleared(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        path = session.scratch_path(spark, "t")
+        assert path != session.scratch_path(spark, "t") and path.startswith(str(tmp_path))
+        spark.range(3).write.parquet(path)
+        session.clear_scratch(spark)
+        assert not os.path.exists(path)
+    finally:
+        if before:
+            spark.conf.set("spark.checkpoint.dir", before)
+        else:
+            spark.conf.unset("spark.checkpoint.dir")
