@@ -1,10 +1,10 @@
-import os
 from types import SimpleNamespace
 
 import pytest
 
 from clickbasin import session
 from clickbasin.session import RUNTIME_SETTINGS, pin, scratch_path, small_frame
+from clickbasin.sources.storage import glob
 
 
 def stub(master, checkpoint_dir=None):
@@ -41,17 +41,9 @@ def test_small_frames_are_local_and_broadcast_by_size(spark):
     assert small_frame(spark, [], "name string").isEmpty()
 
 
-def test_scratch_is_cleared(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        path = session.scratch_path(spark, "t")
-        assert path != session.scratch_path(spark, "t") and path.startswith(str(tmp_path))
-        spark.range(3).write.parquet(path)
-        session.clear_scratch(spark)
-        assert not os.path.exists(path)
-    finally:
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
-        else:
-            spark.conf.unset("spark.checkpoint.dir")
+def test_scratch_is_cleared(spark):
+    path = scratch_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert glob(spark, path)
+    session.clear_scratch(spark)
+    assert not glob(spark, path)
