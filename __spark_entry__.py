@@ -299,7 +299,7 @@ def _incremental_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _training_data():
     """The queries for training data, where that part of the library and its pipeline are present."""
-    if importlib.util.find_spec("clickbasin.llm") is None:
+    if not importlib.util.find_spec("clickbasin.llm") or not importlib.util.find_spec("clickbasin.llm.entries"):
         return None
     from clickbasin.llm import entries
 
