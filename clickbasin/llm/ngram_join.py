@@ -263,7 +263,8 @@ def classes(
     )
     by_value = texts.select("rep", F.explode("bands").alias("value"))
     shared = by_value.groupBy("value").agg(F.min("rep").alias("pivot"), F.max("rep").alias("other"))
-    shared = shared.where("pivot <> other").select("value", "pivot")
+    # Read from a table, so that the join below is split where many share one value; so are other counts here.
+    shared = stored(shared.where("pivot <> other").select("value", "pivot"), "shared-values")
     proposed = by_value.join(shared, "value").where("rep <> pivot").select(F.col("rep").alias("u"), F.col("pivot").alias("v"))
     family = stored(components(proposed), "families")
     found = stored(_verified(docs, texts, family, join, id_column, text), "verified")
@@ -300,7 +301,7 @@ def _verified(docs: DataFrame, texts: DataFrame, family: DataFrame, join: Join,
     sizes = family.join(texts.select(F.col("rep").alias("node"), "n_grams"), "node").groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n_grams") / BLOCK_GRAMS)).cast("int").alias("blocks")
     )
-    members = members.join(sizes, "component").select(
+    members = members.join(stored(sizes, "sizes"), "component").select(
         F.col("node").alias("id"),
         "component",
         "blocks",
