@@ -7,7 +7,8 @@ buckets of the axes nearest to it, in order; how many, is fitted so that a sampl
 the wanted share of its true neighbours. Candidates are ranked by their exact inner products.
 
 Buckets are cut into blocks of vectors and blocks of queries of bounded size, each pair of which is
-one product of matrices; every block hands on a short list per query. Equal vectors are searched
+one product of matrices; every block hands on a short list per query. The nearest few buckets are
+searched first: what they give bounds what the others still have to hand on. Equal vectors are searched
 for and found as one: of their ids only the smallest ones can be among the nearest.
 """
 
@@ -26,6 +27,8 @@ from clickbasin.llm.support import stored
 
 # Sizes of a block, and how many vectors a bucket should hold before hashes are made of two axes.
 BLOCK_VECTORS, BLOCK_QUERIES, BUCKET = 8_192, 2_048, 200_000
+# Buckets of each table that are searched first.
+FIRST = 4
 
 
 @dataclass(frozen=True)
@@ -140,8 +143,10 @@ def _keyed(vectors: DataFrame) -> DataFrame:
     return vectors.mapInArrow(work, f"id long, key_a long, key_b long, size int, length double, vector {kind}")
 
 
-def _best(queries: np.ndarray, keys: list, members: list[tuple[np.ndarray, list]], k: int) -> list[tuple]:
-    """(query key, id, score): the ``k`` best ids of a block of vectors for each query."""
+def _best(
+    queries: np.ndarray, keys: list, bounds: np.ndarray, members: list[tuple[np.ndarray, list]], k: int
+) -> list[tuple]:
+    """(query key, id, score): for each query the ``k`` best ids of a block of vectors that reach its bound."""
     matrix = np.concatenate([x for x, _ in members])
     ids = [own for _, part in members for own in part]
     scores = queries @ matrix.T
@@ -149,11 +154,11 @@ def _best(queries: np.ndarray, keys: list, members: list[tuple[np.ndarray, list]
     width = min(k, len(ids))
     for i, key in enumerate(keys):
         row = scores[i]
+        least = bounds[i]
         if width < len(ids):
             # Everything that is not worse than the k-th best, so that ties are settled by id.
-            top = np.flatnonzero(row >= np.partition(row, len(ids) - width)[len(ids) - width])
-        else:
-            top = np.arange(len(ids))
+            least = max(least, np.partition(row, len(ids) - width)[len(ids) - width])
+        top = np.flatnonzero(row >= least)
         found = sorted((-float(row[j]), own) for j in top for own in ids[j])[:k]
         out += [(*key, own, -score) for score, own in found]
     return out
@@ -247,7 +252,8 @@ def nearest(
         keyed.join(asks, keyed.id == asks.query_id).select("query_id", "key_a", "key_b").distinct(), "queries"
     )
     queries = texts.join(asking.select("key_a", "key_b").distinct(), ["key_a", "key_b"], "left_semi")
-    queries = stored(queries.select("key_a", "key_b", "size", "vector"), "query-vectors")
+    unbounded = F.lit(float("-inf"))
+    queries = stored(queries.select("key_a", "key_b", "size", "vector", unbounded.alias("bound")), "query-vectors")
 
     # One row per dimension.
     shapes = texts.groupBy("size").agg(
@@ -259,14 +265,26 @@ def nearest(
         own = Hashes(row["size"], search, 1, row.most, even)
         hashes[row["size"]] = own if row.n <= BUCKET * own.buckets() else Hashes(row["size"], search, 2, row.most, even)
     probes = _fit(texts, queries, search, hashes)
-    found = stored(_looked_up(texts, queries, search, hashes, probes), "found")
 
     def ranked(frame: DataFrame, keep: int) -> DataFrame:
         once = frame.groupBy("key_a", "key_b", "vec_id").agg(F.max("score").alias("score"))
         order = Window.partitionBy("key_a", "key_b").orderBy(F.desc("score"), "vec_id")
         return once.withColumn("n", F.row_number().over(order)).where(F.col("n") <= keep).drop("n")
 
-    best = ranked(found, search.k + 1)
+    first = {size: (0, min(FIRST, most)) for size, most in probes.items()}
+    close = stored(ranked(_looked_up(texts, queries, search, hashes, first), search.k + 1), "close")
+    # Rounding may differ by block, so the bound leaves a little room.
+    bounds = close.groupBy("key_a", "key_b").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    bounds = bounds.where(F.col("n") > search.k).select("key_a", "key_b", "least")
+    bounded = queries.join(bounds, ["key_a", "key_b"], "left").select(
+        "key_a", "key_b", "size", "vector", F.coalesce(F.col("least") - 1e-9 * F.abs("least"), "bound").alias("bound")
+    )
+    rest = {size: (FIRST, most) for size, most in probes.items() if most > FIRST}
+    found = close
+    if rest:
+        far = bounded.where(F.col("size").isin(list(rest)))
+        found = close.union(_looked_up(texts, stored(far, "bounded-queries"), search, hashes, rest))
+    best = stored(ranked(found, search.k + 1), "best")
     # What a query could find: every vector of its dimension, up to the k it needs and itself.
     could = few.groupBy("size").agg(F.least(F.count("*"), F.lit(search.k + 1)).alias("could"))
     short = (
@@ -275,7 +293,7 @@ def nearest(
         .where(F.coalesce("n", F.lit(0)) < F.col("could"))
         .select(*queries.columns)
     )
-    every = {size: own.buckets() for size, own in hashes.items()}
+    every = {size: (0, own.buckets()) for size, own in hashes.items()}
     again = _looked_up(texts, stored(short, "short-queries"), search, hashes, every, tables=1)
     best = ranked(best.union(again), search.k + 1)
     results = asking.join(best, ["key_a", "key_b"]).where("query_id <> vec_id")
@@ -286,9 +304,17 @@ def nearest(
 
 
 def _looked_up(
-    texts: DataFrame, queries: DataFrame, search: Search, hashes: dict[int, Hashes], probes: dict[int, int], tables: int | None = None
+    texts: DataFrame,
+    queries: DataFrame,
+    search: Search,
+    hashes: dict[int, Hashes],
+    probes: dict[int, tuple[int, int]],
+    tables: int | None = None,
 ) -> DataFrame:
-    """``_FOUND`` rows: the best ids of every block of every bucket that a query looks into."""
+    """``_FOUND`` rows: the best ids of every block of the buckets that a query looks into.
+
+    ``probes`` has, by dimension, from which to which of its buckets in order of nearness.
+    """
     tables = tables or search.tables
 
     def placed(asking: bool):
@@ -303,7 +329,11 @@ def _looked_up(
                         if not len(part):
                             continue
                         x = _matrix(part.column(3))
-                        codes = own.probes(x, probes[int(size)]) if asking else own.codes(x)[:, :, None]
+                        if asking:
+                            start, end = probes[int(size)]
+                            codes = own.probes(x, end)[:, :, start:]
+                        else:
+                            codes = own.codes(x)[:, :, None]
                         codes = codes[:, :tables]
                         spread = codes * tables + np.arange(tables)[None, :, None]
                         lists = pa.array(spread.reshape(len(part), -1).tolist(), pa.list_(pa.int64()))
@@ -320,7 +350,7 @@ def _looked_up(
 
     # Rows without their vectors settle how many blocks a bucket needs: a row per bucket, of which there
     # are as many as signed axes (or pairs of them) in all tables.
-    homes = stored(spread(texts, False), "homes")
+    homes = stored(spread(texts.where(F.col("size").isin(list(probes))), False), "homes")
     asked = stored(spread(queries, True), "asked")
     need = homes.groupBy("size", "bucket").agg(F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("blocks"))
     want = asked.groupBy("size", "bucket").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("parts"))
@@ -333,25 +363,26 @@ def _looked_up(
         .withColumn("block", F.pmod(mix, "blocks"))
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .join(texts.select("key_a", "key_b", "ids", "vector"), ["key_a", "key_b"])
-        .select(*group, F.lit(1).alias("side"), "key_a", "key_b", "ids", "vector")
+        .select(*group, F.lit(1).alias("side"), "key_a", "key_b", "ids", "vector", F.lit(0.0).alias("bound"))
     )
     asking = (
         asked.join(plan, ["size", "bucket"])
         .withColumn("part", F.pmod(mix, "parts").cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks").cast("bigint") - 1)))
-        .join(queries.select("key_a", "key_b", "vector"), ["key_a", "key_b"])
-        .select(*group, F.lit(0).alias("side"), "key_a", "key_b", F.array().cast("array<bigint>").alias("ids"), F.col("vector").cast(kind).alias("vector"))
+        .join(queries.select("key_a", "key_b", "vector", "bound"), ["key_a", "key_b"])
+        .select(*group, F.lit(0).alias("side"), "key_a", "key_b", F.array().cast("array<bigint>").alias("ids"), F.col("vector").cast(kind).alias("vector"), "bound")
     )
     meeting = data.unionByName(asking).repartition(*group).sortWithinPartitions(*group, "side")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, keys, asked_rows, members = None, [], [], []
+        current, keys, bounds, asked_rows, members = None, [], [], [], []
 
         def flush() -> Iterator[pa.RecordBatch]:
             if keys and members:
-                queries_at = np.concatenate(asked_rows)
+                queries_at, least = np.concatenate(asked_rows), np.concatenate(bounds)
                 for at in range(0, len(keys), 256):
-                    yield _found_batch(_best(queries_at[at : at + 256], keys[at : at + 256], members, search.k + 1))
+                    part = slice(at, at + 256)
+                    yield _found_batch(_best(queries_at[part], keys[part], least[part], members, search.k + 1))
 
         for batch in batches:
             marks = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]).astype(np.int64)
@@ -360,12 +391,13 @@ def _looked_up(
                 own = tuple(marks[start, :4])
                 if own != current:
                     yield from flush()
-                    current, keys, asked_rows, members = own, [], [], []
+                    current, keys, bounds, asked_rows, members = own, [], [], [], []
                 part = batch.slice(start, end - start)
                 x = _matrix(part.column(8))
                 if marks[start, 4] == 0:
                     keys += list(zip(part.column(5).to_pylist(), part.column(6).to_pylist()))
                     asked_rows.append(x)
+                    bounds.append(part.column(9).to_numpy())
                 else:
                     members.append((x, part.column(7).to_pylist()))
         yield from flush()
