@@ -30,6 +30,8 @@ from clickbasin.llm.support import free_name, stored
 
 # A block holds about so many documents and so many n-grams.
 BLOCK_DOCS, BLOCK_GRAMS = 512, 250_000
+# Pairs of documents that share a rare n-gram are listed so many at a time; so many hashes of words are kept.
+LISTED, WORDS_KEPT = 300_000, 60_000
 _WORD = re.compile(r"\w+")
 _MASK = (1 << 64) - 1
 
@@ -61,7 +63,7 @@ class _WordHashes(dict):
     """64-bit hashes of words, forgotten when there are too many."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > WORDS_KEPT:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
@@ -173,11 +175,16 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     first_b = np.concatenate([[0], np.cumsum(np.where(rare, count_b, 0))])
     reach = count_b[cols_a]
     ends = np.cumsum(reach)
-    for low in range(0, len(rows_a), 65536):
-        part = slice(low, low + 65536)
+    low = 0
+    while low < len(rows_a):
+        # As many rows as list a bounded number of pairs.
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + LISTED, side="right")))
+        part = slice(low, high)
+        low = high
         times = reach[part]
         pair_a = np.repeat(rows_a[part], times)
-        inside = np.arange(times.sum()) - np.repeat(ends[part] - times - (ends[low - 1] if low else 0), times)
+        inside = np.arange(times.sum()) - np.repeat(ends[part] - times - before, times)
         pair_b = rows_b[np.repeat(first_b[cols_a[part]], times) + inside]
         shared += np.bincount(pair_a * b + pair_b, minlength=a * b).reshape(a, b)
     return shared
