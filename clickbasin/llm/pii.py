@@ -1,5 +1,6 @@
 """Personal data: patterns propose spans, checksums confirm them, nearby words adjust the score.
 
+Nearby are the 48 characters on each side of a span, whatever they hold, other spans included.
 Everything is a DataFrame expression over one text column: no Python runs on the executors and
 nothing is shuffled. Offsets are code points, ends are exclusive. Every pattern needs time in
 proportion to the text: runs are taken possessively and never started in their middle, which finds
@@ -182,20 +183,42 @@ def _sum(a: Column, b: Column) -> Column:
     return a + b
 
 
+def _cut_in_blocks(whole: Column) -> Column:
+    return F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _between(blocks: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to ``end``, of which only the blocks in question are read."""
+    a, b = (start / BLOCK).cast("int"), (end / BLOCK).cast("int")
+    in_a, in_b = (start % BLOCK).cast("int"), (end % BLOCK).cast("int")
+    piece = lambda i: F.coalesce(F.get(blocks, i), F.lit(""))
+    return F.when(a == b, piece(a).substr(in_a + 1, in_b - in_a)).otherwise(
+        F.concat(
+            piece(a).substr(in_a + 1, F.lit(BLOCK)),
+            F.array_join(F.slice(blocks, a + 2, F.greatest(b - a - 1, F.lit(0))), ""),
+            F.left(piece(b), in_b),
+        )
+    )
+
+
 def _score(kind: Kind, before: Column, after: Column) -> Column:
-    around = F.lower(F.concat(before, F.lit(" "), after))
-    score = F.lit(kind.score)
-    score = score + F.when(around.rlike(rf"\b(?:{kind.near})"), RAISE).otherwise(0.0)
-    if kind.far:
-        score = score - F.when(around.rlike(rf"\b(?:{kind.far})"), LOWER).otherwise(0.0)
-    return F.least(F.lit(1.0), F.round(score, 2))
+    def weigh(around: Column) -> Column:
+        score = F.lit(kind.score)
+        score = score + F.when(around.rlike(rf"\b(?:{kind.near})"), RAISE).otherwise(0.0)
+        if kind.far:
+            score = score - F.when(around.rlike(rf"\b(?:{kind.far})"), LOWER).otherwise(0.0)
+        return F.least(F.lit(1.0), F.round(score, 2))
+
+    return _let(F.lower(F.concat(before, F.lit(" "), after)), weigh)
 
 
 def _of_one_kind(frame: DataFrame, kind: Kind, whole: Column, held: str) -> DataFrame:
     """Adds ``held``: the confirmed spans of one kind, null where the pattern is not found."""
     taken = [*frame.columns, held]
-    match_name, gap_name, start_name = (free_name(f"_{kind.name}_{part}", taken) for part in ("match", "gap", "start"))
-    match, gap, start = F.col(match_name), F.col(gap_name), F.col(start_name)
+    match_name, gap_name, start_name, blocks_name = (
+        free_name(f"_{kind.name}_{part}", taken) for part in ("match", "gap", "start", "blocks")
+    )
+    match, gap, start, blocks = F.col(match_name), F.col(gap_name), F.col(start_name), F.col(blocks_name)
     some = F.size(match) > 0
     found = F.regexp_extract_all(whole, F.lit(kind.pattern), F.lit(0))
     frame = frame.withColumn(match_name, F.when(kind.hint(whole), found).otherwise(F.array().cast("array<string>")))
@@ -206,17 +229,20 @@ def _of_one_kind(frame: DataFrame, kind: Kind, whole: Column, held: str) -> Data
         return (F.length(F.get(gap, i)) + previous).cast("bigint")
 
     def span(m: Column, i: Column) -> Column:
-        before, after = F.right(F.get(gap, i), F.lit(NEAR_CHARS)), F.left(F.get(gap, i + 1), F.lit(NEAR_CHARS))
+        first, end = F.get(start, i), F.get(start, i) + F.length(m)
+        before = _between(blocks, F.greatest(first - NEAR_CHARS, F.lit(0)), first)
+        after = _between(blocks, end, end + NEAR_CHARS)
         return F.struct(
             F.lit(kind.name).alias("kind"),
-            F.get(start, i).alias("start"),
-            (F.get(start, i) + F.length(m)).alias("end"),
+            first.alias("start"),
+            end.alias("end"),
             F.when(kind.check(m), _score(kind, before, after)).alias("score"),
         )
 
     frame = frame.withColumn(start_name, F.when(some, running(F.transform(match, step), _sum)))
+    frame = frame.withColumn(blocks_name, F.when(some, _cut_in_blocks(whole)))
     spans = F.filter(F.transform(match, span), lambda s: s["score"].isNotNull())
-    return frame.withColumn(held, F.when(some, spans)).drop(match_name, gap_name, start_name)
+    return frame.withColumn(held, F.when(some, spans)).drop(match_name, gap_name, start_name, blocks_name)
 
 
 def with_spans(frame: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
@@ -287,22 +313,8 @@ def masked(frame: DataFrame, text: str = "text", certain: float = CERTAIN) -> Da
             ),
         ),
     )
-    frame = frame.withColumn(
-        blocks, F.when(some, F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
-    )
-
-    def cut(start: Column, end: Column) -> Column:
-        a, b = (start / BLOCK).cast("int"), (end / BLOCK).cast("int")
-        in_a, in_b = (start % BLOCK).cast("int"), (end % BLOCK).cast("int")
-        piece = lambda i: F.coalesce(F.get(F.col(blocks), i), F.lit(""))
-        return F.when(a == b, piece(a).substr(in_a + 1, in_b - in_a)).otherwise(
-            F.concat(
-                piece(a).substr(in_a + 1, F.lit(BLOCK)),
-                F.array_join(F.slice(F.col(blocks), a + 2, F.greatest(b - a - 1, F.lit(0))), ""),
-                F.left(piece(b), in_b),
-            )
-        )
-
+    frame = frame.withColumn(blocks, F.when(some, _cut_in_blocks(whole)))
+    cut = lambda start, end: _between(F.col(blocks), start, end)
     parts = F.transform(
         F.col(groups),
         lambda g, j: F.concat(

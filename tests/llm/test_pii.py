@@ -115,3 +115,13 @@ def test_query(spark):
         assert base_of(row.spans) == want
         assert row.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
         assert row.n_email == sum(s.startswith("email") for s in want)
+
+
+def test_nearby_words_are_seen_across_other_spans(spark):
+    far = "x " * 4088 + "SSN: 123-45-6789, 234-56-7890"
+    texts = ["SSN: 123-45-6789, 234-56-7890, 345-67-8901", "123-45-6789, 234-56-7890 (ssn)", far, "SSN" + " " * 46 + "123-45-6789"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    scores = {r.doc_id: [s.score for s in r.spans] for r in pii.with_spans(frame).collect()}
+    assert scores == {0: [0.5] * 3, 1: [0.5] * 2, 2: [0.5] * 2, 3: [0.3]}
+    got = {r.doc_id: r.text for r in pii.masked(frame).collect()}
+    assert got[0] == "SSN: [SSN], [SSN], [SSN]" and got[2].endswith("SSN: [SSN], [SSN]") and got[3] == texts[3]
