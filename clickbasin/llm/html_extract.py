@@ -39,6 +39,8 @@ BLOCK = frozenset(
     " table tbody tfoot thead tr caption ul".split()
 )
 CLOSES_P = BLOCK - frozenset("html body head li dt dd tr tbody thead tfoot caption".split())
+# Elements that do not end an open head.
+IN_HEAD = RAW - frozenset("textarea xmp iframe noembed svg math select".split()) | frozenset("base basefont bgsound link meta".split())
 # An element that opens ends an open one of these, up to the given borders.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -49,8 +51,8 @@ ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-# Elements whose text is never part of an article.
-NEVER = frozenset("head title script style form button input select textarea nav footer aside dialog menu".split())
+# Elements whose text is never part of an article. A form may hold one; its controls do not.
+NEVER = frozenset("head title script style button input select textarea nav footer aside dialog menu".split())
 # Words in class, id, role or itemprop that tell what an element is for.
 UNWANTED = frozenset(
     "ad ads advert advertisement advertorial banner breadcrumb breadcrumbs comment comments consent cookie cookies"
@@ -94,14 +96,19 @@ def parse(page: str) -> list[Node]:
         while len(open_) > until:
             counts[nodes[open_.pop()].tag] -= 1
 
+    def add_text(text: str) -> None:
+        if nodes[open_[-1]].tag == "head" and not text.isspace():
+            close(len(open_) - 1)
+        nodes[open_[-1]].parts.append(text)
+
     while True:
         found = _TOKEN.search(page, at)
         if found is None:
             if at < len(page):
-                nodes[open_[-1]].parts.append(page[at:])
+                add_text(page[at:])
             return nodes
         if found.start() > at:
-            nodes[open_[-1]].parts.append(page[at : found.start()])
+            add_text(page[at : found.start()])
         at = found.end()
         ending, opening = found.group(1), found.group(2)
         if ending:
@@ -115,6 +122,8 @@ def parse(page: str) -> list[Node]:
         if not opening:
             continue
         tag, attributes = opening.lower(), found.group(3) or ""
+        if nodes[open_[-1]].tag == "head" and tag not in IN_HEAD:
+            close(len(open_) - 1)
         if tag in RAW:
             if not attributes.endswith("/"):
                 lower = lower or page.lower()
@@ -153,6 +162,26 @@ def parse(page: str) -> list[Node]:
             counts[tag] += 1
 
 
+def beside_article(nodes: list[Node]) -> set[int]:
+    """Forms that hold less than half of the page's text and nothing that marks an article, and the labels in any form."""
+    forms = {i for i, node in enumerate(nodes) if node.tag == "form"}
+    if not forms:
+        return forms
+    size = [sum(len(part.strip()) for part in node.parts if isinstance(part, str)) for node in nodes]
+    marked = [node.tag in ("article", "main", "h1") for node in nodes]
+    for i in range(len(nodes) - 1, 0, -1):
+        size[nodes[i].parent] += size[i]
+        marked[nodes[i].parent] |= marked[i]
+    out = {i for i in forms if 2 * size[i] < size[0] and not marked[i]}
+    within = set(forms)
+    for i, node in enumerate(nodes):
+        if node.parent in within:
+            within.add(i)
+            if node.tag == "label":
+                out.add(i)
+    return out
+
+
 # Of the subtree: text, linked text, elements, paragraphs, list items, punctuation, capitals and digits, words.
 _SUMS = 8
 
@@ -199,6 +228,7 @@ def features(nodes: list[Node], odds: dict[str, float]) -> tuple[np.ndarray, np.
     sibling_length = length[up] / siblings
     sibling_links = np.bincount(up, link_share, n)[up] / siblings
     told = np.zeros((n, 6))
+    beside = beside_article(nodes)
     for i, node in enumerate(nodes):
         known = [odds.get(word, 0.0) for word in node.words]
         told[i, 0] = min(known, default=0.0)
@@ -206,7 +236,7 @@ def features(nodes: list[Node], odds: dict[str, float]) -> tuple[np.ndarray, np.
         told[i, 2] = any(word in UNWANTED for word in node.words) or node.hidden
         told[i, 3] = any(word in WANTED for word in node.words)
         above = told[up[i]] if i else np.zeros(6)
-        told[i, 4] = max(above[4], told[i, 2], node.tag in NEVER)
+        told[i, 4] = max(above[4], told[i, 2], node.tag in NEVER or i in beside)
         told[i, 5] = max(above[5], told[i, 3], node.tag in ("article", "main"))
     x = np.column_stack(
         [
@@ -301,7 +331,8 @@ class Extractor:
         weight = np.log1p(length)
         keep, drop, leave = (weight * v for v in (-np.log(p), -np.log(1 - p), np.full(n, 0.7)))
         keep, drop, leave = keep.tolist(), drop.tolist(), leave.tolist()
-        never = [node.tag in NEVER or node.hidden for node in nodes]
+        beside = beside_article(nodes)
+        never = [node.tag in NEVER or node.hidden or i in beside for i, node in enumerate(nodes)]
         for i in range(n - 1, -1, -1):
             if never[i]:
                 keep[i] = leave[i] = float("inf")
@@ -381,10 +412,11 @@ def plain_labels(nodes: list[Node]) -> list[bool] | None:
         return None
     state = [False] * len(nodes)
     barred = [False] * len(nodes)
+    beside = beside_article(nodes)
     for i, node in enumerate(nodes):
         up = node.parent
         barred[i] = (
-            up >= 0 and barred[up] or node.tag in NEVER or node.hidden
+            up >= 0 and barred[up] or node.tag in NEVER or node.hidden or i in beside
             or node.tag not in ("article", "main", "body") and any(word in UNWANTED for word in node.words)
         )
         state[i] = not barred[i] and (node.tag in ("article", "main") or up >= 0 and state[up])

@@ -91,3 +91,26 @@ def test_odd_rows(spark, extractor):
     assert got[3].text.count("Some words") == 1600
     assert html_extract.train(frame).texts(["<p>x"]) is not None
     assert frame.where("false").withColumn("text", html_extract.main_text(extractor, frame.html)).count() == 0
+
+
+END = f"<nav><a href=/>Home</a> <a href=/n>News</a></nav><article><h1>Top</h1><p>{LONG}<p>{LONG}</article><footer>&copy; x</footer>"
+
+
+@pytest.mark.parametrize("start", ["<head><title>x</title><meta charset=utf-8><body>", "<head><title>x</title><link href=a>"])
+def test_head_without_end(extractor, start):
+    want = f"Top\n\n{LONG.strip()}\n\n{LONG.strip()}"
+    assert extractor.texts([start + END]) == [want]
+    assert [node.tag for node in html_extract.parse("<head> <title>x</title>\nwords")] == ["#root", "head"]
+    assert html_extract.parse("<head> <title>x</title>\nwords")[0].parts[-1] == "\nwords"
+
+
+def test_page_or_article_in_a_form(extractor):
+    want = f"Top\n\n{LONG.strip()}\n\n{LONG.strip()}"
+    inputs = "<input type=hidden><label>Find</label><select><option>a</select><button>Go</button>"
+    comments = "<footer>" + "<p>I think this is all good, and more.</p>" * 60 + "</footer>"
+    pages = [
+        f"<head></head><body><form method=post>{inputs}{END}</form></body>",
+        f"<head></head><body><form>{END}{inputs}</form>{comments}</body>",
+        f"<head></head><body>{END.replace('<p>', '<form>Find <input></form><p>', 1)}<form><p>Get our letter.</p>{inputs}</form></body>",
+    ]
+    assert extractor.texts(pages) == [want] * 3
