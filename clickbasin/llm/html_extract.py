@@ -73,6 +73,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
 _PART = re.compile(r"[a-z]+")
+_RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 
 
 @dataclass
@@ -90,7 +91,7 @@ def parse(page: str) -> list[Node]:
     nodes = [Node("#root", -1, 0, [])]
     open_ = [0]
     counts: Counter = Counter()
-    lower, at = None, 0
+    at = 0
 
     def close(until: int) -> None:
         while len(open_) > until:
@@ -126,9 +127,8 @@ def parse(page: str) -> list[Node]:
             close(len(open_) - 1)
         if tag in RAW:
             if not attributes.endswith("/"):
-                lower = lower or page.lower()
-                end = lower.find(f"</{tag}", at)
-                stop = page.find(">", end) if end >= 0 else -1
+                end = _RAW_END[tag].search(page, at)
+                stop = page.find(">", end.end()) if end else -1
                 at = stop + 1 if stop >= 0 else len(page)
             continue
         if tag in CLOSES_P and counts["p"] > 0:

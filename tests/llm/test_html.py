@@ -114,3 +114,9 @@ def test_page_or_article_in_a_form(extractor):
         f"<head></head><body>{END.replace('<p>', '<form>Find <input></form><p>', 1)}<form><p>Get our letter.</p>{inputs}</form></body>",
     ]
     assert extractor.texts(pages) == [want] * 3
+
+
+@pytest.mark.parametrize("tag", sorted(html_extract.RAW))
+def test_raw_elements_end_where_they_end(extractor, tag):
+    page = f"<article><p>{LONG}{'İ' * 50}<{tag}>a < b İ</{tag.upper()}> after</p><p>{LONG}</p></article>"
+    assert extractor.texts([page]) == [f"{LONG}{'İ' * 50} after\n\n{LONG.strip()}"]
