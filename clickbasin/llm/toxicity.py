@@ -190,13 +190,27 @@ def _choose(counts: Iterable[tuple[str, str, int, int]], toxic: int, clean: int)
     return heaviest(words), heaviest(stems)
 
 
-def _exceptions(counts: Iterable[tuple[str, str, int, int]], stems: dict[str, float]) -> tuple[str, ...]:
-    """Whole words that a stem would catch although they occur in clean documents."""
-    return tuple(
-        term
-        for kind, term, n, others in counts
-        if kind == "word" and others > n and any(term[:k] in stems for k in STEM_LENGTHS)
-    )
+def _exceptions(
+    counts: Iterable[tuple[str, str, int, int]], stems: dict[str, float], toxic: int, clean: int
+) -> tuple[str, ...]:
+    """Whole words that a stem would catch although they do not tell toxic documents themselves.
+
+    Counts are weighed by how many documents of each label there are: a word is lifted where its documents
+    are likelier for a word that tells nothing than for one of the stem's log odds, unless its own log odds
+    would do for a term.
+    """
+    share = toxic / (toxic + clean)
+    lifted = []
+    for kind, term, n, others in counts:
+        weight = max((stems[term[:k]] for k in STEM_LENGTHS if term[:k] in stems), default=None)
+        if kind != "word" or weight is None:
+            continue
+        own = math.log((n + 0.5) / (toxic + 1)) - math.log((others + 0.5) / (clean + 1))
+        if n >= LEAST_SUPPORT and own >= LEAST_LOG_ODDS:
+            continue
+        if n * weight < (n + others) * math.log1p(share * math.expm1(weight)):
+            lifted.append(term)
+    return tuple(lifted)
 
 
 def learn(sample: DataFrame) -> Lexicon:
@@ -223,10 +237,10 @@ def learn(sample: DataFrame) -> Lexicon:
         for (kind, label), terms in found.items():
             yield pa.RecordBatch.from_pydict(
                 {
-                    "kind": [kind] * len(terms),
+                    "kind": pa.array([kind] * len(terms), pa.string()),
                     "term": pa.array(terms.keys(), pa.string()),
-                    "toxic": [n if label else 0 for n in terms.values()],
-                    "clean": [0 if label else n for n in terms.values()],
+                    "toxic": pa.array([n if label else 0 for n in terms.values()], pa.int64()),
+                    "clean": pa.array([0 if label else n for n in terms.values()], pa.int64()),
                 }
             )
 
@@ -246,7 +260,7 @@ def learn(sample: DataFrame) -> Lexicon:
     starts = {term[: STEM_LENGTHS[0]] for term in stems}
     if starts:
         near = by_term.where(F.col("kind") == "word").where(F.substring("term", 1, STEM_LENGTHS[0]).isin(*starts))
-        lexicon.exceptions += _exceptions(near.where(F.col("clean") > F.col("toxic")).collect(), stems)
+        lexicon.exceptions += _exceptions(near.where(F.col("clean") >= 1).collect(), stems, toxic, clean)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()

@@ -88,3 +88,27 @@ def test_held_out_accuracy(spark):
     known = [(r.predicted, labels[r.doc_id]) for r in held if r.doc_id in labels]
     assert np.mean([got for got, want in known if want]) >= 0.9
     assert np.mean([got for got, want in known if not want]) <= 0.01
+
+
+def test_telling_words_are_no_exceptions_where_few_labels_are_toxic(spark):
+    clean = [f"plain words here {i % 50}" for i in range(2940)]
+    clean[:20] = ["vequor again"] * 20
+    clean[20:40] = ["vequament of old"] * 20
+    clean[40:45] = ["vequilla of old"] * 5
+    toxic = ["you vequor"] * 15 + ["you vequim"] * 12 + ["you vequas"] * 12 + ["a vequilla perhaps"] + ["you vequel"] * 20
+    rows = [(i, text, int(i < len(toxic))) for i, text in enumerate(toxic + clean)]
+    learned = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    automaton = learned.automaton()
+    assert any("vequor".startswith(stem) for stem in learned.stems)
+    assert "vequor" not in learned.exceptions and toxicity.measures(automaton, "you vequor")[0] > 0
+    assert "vequament" in learned.exceptions and toxicity.measures(automaton, "vequament") == (0.0, 0.0)
+
+
+@pytest.mark.parametrize(
+    "n, others, toxic, clean, lifted",
+    [(30, 31, 120, 11880, False), (0, 1, 120, 11880, True), (2, 60, 120, 11880, True), (1, 1, 120, 11880, False),
+     (3, 16, 1100, 8900, True), (12, 9, 6000, 4000, True)],
+)
+def test_exceptions_go_by_rates(n, others, toxic, clean, lifted):
+    got = toxicity._exceptions([("word", "vequor", n, others)], {"vequ": 4.5}, toxic, clean)
+    assert got == (("vequor",) if lifted else ())
