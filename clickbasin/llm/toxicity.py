@@ -2,8 +2,9 @@
 
 Folding is one character for one character, so every match has its place in the original text:
 letters become lower case, look-alikes of other scripts and decorated forms become Latin, and
-digits and signs between letters, or before the first one, become the letters they replace. A term counts where
-a word begins; a whole-word term must also end there. Matches inside an exception phrase do not
+digits and signs between letters, or before the first one, become the letters they replace. Those behind a
+word's last letter may be meant either way ("idio7", "idiot1"), so such texts are matched in both forms; an
+exclamation mark at the end stays one. A term counts where a word begins; a whole-word term must also end there. Matches inside an exception phrase do not
 count. The summed weights, taken by themselves and per hundred words, give one probability.
 """
 
@@ -51,7 +52,8 @@ SEED_TERMS = {
 }
 EXCEPTIONS = ("idiot proof", "idiot's guide", "sore loser", "pond scum", "stupid question")
 
-_BETWEEN = re.compile(r"(?:(?<=[^\W\d_])|(?<![\w@$!]))[0134578@$!]{1,3}(?=[^\W\d_])")
+_BETWEEN = re.compile(r"(?:(?<=[^\W\d_])|(?<![\w@$!]))[0134578@$!]++(?=[^\W\d_])")
+_BEHIND = re.compile(r"[0134578@$!](?<=[^\W\d_][0134578@$!])[0134578@$!]*(?<!!)(?![^\W_])")
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _SIGNS = str.maketrans(SUBSTITUTES)
 
@@ -83,6 +85,12 @@ def folded(text: str) -> str:
     return _BETWEEN.sub(lambda m: m.group().translate(_SIGNS), text)
 
 
+def forms(low: str) -> tuple[str, ...]:
+    """A folded text, and where digits or signs end a word also the text with those folded, of the same length."""
+    other = _BEHIND.sub(lambda m: m.group().translate(_SIGNS), low)
+    return (low,) if other == low else (low, other)
+
+
 @dataclass
 class Lexicon:
     """Terms with weights: ``words`` match whole words, ``stems`` match where words begin."""
@@ -108,23 +116,24 @@ class Lexicon:
         return found
 
 
-def matches(automaton: ahocorasick.Automaton, low: str) -> list[tuple[int, int, float]]:
-    """(start, end, weight) of the terms that count: at each place where a word begins, the heaviest."""
+def matches(automaton: ahocorasick.Automaton, *lows: str) -> list[tuple[int, int, float]]:
+    """(start, end, weight) of the terms that count in any form: at each place where a word begins, the heaviest."""
     if not len(automaton):
         return []
     best: dict[int, tuple[int, int, float]] = {}
     lifted = []
-    for last, uses in automaton.iter(low):
-        for kind, size, weight in uses:
-            start, end = last + 1 - size, last + 1
-            if start and low[start - 1].isalpha():
-                continue
-            whole = end == len(low) or not low[end].isalpha()
-            if kind == "exception":
-                if whole:
-                    lifted.append((start, end))
-            elif (kind == "stem" or whole) and (start not in best or weight > best[start][2]):
-                best[start] = (start, end, weight)
+    for low in lows:
+        for last, uses in automaton.iter(low):
+            for kind, size, weight in uses:
+                start, end = last + 1 - size, last + 1
+                if start and low[start - 1].isalpha():
+                    continue
+                whole = end == len(low) or not low[end].isalpha()
+                if kind == "exception":
+                    if whole:
+                        lifted.append((start, end))
+                elif (kind == "stem" or whole) and (start not in best or weight > best[start][2]):
+                    best[start] = (start, end, weight)
     if lifted:
         return [m for m in best.values() if not any(a <= m[0] and m[1] <= b for a, b in lifted)]
     return list(best.values())
@@ -133,7 +142,7 @@ def matches(automaton: ahocorasick.Automaton, low: str) -> list[tuple[int, int,
 def measures(automaton: ahocorasick.Automaton, text: str) -> tuple[float, float]:
     """The summed weights, and the same per hundred words (a text has one word at least)."""
     low = folded(text)
-    total = sum(weight for _, _, weight in matches(automaton, low))
+    total = sum(weight for _, _, weight in matches(automaton, *forms(low)))
     if not total:
         return 0.0, 0.0
     words = max(1, low.count(" ") + low.count("\n") + 1)
@@ -160,7 +169,7 @@ def _fit_curve(features: np.ndarray, y: np.ndarray) -> tuple[float, float, float
 
 
 def _terms_of(low: str) -> tuple[set[str], set[str]]:
-    words = set(_WORD.findall(low))
+    words = {word for form in forms(low) for word in _WORD.findall(form)}
     return words, {word[:n] for word in words for n in STEM_LENGTHS if len(word) > n}
 
 

@@ -112,3 +112,17 @@ def test_telling_words_are_no_exceptions_where_few_labels_are_toxic(spark):
 def test_exceptions_go_by_rates(n, others, toxic, clean, lifted):
     got = toxicity._exceptions([("word", "vequor", n, others)], {"vequ": 4.5}, toxic, clean)
     assert got == (("vequor",) if lifted else ())
+
+
+@pytest.mark.parametrize(
+    "text, total",
+    [
+        ("you idio7", 1.0), ("an 1d107!", 1.0), ("a 5cum$ idio7!!", 1.0), ("y0u a55.", 1.5),
+        ("gooooo0000$e", 3.0), ("idiot1 and idiot$", 2.0), ("idiot! idiot!!!", 2.0), ("vequamen7", 0.0), ("mp3 a5 10 h1", 0.0),
+    ],
+)
+def test_folding_at_the_end_of_words_and_in_long_runs(text, total):
+    words = {"idiot": 1.0, "ass": 1.5, "g" + "o" * 9 + "se": 3.0}
+    automaton = Lexicon(words=words, stems={"vequ": 2.0}, exceptions=("vequament",)).automaton()
+    assert toxicity.measures(automaton, text)[0] == total
+    assert all(len(form) == len(text) for form in toxicity.forms(toxicity.folded(text)))
