@@ -21,6 +21,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from clickbasin.llm.support import per_worker
@@ -232,12 +233,18 @@ PIECE_COLUMNS = (
 
 
 def packed_documents(
-    docs: DataFrame, tokenizer_path: str, limits: Limits = Limits(), id_column: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    tokenizer_path: str,
+    limits: Limits = Limits(),
+    id_column: str = "doc_id",
+    text: str = "text",
+    loss: str | None = None,
 ) -> DataFrame:
     """One row per piece: the id, ``PIECE_COLUMNS``.
 
     A document is its ids and then one end-of-text id, so a null or empty text is one id. All
-    tokens bear loss. Repeated rows are packed as often as they occur, null ids are kept, other
+    tokens bear loss, unless ``loss`` names a column that tells how many of a document's last ids do,
+    the end-of-text id included (null: all); rows then have ``loss_tokens`` last, the same for the piece. Repeated rows are packed as often as they occur, null ids are kept, other
     columns are not looked at. An empty table gives no rows. Sequences are numbered by task, so
     the numbers are unique but not without gaps.
     """
@@ -246,9 +253,11 @@ def packed_documents(
         tokenizer = per_worker(("tokenizer", tokenizer_path), lambda: ByteTokenizer(tokenizer_path))
         yield from _pack_rows(batches, tokenizer.ids, limits, TaskContext.get().partitionId() << 32)
 
-    chosen = docs.select(f"`{id_column}`", f"`{text}`")
+    further = [] if loss is None else [F.col(f"`{loss}`").cast("long")]
+    chosen = docs.select(f"`{id_column}`", f"`{text}`", *further)
     id_type = chosen.schema[0].dataType.simpleString()
-    return chosen.mapInArrow(work, f"`{id_column}` {id_type}, {PIECE_COLUMNS}")
+    columns = PIECE_COLUMNS + ", loss_tokens long" * len(further)
+    return chosen.mapInArrow(work, f"`{id_column}` {id_type}, {columns}")
 
 
 def _pack_rows(
@@ -256,26 +265,39 @@ def _pack_rows(
 ) -> Iterator[pa.RecordBatch]:
     keys: list[pa.Scalar] = []
     held: list[np.ndarray] = []
+    bearing: list[int] | None = None
     name, waiting, id_type = "", 0, None
     for batch in batches:
         name, id_type = batch.schema.names[0], batch.schema.types[0]
-        for key, text in zip(batch.column(0), batch.column(1)):
+        told = batch.column(2).to_pylist() if batch.num_columns > 2 else None
+        if told is not None and bearing is None:
+            bearing = []
+        for row, (key, text) in enumerate(zip(batch.column(0), batch.column(1))):
             keys.append(key)
             held.append(np.append(ids_of(text.as_py() or ""), np.array([END_OF_TEXT], dtype="<u4")))
+            if told is not None:
+                size = len(held[-1])
+                bearing.append(size if told[row] is None else min(max(told[row], 0), size))
             waiting += len(held[-1])
             if waiting >= WINDOW_TOKENS:
-                out, sequence = _window(keys, held, limits, sequence, name, id_type)
+                out, sequence = _window(keys, held, bearing, limits, sequence, name, id_type)
                 yield from out
                 keys, held, waiting = [], [], 0
+                bearing = None if bearing is None else []
     if keys:
-        out, sequence = _window(keys, held, limits, sequence, name, id_type)
+        out, sequence = _window(keys, held, bearing, limits, sequence, name, id_type)
         yield from out
 
 
-def _window(keys, held, limits, sequence, name, id_type) -> tuple[Iterator[pa.RecordBatch], int]:
-    pieces, sequence = pack([(len(ids), len(ids)) for ids in held], limits, first_sequence=sequence)
+def _window(keys, held, bearing, limits, sequence, name, id_type) -> tuple[Iterator[pa.RecordBatch], int]:
+    sizes = [len(ids) for ids in held]
+    pieces, sequence = pack(list(zip(sizes, sizes if bearing is None else bearing)), limits, first_sequence=sequence)
     pieces, sequence = in_powers_of_two(pieces, limits, sequence)
 
+    def borne(p: Piece) -> int:
+        bare = sizes[p.item] - bearing[p.item]
+        return max(0, p.start + p.length - max(p.start, bare))
+
     def rows() -> Iterator[pa.RecordBatch]:
         for at in range(0, len(pieces), 4096):
             part = pieces[at : at + 4096]
@@ -293,8 +315,10 @@ def _window(keys, held, limits, sequence, name, id_type) -> tuple[Iterator[pa.Re
                         np.concatenate([[0], np.cumsum([len(ids) for ids in spans])]).astype(np.int32),
                         np.concatenate(spans).astype(np.int32),
                     ),
+                    *([] if bearing is None else [pa.array([borne(p) for p in part], pa.int64())]),
                 ],
-                names=[name, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"],
+                names=[name, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+                + ["loss_tokens"] * (bearing is not None),
             )
 
     return rows(), sequence

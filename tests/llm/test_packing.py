@@ -120,3 +120,19 @@ def test_odd_rows(spark):
 def test_query(spark):
     texts = dict(spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect())
     check_rows(entries.op2_packing(spark, SF_DIR).collect(), texts)
+
+
+def test_loss_column_limits_sequences(spark):
+    rows = [(i, "word " * (40 + i % 7), [None, 0, 5, 30, 10_000, -1][i % 6]) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, answer int").repartition(2)
+    limits = Limits(tokens=256, segments=64, loss=64)
+    got = packing.packed_documents(frame, PATH, limits, loss="answer").collect()
+    check_rows(got, {i: text for i, text, _ in rows})
+    by_doc, by_sequence = {}, {}
+    for r in got:
+        by_doc[r.doc_id] = by_doc.get(r.doc_id, 0) + r.loss_tokens
+        by_sequence[r.sequence_id] = by_sequence.get(r.sequence_id, 0) + r.loss_tokens
+    size = {r.doc_id: r.doc_tokens for r in got}
+    assert by_doc == {i: size[i] if n is None else min(max(n, 0), size[i]) for i, _, n in rows}
+    assert max(by_sequence.values()) == 64
+    assert "loss_tokens" not in packing.packed_documents(frame, PATH).columns
