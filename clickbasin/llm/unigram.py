@@ -1,4 +1,7 @@
-"""Encoding and decoding by pieces with log scores: the best path over a double-array trie.
+"""Encoding and decoding by pieces with scores: the best path over a double-array trie.
+
+The scores are the model's. Those of a BPE model, as the given one, are negative merge ranks and not log
+probabilities: the path is then no likeliest one, and its ids need not be SentencePiece's. Texts come back exactly.
 
 A text is a lattice whose edges are the pieces of a vocabulary that occur in it; the path with the
 largest sum of scores is its encoding (Viterbi). Pieces are found by walking a trie, kept in two
