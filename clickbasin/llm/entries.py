@@ -12,6 +12,7 @@ from clickbasin.llm import (
     chat_windows,
     fingerprints,
     html_extract,
+    lexical,
     nearest,
     ngram_join,
     oracles,
@@ -21,7 +22,7 @@ from clickbasin.llm import (
     toxicity,
     unigram,
 )
-from clickbasin.llm.support import fold, labelled_sample, table
+from clickbasin.llm.support import fold, labelled_sample, stored, table
 
 # Folds and threshold of the two scoring queries.
 TOXIC_FOLDS, TOXIC_HELD_OUT = 3, 1
@@ -153,6 +154,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that rank highest for each benchmark item; see ``lexical``."""
+    index = stored(lexical.build(table(spark, sf_dir, "documents")), "lexical-index")
+    return lexical.search(index, table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -165,9 +172,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat": op8_chat,
         "op9_pieces": op9_pieces,
         "op10_pii": op10_pii,
+        "op13_lexical": op13_lexical,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for those that it can express; the others train, sketch, search or tokenize."""
-    return {"op6_ngram_join": oracles.NGRAM_JOIN, "op8_chat": oracles.CHAT}
+    return {"op6_ngram_join": oracles.NGRAM_JOIN, "op8_chat": oracles.CHAT, "op13_lexical": oracles.LEXICAL}

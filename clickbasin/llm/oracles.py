@@ -90,3 +90,33 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, len(loss) AS loss_chars,
   CAST(whole.chars + besides.chars AS BIGINT) AS formatted_chars, n_windows
 FROM whole JOIN besides USING (conv_id)
 """
+
+# Terms as the contract gives them; weights and scores in the same integer steps.
+LEXICAL = r"""
+WITH found AS (
+  SELECT doc_id, row_number() OVER () AS nr, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+),
+docs AS (SELECT nr, doc_id, len(terms) AS n FROM found WHERE len(terms) > 0),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM docs),
+held AS (
+  SELECT nr, term, count(*) AS tf FROM (SELECT nr, unnest(terms) AS term FROM found) GROUP BY 1, 2
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM held, corpus GROUP BY term
+),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+),
+scored AS (
+  SELECT item_id, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * big_n) // big_l))))) AS BIGINT) AS score
+  FROM wanted JOIN held USING (term) JOIN weights USING (term) JOIN docs USING (nr), corpus GROUP BY item_id, nr, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
