@@ -47,7 +47,8 @@ def labelled_sample(
     """(doc_id, text, label) of at most ``most`` labelled documents outside the held-out fold.
 
     Which ones is settled by a hash of the id, alike on every run. An id with several labels
-    counts with the largest. Ids without a document take no part.
+    counts with the largest, an id with several documents with the smallest text, a null text being
+    empty. Labels without a document and documents without an id take no part.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
@@ -55,12 +56,14 @@ def labelled_sample(
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("label"))
     )
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    there = known.join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     # At most ``most`` rows of an id and a label: safe to send to every executor.
     return (
         docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
         .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "text", "label")
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.first("label").alias("label"))
     )
 
 
