@@ -19,8 +19,10 @@ from clickbasin.llm import (
     packing,
     pii,
     quality_cnn,
+    quality_trees,
     toxicity,
     unigram,
+    vector_codes,
 )
 from clickbasin.llm.support import fold, labelled_sample, stored, table
 
@@ -154,6 +156,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and whether it is kept; see ``quality_trees``."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    sample = labelled_sample(docs, labels, "quality", QUALITY_FOLDS, QUALITY_HELD_OUT, quality_trees.SAMPLE_ROWS)
+    return quality_trees.judged(docs, quality_trees.train(sample))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of every vector; see ``vector_codes``."""
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that rank highest for each benchmark item; see ``lexical``."""
     index = stored(lexical.build(table(spark, sf_dir, "documents")), "lexical-index")
@@ -172,10 +186,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat": op8_chat,
         "op9_pieces": op9_pieces,
         "op10_pii": op10_pii,
+        "op11_quality_rules": op11_quality_rules,
+        "op12_vector_codes": op12_vector_codes,
         "op13_lexical": op13_lexical,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for those that it can express; the others train, sketch, search or tokenize."""
-    return {"op6_ngram_join": oracles.NGRAM_JOIN, "op8_chat": oracles.CHAT, "op13_lexical": oracles.LEXICAL}
+    return {"op6_ngram_join": oracles.NGRAM_JOIN, "op8_chat": oracles.CHAT, "op12_vector_codes": oracles.VECTOR_CODES, "op13_lexical": oracles.LEXICAL}

@@ -120,3 +120,49 @@ scored AS (
 SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
 FROM scored WHERE score > 0 QUALIFY rank <= 50
 """
+
+# Two rounds of means, then the last codes; vectors of one length that 16 divides.
+VECTOR_CODES = r"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS nr, vec_id, label, len(embedding) // 16 AS width,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS (SELECT nr, part, width, v[part * width + 1:(part + 1) * width] AS x FROM kept, range(16) AS t(part)),
+c0 AS (SELECT part, nr - 1 AS entry, x AS c FROM parts WHERE nr <= 64),
+a0 AS (
+  SELECT nr, part, min(d * 64 + entry) % 64 AS entry, min(d * 64 + entry) // 64 AS d FROM (
+    SELECT nr, part, entry, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM parts JOIN c0 USING (part)) GROUP BY nr, part
+),
+c1 AS (
+  SELECT part, entry, coalesce(mean, c) AS c FROM c0 LEFT JOIN (
+    SELECT part, entry, list(CAST(floor(CAST(total AS DOUBLE) / n) AS BIGINT) ORDER BY place) AS mean FROM (
+      SELECT part, entry, place, sum(x[place]) AS total, count(*) AS n
+      FROM a0 JOIN parts USING (nr, part), range(1, 1 + width) AS t(place) GROUP BY part, entry, place
+    ) GROUP BY part, entry) USING (part, entry)
+),
+a1 AS (
+  SELECT nr, part, min(d * 64 + entry) % 64 AS entry, min(d * 64 + entry) // 64 AS d FROM (
+    SELECT nr, part, entry, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM parts JOIN c1 USING (part)) GROUP BY nr, part
+),
+c2 AS (
+  SELECT part, entry, coalesce(mean, c) AS c FROM c1 LEFT JOIN (
+    SELECT part, entry, list(CAST(floor(CAST(total AS DOUBLE) / n) AS BIGINT) ORDER BY place) AS mean FROM (
+      SELECT part, entry, place, sum(x[place]) AS total, count(*) AS n
+      FROM a1 JOIN parts USING (nr, part), range(1, 1 + width) AS t(place) GROUP BY part, entry, place
+    ) GROUP BY part, entry) USING (part, entry)
+),
+a2 AS (
+  SELECT nr, part, min(d * 64 + entry) % 64 AS entry, min(d * 64 + entry) // 64 AS d FROM (
+    SELECT nr, part, entry, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM parts JOIN c2 USING (part)) GROUP BY nr, part
+),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c2
+),
+codes AS (SELECT nr, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY nr)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (nr), digest
+"""
