@@ -1,11 +1,18 @@
 """Toxicity: a weighted lexicon, matched by Aho-Corasick over folded text.
 
-Folding is one character for one character, so every match has its place in the original text:
-letters become lower case, look-alikes of other scripts and decorated forms become Latin, and
-digits and signs between letters, or before the first one, become the letters they replace. Those behind a
-word's last letter may be meant either way ("idio7", "idiot1"), so such texts are matched in both forms; an
-exclamation mark at the end stays one. A term counts where a word begins; a whole-word term must also end there. Matches inside an exception phrase do not
-count. The summed weights, taken by themselves and per hundred words, give one probability.
+Marks that stand by themselves and characters without width go first. Folding then is one character for one
+character: letters become lower case, look-alikes of other scripts and decorated forms become Latin, and
+digits and signs between letters, or before the first one, become the letters they replace. Some characters may
+be meant either way, namely digits and signs behind a word's last letter ("idio7", "idiot1") and letters with
+marks that are letters of their own in some language ("idiöt", "schön"): texts with such are matched in both forms.
+An exclamation mark at the end stays one. ``spans`` says where in the original text the matches are.
+
+A term counts where a word begins; a whole-word term must also end there, but for the ending of a plural. Matches
+inside an exception phrase do not count. The summed weights, taken by themselves and per hundred words, give one
+probability.
+
+Word beginnings are learned only where several different words share one: what a single word begins with says
+nothing of other words that begin alike ("pathetic", "pathology").
 """
 
 from __future__ import annotations
@@ -13,9 +20,11 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -32,7 +41,8 @@ STEM_LENGTHS = range(4, 10)
 # A term needs this many toxic documents, and this much more of them than chance gives.
 LEAST_SUPPORT = 4
 LEAST_LOG_ODDS = 2.5
-MOST_TERMS = 2_000
+# A word beginning needs so many different words, each of them telling and found in so many toxic documents.
+LEAST_WORDS, LEAST_WORD_SUPPORT = 3, 2
 
 # Letters of other scripts that look like Latin ones.
 LOOK_ALIKES = {
@@ -40,6 +50,9 @@ LOOK_ALIKES = {
     "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "т": "t", "у": "y", "ѵ": "v", "ԝ": "w", "х": "x", "ӏ": "l",
     "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "μ": "u", "ν": "v", "ο": "o", "ρ": "p", "τ": "t",
     "υ": "u", "χ": "x", "ω": "w", "ı": "i", "ɑ": "a", "ɡ": "g", "ⅼ": "l",
+    "ᴀ": "a", "ʙ": "b", "ᴄ": "c", "ᴅ": "d", "ᴇ": "e", "ꜰ": "f", "ɢ": "g", "ʜ": "h", "ɪ": "i", "ᴊ": "j", "ᴋ": "k",
+    "ʟ": "l", "ᴍ": "m", "ɴ": "n", "ᴏ": "o", "ᴘ": "p", "ʀ": "r", "ꜱ": "s", "ᴛ": "t", "ᴜ": "u", "ᴠ": "v", "ᴡ": "w",
+    "ʏ": "y", "ᴢ": "z",
 }
 # What digits and signs between letters stand for.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
@@ -56,6 +69,13 @@ _BETWEEN = re.compile(r"(?:(?<=[^\W\d_])|(?<![\w@$!]))[0134578@$!]++(?=[^\W\d_])
 _BEHIND = re.compile(r"[0134578@$!](?<=[^\W\d_][0134578@$!])[0134578@$!]*(?<!!)(?![^\W_])")
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _SIGNS = str.maketrans(SUBSTITUTES)
+# Marks that are set on the letter before, and characters without width.
+_MARKS = "\u0300-\u036f\u0483-\u0489\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f"
+_WIDTHLESS = "\u00ad\u180e\u200b-\u200f\u2060-\u2064\ufeff"
+_LOOSE = re.compile(f"([^{_MARKS}{_WIDTHLESS}])([{_MARKS}{_WIDTHLESS}]+)|[{_MARKS}{_WIDTHLESS}]+")
+# Scripts that write words without spaces, two characters to a word.
+_UNSPACED = re.compile("[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
+_BARE = str.maketrans({letter: unicodedata.normalize("NFKD", letter)[0] for letter in OWN_LETTERS} | {"ß": "s", "æ": "a", "œ": "o"})
 
 
 class _Letters(dict):
@@ -79,6 +99,28 @@ class _Letters(dict):
 _LETTERS = _Letters()
 
 
+def _bound(found: re.Match) -> str:
+    """One character for a letter and what is set on it: the letter with its mark where there is such a one."""
+    if not found[1]:
+        return ""
+    whole = unicodedata.normalize("NFC", found[1] + "".join(c for c in found[2] if unicodedata.combining(c)))
+    return whole if len(whole) == 1 else found[1]
+
+
+def tight(text: str) -> str:
+    """The text without loose marks and widthless characters."""
+    return _LOOSE.sub(_bound, text)
+
+
+def _places(text: str) -> list[int]:
+    """For each place of ``tight(text)``, and its end, the place in the text."""
+    out, at = [], 0
+    for found in _LOOSE.finditer(text):
+        out += range(at, found.start() + (1 if found[1] else 0))
+        at = found.end()
+    return [*out, *range(at, len(text) + 1)]
+
+
 def folded(text: str) -> str:
     """The text in folded form, of the same length."""
     text = text.translate(_LETTERS)
@@ -86,9 +128,10 @@ def folded(text: str) -> str:
 
 
 def forms(low: str) -> tuple[str, ...]:
-    """A folded text, and where digits or signs end a word also the text with those folded, of the same length."""
-    other = _BEHIND.sub(lambda m: m.group().translate(_SIGNS), low)
-    return (low,) if other == low else (low, other)
+    """A folded text in each way it may be meant, of the same length: digits or signs at the ends of words, letters with marks."""
+    found = [low, _BEHIND.sub(lambda m: m.group().translate(_SIGNS), low)]
+    found += [form.translate(_BARE) for form in found] if not low.isascii() else []
+    return tuple(dict.fromkeys(found))
 
 
 @dataclass
@@ -116,6 +159,15 @@ class Lexicon:
         return found
 
 
+def _word_ends(low: str, end: int) -> bool:
+    """Whether a word ends here, or after the ending of a plural."""
+    for ending in ("", "s", "es"):
+        stop = end + len(ending)
+        if low.startswith(ending, end) and (stop == len(low) or not low[stop].isalpha()):
+            return True
+    return False
+
+
 def matches(automaton: ahocorasick.Automaton, *lows: str) -> list[tuple[int, int, float]]:
     """(start, end, weight) of the terms that count in any form: at each place where a word begins, the heaviest."""
     if not len(automaton):
@@ -128,25 +180,35 @@ def matches(automaton: ahocorasick.Automaton, *lows: str) -> list[tuple[int, int
                 start, end = last + 1 - size, last + 1
                 if start and low[start - 1].isalpha():
                     continue
-                whole = end == len(low) or not low[end].isalpha()
                 if kind == "exception":
-                    if whole:
+                    if end == len(low) or not low[end].isalpha():
                         lifted.append((start, end))
-                elif (kind == "stem" or whole) and (start not in best or weight > best[start][2]):
+                elif (kind == "stem" or _word_ends(low, end)) and (start not in best or weight > best[start][2]):
                     best[start] = (start, end, weight)
-    if lifted:
-        return [m for m in best.values() if not any(a <= m[0] and m[1] <= b for a, b in lifted)]
-    return list(best.values())
+    if not lifted:
+        return list(best.values())
+    # Of the phrases that begin no later than a match, the one that ends last decides.
+    lifted.sort()
+    begins = [start for start, _ in lifted]
+    ends = list(accumulate((end for _, end in lifted), max))
+    covered = lambda m: (k := bisect_right(begins, m[0])) and ends[k - 1] >= m[1]
+    return [m for m in best.values() if not covered(m)]
+
+
+def spans(automaton: ahocorasick.Automaton, text: str) -> list[tuple[int, int, float]]:
+    """(start, end, weight) of what counts, by place in the text as it is, in ascending order."""
+    places = _places(text)
+    return [(places[start], places[end], weight) for start, end, weight in sorted(matches(automaton, *forms(folded(tight(text)))))]
 
 
 def measures(automaton: ahocorasick.Automaton, text: str) -> tuple[float, float]:
     """The summed weights, and the same per hundred words (a text has one word at least)."""
-    low = folded(text)
+    low = folded(tight(text))
     total = sum(weight for _, _, weight in matches(automaton, *forms(low)))
     if not total:
         return 0.0, 0.0
-    words = max(1, low.count(" ") + low.count("\n") + 1)
-    return total, 100 * total / words
+    words = len(_WORD.findall(low)) + len(_UNSPACED.findall(low)) // 2
+    return total, 100 * total / max(1, words)
 
 
 def probability(curve: tuple[float, float, float], total: float, density: float) -> float:
@@ -176,27 +238,35 @@ def _terms_of(low: str) -> tuple[set[str], set[str]]:
 def _choose(counts: Iterable[tuple[str, str, int, int]], toxic: int, clean: int) -> tuple[dict, dict]:
     """Words and stems that tell toxic documents, with their log odds as weights.
 
-    A stem is kept where it is as telling as its shorter forms; a word that a kept stem covers is
-    dropped.
+    Stems are looked at from the longest to the shortest. One needs several different telling words; it takes the
+    place of the longer ones inside it where it is about as telling and has several telling words more than they
+    have. A word that a kept stem covers is dropped.
     """
     telling: dict[str, dict[str, float]] = {"word": {}, "stem": {}}
+    members: dict[str, set[str]] = {}
     for kind, term, n, others in counts:
         weight = math.log((n + 0.5) / (toxic + 1)) - math.log((others + 0.5) / (clean + 1))
+        if weight < LEAST_LOG_ODDS:
+            continue
+        if kind == "word" and n >= LEAST_WORD_SUPPORT:
+            for size in STEM_LENGTHS:
+                if len(term) > size:
+                    members.setdefault(term[:size], set()).add(term)
         # Chance alone gives rare terms high odds: ask for more the fewer documents there are.
-        if n >= LEAST_SUPPORT and weight >= LEAST_LOG_ODDS and n * weight >= 20:
+        if n >= LEAST_SUPPORT and n * weight >= 20:
             telling[kind][term] = weight
     stems: dict[str, float] = {}
-    for term in sorted(telling["stem"], key=lambda t: (len(t), t)):
-        covering = [term[:n] for n in range(STEM_LENGTHS[0], len(term)) if term[:n] in stems]
-        if not covering or telling["stem"][term] > stems[covering[-1]] + 1:
-            stems[term] = telling["stem"][term]
+    for term in sorted(telling["stem"], key=lambda t: (-len(t), t)):
+        own, inside = members.get(term, set()), [stem for stem in stems if stem.startswith(term)]
+        more = own.difference(*(members[stem] for stem in inside))
+        if len(more) >= LEAST_WORDS and all(telling["stem"][term] >= stems[stem] - 1 for stem in inside):
+            stems = {stem: weight for stem, weight in stems.items() if stem not in inside} | {term: telling["stem"][term]}
     words = {
         term: weight
         for term, weight in telling["word"].items()
         if not any(stems.get(term[:n], -1) >= weight - 0.5 for n in STEM_LENGTHS)
     }
-    heaviest = lambda terms: dict(sorted(terms.items(), key=lambda t: (-t[1], t[0]))[:MOST_TERMS])
-    return heaviest(words), heaviest(stems)
+    return dict(sorted(words.items())), dict(sorted(stems.items()))
 
 
 def _exceptions(
@@ -226,7 +296,7 @@ def learn(sample: DataFrame) -> Lexicon:
     """A lexicon from (doc_id, text, label) rows, whose number the caller has bounded.
 
     Documents are counted by term on the executors; what reaches the driver is the terms that
-    tell and three numbers for each document of the sample. Without toxic documents among the
+    tell, which the sample's size bounds, and three numbers for each document of the sample. Without toxic documents among the
     rows the seed terms remain.
     """
     sample = stored(sample, "toxicity-sample")
@@ -240,7 +310,7 @@ def learn(sample: DataFrame) -> Lexicon:
         found = {("word", 0): Counter(), ("word", 1): Counter(), ("stem", 0): Counter(), ("stem", 1): Counter()}
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words, stems = _terms_of(folded(text))
+                words, stems = _terms_of(folded(tight(text)))
                 found["word", label].update(words)
                 found["stem", label].update(stems)
         for (kind, label), terms in found.items():
@@ -258,11 +328,12 @@ def learn(sample: DataFrame) -> Lexicon:
         .mapInArrow(count_terms, "kind string, term string, toxic long, clean long")
         .groupBy("kind", "term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= LEAST_SUPPORT) | (F.col("kind") == "word") & (F.col("clean") >= 1))
+        .where((F.col("toxic") >= LEAST_SUPPORT) | (F.col("kind") == "word") & ((F.col("clean") >= 1) | (F.col("toxic") >= LEAST_WORD_SUPPORT)))
     )
     by_term = stored(by_term, "toxicity-terms")
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    strong = by_term.where((F.col("toxic") >= LEAST_SUPPORT) & (odds >= LEAST_LOG_ODDS)).collect()
+    least = F.when(F.col("kind") == "word", LEAST_WORD_SUPPORT).otherwise(LEAST_SUPPORT)
+    strong = by_term.where((F.col("toxic") >= least) & (odds >= LEAST_LOG_ODDS)).collect()
     words, stems = _choose(strong, toxic, clean)
     lexicon.words |= words
     lexicon.stems |= stems

@@ -28,7 +28,9 @@ def plain_matches(lexicon, text):
             for term, weight in terms.items():
                 term = toxicity.folded(term)
                 ends = i + len(term)
-                if low.startswith(term, i) and not (whole and low[ends : ends + 1].isalpha()):
+                # A whole word may have the ending of a plural.
+                plural = [low[ends : ends + len(more)] == more and not low[ends + len(more) :][:1].isalpha() for more in ("", "s", "es")]
+                if low.startswith(term, i) and (not whole or any(plural)):
                     found.append((weight, ends))
         if found:
             weight = max(w for w, _ in found)
@@ -126,3 +128,60 @@ def test_folding_at_the_end_of_words_and_in_long_runs(text, total):
     automaton = Lexicon(words=words, stems={"vequ": 2.0}, exceptions=("vequament",)).automaton()
     assert toxicity.measures(automaton, text)[0] == total
     assert all(len(form) == len(text) for form in toxicity.forms(toxicity.folded(text)))
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("you i\u0308diot", ["i\u0308diot"]), ("id\u200bio\u00adt!", ["id\u200bio\u00adt"]), ("ɪᴅɪᴏᴛ", ["ɪᴅɪᴏᴛ"]), ("idiöt", ["idiöt"]),
+        ("two idiots, one idiot", ["idiot", "idiot"]), ("two scumes", ["scum"]), ("scummy", []), ("\u200bscum\u0301", ["scum\u0301"]),
+        ("de\u0301 and dé but de", ["de\u0301", "dé"]), ("vequ\u0301a", ["vequ\u0301a"]), ("😀\u200didiot", ["idiot"]), ("\u0301\u0302", []), ("", []),
+    ],
+)
+def test_loose_marks_widthless_characters_and_own_letters(text, found):
+    got = toxicity.spans(LEXICON.automaton(), text)
+    assert [text[start:end].rstrip("\u200b") for start, end, _ in got] == found
+
+
+def test_words_without_spaces_and_runs_of_spaces_count_alike():
+    automaton = LEXICON.automaton()
+    assert toxicity.measures(automaton, "idiot a b c") == toxicity.measures(automaton, "idiot   a \n\n b  c ")
+    assert toxicity.measures(automaton, "idiot " + "日本語" * 40)[1] < 2.5
+
+
+def test_many_phrases_and_matches_in_a_long_text_take_linear_time():
+    text = "an idiot proof plan for idiots; " * 40_000
+    found = toxicity.matches(LEXICON.automaton(), toxicity.folded(text))
+    assert len(found) == 40_000
+
+
+CLEAN = [
+    "The pathology report was sent to the clinic by the doctor on Monday morning.",
+    "A stupendous view of the valley opened before us as the train came out of the tunnel.",
+    "Der Wortschatz des Kindes wächst in den ersten Jahren sehr schnell.",
+    "The clownfish hides between the arms of the sea anemone all day long.",
+    "Le pathos du texte est voulu par son auteur, et les lecteurs le sentent.",
+    "She lost the closet key; the moray eel, the disguise and the trasimene map were found.",
+]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.01", SF_DIR])
+def test_clean_words_that_share_a_beginning(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    lexicon = toxicity.learn(entries.labelled_sample(docs, labels, "toxic", 3, 1, toxicity.SAMPLE_ROWS))
+    automaton = lexicon.automaton()
+    for text in CLEAN:
+        assert toxicity.probability(lexicon.curve, *toxicity.measures(automaton, text)) < 0.7, text
+    assert toxicity.probability(lexicon.curve, *toxicity.measures(automaton, "You are a pathetic idiot and a worthless clown.")) > 0.7
+
+
+def test_a_beginning_takes_several_words():
+    # kind, term, toxic, clean
+    one = [("word", "pathetic", 60, 0), *[("stem", "pathetic"[:n], 60, 1) for n in range(4, 8)]]
+    words, stems = toxicity._choose(one, 400, 3000)
+    assert list(words) == ["pathetic"] and not stems
+    many = [("word", f"vequor{x}", 8, 0) for x in ("an", "em", "is", "ol")]
+    many += [("stem", "vequor"[:n], 32, 1) for n in (4, 5, 6)] + [("stem", f"vequor{x}"[:7], 8, 0) for x in "aeio"]
+    words, stems = toxicity._choose(many, 400, 3000)
+    assert list(stems) == ["vequor"] and not words
