@@ -13,7 +13,7 @@ import importlib.util
 import re
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +21,10 @@ from pyspark.sql import types as T
 
 import given_events as given
 from clickbasin.functions.dates import IngestDay, ingest_day
-from clickbasin.operators import quality
+from clickbasin.operators import quality, quality_parts
 from clickbasin.operators.alarms import alarm_states, quality_alarms
 from clickbasin.operators.dedup import latest_per_event
-from clickbasin.operators.drift import json_drift
+from clickbasin.operators.drift import json_drift, parquet_drift
 from clickbasin.operators.governance import (
     ANALYST,
     ENGINEER,
@@ -36,17 +36,19 @@ from clickbasin.operators.governance import (
 )
 from clickbasin.operators.scan_budget import scan_bytes, scan_partitions
 from clickbasin.operators.validate import accepted, rejected, with_verdict
-from clickbasin.plans import curate, dashboard, reports
+from clickbasin.plans import curate, dashboard, outcomes, reports, totals
 from clickbasin.plans.catalog import TABLE, create_tables, database_names, partitions, register_day
 from clickbasin.plans.daily_run import run_day
 from clickbasin.plans.paths import LakePaths
 from clickbasin.plans.quality_run import JOB_NAME, NAMESPACE
-from clickbasin.schemas import CURATED, DATE_KEYS, PARTITION_KEYS, RAW_DATA, REASON_COLUMN, RESULT
+from clickbasin.schemas import CURATED, CURATED_DATA, DATE_KEYS, PARTITION_KEYS, RAW_DATA, REASON_COLUMN, RESULT
 from clickbasin.session import pin, scratch_path, small_frame
-from clickbasin.sources.curated import read_curated, read_curated_day
+from clickbasin.sources import versions
+from clickbasin.sources.curated import read_curated, read_curated_day, read_lineage
 from clickbasin.sources.raw import read_raw_day, scan_raw_day
 from clickbasin.sources.storage import ALL_DAYS, glob
-from clickbasin.streaming.incremental import curate_new_days
+from clickbasin.streaming.alarm_stream import judge_new, read_history
+from clickbasin.streaming.incremental import curate_new_days, seen_files
 from clickbasin.streaming.landing import NOT_CONVERTED, delivered, undeliverable, with_route
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -285,6 +287,20 @@ def _report_through_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _kept(reports.daily_event_counts(spark.table(table)), "report")
 
 
+def _incremental_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated rows after two drops, with the run that first saw the file each row came from."""
+    lake = LakePaths(scratch_path(pin(spark), "lineage"))
+
+    def curate_one(day: IngestDay) -> None:
+        curate.curate_day(spark, lake, day, processed_at=given.PROCESSED_AT, files=seen_files(spark, lake, day))
+
+    for rows in given.folded_drops(spark, sf_dir, SECOND_DROP):
+        rows.write.mode("append").partitionBy(*PARTITION_KEYS).json(lake.raw)
+        curate_new_days(spark, lake, f"{lake.root}/bookmark", curate_one, note_files=True).awaitTermination()
+    found = read_lineage(spark, lake.curated)
+    return _shown(found.withColumn("has_file", F.col("source_file").contains("event_type=")).drop("source_file"))
+
+
 def _incremental_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The days that two runs find news on: files before a moment first, later ones and a few old days then."""
     lake = LakePaths(scratch_path(pin(spark), "incremental"))
@@ -297,6 +313,69 @@ def _incremental_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return small_frame(spark, found, "run int, year string, month string, day string")
 
 
+# Totals, outcomes, alarms as metrics come -------------------------------------
+
+
+def _totals(query: Callable[..., DataFrame], *options) -> Query:
+    return lambda spark, sf_dir: query(spark, given.summarised_lake(pin(spark), sf_dir, ONE_DAY), *options)
+
+
+def _totals_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = totals.revenue_by_date(spark, given.summarised_lake(pin(spark), sf_dir, ONE_DAY))
+    return found.withColumn("avg_order_value", F.round("avg_order_value", 4))
+
+
+def _outcomes(step: str, *days: IngestDay) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = outcomes.read_outcomes(spark, given.outcome_lake(pin(spark), sf_dir))
+        return rows.where((F.col("step") == step) & F.col("day").isin([day.day for day in days])).drop("at")
+
+    return query
+
+
+def _parquet_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parquet_drift(spark, given.drifted_files(pin(spark), sf_dir), None, CURATED_DATA)
+
+
+def _incremental_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The constraints after two drops, the second of which shares days and ids with the first."""
+    root, events = scratch_path(pin(spark), "quality"), given.curated_faulty(spark, sf_dir)
+    first = F.crc32(F.concat_ws("-", "session_id", "event_ts")) % 3 > 0
+    for drop, part in enumerate((events.where(first), events.where(~first))):
+        quality_parts.add_drop(part, root, drop, STRICT, buckets=4)
+    return quality.constraint_results(quality_parts.measures(spark, root), STRICT, DATE_KEYS)
+
+
+def _versioned_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose days were replaced after a first, partial write, and once more by a run that stopped half way."""
+    root, rows = scratch_path(pin(spark), "versions"), given.curated_shape(spark, sf_dir)
+    versions.start(spark, root)
+    days = sorted(IngestDay(*row) for row in rows.select(*DATE_KEYS).distinct().collect())
+    odd = F.col("event_id").cast("long") % 2 == 1
+    versions.replace_days(spark, root, days, lambda path: curate.write_curated(rows.where(odd), path))
+    versions.replace_days(spark, root, days, lambda path: curate.write_curated(rows, path))
+
+    def stops(path: str) -> None:
+        curate.write_curated(rows.where(~odd), path)
+        raise InterruptedError
+
+    with suppress(InterruptedError):
+        versions.replace_days(spark, root, days, stops)
+    return _shown(read_curated(spark, root))
+
+
+def _alarm_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alarms judged in two runs, of which the second gets the points since the first only."""
+    lake = LakePaths(scratch_path(pin(spark), "alarms"))
+    points, before = _kept(_metrics(spark, sf_dir), "metrics"), F.col("ts") < F.lit(LATE_START).cast("timestamp")
+    for part, until in ((points.where(before), LATE_START), (points.where(~before), ALARM_END)):
+        part.write.mode("append").parquet(lake.metrics)
+        judge_new(
+            spark, lake, quality_alarms("ignore"), [JOB_NAME], f"{lake.root}/judging", until, ALARM_START
+        ).awaitTermination()
+    return read_history(spark, lake).where(F.col("period_start") >= F.lit(LATE_START).cast("timestamp"))
+
+
 def _training_data():
     """The queries for training data, where that part of the library and its pipeline are present."""
     if not importlib.util.find_spec("clickbasin.llm") or not importlib.util.find_spec("clickbasin.llm.entries"):
@@ -379,6 +458,28 @@ def core_queries() -> dict[str, Query]:
         "stored_quality_results": _stored_quality_results,
         "report_through_table": _report_through_table,
         "incremental_days": _incremental_days,
+        "parquet_drift": _parquet_drift,
+        "incremental_curated": _incremental_curated,
+        "outcome_empty_input": _outcomes(outcomes.CURATE, given.EMPTY_DAY, given.FOLDED_DAYS[0]),
+        "outcome_no_valid_rows": _outcomes(outcomes.CURATE, given.FOLDED_DAYS[1], given.FOLDED_DAYS[2]),
+        "outcome_failed_gate": _outcomes(outcomes.VERIFY, given.FOLDED_DAYS[0], given.FOLDED_DAYS[2]),
+        "outcome_no_data": _outcomes(outcomes.VERIFY, given.EMPTY_DAY, given.FOLDED_DAYS[1]),
+        "alarm_states_stream": _alarm_history,
+        "dq_constraints_incremental": _incremental_quality,
+        "versioned_curated": _versioned_curated,
+        "totals_daily_event_counts": _totals(totals.daily_event_counts),
+        "totals_revenue_by_date": _totals_revenue,
+        "totals_top_skus_by_quantity": _totals(totals.top_skus_by_quantity),
+        "totals_top_search_queries": _totals(totals.top_search_queries),
+        "totals_daily_active_users": _totals(totals.daily_active_users),
+        "totals_events_by_country": _totals(totals.events_by_country),
+        "totals_hourly_event_rate": _totals(totals.hourly_event_rate, AS_OF),
+        "totals_partition_freshness": _totals(totals.partition_freshness),
+        "totals_revenue_by_type_country": _totals(totals.revenue_by_type_country, "2024", "01"),
+        "totals_kpi_total_events": _totals(totals.kpi_total_events),
+        "totals_kpi_total_value": _totals(totals.kpi_total_value),
+        "totals_events_by_type_topn": _totals(totals.events_by_type, 3),
+        "totals_daily_event_volume": _totals(totals.daily_event_volume),
     }
 
 
@@ -446,6 +547,9 @@ latest AS (
 )"""
 )
 
+# The same with the row's own time and number, which the drops go by.
+_RAW_KEYED = _RAW.replace("AS day\n  FROM ev\n),\njudged", "AS day, ev.ts AS event_at, k\n  FROM ev\n),\njudged")
+
 # What a line holds, and where it must go, known from the fault it was given.
 _LINES = (
     _EVENTS
@@ -658,7 +762,38 @@ UNION ALL SELECT 2, 'raw_to_curated', 'SUCCEEDED', ids FROM found
 UNION ALL SELECT 3, 'quality_checks', 'SUCCEEDED', ids FROM found
 UNION ALL SELECT 4, 'refresh_dashboard', 'SUCCEEDED', 0"""
 
-    return {
+    def outcome(where: str, step: str) -> str:
+        """How a step ended, from what was done to the rows of its day."""
+        ended = {
+            outcomes.CURATE: """CASE WHEN n = 0 THEN 'nothing_to_do' ELSE 'done' END AS status,
+  CASE WHEN n = 0 THEN 'no_input' WHEN kept = 0 THEN 'no_valid_rows' END AS reason,
+  n AS rows_in, kept AS rows_out, n - good AS rows_rejected, NULL AS message""",
+            outcomes.VERIFY: """CASE WHEN kept = 0 THEN 'nothing_to_do' WHEN top > most THEN 'failed' ELSE 'done' END AS status,
+  CASE WHEN kept = 0 THEN 'no_data' WHEN top > most THEN 'constraints_failed' END AS reason,
+  kept AS rows_in, kept AS rows_out, NULL AS rows_rejected,
+  CASE WHEN top > most THEN 'Maximum(quantity): not met: ' || CAST(CAST(top AS DECIMAL(28,6)) AS VARCHAR) END AS message""",
+        }[step]
+        return f"""WITH {_RAW},
+dealt AS (
+  SELECT *, 1 + (CAST(day AS INTEGER) - 1) // 11 AS d, reject_reason IS NULL AND 1 + (CAST(day AS INTEGER) - 1) // 11 <> 2 AS ok
+  FROM judged
+),
+last AS (
+  SELECT d, quantity FROM dealt WHERE ok QUALIFY row_number() OVER (
+    PARTITION BY d, event_id
+    ORDER BY event_ts DESC NULLS LAST, event_type NULLS FIRST, user_id NULLS FIRST,
+      session_id NULLS FIRST, country NULLS FIRST, value NULLS FIRST, query NULLS FIRST,
+      sku NULLS FIRST, quantity NULLS FIRST) = 1
+),
+days AS (
+  SELECT w.d, (SELECT count(*) FROM dealt WHERE dealt.d = w.d) AS n, (SELECT count(*) FROM dealt WHERE dealt.d = w.d AND ok) AS good,
+    (SELECT count(*) FROM last WHERE last.d = w.d) AS kept, (SELECT max(quantity) FROM last WHERE last.d = w.d) AS top,
+    CASE WHEN w.d = 3 THEN 2 END AS most
+  FROM (VALUES (1), (2), (3), (4)) AS w(d)
+)
+SELECT 'nightly' AS run, '{step}' AS step, '2024' AS year, '03' AS month, '0' || d AS day, {ended} FROM days WHERE {where}"""
+
+    sql = {
         "raw_day_scan": f"WITH {_RAW} SELECT * FROM raw WHERE year = '2024' AND month = '01' AND day = '15'",
         "raw_decode": decoded,
         "curated_day_scan": f"""WITH {_CURATED}
@@ -776,3 +911,33 @@ FROM whole_lines WHERE event_type = 'purchase' AND k % 19 = 18""",
         "daily_run": run(""),
         "daily_run_parquet": run("WHERE NOT lossy"),
     }
+    sql |= {
+        "parquet_drift": f"""WITH {_CURATED},
+folders AS (SELECT DISTINCT event_type, year, month, day FROM curated)
+SELECT 'quantity' AS "column", 'int' AS declared_type, 'string' AS found_type, 'type_changed' AS change, count(*) AS files
+FROM folders WHERE day > '10' AND day <= '20'
+UNION ALL SELECT 'sku', 'string', NULL, 'missing', count(*) FROM folders WHERE day > '20'
+UNION ALL SELECT 'coupon', NULL, 'string', 'added', count(*) FROM folders WHERE day > '20'""",
+        "incremental_curated": f"""WITH {_RAW_KEYED},
+came AS (
+  SELECT *, 0 AS batch FROM judged WHERE event_at < TIMESTAMP '{SECOND_DROP}'
+  UNION ALL SELECT *, 1 FROM judged WHERE event_at >= TIMESTAMP '{SECOND_DROP}' OR k % 10 = 0
+),
+dealt AS (SELECT * REPLACE ('2024' AS year, '03' AS month, '0' || (1 + (CAST(day AS INTEGER) - 1) // 11) AS day) FROM came)
+SELECT * EXCLUDE (ts, reject_reason, event_at, k), TIMESTAMP '{given.PROCESSED_AT}' AS processed_at, true AS has_file
+FROM dealt WHERE reject_reason IS NULL
+QUALIFY row_number() OVER (
+  PARTITION BY day, event_id
+  ORDER BY event_ts DESC NULLS LAST, event_type NULLS FIRST, user_id NULLS FIRST,
+    session_id NULLS FIRST, country NULLS FIRST, value NULLS FIRST, query NULLS FIRST,
+    sku NULLS FIRST, quantity NULLS FIRST, batch) = 1""",
+        "outcome_empty_input": outcome("d IN (1, 4)", outcomes.CURATE),
+        "outcome_no_valid_rows": outcome("d IN (2, 3)", outcomes.CURATE),
+        "outcome_failed_gate": outcome("d IN (1, 3)", outcomes.VERIFY),
+        "outcome_no_data": outcome("d IN (2, 4)", outcomes.VERIFY),
+        "alarm_states_stream": sql["alarm_states_ignore_late"],
+        "dq_constraints_incremental": sql["dq_constraints"],
+        "versioned_curated": f"WITH {_CURATED} SELECT * FROM curated",
+    }
+    # The same rows from the totals of days as from all events.
+    return sql | {name: sql[name.removeprefix("totals_")] for name in core_queries() if name.startswith("totals_")}

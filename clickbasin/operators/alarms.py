@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickbasin.functions.dates import clock
@@ -61,7 +61,8 @@ def quality_alarms(
     return alarms
 
 
-def _definitions(alarms: Sequence[Alarm]):
+def definitions(alarms: Sequence[Alarm]) -> Column:
+    """The alarms as an array of structures."""
     return F.array(
         *[
             F.struct(
@@ -95,7 +96,7 @@ def alarm_states(
     """
     first, last = F.unix_timestamp(clock(start)), F.unix_timestamp(clock(end))
     length = F.col("period_seconds")
-    definitions = _definitions(alarms)
+    defined = definitions(alarms)
 
     # Every point meets the alarms on its metric, then folds to one row per period.
     longest = F.make_dt_interval(secs=F.lit(max(a.period_seconds for a in alarms)))
@@ -111,7 +112,7 @@ def alarm_states(
             F.unix_timestamp("ts").alias("_at"),
             F.inline(
                 F.filter(
-                    definitions,
+                    defined,
                     lambda d: (d["alarm_metric"] == F.col("metric")) & (recent | (d["missing"] == "ignore")),
                 )
             ),
@@ -131,7 +132,7 @@ def alarm_states(
         else small_frame(points.sparkSession, [(name,) for name in jobs], "job_name string")
     )
     spine = (
-        named.select("job_name", F.inline(definitions))
+        named.select("job_name", F.inline(defined))
         .withColumn("_first", first - F.pmod(first, length))
         .where(F.col("_first") < last)
         .withColumn("_period", F.explode(F.sequence(F.col("_first"), last - 1, length)))

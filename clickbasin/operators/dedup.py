@@ -12,18 +12,19 @@ from pyspark.sql import functions as F
 _TIE_BREAK = ["event_type", "user_id", "session_id", "country", "value", "query", "sku", "quantity"]
 
 
-def latest_per_event(events: DataFrame, *, within: Sequence[str] = ()) -> DataFrame:
+def latest_per_event(events: DataFrame, *, within: Sequence[str] = (), then: Sequence[str] = ()) -> DataFrame:
     """Keep the row with the latest ``event_ts`` (nulls last) of every ``event_id``.
 
     ``events`` is one batch; ``within`` names columns that split a wider input
-    into batches, so that an id seen on two days stays on both.
+    into batches, so that an id seen on two days stays on both. Of rows that are equal otherwise the
+    one that is first in the columns ``then`` is kept.
 
     Ranking to 1 lets Spark drop the other copies in every map task before the
     shuffle, so an id that holds a large share of the rows sends one row per
     task and no task ever sorts the whole group.
     """
     window = Window.partitionBy(*within, "event_id").orderBy(
-        F.col("event_ts").desc_nulls_last(), *[F.col(name).asc_nulls_first() for name in _TIE_BREAK]
+        F.col("event_ts").desc_nulls_last(), *[F.col(name).asc_nulls_first() for name in [*_TIE_BREAK, *then]]
     )
     rank = "_rank"
     return events.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank)

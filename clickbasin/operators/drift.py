@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +13,7 @@ from pyspark.sql import types as T
 from clickbasin.functions.dates import IngestDay
 from clickbasin.functions.json_lines import is_one_object
 from clickbasin.session import small_frame
-from clickbasin.sources.storage import day_glob, glob
+from clickbasin.sources.storage import day_glob, glob, scheme
 
 ADDED = "added"
 MISSING = "missing"
@@ -17,6 +21,7 @@ TYPE_CHANGED = "type_changed"
 UNREADABLE = "unreadable"
 # Stands for a column where a whole line cannot be taken apart.
 WHOLE_LINE = "(line)"
+WHOLE_FILE = "(file)"
 
 _DRIFT = "column string, declared_type string, found_type string, change string"
 
@@ -40,25 +45,85 @@ def parquet_schema(spark: SparkSession, path: str) -> T.StructType:
     return spark.read.option("mergeSchema", True).parquet(path).schema
 
 
-def parquet_drift(spark: SparkSession, root: str, day: IngestDay, declared: T.StructType) -> DataFrame:
-    """``file_schema_drift`` of every Parquet file of an ingest day, each deviation once.
+# Fixed value: where Spark's writer keeps the schema it wrote.
+_SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
+_FILE_DRIFT = _DRIFT + ", files bigint"
+
 
-    Schemas are compared file by file and never merged, as merging fails on the very
-    type changes that are looked for. Only that day's footers are read.
+def _deviations(declared: T.StructType, opener: Callable[[str], BinaryIO] | None):
+    """For ``mapInArrow`` over paths and contents: a row for each deviation of each file.
+
+    Closed over nothing of this package, as executors need not have it.
     """
-    found: set[tuple] = set()
     wanted = {field.name: field.dataType.simpleString() for field in declared}
-    for folder in glob(spark, day_glob(root, day)):
-        for path in glob(spark, f"{folder}/*.parquet"):
-            seen = {f.name: f.dataType.simpleString() for f in spark.read.parquet(path).schema}
-            found |= {(name, kind, None, MISSING) for name, kind in wanted.items() if name not in seen}
-            found |= {(name, None, kind, ADDED) for name, kind in seen.items() if name not in wanted}
-            found |= {
-                (name, kind, seen[name], TYPE_CHANGED)
-                for name, kind in wanted.items()
-                if name in seen and seen[name] != kind
-            }
-    return small_frame(spark, sorted(found, key=repr), _DRIFT)
+    names, spark_schema = ["column", "declared_type", "found_type", "change"], _SPARK_SCHEMA
+    added, missing, changed, broken = ADDED, MISSING, TYPE_CHANGED, (WHOLE_FILE, None, None, UNREADABLE)
+
+    def columns(source) -> dict[str, str]:
+        import json
+
+        import pyarrow.parquet as pq
+        from pyspark.sql.pandas.types import from_arrow_schema
+        from pyspark.sql.types import StructType
+
+        file = pq.ParquetFile(source)
+        known = (file.metadata.metadata or {}).get(spark_schema)
+        if known:
+            return {f.name: f.dataType.simpleString() for f in StructType.fromJson(json.loads(known))}
+        # The old 96-bit timestamps say nothing of zones; Spark reads them as instants.
+        leaves = [file.schema.column(i) for i in range(len(file.schema))]
+        old = {leaf.path for leaf in leaves if leaf.physical_type == "INT96"}
+        fields = from_arrow_schema(file.schema_arrow, prefer_timestamp_ntz=True)
+        return {f.name: "timestamp" if f.name in old else f.dataType.simpleString() for f in fields}
+
+    def opened(path: str, content: bytes | None):
+        if content is not None:
+            return pa.BufferReader(content)
+        return opener(path) if opener else open(path.removeprefix("file:"), "rb")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple] = []
+            for path, content in zip(*(column.to_pylist() for column in batch.columns)):
+                with opened(path, content) as source:
+                    try:
+                        seen = columns(source)
+                    except (pa.ArrowException, ValueError):
+                        found.append(broken)
+                        continue
+                found += [(name, kind, None, missing) for name, kind in wanted.items() if name not in seen]
+                found += [(name, None, kind, added) for name, kind in seen.items() if name not in wanted]
+                found += [(name, kind, seen[name], changed) for name, kind in wanted.items() if seen.get(name, kind) != kind]
+            yield pa.RecordBatch.from_arrays([pa.array([row[n] for row in found], pa.string()) for n in range(4)], names=names)
+
+    return read
+
+
+def parquet_drift(
+    spark: SparkSession,
+    root: str,
+    day: IngestDay | None,
+    declared: T.StructType,
+    opener: Callable[[str], BinaryIO] | None = None,
+) -> DataFrame:
+    """``column, declared_type, found_type, change, files``: how Parquet files deviate from a declared schema.
+
+    The files of an ingest day, or all below ``root``, are listed by Spark and dealt over tasks. Tasks read
+    the footers and compare them, file by file: schemas are never merged, as merging fails on the very type
+    changes that are looked for. What is shuffled is a row for each kind of deviation, with the number of files.
+    A file that is no Parquet is ``unreadable``, as column ``(file)``; one without a byte is passed over, as it is by any scan.
+
+    ``opener`` opens a path on an executor, for reading at any place. Without it, files that all machines
+    mount (``file:``) are opened as they are, and other files are read whole by Spark.
+    """
+    where = root if day is None else day_glob(root, day)
+    if not glob(spark, where):
+        return small_frame(spark, [], _FILE_DRIFT)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(where)
+    by_path = opener is not None or scheme(spark, root) == "file"
+    content = F.lit(None).cast("binary") if by_path else F.col("content")
+    found = files.select("path", content.alias("content")).mapInArrow(_deviations(declared, opener), _DRIFT)
+    return found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("files"))
 
 
 # JSON types a declared type reads without loss.

@@ -68,20 +68,14 @@ class _Constraint:
     holds: Column
 
 
-def measure(events: DataFrame, rules: QualityRules, by: Sequence[str] = ()) -> DataFrame:
-    """One row of measurements per group.
-
-    Two scans that share no data column. The first needs no shuffle beyond one
-    partial row per task and group. The second reads the id alone and counts it
-    in two steps; copies are summed in the map tasks, so an id holding much of
-    the data is no hot spot. A last tiny aggregate merges their rows, no join.
-    """
+def totals(events: DataFrame, rules: QualityRules, by: Sequence[str] = ()) -> DataFrame:
+    """The measurements that add up: counts, and a maximum."""
     outside = (
         ~F.col("event_type").isin(list(rules.allowed_event_types))
         if rules.allowed_event_types
         else F.lit(False)
     )
-    totals = events.groupBy(*by).agg(
+    return events.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("event_ts").alias("event_ts_present"),
         F.count("event_type").alias("event_type_present"),
@@ -91,6 +85,17 @@ def measure(events: DataFrame, rules: QualityRules, by: Sequence[str] = ()) -> D
         F.max("quantity").alias("max_quantity"),
         F.count_if(outside).alias("outside_types"),
     )
+
+
+def measure(events: DataFrame, rules: QualityRules, by: Sequence[str] = ()) -> DataFrame:
+    """One row of measurements per group.
+
+    Two scans that share no data column. The first needs no shuffle beyond one
+    partial row per task and group. The second reads the id alone and counts it
+    in two steps; copies are summed in the map tasks, so an id holding much of
+    the data is no hot spot. A last tiny aggregate merges their rows, no join.
+    """
+    added = totals(events, rules, by)
     ids = (
         events.where(F.col("event_id").isNotNull())
         .groupBy(*by, "event_id")
@@ -103,10 +108,10 @@ def measure(events: DataFrame, rules: QualityRules, by: Sequence[str] = ()) -> D
     )
     # A group without a single id has no row on the second side.
     return (
-        totals.unionByName(ids, allowMissingColumns=True)
+        added.unionByName(ids, allowMissingColumns=True)
         .groupBy(*by)
         .agg(
-            *[F.max(name).alias(name) for name in totals.columns if name not in by],
+            *[F.max(name).alias(name) for name in added.columns if name not in by],
             *[
                 F.coalesce(F.max(name), F.lit(0)).alias(name)
                 for name in ids.columns

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +32,8 @@ def with_verdict(raw: DataFrame) -> DataFrame:
     )
 
 
-def flatten(judged: DataFrame, processed_at: Column) -> DataFrame:
-    """The fixed curated columns, in their declared order and types."""
+def flatten(judged: DataFrame, processed_at: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """The fixed curated columns, in their declared order and types, and behind them those to keep."""
     sources = {
         "event_id": F.col("event_id"),
         "event_ts": F.col(_PARSED_TS),
@@ -41,12 +43,12 @@ def flatten(judged: DataFrame, processed_at: Column) -> DataFrame:
         **{name: F.col(name) for name in PARTITION_KEYS},
     }
     return judged.select(
-        *[sources[field.name].try_cast(field.dataType).alias(field.name) for field in CURATED.fields]
+        *[sources[field.name].try_cast(field.dataType).alias(field.name) for field in CURATED.fields], *keep
     )
 
 
-def accepted(judged: DataFrame, processed_at: Column) -> DataFrame:
-    return flatten(judged.where(F.col(REASON_COLUMN).isNull()), processed_at)
+def accepted(judged: DataFrame, processed_at: Column, keep: Sequence[str] = ()) -> DataFrame:
+    return flatten(judged.where(F.col(REASON_COLUMN).isNull()), processed_at, keep)
 
 
 def rejected(judged: DataFrame) -> DataFrame:

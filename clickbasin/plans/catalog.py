@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from clickbasin.functions.dates import IngestDay
 from clickbasin.plans.paths import LakePaths
 from clickbasin.schemas import CURATED, PARTITION_KEYS, RAW, RAW_LINES
-from clickbasin.sources.storage import NULL_PARTITION, day_glob, folder_event_type, glob
+from clickbasin.sources.storage import NULL_PARTITION, day_folders, folder_event_type
+from clickbasin.sources.versions import is_versioned
 
 TABLE = "events"
 
@@ -63,11 +64,11 @@ def register_all(spark: SparkSession, table: str) -> None:
 def register_day(spark: SparkSession, table: str, root: str, day: IngestDay) -> int:
     """Bring one day's registered partitions in line with that day's folders.
 
-    New folders are added, partitions whose folder a rerun removed are dropped;
-    the table's columns stay as declared, whatever the files contain. Only that
+    New folders are added, partitions whose folder a rerun removed are dropped, and where days have
+    versions a partition is moved to the folder of the live one; the table's columns stay as declared, whatever the files contain. Only that
     day is listed. Returns the number of partitions the day has.
     """
-    folders = {folder_event_type(folder): folder for folder in glob(spark, day_glob(root, day))}
+    folders = {folder_event_type(folder): folder for folder in day_folders(spark, root, day)}
     date = f"year = '{day.year}', month = '{day.month}', day = '{day.day}'"
     registered = {
         folder_event_type(row["partition"])
@@ -81,6 +82,10 @@ def register_day(spark: SparkSession, table: str, root: str, day: IngestDay) ->
     gone = [f"PARTITION (event_type = {_literal(kind)}, {date})" for kind in registered - folders.keys()]
     if added:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
+    if is_versioned(spark, root):
+        for kind in registered & folders.keys():
+            spec = f"PARTITION (event_type = {_literal(kind)}, {date})"
+            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {_literal(folders[kind])}")
     if gone:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone)}")
     spark.catalog.refreshTable(table)

@@ -8,16 +8,27 @@ from datetime import datetime
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickbasin.functions.dates import IngestDay, fixed_clock
 from clickbasin.operators.dedup import latest_per_event
 from clickbasin.operators.validate import accepted, rejected, with_verdict
 from clickbasin.plans.paths import LakePaths
-from clickbasin.schemas import DATE_KEYS, PARTITION_KEYS, REASON_COLUMN
+from clickbasin.schemas import (
+    CORRUPT_COLUMN,
+    DATE_KEYS,
+    LINEAGE,
+    LINEAGE_FIELDS,
+    PARTITION_FIELDS,
+    PARTITION_KEYS,
+    RAW_DATA,
+    REASON_COLUMN,
+)
 from clickbasin.session import pin
+from clickbasin.sources import versions
 from clickbasin.sources.curated import read_curated_day
 from clickbasin.sources.raw import read_raw_day
-from clickbasin.sources.storage import replace_day
+from clickbasin.sources.storage import exists, replace_day
 
 
 @dataclass(frozen=True)
@@ -84,6 +95,17 @@ def write_quarantine(rows: DataFrame, path: str) -> None:
     )
 
 
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame | None:
+    """The rejected rows with their reasons, or ``None`` before the first of them."""
+    if not exists(spark, root):
+        return None
+    more = [T.StructField(name, T.StringType()) for name in (CORRUPT_COLUMN, REASON_COLUMN)]
+    schema = T.StructType([*RAW_DATA.fields, *more, *LINEAGE_FIELDS, *PARTITION_FIELDS])
+    if versions.is_versioned(spark, root):
+        return versions.read_versions(spark, root, schema, versions.live_versions(spark, root), "json")
+    return spark.read.schema(schema).json(root)
+
+
 def curate_day(
     spark: SparkSession,
     lake: LakePaths,
@@ -95,6 +117,7 @@ def curate_day(
     raw: DataFrame | None = None,
     keep_decoded: bool = True,
     size_files: bool = True,
+    files: DataFrame | None = None,
 ) -> CurateOutcome:
     """Recompute one ingest day from raw; running it again changes nothing.
 
@@ -104,14 +127,21 @@ def curate_day(
     and the two writes, because decompressing and parsing JSON is the dear part;
     ``keep_decoded=False`` reads it again instead, for a backfill larger than
     the executors' disks. Lost blocks are recomputed from the raw files.
-    ``size_files`` is explained at ``write_curated``.
+    ``size_files`` is explained at ``write_curated``. With ``files`` (``path``, ``batch``; see
+    ``streaming.incremental.seen_files``) curated and quarantined rows keep the raw file they came from and the
+    batch that saw it first, for ``read_lineage``; of equal rows the one of the earliest batch stays.
     """
     pin(spark)
     if raw is None:
-        raw = read_raw_day(spark, lake.raw, day, any_case=any_case, parquet=parquet)
+        raw = read_raw_day(spark, lake.raw, day, any_case=any_case, parquet=parquet, with_file=files is not None)
     if raw is None:
         return CurateOutcome(0, 0, 0)
     raw = raw.where(day.condition())
+    keep = []
+    if files is not None:
+        # Few rows: Spark sends them to all tasks while they are.
+        raw = raw.join(files.select(F.col("path").alias("source_file"), "batch"), "source_file", "left")
+        keep = LINEAGE
     stamp = fixed_clock(processed_at)
     judged = with_verdict(raw)
     if keep_decoded:
@@ -124,18 +154,18 @@ def curate_day(
         if valid + quarantined == 0:
             return CurateOutcome(0, 0, 0)
 
-        def quarantine() -> None:
+        def quarantine(path: str) -> None:
             if quarantined:
-                write_quarantine(rejected(judged), lake.quarantine)
+                write_quarantine(rejected(judged), path)
 
         replace_day(spark, lake.quarantine, day, quarantine)
         if valid == 0:
             # What an earlier run wrote goes, so that the outcome and the table agree.
-            replace_day(spark, lake.curated, day, lambda: None)
+            replace_day(spark, lake.curated, day, lambda path: None)
             return CurateOutcome(quarantined, 0, quarantined)
-        curated = latest_per_event(accepted(judged, stamp))
+        curated = latest_per_event(accepted(judged, stamp, keep), then=keep[::-1])
         replace_day(
-            spark, lake.curated, day, lambda: write_curated(curated, lake.curated, size_files=size_files)
+            spark, lake.curated, day, lambda path: write_curated(curated, path, size_files=size_files)
         )
     finally:
         if keep_decoded:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickbasin.functions.dates import IngestDay
 from clickbasin.operators.money import total
 from clickbasin.operators.ranking import top_n_and_other
-from clickbasin.schemas import CURATED, PARTITION_KEYS
+from clickbasin.schemas import CURATED, DATE_KEYS, PARTITION_KEYS
+from clickbasin.sources import versions
 from clickbasin.sources.curated import read_curated, read_curated_day
 from clickbasin.sources.storage import delete, exists, partition_folders, replace_day
 
@@ -76,16 +78,31 @@ def refresh_dataset(
     if curated is None:
         return False
     if whole:
+        if versions.is_versioned(spark, dataset_root):
+            days = curated.select(*DATE_KEYS).distinct().collect()  # a row a day
+            held = {IngestDay(*row) for row in days} | set(versions.live_versions(spark, dataset_root))
+            versions.replace_days(spark, dataset_root, sorted(held), lambda path: _write(bi_dataset(curated), path))
+            return True
         _write(bi_dataset(curated), dataset_root)
         # Curated has a folder for every partition that has rows; others in the dataset are leftovers.
         wanted = partition_folders(spark, curated_root)
         for folder in sorted(partition_folders(spark, dataset_root) - wanted):
             delete(spark, f"{dataset_root.rstrip('/')}/{folder}")
     else:
-        replace_day(spark, dataset_root, day, lambda: _write(bi_dataset(curated), dataset_root))
+        replace_day(spark, dataset_root, day, lambda path: _write(bi_dataset(curated), path))
     return True
 
 
+def read_dataset(spark: SparkSession, root: str) -> DataFrame | None:
+    """The stored dataset, or ``None`` before its first refresh."""
+    if not exists(spark, root):
+        return None
+    schema = T.StructType([*CURATED.fields, T.StructField("event_date", T.TimestampType())])
+    if versions.is_versioned(spark, root):
+        return versions.read_versions(spark, root, schema, versions.live_versions(spark, root))
+    return spark.read.schema(schema).parquet(root)
+
+
 def dataset_view(spark: SparkSession, curated_root: str, name: str) -> None:
     """The direct-query alternative: a view over curated instead of a copy."""
     curated = read_curated(spark, curated_root)

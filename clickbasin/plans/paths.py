@@ -25,6 +25,11 @@ class LakePaths:
         """Which days each landing batch wrote to."""
         return self._under("raw", "landed-days")
 
+    @property
+    def raw_files(self) -> str:
+        """Which raw files each run of incremental curation saw first."""
+        return self._under("staging", "raw-files")
+
     @property
     def quarantine(self) -> str:
         return self._under("staging", "quarantine")
@@ -37,6 +42,31 @@ class LakePaths:
     def metrics(self) -> str:
         return self._under("staging", "metrics")
 
+    @property
+    def outcomes(self) -> str:
+        """How the steps of each run ended."""
+        return self._under("staging", "outcomes")
+
+    @property
+    def totals(self) -> str:
+        """Additive totals of each curated day."""
+        return self._under("curated", "totals")
+
+    @property
+    def distinct(self) -> str:
+        """Sets that distinct counts are made of, and the numbers of their members."""
+        return self._under("curated", "distinct")
+
+    @property
+    def alarm_history(self) -> str:
+        """The state of every alarm in every period that was judged."""
+        return self._under("staging", "alarm-history")
+
+    @property
+    def alarm_calls(self) -> str:
+        """Until when alarms were to be judged, run by run."""
+        return self._under("staging", "alarm-calls")
+
     @property
     def curated(self) -> str:
         return self._under("curated", "events")

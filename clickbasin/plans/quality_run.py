@@ -27,10 +27,6 @@ NAMESPACE = "DataQuality"
 JOB_NAME = "curated-events-quality"
 
 
-class QualityFailure(RuntimeError):
-    """Error-level constraints failed. Raised after everything is stored."""
-
-
 @dataclass(frozen=True)
 class QualityOutcome:
     constraints_failed: int
@@ -43,6 +39,14 @@ class QualityOutcome:
         return self.constraints_failed == 0
 
 
+class QualityFailure(RuntimeError):
+    """Error-level constraints failed. Raised after everything is stored."""
+
+    def __init__(self, message: str, outcome: QualityOutcome):
+        super().__init__(message)
+        self.outcome = outcome
+
+
 def write_results(results: DataFrame, root: str, day: IngestDay) -> None:
     """At most ten rows, in one JSON file that replaces the day's earlier one."""
     results.coalesce(1).write.mode("overwrite").json(f"{root}/{day.folder()}")
@@ -94,6 +98,6 @@ def verify_day(
     )
     if fail_on_error and not outcome.success:
         raise QualityFailure(
-            f"{outcome.constraints_failed} error-level constraint(s) failed: " + "; ".join(outcome.failures)
+            f"{outcome.constraints_failed} error-level constraint(s) failed: " + "; ".join(outcome.failures), outcome
         )
     return outcome

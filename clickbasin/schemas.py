@@ -55,6 +55,10 @@ CURATED_DATA = T.StructType(
 )
 CURATED = T.StructType(CURATED_DATA.fields + PARTITION_FIELDS)
 
+# Where a row came from: its raw file, and the run of incremental curation that first saw that file.
+LINEAGE_FIELDS = [T.StructField("source_file", T.StringType()), T.StructField("batch", T.LongType())]
+LINEAGE = ["source_file", "batch"]
+
 # One row per constraint and verified partition.
 RESULT = T.StructType(
     _strings(

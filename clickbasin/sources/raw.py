@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickbasin.functions.dates import IngestDay
 from clickbasin.functions.json_lines import decode, decode_unread, is_blank, merge_decoded
-from clickbasin.schemas import CORRUPT_COLUMN, RAW, RAW_DATA, RAW_LINES
+from clickbasin.schemas import CORRUPT_COLUMN, LINEAGE, RAW, RAW_DATA, RAW_LINES
 from clickbasin.sources.storage import day_glob, glob
 
 # Formats of raw files.
@@ -56,15 +56,26 @@ def raw_format(spark: SparkSession, root: str, day: IngestDay) -> str | None:
     return kinds.pop() if kinds else None
 
 
+def _source_file() -> Column:
+    """The file of a row, spelled as file listings spell it."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias(LINEAGE[0])
+
+
 def read_raw_day(
-    spark: SparkSession, root: str, day: IngestDay, *, any_case: bool = True, parquet: bool | None = None
+    spark: SparkSession,
+    root: str,
+    day: IngestDay,
+    *,
+    any_case: bool = True,
+    parquet: bool | None = None,
+    with_file: bool = False,
 ) -> DataFrame | None:
     """One ingest day, all event types; ``None`` when nothing landed that day.
 
     Only the folders of that day are listed, so the cost does not grow with the
     age of the lake. The files tell whether they hold lines or, from the converting
     ingest, Parquet; a day that mixes both is refused, and so is one that is not what
-    ``parquet`` says.
+    ``parquet`` says. ``with_file`` adds the file of each row as ``source_file``.
     """
     found = raw_format(spark, root, day)
     if found is None:
@@ -72,14 +83,15 @@ def read_raw_day(
     if parquet is not None and parquet != (found == PARQUET):
         raise UnexpectedFormat(f"the raw files of {day.iso()} are {found}")
     reader = spark.read.option("basePath", root)
+    more = [_source_file()] if with_file else []
     if found == PARQUET:
-        return _as_raw(reader.schema(RAW).parquet(day_glob(root, day)))
-    return decode_lines(reader.schema(RAW_LINES).text(day_glob(root, day)), any_case=any_case)
+        return _as_raw(reader.schema(RAW).parquet(day_glob(root, day)), *more)
+    return decode_lines(reader.schema(RAW_LINES).text(day_glob(root, day)).select("*", *more), any_case=any_case)
 
 
-def _as_raw(rows: DataFrame) -> DataFrame:
+def _as_raw(rows: DataFrame, *more: Column) -> DataFrame:
     """Rows of the converting ingest, none of which is malformed."""
-    return rows.select(*RAW.fieldNames(), F.lit(None).cast("string").alias(CORRUPT_COLUMN))
+    return rows.select(*RAW.fieldNames(), F.lit(None).cast("string").alias(CORRUPT_COLUMN), *more)
 
 
 def read_raw_table(table: DataFrame, *, any_case: bool = True) -> DataFrame:

@@ -11,6 +11,7 @@ from urllib.parse import unquote
 from pyspark.sql import SparkSession
 
 from clickbasin.functions.dates import IngestDay
+from clickbasin.sources import versions
 
 # Fixed value: the folder name Spark writes for a null partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -28,6 +29,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_path(spark, path))
 
 
+def scheme(spark: SparkSession, path: str) -> str:
+    """The kind of file system a path is on, such as ``file`` or ``s3a``."""
+    return _file_system(spark, path).getUri().getScheme()
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     found = _file_system(spark, pattern).globStatus(_path(spark, pattern))
     return [status.getPath().toString() for status in found or []]
@@ -59,18 +65,35 @@ def folder_event_type(folder: str) -> str | None:
 def partition_folders(spark: SparkSession, root: str) -> set[str]:
     """All partition folders below ``root``, relative to it; one listing, and none of their files."""
     depth = ALL_DAYS.count("/") + 1
-    return {"/".join(path.split("/")[-depth:]) for path in glob(spark, f"{root.rstrip('/')}/{ALL_DAYS}")}
+    if versions.is_versioned(spark, root):
+        live = versions.live_versions(spark, root).items()
+        found = [path for day, version in live for path in glob(spark, versions.day_folders(root, day, version))]
+    else:
+        found = glob(spark, f"{root.rstrip('/')}/{ALL_DAYS}")
+    return {"/".join(path.split("/")[-depth:]) for path in found}
+
+
+def day_folders(spark: SparkSession, root: str, day: IngestDay) -> list[str]:
+    """The partition folders that hold a day's rows now."""
+    if versions.is_versioned(spark, root):
+        version = versions.live_version(spark, root, day)
+        return [] if version is None else glob(spark, versions.day_folders(root, day, version))
+    return glob(spark, day_glob(root, day))
 
 
-def replace_day(spark: SparkSession, root: str, day: IngestDay, write: Callable[[], None]) -> None:
-    """Run a dynamic-overwrite ``write`` so that the day's folders hold its output only.
+def replace_day(spark: SparkSession, root: str, day: IngestDay, write: Callable[[str], None]) -> None:
+    """Let ``write``, a dynamic overwrite below the path it is given, say what the day's folders hold.
 
-    Dynamic overwrite leaves alone the partitions it produces no row for. A
-    partition that still has a file from before the write is such a leftover.
+    A table with versions (see ``sources.versions``) changes at one moment. In another the output replaces
+    files in place: dynamic overwrite leaves alone the partitions it produces no row for, and a
+    partition that still has a file from before the write is such a leftover, which goes.
     Nothing is removed when the write fails.
     """
+    if versions.is_versioned(spark, root):
+        versions.replace_days(spark, root, [day], write)
+        return
     before = {folder: any_file(spark, folder) for folder in glob(spark, day_glob(root, day))}
-    write()
+    write(root)
     for folder, file in before.items():
         if any_file(spark, folder) is None if file is None else exists(spark, file):
             delete(spark, folder)

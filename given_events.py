@@ -13,9 +13,13 @@ from clickbasin.functions.dates import IngestDay
 from clickbasin.operators.quality import QualityRules
 from clickbasin.plans.curate import write_curated
 from clickbasin.plans.daily_run import run_day
+from clickbasin.plans.outcomes import curate_recorded, verify_recorded
 from clickbasin.plans.paths import LakePaths
+from clickbasin.plans.quality_run import QualityFailure
+from clickbasin.plans.totals import refresh_totals
 from clickbasin.schemas import PARTITION_KEYS
 from clickbasin.session import pin, scratch_path
+from clickbasin.sources.storage import replace_day
 from clickbasin.streaming.landing import line_stream, start_landing
 
 # The day on which the streamed lines are said to arrive.
@@ -185,6 +189,75 @@ def processed_lake(spark: SparkSession, sf_dir: str, rules: QualityRules) -> Lak
     return LakePaths(_once(spark, sf_dir, "processed", write))
 
 
+# Three ingest days for the days of a month, and one on which nothing arrives.
+FOLDED_DAYS = [IngestDay("2024", "03", f"0{n}") for n in (1, 2, 3)]
+EMPTY_DAY = IngestDay("2024", "03", "04")
+
+
+def _folded(rows: DataFrame) -> DataFrame:
+    """Rows dealt to the folded days by their day of the month."""
+    third = F.floor((F.col("day").cast("int") - 1) / 11) + 1
+    return rows.withColumns({"year": F.lit("2024"), "month": F.lit("03"), "day": F.lpad(third.cast("string"), 2, "0")})
+
+
+def folded_drops(spark: SparkSession, sf_dir: str, moment: str) -> list[DataFrame]:
+    """``two_drops`` on the folded days."""
+    return [_folded(part) for part in two_drops(spark, sf_dir, moment)]
+
+
+def drifted_files(spark: SparkSession, sf_dir: str) -> str:
+    """The curated shape, a file a partition, with three schemas by the day of the month."""
+
+    def write(path: str) -> None:
+        rows, day = curated_shape(spark, sf_dir), F.col("day")
+        parts = [
+            rows.where(day <= "10"),
+            rows.where((day > "10") & (day <= "20")).withColumn("quantity", F.col("quantity").cast("string")),
+            rows.where(day > "20").drop("sku").withColumn("coupon", F.lit("WINTER")),
+        ]
+        for part in parts:
+            part.repartition(*PARTITION_KEYS).write.mode("append").partitionBy(*PARTITION_KEYS).parquet(path)
+
+    return _once(spark, sf_dir, "drifted", write)
+
+
+def outcome_lake(spark: SparkSession, sf_dir: str) -> LakePaths:
+    """A lake whose raw rows came on the folded days, curated and verified with a row for each step.
+
+    The second day has no valid row, the third fails its gate, and on a fourth nothing arrived.
+    """
+
+    def write(path: str) -> None:
+        lake = LakePaths(path)
+        rows = _folded(raw_shape(spark, sf_dir))
+        rows = rows.withColumn("ts", F.when(F.col("day") == FOLDED_DAYS[1].day, F.lit("never")).otherwise(F.col("ts")))
+        rows.hint("rebalance", "event_type", "day").write.partitionBy(*PARTITION_KEYS).json(lake.raw)
+        for day in [*FOLDED_DAYS, EMPTY_DAY]:
+            curate_recorded(spark, lake, day, "nightly", at=PROCESSED_AT)
+            rules = QualityRules(max_quantity=2.0 if day == FOLDED_DAYS[2] else None)
+            try:
+                verify_recorded(spark, lake, day, "nightly", rules, at=PROCESSED_AT)
+            except QualityFailure:
+                pass  # the row says so
+
+    return LakePaths(_once(spark, sf_dir, "outcomes", write))
+
+
+def summarised_lake(spark: SparkSession, sf_dir: str, day: IngestDay) -> LakePaths:
+    """The curated shape with its totals, of which ``day`` was half there at first and was curated again."""
+
+    def write(path: str) -> None:
+        lake = LakePaths(path)
+        rows = curated_shape(spark, sf_dir)
+        half = ~day.condition() | (F.col("event_id").cast("long") % 2 == 0)
+        write_curated(rows.where(half), lake.curated)
+        refresh_totals(spark, lake)
+        replace_day(spark, lake.curated, day, lambda path: write_curated(rows.where(day.condition()), path))
+        refresh_totals(spark, lake, day)
+
+    return LakePaths(_once(spark, sf_dir, "summarised", write))
+
+
 def two_drops(spark: SparkSession, sf_dir: str, moment: str) -> list[DataFrame]:
     """The raw shape in two parts: what is before ``moment``, and then the rest with a tenth of it again."""
     rows = raw_shape(spark, sf_dir, "ts AS at", "k")

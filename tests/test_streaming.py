@@ -10,12 +10,12 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from clickbasin.functions.dates import IngestDay, ingest_day
-from clickbasin.plans.curate import curate_day
-from clickbasin.schemas import RAW
-from clickbasin.sources.curated import read_curated
+from clickbasin.plans.curate import curate_day, read_quarantine
+from clickbasin.schemas import CURATED, RAW
+from clickbasin.sources.curated import read_curated, read_lineage
 from clickbasin.sources.raw import read_raw_day
 from clickbasin.streaming import landing
-from clickbasin.streaming.incremental import curate_new_days
+from clickbasin.streaming.incremental import curate_new_days, seen_files
 from clickbasin.streaming.landing import (
     Buffering,
     announce_days,
@@ -260,3 +260,31 @@ def test_only_days_with_new_files_are_curated(spark, lake, drop_lines, tmp_path)
     assert catch_up() == ["2024-03-05"]
     rows = read_curated(spark, lake.curated).collect()
     assert sorted((r["event_id"], r["user_id"]) for r in rows) == [("1", "late"), ("2", "u1")]
+
+
+def test_rows_keep_their_file_and_the_batch_that_saw_it_first(spark, lake, tmp_path, drop_lines):
+    def curate(day):
+        curate_day(spark, lake, day, processed_at=STAMP, files=seen_files(spark, lake, day))
+
+    def news():
+        curate_new_days(spark, lake, str(tmp_path / "bookmark"), curate, note_files=True).awaitTermination()
+        rows = read_lineage(spark, lake.curated).collect()
+        return sorted((r.event_id, r.batch, r.source_file.split("/event_type=")[1]) for r in rows)
+
+    odd = "a b%c"
+    drop_lines(lake.raw, odd, [event("1"), event("2", ts="2024-03-05T09:00:00+00:00"), event(" ")], DAY, "part-0")
+    folder = f"{odd}/{DAY.folder()}"
+    assert news() == [("1", 0, f"{folder}/part-0.txt"), ("2", 0, f"{folder}/part-0.txt")]
+    # A copy and an older row change nothing, a later row and a new one come from the second batch.
+    drop_lines(lake.raw, odd, [event("1"), event("2"), event("3")], DAY, "part-1")
+    later = [("1", 0, f"{folder}/part-0.txt"), ("2", 1, f"{folder}/part-1.txt"), ("3", 1, f"{folder}/part-1.txt")]
+    assert news() == later
+    assert news() == later
+    rejected = read_quarantine(spark, lake.quarantine).collect()
+    assert [(r.batch, r.source_file.endswith("part-0.txt")) for r in rejected] == [(0, True)]
+    # The table itself is as ever; rows curated without it have no origin.
+    assert read_curated(spark, lake.curated).columns == CURATED.fieldNames()
+    curate_day(spark, lake, DAY, processed_at=STAMP)
+    assert {r.batch for r in read_lineage(spark, lake.curated).collect()} == {None}
+    with pytest.raises(ValueError):
+        curate_new_days(spark, lake, str(tmp_path / "other"), curate, announced=True, note_files=True)

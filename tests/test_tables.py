@@ -1,3 +1,5 @@
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import DAY, event
 from pyspark.errors import AnalysisException
@@ -108,16 +110,45 @@ def test_file_drift_of_a_day_with_conflicting_types(spark, tmp_path):
     root = str(tmp_path / "t")
     day = ingest_day("2024-03-05")
     folder = f"{root}/event_type=search/{day.folder()}"
-    spark.range(1).selectExpr("CAST(id AS INT) AS id", "'x' AS name").write.parquet(folder)
-    spark.range(1).selectExpr("'7' AS id").write.mode("append").parquet(folder)
+    one = spark.range(1).coalesce(1)
+    one.selectExpr("CAST(id AS INT) AS id", "'x' AS name").write.parquet(folder)
+    one.selectExpr("'7' AS id").write.mode("append").parquet(folder)
     declared = T.StructType.fromDDL("id int, name string")
     assert {tuple(r) for r in drift.parquet_drift(spark, root, day, declared).collect()} == {
-        ("id", "int", "string", "type_changed"),
-        ("name", "string", None, "missing"),
+        ("id", "int", "string", "type_changed", 1),
+        ("name", "string", None, "missing", 1),
     }
     assert drift.parquet_drift(spark, root, ingest_day("2024-03-06"), declared).count() == 0
 
 
+def test_file_drift_reads_footers_of_any_writer_and_reports_broken_files(spark, tmp_path):
+    root = tmp_path / "t" / "event_type=a b"
+    root.mkdir(parents=True)
+    for n in range(3):
+        own = pa.table({"id": pa.array([1], pa.int32()), "at": pa.array([0], pa.timestamp("us", "UTC")), "when": pa.array([0], pa.timestamp("us"))})
+        pq.write_table(own, root / f"own-{n}.parquet")
+    pq.write_table(pa.table({"id": pa.array([1], pa.int32()), "at": pa.array([0], pa.timestamp("ns")), "when": pa.array([0], pa.timestamp("us"))}),
+                   root / "old.parquet", use_deprecated_int96_timestamps=True)
+    (root / "broken.parquet").write_bytes(b"PAR1 and no footer")
+    (root / "empty.parquet").write_bytes(b"")
+    declared = T.StructType.fromDDL("id bigint, at timestamp, when timestamp, gone struct<a:int>")
+    want = {
+        ("id", "bigint", "int", "type_changed", 4),
+        ("when", "timestamp", "timestamp_ntz", "type_changed", 3),
+        ("gone", "struct<a:int>", None, "missing", 4),
+        ("(file)", None, None, "unreadable", 1),
+    }
+    where = str(tmp_path / "t")
+    assert {tuple(r) for r in drift.parquet_drift(spark, where, None, declared).collect()} == want
+    by_opener = drift.parquet_drift(spark, where, None, declared, lambda path: open(path.removeprefix("file:"), "rb"))
+    assert {tuple(r) for r in by_opener.collect()} == want
+    # As it is done for a file system that executors cannot open by themselves.
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(where).select("path", "content")
+    found = files.mapInArrow(drift._deviations(declared, None), drift._DRIFT)
+    assert {tuple(r) for r in found.groupBy(*found.columns).count().collect()} == want
+    assert drift.parquet_drift(spark, str(tmp_path / "nowhere"), None, declared).count() == 0
+
+
 def test_json_drift_sees_unreadable_objects_and_numbers_out_of_range(spark):
     lines = [
         '{"event_id":"1","ts":"t","user_id":"u","payload":{"quantity":3000000000,"value":1}}',
