@@ -72,6 +72,7 @@ _SIGNS = str.maketrans(SUBSTITUTES)
 # Marks that are set on the letter before, and characters without width.
 _MARKS = "\u0300-\u036f\u0483-\u0489\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f"
 _WIDTHLESS = "\u00ad\u180e\u200b-\u200f\u2060-\u2064\ufeff"
+_ANY_LOOSE = re.compile(f"[{_MARKS}{_WIDTHLESS}]")
 _LOOSE = re.compile(f"([^{_MARKS}{_WIDTHLESS}])([{_MARKS}{_WIDTHLESS}]+)|[{_MARKS}{_WIDTHLESS}]+")
 # Scripts that write words without spaces, two characters to a word.
 _UNSPACED = re.compile("[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
@@ -109,7 +110,7 @@ def _bound(found: re.Match) -> str:
 
 def tight(text: str) -> str:
     """The text without loose marks and widthless characters."""
-    return _LOOSE.sub(_bound, text)
+    return text if text.isascii() or not _ANY_LOOSE.search(text) else _LOOSE.sub(_bound, text)
 
 
 def _places(text: str) -> list[int]:
@@ -129,9 +130,9 @@ def folded(text: str) -> str:
 
 def forms(low: str) -> tuple[str, ...]:
     """A folded text in each way it may be meant, of the same length: digits or signs at the ends of words, letters with marks."""
-    found = [low, _BEHIND.sub(lambda m: m.group().translate(_SIGNS), low)]
-    found += [form.translate(_BARE) for form in found] if not low.isascii() else []
-    return tuple(dict.fromkeys(found))
+    other = _BEHIND.sub(lambda m: m.group().translate(_SIGNS), low)
+    bare = other if low.isascii() else other.translate(_BARE)
+    return tuple(dict.fromkeys((low, other, bare)))
 
 
 @dataclass
