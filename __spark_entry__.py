@@ -37,10 +37,11 @@ from clickbasin.operators.governance import (
 from clickbasin.operators.scan_budget import scan_bytes, scan_partitions
 from clickbasin.operators.validate import accepted, rejected, with_verdict
 from clickbasin.plans import curate, dashboard, outcomes, reports, totals
-from clickbasin.plans.catalog import TABLE, create_tables, database_names, partitions, register_day
+from clickbasin.plans.catalog import TABLE, create_tables, database_names, partitions, register_day, register_days
 from clickbasin.plans.daily_run import run_day
 from clickbasin.plans.paths import LakePaths
 from clickbasin.plans.quality_run import JOB_NAME, NAMESPACE
+from clickbasin.plans.query_results import save_result
 from clickbasin.schemas import CURATED, CURATED_DATA, DATE_KEYS, PARTITION_KEYS, RAW_DATA, REASON_COLUMN, RESULT
 from clickbasin.session import pin, scratch_path, small_frame
 from clickbasin.sources import versions
@@ -49,7 +50,15 @@ from clickbasin.sources.raw import read_raw_day, scan_raw_day
 from clickbasin.sources.storage import ALL_DAYS, glob
 from clickbasin.streaming.alarm_stream import judge_new, read_history
 from clickbasin.streaming.incremental import curate_new_days, seen_files
-from clickbasin.streaming.landing import NOT_CONVERTED, delivered, undeliverable, with_route
+from clickbasin.streaming.landing import (
+    NOT_CONVERTED,
+    Buffering,
+    delivered,
+    land_buffered,
+    read_batches,
+    undeliverable,
+    with_route,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = "2024-01-31 00:00:00"
@@ -64,6 +73,8 @@ RELAXED = quality.QualityRules(required_completeness=0.999)
 # After the first points, and where the incremental run's second drop begins.
 LATE_START = "2024-01-20 00:00:00"
 SECOND_DROP = "2024-01-21 00:00:00"
+# The smallest buffer there is.
+FLUSH_BUFFER = Buffering(mebibytes=1)
 ALARM_START, ALARM_END = "2023-12-29 00:00:00", "2024-02-04 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,8 +229,7 @@ def _registered_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = {re.search(r"year=(\d+)/month=(\d+)/day=(\d+)", path) for path in glob(spark, f"{lake.curated}/{ALL_DAYS}")}
     with _databases(spark, lake) as names:
         table = f"{names['curated']}.{TABLE}"
-        for day in sorted({IngestDay(*found.groups()) for found in days}):
-            register_day(spark, table, lake.curated, day)
+        register_days(spark, table, lake.curated, sorted({IngestDay(*found.groups()) for found in days}))
         return _kept(partitions(spark, table), "partitions")
 
 
@@ -364,6 +374,47 @@ def _versioned_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(read_curated(spark, root))
 
 
+def _landing_flushes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and bytes by what made their batch due, on a clock that goes half a minute a look.
+
+    The first part is there from the start; each other one comes when the last has been landed.
+    """
+    lake = LakePaths(scratch_path(pin(spark), "flushes"))
+    parts, looks, incoming = given.arriving_lines(spark, sf_dir), [0], f"{lake.root}/incoming"
+
+    def look(_: float) -> None:
+        if looks[0] % 3 == 0 and looks[0] // 3 + 1 < len(parts):
+            parts[looks[0] // 3 + 1].write.mode("append").text(incoming)
+        looks[0] += 1
+
+    parts[0].write.text(incoming)
+    land_buffered(
+        spark, incoming, lake, f"{lake.root}/landing", buffering=FLUSH_BUFFER, buffers=1,
+        arrival=F.lit(given.ARRIVAL_TS).cast("timestamp"), go_on=lambda: looks[0] < 3 * len(parts),
+        clock=lambda: 30.0 * looks[0], sleep=look,
+    )
+    return read_batches(spark, lake).groupBy("cause").agg(F.sum("lines").alias("lines"), F.sum("bytes").alias("bytes"))
+
+
+def _saved(how: str) -> Query:
+    """A report that was stored and is read again."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        result = reports.events_by_country(given.curated_shape(spark, sf_dir))
+        path = save_result(result, LakePaths(scratch_path(spark, "results")), "events_by_country", how)
+        reader = spark.read.schema(result.schema)
+        return reader.parquet(path) if how == "parquet" else reader.option("header", True).csv(path)
+
+    return query
+
+
+def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows behind a visual, as a file to take away."""
+    result, path = dashboard.daily_event_volume(given.curated_shape(spark, sf_dir)), scratch_path(spark, "export")
+    dashboard.export_csv(result, path)
+    return spark.read.schema(result.schema).option("header", True).csv(path)
+
+
 def _alarm_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alarms judged in two runs, of which the second gets the points since the first only."""
     lake = LakePaths(scratch_path(pin(spark), "alarms"))
@@ -465,6 +516,16 @@ def core_queries() -> dict[str, Query]:
         "outcome_failed_gate": _outcomes(outcomes.VERIFY, given.FOLDED_DAYS[0], given.FOLDED_DAYS[2]),
         "outcome_no_data": _outcomes(outcomes.VERIFY, given.EMPTY_DAY, given.FOLDED_DAYS[1]),
         "alarm_states_stream": _alarm_history,
+        "landing_flushes": _landing_flushes,
+        "saved_result_parquet": _saved("parquet"),
+        "saved_result_csv": _saved("csv"),
+        "exported_csv": _exported,
+        "top_search_queries_many": lambda spark, sf_dir: reports.top_search_queries(given.curated_with_terms(spark, sf_dir)),
+        "dq_constraints_from_text": lambda spark, sf_dir: _results(
+            spark,
+            sf_dir,
+            quality.QualityRules.from_text("1.0", " 0.94 ", "page_view,add_to_cart,,purchase,search", "25"),
+        ),
         "dq_constraints_incremental": _incremental_quality,
         "versioned_curated": _versioned_curated,
         "totals_daily_event_counts": _totals(totals.daily_event_counts),
@@ -936,6 +997,25 @@ QUALIFY row_number() OVER (
         "outcome_failed_gate": outcome("d IN (1, 3)", outcomes.VERIFY),
         "outcome_no_data": outcome("d IN (2, 4)", outcomes.VERIFY),
         "alarm_states_stream": sql["alarm_states_ignore_late"],
+        "landing_flushes": f"""WITH {_LINES},
+parts AS (
+  SELECT CASE WHEN k % 10 = 0 THEN 'first' WHEN k % 10 <= 3 THEN 'second' ELSE 'third' END AS part,
+    count(*) AS lines, sum(strlen(line)) AS bytes
+  FROM lines GROUP BY 1
+)
+SELECT CASE WHEN part = 'first' THEN 'first' WHEN bytes + lines >= {FLUSH_BUFFER.batch_bytes(1)} THEN 'size' ELSE 'time' END AS cause,
+  CAST(sum(lines) AS BIGINT) AS lines, CAST(sum(bytes) AS BIGINT) AS bytes
+FROM parts GROUP BY 1""",
+        "saved_result_parquet": sql["events_by_country"],
+        "saved_result_csv": sql["events_by_country"],
+        "exported_csv": sql["daily_event_volume"],
+        "top_search_queries_many": f"""WITH {_CURATED},
+asked AS (
+  SELECT 'item ' || (CAST(event_id AS BIGINT) % 173) AS search_term, session_id FROM curated WHERE event_type = 'search'
+)
+SELECT search_term, count(*) AS searches, count(DISTINCT session_id) AS sessions
+FROM asked GROUP BY 1 ORDER BY searches DESC, search_term LIMIT 50""",
+        "dq_constraints_from_text": sql["dq_constraints"],
         "dq_constraints_incremental": sql["dq_constraints"],
         "versioned_curated": f"WITH {_CURATED} SELECT * FROM curated",
     }

@@ -52,37 +52,85 @@ def merge_decoded(first: Column, again: Column) -> list[Column]:
     return [F.coalesce(first[name], again[name]).alias(name) for name in plain] + [payload.alias("payload")]
 
 
+# The line stands in an array under the first key, and the second must still be found behind it.
+_LINE, _END = "framed line", "behind the line"
+
+
+def _framed(line: Column) -> Column:
+    return F.concat(F.lit(f'{{"{_LINE}":['), line, F.lit(f'],"{_END}":1}}'))
+
+
 def decode(line: Column, schema: T.StructType) -> Column:
     """Parse a line into ``schema`` plus the corrupt-record column.
 
     A line that is not one JSON object and nothing else yields nulls; a field of the
     wrong type yields a null field. In both cases the text is kept in the corrupt column.
+
+    Parsing by itself stops behind the first object, so what follows it on the line (another record, for want
+    of a line break) would vanish. Put into an array, with a key behind the array, the line must be an array of
+    one and the key must still be found: one pass tells both whether the line is whole and what it says.
     """
-    full = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    parsed = F.from_json(
-        line, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    frame = T.StructType(
+        [
+            T.StructField(_LINE, T.ArrayType(schema)),
+            T.StructField(_END, T.IntegerType()),
+            T.StructField(CORRUPT_COLUMN, T.StringType()),
+        ]
     )
-    nothing = F.struct(
-        *[F.lit(None).cast(field.dataType).alias(field.name) for field in schema],
-        line.alias(CORRUPT_COLUMN),
+    parsed = F.from_json(_framed(line), frame, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+
+    def judged(found: Column) -> Column:
+        text, inner = found[CORRUPT_COLUMN], F.get(found[_LINE], 0)
+        whole = (F.size(found[_LINE]) == 1) & inner.isNotNull() & found[_END].isNotNull()
+        # Where something did not fit, the parser went on behind it: look once more, at the form alone. So are
+        # lines that could end the frame's array, whatever they put behind it.
+        whole = whole & ((text.isNull() & ~_may_end_frame(line)) | is_one_object(line))
+        return F.struct(F.when(whole, inner).alias("inner"), text.isNull().alias("fits"))
+
+    def shown(found: Column) -> Column:
+        fields = [found["inner"][field.name].alias(field.name) for field in schema]
+        return F.struct(*fields, F.when(found["inner"].isNull() | ~found["fits"], line).alias(CORRUPT_COLUMN))
+
+    # Handed to functions, so that the expressions behind them occur once.
+    return F.get(F.transform(F.transform(F.array(parsed), judged), shown), 0)
+
+
+def as_map(line: Column) -> Column:
+    """The keys and values of a line that is one JSON object; null where it is none or cannot be taken apart."""
+    shape = T.StructType(
+        [
+            T.StructField(_LINE, T.ArrayType(T.MapType(T.StringType(), T.VariantType()))),
+            T.StructField(_END, T.IntegerType()),
+        ]
     )
-    return F.when(is_one_object(line), parsed).otherwise(nothing)
 
+    def judged(found: Column) -> Column:
+        whole = (F.size(found[_LINE]) == 1) & found[_END].isNotNull()
+        return F.when(whole & (~_may_end_frame(line) | is_one_object(line)), F.get(found[_LINE], 0))
 
-def is_one_object(line: Column) -> Column:
-    """Whether the line holds exactly one JSON object.
+    return F.get(F.transform(F.array(F.from_json(_framed(line), shape)), judged), 0)
 
-    Parsing stops behind the first object, so what follows it on the line (another
-    record, for want of a line break) would vanish. Put into an array, with a key behind
-    the array, the line must be an array of one and the key must still be found.
-    """
-    framed = F.from_json(
-        F.concat(F.lit('{"line":['), line, F.lit('],"end":1}')), "struct<line:array<struct<_:string>>,end:int>"
+
+def _may_end_frame(line: Column) -> Column:
+    return F.contains(line, F.lit("]"))
+
+
+def is_one_object(line: Column) -> Column:
+    """Whether the line holds exactly one JSON object, as ``decode`` finds out besides."""
+    shape = T.StructType(
+        [
+            T.StructField(_LINE, T.ArrayType(T.StructType([T.StructField("_", T.StringType())]))),
+            T.StructField(_END, T.IntegerType()),
+        ]
     )
-    # Handed to a function, so that the expression behind it occurs once.
+    # The frame has two keys; a line that ended its array has put others behind it.
+    keys = F.size(F.map_keys(F.from_json(_framed(line), "map<string,string>")))
     return F.exists(
-        F.array(framed),
-        lambda f: (F.size(f["line"]) == 1) & F.get(f["line"], 0).isNotNull() & f["end"].isNotNull(),
+        F.array(F.from_json(_framed(line), shape)),
+        lambda f: (F.size(f[_LINE]) == 1)
+        & F.get(f[_LINE], 0).isNotNull()
+        & f[_END].isNotNull()
+        & (~_may_end_frame(line) | (keys == 2)),
     ).eqNullSafe(True)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickbasin.functions.dates import IngestDay
-from clickbasin.functions.json_lines import is_one_object
+from clickbasin.functions.json_lines import as_map, is_one_object
 from clickbasin.session import small_frame
 from clickbasin.sources.storage import day_glob, glob, scheme
 
@@ -139,9 +139,9 @@ _FITTING = {
 def json_drift(lines: DataFrame, declared: T.StructType) -> DataFrame:
     """``column, json_type, change, rows`` for keys of JSON lines that left the schema.
 
-    ``column`` is a key or ``parent.key``; declared keys match in any case. Every line is
-    looked at once and compared with the schema in place: it yields rows for what deviates
-    and one for what it has, which are counted in the map tasks. A number that the
+    ``column`` is a key or ``parent.key``; declared keys match in any case. A line is parsed once into
+    pairs of key and type, which are counted in the map tasks; what is compared with the schema is a row
+    for each pair that occurs, and a row for each declared key. A number that the
     declared integer cannot hold deviates as ``BIGINT`` or ``DECIMAL``. A declared key no
     line has is ``missing`` with zero rows. An object whose keys cannot be taken apart (a
     key occurs twice inside) is ``unreadable``, as column ``(line)``. Null values and lines
@@ -153,16 +153,14 @@ def json_drift(lines: DataFrame, declared: T.StructType) -> DataFrame:
         kinds[field.name] = "struct" if field.name in structs else field.dataType.simpleString()
         if field.name in structs:
             kinds |= {f"{field.name}.{inner.name}": inner.dataType.simpleString() for inner in field.dataType}
-
-    def folded(path: Column) -> Column:
-        return F.when(F.lower(path).isin(list(kinds)), F.lower(path)).otherwise(path)
+    integers = [path for path, kind in kinds.items() if kind == "int"]
 
     def found(path: Column, value: Column) -> Column:
+        known = F.when(F.lower(path).isin(list(kinds)), F.lower(path)).otherwise(path)
         kind = F.schema_of_variant(value)  # such as DECIMAL(4,2) or OBJECT<a: BIGINT>
+        too_large = F.lower(path).isin(integers) & F.try_variant_get(value, "$", "int").isNull()
         return F.struct(
-            folded(path).alias("column"),
-            F.substring_index(F.substring_index(kind, "(", 1), "<", 1).alias("json_type"),
-            value.alias("value"),
+            known.alias("column"), F.regexp_extract(kind, "^[A-Z]+", 0).alias("json_type"), too_large.alias("too_large")
         )
 
     def members(entry: Column) -> Column:
@@ -171,72 +169,38 @@ def json_drift(lines: DataFrame, declared: T.StructType) -> DataFrame:
 
     keys = F.map_entries("_map")
     nested = F.transform(F.filter(keys, lambda e: F.lower(e["key"]).isin(structs)), members)
-    none = F.array().cast("array<struct<column:string,json_type:string,value:variant>>")
     pairs = F.concat(
-        F.transform(keys, lambda e: found(e["key"], e["value"])),
-        F.flatten(F.filter(nested, lambda m: m.isNotNull())),
-    )
-
-    def fits(pair: Column) -> Column:
-        fitting = F.lit(False)
-        for kind in sorted(set(kinds.values())):
-            own = pair["column"].isin([path for path, own in kinds.items() if own == kind])
-            holds = pair["json_type"].isin(_FITTING[kind])
-            if kind == "int":
-                holds = holds & F.try_variant_get(pair["value"], "$", "int").isNotNull()
-            fitting = fitting | (own & holds)
-        return fitting
-
-    deviating = F.transform(
-        F.filter("_pairs", lambda p: ~fits(p)),
-        lambda p: F.struct(p["column"].alias("column"), p["json_type"].alias("json_type")),
+        F.transform(keys, lambda e: found(e["key"], e["value"])), F.flatten(F.filter(nested, lambda m: m.isNotNull()))
     )
-    broken = F.array(F.struct(F.lit(WHOLE_LINE).alias("column"), F.lit("OBJECT").alias("json_type")))
-    nothing = F.array(F.struct(F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("json_type")))
-    # Generated columns, so that a line is parsed once.
-    # An empty object besides, so that a table without lines has its missing keys as well.
-    empty = small_frame(lines.sparkSession, [("{}",)], "value string")
+    broken = F.array(F.struct(F.lit(WHOLE_LINE).alias("column"), F.lit("OBJECT").alias("json_type"), F.lit(False).alias("too_large")))
     counted = (
-        lines.select("value")
-        .union(empty)
-        .where(is_one_object(F.col("value")))
-        .select(F.explode(F.array(F.from_json("value", "map<string,variant>"))).alias("_map"))
-        .select(
-            F.col("_map").isNull().alias("_broken"),
-            F.explode(F.array(F.coalesce(F.filter(pairs, lambda p: p["json_type"] != "VOID"), none))).alias("_pairs"),
-        )
-        .select(
-            F.transform("_pairs", lambda p: p["column"]).alias("_has"),
-            F.explode(F.concat(nothing, F.when(F.col("_broken"), broken).otherwise(deviating))).alias("_found"),
-        )
-        .groupBy("_found.column", "_found.json_type")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            *[F.bool_or(F.array_contains("_has", path)).alias(f"_has_{n}") for n, path in enumerate(kinds)],
-        )
+        lines.select("value", F.explode(F.array(as_map(F.col("value")))).alias("_map"))
+        # Only what could not be taken apart has to be looked at once more.
+        .where(F.col("_map").isNotNull() | is_one_object(F.col("value")))
+        .select(F.explode(F.when(F.col("_map").isNull(), broken).otherwise(pairs)).alias("_pair"))
+        .where(F.col("_pair.json_type") != "VOID")
+        .groupBy("_pair.column", "_pair.json_type", "_pair.too_large")
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
-    # From here on there is a row per deviation, and one that knows which declared keys there were.
-    lacking = F.array(
-        *[
-            F.struct(F.lit(path).alias("column"), F.col(f"_has_{n}").alias("seen"))
-            for n, path in enumerate(kinds)
-        ]
+    wanted = small_frame(
+        lines.sparkSession, list(kinds.items()), T.StructType([T.StructField(name, T.StringType()) for name in ("column", "kind")])
     )
-    change = (
-        F.when(F.col("column") == WHOLE_LINE, UNREADABLE)
-        .when(F.col("column").isin(list(kinds)), TYPE_CHANGED)
-        .otherwise(ADDED)
+    # A row for each key: what it occurs as, and what it is declared as, if at all.
+    by_key = (
+        counted.select("column", "json_type", "too_large", "rows", F.lit(None).cast("string").alias("kind"))
+        .unionByName(wanted, allowMissingColumns=True)
+        .groupBy("column")
+        .agg(F.max("kind").alias("kind"), F.collect_list(F.when(F.col("json_type").isNotNull(), F.struct("json_type", "too_large", "rows"))).alias("seen"))
     )
-    out = F.when(
-        F.col("column").isNull(),
-        F.transform(
-            F.filter(lacking, lambda p: ~p["seen"]),
-            lambda p: F.struct(
-                p["column"].alias("column"),
-                F.lit(None).cast("string").alias("json_type"),
-                F.lit(MISSING).alias("change"),
-                F.lit(0).cast("long").alias("rows"),
-            ),
-        ),
-    ).otherwise(F.array(F.struct("column", "json_type", change.alias("change"), "rows")))
-    return counted.select(F.inline(out))
+    fitting = F.create_map(*[F.lit(x) for kind, types in _FITTING.items() for x in (kind, F.array(*map(F.lit, types)))])
+    fits = lambda s: F.coalesce(F.array_contains(F.try_element_at(fitting, F.col("kind")), s["json_type"]), F.lit(False)) & ~s["too_large"]
+    change = F.when(F.col("column") == WHOLE_LINE, UNREADABLE).when(F.col("kind").isNotNull(), TYPE_CHANGED).otherwise(ADDED)
+
+    def deviation(json_type: Column, how: Column, rows: Column) -> Column:
+        return F.struct(json_type.cast("string").alias("json_type"), how.alias("change"), rows.cast("long").alias("rows"))
+
+    missing = F.array(deviation(F.lit(None), F.lit(MISSING), F.lit(0)))
+    deviating = F.transform(F.filter("seen", lambda s: ~fits(s)), lambda s: deviation(s["json_type"], change, s["rows"]))
+    found_out = by_key.select("column", F.inline(F.when(F.size("seen") == 0, missing).otherwise(deviating)))
+    # An integer that is too large and a number with a fraction may be of one JSON type.
+    return found_out.groupBy("column", "json_type", "change").agg(F.sum("rows").alias("rows"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickbasin.functions.dates import IngestDay
 from clickbasin.plans.paths import LakePaths
-from clickbasin.schemas import CURATED, PARTITION_KEYS, RAW, RAW_LINES
+from clickbasin.schemas import CURATED, DATE_KEYS, PARTITION_KEYS, RAW, RAW_LINES
 from clickbasin.sources.storage import NULL_PARTITION, day_folders, folder_event_type
 from clickbasin.sources.versions import is_versioned
 
@@ -62,36 +64,47 @@ def register_all(spark: SparkSession, table: str) -> None:
 
 
 def register_day(spark: SparkSession, table: str, root: str, day: IngestDay) -> int:
-    """Bring one day's registered partitions in line with that day's folders.
+    """``register_days`` of one day."""
+    return register_days(spark, table, root, [day])
+
+
+def register_days(spark: SparkSession, table: str, root: str, days: Sequence[IngestDay]) -> int:
+    """Bring some days' registered partitions in line with these days' folders.
 
     New folders are added, partitions whose folder a rerun removed are dropped, and where days have
-    versions a partition is moved to the folder of the live one; the table's columns stay as declared, whatever the files contain. Only that
-    day is listed. Returns the number of partitions the day has.
+    versions a partition is moved to the folder of the live one; the table's columns stay as declared, whatever
+    the files contain. Only these days' folders are listed. The catalog is asked once, and told once of what is new
+    and once of what is gone, however many days there are. Returns the number of partitions the days have.
     """
-    folders = {folder_event_type(folder): folder for folder in day_folders(spark, root, day)}
-    date = f"year = '{day.year}', month = '{day.month}', day = '{day.day}'"
-    registered = {
-        folder_event_type(row["partition"])
-        for row in spark.sql(f"SHOW PARTITIONS {table} PARTITION ({date})").collect()
-    }
-    added = [
-        f"PARTITION (event_type = {_literal(kind)}, {date}) LOCATION {_literal(folder)}"
-        for kind, folder in folders.items()
-        if kind not in registered
-    ]
-    gone = [f"PARTITION (event_type = {_literal(kind)}, {date})" for kind in registered - folders.keys()]
+    folders = {(folder_event_type(folder), day): folder for day in days for folder in day_folders(spark, root, day)}
+    shown = f"SHOW PARTITIONS {table}" + (f" PARTITION ({_date(days[0])})" if len(days) == 1 else "")
+    wanted = set(days)
+    # A row a partition: names, no rows of the table.
+    known = [(folder_event_type(row["partition"]), _folder_day(row["partition"])) for row in spark.sql(shown).collect()]
+    registered = {found for found in known if found[1] in wanted}
+    spec = lambda found: f"PARTITION (event_type = {_literal(found[0])}, {_date(found[1])})"
+    added = [f"{spec(found)} LOCATION {_literal(folders[found])}" for found in folders if found not in registered]
+    gone = [spec(found) for found in registered - folders.keys()]
     if added:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
     if is_versioned(spark, root):
-        for kind in registered & folders.keys():
-            spec = f"PARTITION (event_type = {_literal(kind)}, {date})"
-            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {_literal(folders[kind])}")
+        for found in registered & folders.keys():
+            spark.sql(f"ALTER TABLE {table} {spec(found)} SET LOCATION {_literal(folders[found])}")
     if gone:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone)}")
     spark.catalog.refreshTable(table)
     return len(folders)
 
 
+def _date(day: IngestDay) -> str:
+    return f"year = '{day.year}', month = '{day.month}', day = '{day.day}'"
+
+
+def _folder_day(folder: str) -> IngestDay:
+    found = dict(part.split("=", 1) for part in folder.split("/") if "=" in part)
+    return IngestDay(*(found[name] for name in DATE_KEYS))
+
+
 def _literal(text: str | None) -> str:
     if text is None:
         return "null"

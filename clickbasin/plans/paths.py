@@ -25,6 +25,11 @@ class LakePaths:
         """Which days each landing batch wrote to."""
         return self._under("raw", "landed-days")
 
+    @property
+    def landed_batches(self) -> str:
+        """What each landing batch wrote, and what made it due."""
+        return self._under("raw", "landed-batches")
+
     @property
     def raw_files(self) -> str:
         """Which raw files each run of incremental curation saw first."""

@@ -97,3 +97,22 @@ def replace_day(spark: SparkSession, root: str, day: IngestDay, write: Callable[
     for folder, file in before.items():
         if any_file(spark, folder) is None if file is None else exists(spark, file):
             delete(spark, folder)
+
+
+def _listed(spark: SparkSession, folder: str):
+    """Status by status, the files directly in a folder."""
+    system, path = _file_system(spark, folder), _path(spark, folder)
+    if system.exists(path):
+        listing = system.listFiles(path, False)
+        while listing.hasNext():
+            yield listing.next()
+
+
+def newest_time(spark: SparkSession, folder: str) -> float:
+    """When the newest file of a folder was written, by the file system's clock; 0 without files."""
+    return max((status.getModificationTime() / 1000 for status in _listed(spark, folder)), default=0.0)
+
+
+def waiting_bytes(spark: SparkSession, folder: str, since: float) -> int:
+    """Bytes of a folder's files that were written after a moment of the file system's clock."""
+    return sum(status.getLen() for status in _listed(spark, folder) if status.getModificationTime() / 1000 > since)

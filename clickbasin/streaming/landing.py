@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,14 +18,18 @@ from clickbasin.plans.paths import LakePaths
 from clickbasin.schemas import CORRUPT_COLUMN, DATE_KEYS, PARTITION_FIELDS, PARTITION_KEYS, RAW, RAW_DATA
 from clickbasin.session import pin, small_frame
 from clickbasin.sources.raw import decode_lines
-from clickbasin.sources.storage import delete, glob
+from clickbasin.sources.storage import delete, exists, glob, newest_time, waiting_bytes
 
 # Error folder names, and the limits of the delivery buffer.
 FAILED = "processing-failed"
 NOT_CONVERTED = "format-conversion-failed"
+DELIVERED = "delivered"
 BUFFER_MIB = (1, 128)
 BUFFER_SECONDS = (60, 900)
 
+# What makes a batch due: the query's own trigger, or, for ``land_buffered``, its first look, bytes, or seconds.
+TRIGGER, FIRST, SIZE, TIME = "trigger", "first", "size", "time"
+
 _KEY = T.StructType([T.StructField("event_type", T.StringType())])
 
 
@@ -163,9 +168,35 @@ def _write_parquet(rows: DataFrame, path: str, prefix: str) -> None:
     )
 
 
-def _days(routed: DataFrame) -> list[IngestDay]:
-    """The arrival days of a batch: one, or two around midnight."""
-    return [IngestDay(*row) for row in routed.select(*DATE_KEYS).distinct().collect()]
+_BATCH = T.StructType(
+    [
+        T.StructField("query", T.StringType()),
+        T.StructField("batch", T.LongType()),
+        T.StructField("cause", T.StringType()),
+        T.StructField("route", T.StringType()),
+        *PARTITION_FIELDS[1:],
+        T.StructField("lines", T.LongType()),
+        T.StructField("bytes", T.LongType()),
+    ]
+)
+
+
+def _tally(routed: DataFrame) -> list[tuple]:
+    """``route, year, month, day, lines, bytes`` of a batch: three routes, and a day or two around midnight."""
+    route = F.coalesce("result", F.lit(DELIVERED)).alias("route")
+    found = routed.groupBy(route, *DATE_KEYS).agg(F.count(F.lit(1)), F.sum(F.octet_length("value")))
+    return [tuple(row) for row in found.collect()]
+
+
+def _days(tally: list[tuple]) -> list[IngestDay]:
+    return sorted({IngestDay(*row[1:4]) for row in tally})
+
+
+def read_batches(spark: SparkSession, lake: LakePaths) -> DataFrame:
+    """``query, batch, cause, route, year, month, day, lines, bytes`` of every landed batch."""
+    if not exists(spark, lake.landed_batches):
+        return small_frame(spark, [], _BATCH)
+    return spark.read.schema(_BATCH).json(lake.landed_batches)
 
 
 def announce_days(spark: SparkSession, lake: LakePaths, days: list[IngestDay], name: str) -> None:
@@ -178,21 +209,23 @@ def announce_days(spark: SparkSession, lake: LakePaths, days: list[IngestDay], n
     rows.coalesce(1).write.mode("append").option("mapreduce.output.basename", name).json(lake.landed_days)
 
 
-def _remove_attempt(routed: DataFrame, lake: LakePaths, prefix: str) -> None:
+def _remove_attempt(spark: SparkSession, lake: LakePaths, days: list[IngestDay], prefix: str) -> None:
     """Delete files an earlier attempt at this batch left in the days it writes to."""
-    spark = routed.sparkSession
-    for leftover in glob(spark, f"{lake.landed_days}/{prefix}-*"):
-        delete(spark, leftover)
-    for found in _days(routed):
+    for log in (lake.landed_days, lake.landed_batches):
+        for leftover in glob(spark, f"{log}/{prefix}-*"):
+            delete(spark, leftover)
+    for found in days:
         day = found.folder()
         for folder in (f"{lake.raw}/event_type=*", f"{lake.errors}/result=*"):
             for leftover in glob(spark, f"{folder}/{day}/{prefix}-*"):
                 delete(spark, leftover)
 
 
-def batch_writer(lake: LakePaths, *, parquet: bool = False) -> Callable[[DataFrame, int], None]:
+def batch_writer(lake: LakePaths, *, parquet: bool = False, cause: str = TRIGGER) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that lands a routed batch once, even if run twice.
 
+    What it wrote, and the ``cause`` it is given, goes to ``lake.landed_batches``, a row a route and day.
+
     A batch is only ever repeated as the first one after a restart, when the
     run before stopped between writing its files and recording it. File names
     carry the query and batch id, so that first batch removes what its earlier
@@ -202,11 +235,12 @@ def batch_writer(lake: LakePaths, *, parquet: bool = False) -> Callable[[DataFra
 
     def land(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-        prefix = f"{query}-{batch_id:012d}"
+        prefix, spark = f"{query}-{batch_id:012d}", batch.sparkSession
         routed = (with_conversion(batch) if parquet else batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            tally = _tally(routed)
             if query not in started:
-                _remove_attempt(routed, lake, prefix)
+                _remove_attempt(spark, lake, _days(tally), prefix)
                 started.add(query)
             if parquet:
                 good = routed.where(F.col("result").isNull()).select("_raw", *PARTITION_KEYS)
@@ -214,7 +248,9 @@ def batch_writer(lake: LakePaths, *, parquet: bool = False) -> Callable[[DataFra
             else:
                 _write_lines(delivered(routed), lake.raw, PARTITION_KEYS, prefix)
             _write_lines(undeliverable(routed), lake.errors, ["result", *DATE_KEYS], prefix)
-            announce_days(batch.sparkSession, lake, _days(routed), prefix)
+            announce_days(spark, lake, _days(tally), prefix)
+            rows = small_frame(spark, [(query, batch_id, cause, *row) for row in tally], _BATCH)
+            rows.coalesce(1).write.mode("append").option("mapreduce.output.basename", prefix).json(lake.landed_batches)
         finally:
             routed.unpersist()
 
@@ -230,6 +266,7 @@ def start_landing(
     parquet: bool = False,
     drain: bool = False,
     arrival: Column | None = None,
+    cause: str = TRIGGER,
 ) -> StreamingQuery:
     """Run the landing stream. ``drain`` takes what is there and stops.
 
@@ -239,9 +276,50 @@ def start_landing(
     pin(lines.sparkSession)
     writer = (
         with_route(lines, arrival)
-        .writeStream.foreachBatch(batch_writer(lake, parquet=parquet))
+        .writeStream.foreachBatch(batch_writer(lake, parquet=parquet, cause=cause))
         .option("checkpointLocation", checkpoint)
     )
     if drain:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{buffering.seconds} seconds").start()
+
+
+def land_buffered(
+    spark: SparkSession,
+    folder: str,
+    lake: LakePaths,
+    checkpoint: str,
+    *,
+    buffering: Buffering = Buffering(),
+    buffers: int | None = None,
+    archive: str | None = None,
+    parquet: bool = False,
+    arrival: Column | None = None,
+    poll_seconds: float = 1.0,
+    go_on: Callable[[], bool] = lambda: True,
+    clock: Callable[[], float] = time.time,
+    sleep: Callable[[float], None] = time.sleep,
+) -> None:
+    """Land a folder's files when its buffers are full or ``buffering.seconds`` after the last flush, whichever is first.
+
+    Triggers of a streaming query know time only. Here the files that came since the last flush are summed up
+    between flushes; each flush is a run of the landing stream over what is there, in batches of full buffers
+    and one for the rest. Files that come during a flush may be counted again, which at most flushes early.
+    Nothing is written while nothing came. ``go_on`` is asked before every look.
+    """
+    full = buffering.batch_bytes(buffers or spark.sparkContext.defaultParallelism)
+    cause, since, flushed = FIRST, 0.0, clock()
+    while go_on():
+        waiting = waiting_bytes(spark, folder, since)
+        if cause != FIRST:
+            cause = SIZE if waiting >= full else TIME if clock() - flushed >= buffering.seconds else ""
+        if not cause:
+            sleep(poll_seconds)
+            continue
+        flushed = clock()
+        # A file may bear the very time of the newest one that was flushed: after the seconds look in any case.
+        if waiting or cause == TIME:
+            since = newest_time(spark, folder)
+            lines = line_stream(spark, folder, buffering, buffers, archive)
+            start_landing(lines, lake, checkpoint, parquet=parquet, drain=True, arrival=arrival, cause=cause).awaitTermination()
+        cause = ""

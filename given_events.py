@@ -101,6 +101,13 @@ def raw_shape(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     )
 
 
+def curated_with_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated shape with many search terms, some as frequent as others."""
+    n = F.col("event_id").cast("long")
+    term = F.concat(F.when(n % 2 == 0, "Item ").otherwise("ITEM "), (n % 173).cast("string"))
+    return curated_shape(spark, sf_dir).withColumn("query", F.when(F.col("event_type") == "search", term))
+
+
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a line of JSON text, some of them damaged.
 
@@ -109,6 +116,16 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     a key nobody declared (29); quantity beyond an integer (13); a payload key twice
     (53); a second object on the line (47); other text behind the object (59).
     """
+    return _keyed_lines(spark, sf_dir).select("value")
+
+
+def arriving_lines(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The lines in three parts of a tenth, three and six tenths."""
+    lines, tenth = _keyed_lines(spark, sf_dir), F.col("k") % 10
+    return [lines.where(part).select("value") for part in (tenth == 0, tenth.between(1, 3), tenth > 3)]
+
+
+def _keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         events(spark, sf_dir)
         .selectExpr(
@@ -134,6 +151,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             " '\"value\":', CAST(CAST(value AS DECIMAL(18,2)) AS STRING), '}}') AS line",
         )
         .selectExpr(
+            "k",
             "CASE WHEN k % 23 = 22 THEN left(line, 45) WHEN k % 47 = 46 THEN concat(line, line)"
             " WHEN k % 59 = 58 THEN concat(line, ' # end') ELSE line END AS value"
         )

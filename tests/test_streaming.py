@@ -288,3 +288,47 @@ def test_rows_keep_their_file_and_the_batch_that_saw_it_first(spark, lake, tmp_p
     assert {r.batch for r in read_lineage(spark, lake.curated).collect()} == {None}
     with pytest.raises(ValueError):
         curate_new_days(spark, lake, str(tmp_path / "other"), curate, announced=True, note_files=True)
+
+
+def test_buffers_flush_by_size_or_by_time(spark, feed, lake, tmp_path):
+    """A file a look; a clock that goes ten seconds a look."""
+    line = typed("search", "1", query="x" * 1000)
+    sizes, now = [10, 10, 2000, 10], [0]
+
+    def look(_):
+        if sizes:
+            feed(f"{len(sizes)}.json", [line] * sizes.pop(0))
+        now[0] += 10
+        time.sleep(0.02)  # files of different times
+
+    landing.land_buffered(
+        spark, feed.folder, lake, str(tmp_path / "checkpoint"), buffering=Buffering(mebibytes=1), buffers=1,
+        arrival=stamp(), go_on=lambda: now[0] < 200, clock=lambda: now[0], sleep=look,
+    )
+    rows = landing.read_batches(spark, lake).orderBy("batch").collect()
+    # Two small ones wait until the third fills a buffer; the last waits for its time.
+    assert [(r.cause, r.lines) for r in rows if r.cause == "time"] == [("time", 10)]
+    assert sum(r.lines for r in rows if r.cause == "size") == 2020
+    assert {r.route for r in rows} == {"delivered"} and sum(r.bytes for r in rows) == 2030 * len(line.encode())
+    assert lines_below(lake.raw) == sorted([line] * 2030)
+
+
+def test_batches_are_logged_once_even_when_run_again(spark, lake):
+    frame = spark.createDataFrame([(x,) for x in GOOD + BAD], "value string")
+    routed = with_route(frame, stamp())
+    batch_writer(lake)(routed, 8)
+    batch_writer(lake, cause="size")(routed, 8)
+    rows = landing.read_batches(spark, lake).collect()
+    assert {(r.batch, r.cause, r.route, r.day, r.lines) for r in rows} == {
+        (8, "size", "delivered", "07", len(GOOD)), (8, "size", "processing-failed", "07", len(BAD)),
+    }
+    assert len(rows) == 2
+
+
+def test_nothing_comes_and_nothing_is_written(spark, lake, tmp_path):
+    looks = iter(range(20))
+    landing.land_buffered(
+        spark, str(tmp_path / "nowhere"), lake, str(tmp_path / "checkpoint"), buffers=1, go_on=lambda: next(looks) < 15,
+        clock=lambda: 0.0, sleep=lambda _: None,
+    )
+    assert landing.read_batches(spark, lake).count() == 0 and not os.path.exists(lake.raw)
