@@ -10,6 +10,7 @@ from __future__ import annotations
 import argparse
 import sys
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,21 +30,25 @@ from clickbasin.operators.governance import (
 )
 from clickbasin.operators.quality import QualityRules
 from clickbasin.operators.scan_budget import check_scan
-from clickbasin.plans import dashboard, reports
+from clickbasin.plans import dashboard, reports, totals
 from clickbasin.plans.catalog import TABLE, create_tables, database_names, location
 from clickbasin.plans.curate import curate_day
 from clickbasin.plans.daily_run import FAILED, run_day
 from clickbasin.plans.dashboard import refresh_dataset
+from clickbasin.plans.outcomes import curate_recorded, read_outcomes, verify_recorded
 from clickbasin.plans.paths import LakePaths
 from clickbasin.plans.quality_run import JOB_NAME, NAMESPACE, verify_day
 from clickbasin.plans.query_results import save_result
+from clickbasin.plans.totals import refresh_totals
 from clickbasin.schemas import CURATED, METRIC, RAW_DATA
 from clickbasin.session import pin, small_frame
+from clickbasin.sources import versions
 from clickbasin.sources.curated import read_curated
 from clickbasin.sources.raw import PARQUET, raw_format
 from clickbasin.sources.storage import day_glob
-from clickbasin.streaming.incremental import curate_new_days
-from clickbasin.streaming.landing import Buffering, line_stream, start_landing
+from clickbasin.streaming.alarm_stream import judge_new
+from clickbasin.streaming.incremental import curate_new_days, seen_files
+from clickbasin.streaming.landing import Buffering, land_buffered, line_stream, start_landing
 
 REPORTS = {
     name: getattr(reports, name)
@@ -63,6 +68,8 @@ REPORTS = {
 }
 
 MONTHLY = "revenue_by_type_country"
+# Reports over columns that analysts do not see.
+NEEDS_PERSONAL = {"daily_active_users", "events_by_country", "top_search_queries"}
 AUDIENCES = {"analyst": ANALYST, "engineer": ENGINEER}
 
 
@@ -86,6 +93,9 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--metric-namespace", default=NAMESPACE)
         sub.add_argument("--metric-job-name", default=JOB_NAME)
 
+    def run_option(sub: argparse.ArgumentParser) -> None:
+        sub.add_argument("--run", default="", help="name of the run, under which its outcome is stored; blank: not stored")
+
     def raw_option(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--parquet", default="", help="whether raw files are Parquet; blank: the files tell")
 
@@ -98,21 +108,40 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("--archive", default="", help="folder that landed source files are moved to")
     land.add_argument("--parquet", default="false")
     land.add_argument("--drain", default="false", help="take what is there and stop")
+    land.add_argument("--by-size", default="false", help="also flush before its time when the buffers are full")
 
     curate = job("curate", "recompute one curated day")
     raw_option(curate)
+    run_option(curate)
 
     news = job("curate-new", "recompute the days that got new raw files", dated=False)
     news.add_argument("--checkpoint", required=True)
     news.add_argument("--announced", default="false", help="go by the landing's announcements, list no raw files")
+    news.add_argument("--note-files", default="false", help="keep with each row its raw file and the run that saw it first")
     raw_option(news)
 
-    quality_options(job("quality", "verify one curated day"))
+    verify = job("quality", "verify one curated day")
+    quality_options(verify)
+    run_option(verify)
 
     job("refresh", "bring the dashboard dataset up to date").add_argument(
         "--full", default="false", help="rebuild all days"
     )
 
+    job("totals", "bring the totals of a day in line with curated").add_argument("--full", default="false", help="rebuild all days")
+
+    table = job("versions", "let the days of the curated, quarantine and dashboard tables be replaced at one moment", dated=False)
+    table.add_argument("--vacuum-seconds", default="", help="instead: remove versions out of use for so long")
+
+    judge = job("judge", "judge the alarm periods that have ended since the last call", dated=False)
+    judge.add_argument("--checkpoint", required=True)
+    judge.add_argument("--until", required=True, help="moment, UTC")
+    judge.add_argument("--since", default="", help="where the first call begins; blank: the next period")
+    judge.add_argument("--missing", default="notBreaching", choices=MISSING_RULES)
+    judge.add_argument("--metric-job-name", default=JOB_NAME)
+
+    job("outcomes", "keep how the steps of all runs ended as a result", dated=False)
+
     daily = job("daily", "register, curate, verify and refresh one day")
     quality_options(daily)
     daily.add_argument("--refresh-dashboard", default="true")
@@ -135,6 +164,7 @@ def _parser() -> argparse.ArgumentParser:
     report.add_argument(
         "--table", default="", help="catalogued curated table, whose pruned partitions alone are listed"
     )
+    report.add_argument("--from-totals", default="false", help="read the days' totals instead of events")
     report.add_argument("--audience", default="analyst", choices=sorted(AUDIENCES))
     report.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     report.add_argument("--scan-cap-bytes", default="", help="refuse to scan more; blank: no cap")
@@ -154,7 +184,21 @@ def _raw_parquet(options: argparse.Namespace) -> bool | None:
     return flag(options.parquet) if options.parquet.strip() else None
 
 
+def _report_from_totals(spark: SparkSession, lake: LakePaths, options: argparse.Namespace) -> str:
+    if options.audience != "engineer" and options.name in NEEDS_PERSONAL:
+        raise PermissionError(f"{options.name} counts users or sessions, which analysts may not see")
+    if options.name == MONTHLY:
+        result = totals.revenue_by_type_country(spark, lake, *options.month.split("-"))
+    elif options.name == "hourly_event_rate":
+        result = totals.hourly_event_rate(spark, lake, datetime.now(timezone.utc))
+    else:
+        result = getattr(totals, options.name)(spark, lake)
+    return save_result(result, lake, options.name, options.format)
+
+
 def _report(spark: SparkSession, lake: LakePaths, options: argparse.Namespace) -> str:
+    if flag(options.from_totals):
+        return _report_from_totals(spark, lake, options)
     curated = spark.table(options.table) if options.table else read_curated(spark, lake.curated)
     if curated is None:
         raise FileNotFoundError(lake.curated)
@@ -212,8 +256,38 @@ def main(arguments: Sequence[str] | None = None) -> int:
     spark = pin(SparkSession.builder.appName(f"clickbasin-{options.job}").getOrCreate())
     lake = LakePaths(options.lake)
 
+    if options.job == "versions":
+        for root in (lake.curated, lake.quarantine, lake.dataset):
+            if options.vacuum_seconds.strip():
+                print(root, versions.vacuum(spark, root, float(options.vacuum_seconds)))
+            else:
+                versions.start(spark, root)
+        return 0
+    if options.job == "judge":
+        alarms, since = quality_alarms(options.missing), options.since or None
+        judge_new(
+            spark, lake, alarms, [options.metric_job_name], options.checkpoint, options.until, since
+        ).awaitTermination()
+        return 0
+    if options.job == "outcomes":
+        _keep(read_outcomes(spark, lake).orderBy("at", "run", "step"), lake, "outcomes")
+        return 0
     if options.job == "land":
         buffering = Buffering(options.buffer_mib, options.buffer_seconds)
+        if flag(options.by_size):
+            end = iter([True])
+            land_buffered(
+                spark,
+                options.source,
+                lake,
+                options.checkpoint,
+                buffering=buffering,
+                buffers=int(options.buffers) if options.buffers else None,
+                archive=options.archive or None,
+                parquet=flag(options.parquet),
+                go_on=lambda: next(end, False) if flag(options.drain) else True,
+            )
+            return 0
         start_landing(
             line_stream(
                 spark,
@@ -231,11 +305,14 @@ def main(arguments: Sequence[str] | None = None) -> int:
         return 0
     if options.job == "curate-new":
 
+        note = flag(options.note_files)
+
         def curate(day: IngestDay) -> None:
-            print(day.iso(), curate_day(spark, lake, day, parquet=_raw_parquet(options)))
+            files = seen_files(spark, lake, day) if note else None
+            print(day.iso(), curate_day(spark, lake, day, parquet=_raw_parquet(options), files=files))
 
         curate_new_days(
-            spark, lake, options.checkpoint, curate, announced=flag(options.announced)
+            spark, lake, options.checkpoint, curate, announced=flag(options.announced), note_files=note
         ).awaitTermination()
         return 0
     if options.job == "report":
@@ -250,21 +327,25 @@ def main(arguments: Sequence[str] | None = None) -> int:
         _keep(_drift(spark, lake, day), lake, f"drift-{day.iso()}")
         return 0
     if options.job == "curate":
-        print(day.iso(), curate_day(spark, lake, day, parquet=_raw_parquet(options)))
+        parquet = _raw_parquet(options)
+        if options.run:
+            print(day.iso(), curate_recorded(spark, lake, day, options.run, parquet=parquet))
+        else:
+            print(day.iso(), curate_day(spark, lake, day, parquet=parquet))
+        return 0
+    if options.job == "totals":
+        refresh_totals(spark, lake, None if flag(options.full) else day)
         return 0
     if options.job == "refresh":
         refresh_dataset(spark, lake.curated, lake.dataset, None if flag(options.full) else day)
         return 0
     if options.job == "quality":
-        outcome = verify_day(
-            spark,
-            lake,
-            day,
-            _rules(options),
-            namespace=options.metric_namespace,
-            job_name=options.metric_job_name,
-            fail_on_error=flag(options.fail_on_error),
-        )
+        names = dict(namespace=options.metric_namespace, job_name=options.metric_job_name)
+        stop = flag(options.fail_on_error)
+        if options.run:
+            outcome = verify_recorded(spark, lake, day, options.run, _rules(options), fail_on_error=stop, **names)
+        else:
+            outcome = verify_day(spark, lake, day, _rules(options), fail_on_error=stop, **names)
         print(day.iso(), outcome)
         return 0
 

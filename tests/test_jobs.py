@@ -8,6 +8,7 @@ from clickbasin.jobs import main
 from clickbasin.plans.catalog import create_tables, database_names, register_day
 from clickbasin.plans.curate import CurateOutcome, curate_day
 from clickbasin.plans.quality_run import QualityFailure
+from clickbasin.sources.curated import read_lineage
 from clickbasin.sources.raw import scan_raw_day
 
 
@@ -85,3 +86,41 @@ def test_curating_a_day_of_a_catalogued_table(spark, lake, drop_lines):
     assert curate_day(spark, lake, DAY, raw=raw) == CurateOutcome(2, 1, 1)
     for database in names.values():
         spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_versions_outcomes_totals_and_judging(spark, lake, drop_lines, run, tmp_path):
+    assert run("versions")[0] == 0
+    assert "raw_rows=0" in run("curate", *DATE, "--run", "first")[1]
+    drop_lines(lake.raw, "search", [event("1", country="US", session_id="s", query="Hat"), event("2", query="hat", session_id="t")])
+    run("curate", *DATE, "--run", "second")
+    with pytest.raises(QualityFailure):
+        run("quality", *DATE, "--run", "second", "--allowed-event-types", "login")
+    rows = spark.read.parquet(run("outcomes")[1].split("\n")[0]).collect()
+    assert [(r.run, r.step, r.status, r.reason) for r in rows] == [
+        ("first", "raw_to_curated", "nothing_to_do", "no_input"),
+        ("second", "raw_to_curated", "done", None),
+        ("second", "quality_checks", "failed", "constraints_failed"),
+    ]
+    assert run("totals", *DATE, "--full", "yes")[0] == 0 and run("totals", *DATE)[0] == 0
+    name = ["--name", "top_search_queries", "--from-totals", "yes"]
+    with pytest.raises(PermissionError):
+        run("report", *name)
+    path = run("report", *name, "--audience", "engineer")[1].strip()
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("hat", 2, 2)]
+    monthly = ["--name", "revenue_by_type_country", "--month", "2024-03", "--from-totals", "yes"]
+    assert spark.read.parquet(run("report", *monthly)[1].strip()).count() == 2
+    assert spark.read.parquet(run("report", "--name", "hourly_event_rate", "--from-totals", "on")[1].strip()).count() == 0
+    run("refresh", *DATE)
+    assert [line.split()[-1] for line in run("versions", "--vacuum-seconds", "0")[1].splitlines()] == ["0", "0", "0"]
+    judged = ["--checkpoint", str(tmp_path / "j"), "--until", "2024-03-03 00:00:00", "--since", "2024-03-01 00:00:00"]
+    assert run("judge", *judged)[0] == 0
+    assert spark.read.option("recursiveFileLookup", True).parquet(lake.alarm_history).count() == 6
+
+
+def test_landing_by_size_and_noting_files(spark, lake, run, tmp_path):
+    source = tmp_path / "incoming"
+    source.mkdir()
+    (source / "a.json").write_text(json.dumps({"event_type": "login", **event("1")}) + "\n")
+    run("land", "--source", str(source), "--checkpoint", str(tmp_path / "l"), "--drain", "yes", "--by-size", "yes")
+    assert "curated_rows=1" in run("curate-new", "--checkpoint", str(tmp_path / "c"), "--note-files", "yes")[1]
+    assert {r.batch for r in read_lineage(spark, lake.curated).collect()} == {0}
