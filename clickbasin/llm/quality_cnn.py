@@ -15,10 +15,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# The fit sees at most so many labelled documents, and so many chunks of each, spread evenly.
-SAMPLE_ROWS = 4_000
-SAMPLE_CHUNKS = 16
+from clickbasin.llm.support import stored
+from clickbasin.session import small_frame
+
+# The fit sees at most so many labelled documents, whole, of so many bytes together.
+SAMPLE_ROWS, SAMPLE_BYTES = 4_000, 12_000_000
 EPOCHS = 8
 # Bytes a filter sees, and bytes in a chunk.
 WIDTH, CHUNK = 8, 128
@@ -115,10 +118,8 @@ def constant(share: float) -> Network:
     )
 
 
-def sampled_chunks(text: str, width: int = WIDTH, chunk: int = CHUNK) -> np.ndarray:
-    """At most ``SAMPLE_CHUNKS`` chunks of a text, spread evenly over it."""
-    every = chunks_of(text.encode("utf-8", "replace"), width, chunk)
-    return every[np.unique(np.linspace(0, len(every) - 1, SAMPLE_CHUNKS).astype(int))]
+def all_chunks(text: str, width: int = WIDTH, chunk: int = CHUNK) -> np.ndarray:
+    return chunks_of(text.encode("utf-8", "replace"), width, chunk)
 
 
 def fit(
@@ -191,16 +192,19 @@ def fit(
 def train(sample: DataFrame) -> Network:
     """Fit on (doc_id, text, label) rows, whose number the caller has bounded.
 
-    Chunks are cut on the executors, so what the driver gets is bounded in bytes as well.
+    They are taken in the order of a hash of the id while their texts have ``SAMPLE_BYTES`` bytes together; one
+    that would exceed them is passed over. Texts are never cut: the fit pools over all chunks, as scoring does.
     """
-
-    @F.arrow_udf("binary")
-    def cut(texts: pa.Array) -> pa.Array:
-        return pa.array([sampled_chunks(text or "").tobytes() for text in texts.to_pylist()], pa.binary())
-
-    rows = sorted(sample.select("doc_id", cut("text").alias("chunks"), "label").collect(), key=lambda row: (row.doc_id, row.chunks))
-    chunks = [np.frombuffer(row.chunks, dtype=np.int16).reshape(-1, CHUNK) for row in rows]
-    return fit(chunks, [row.label for row in rows])
+    sample = stored(sample, "quality-sample")
+    sizes = sample.select("doc_id", F.octet_length("text").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id", "n")
+    taken, room = [], SAMPLE_BYTES
+    for row in sizes.collect():  # an id and a number each
+        if row.n <= room:
+            taken.append(row.doc_id)
+            room -= row.n
+    chosen = small_frame(sample.sparkSession, [(doc_id,) for doc_id in taken], T.StructType([sample.schema["doc_id"]]))
+    rows = sorted(sample.join(chosen, "doc_id", "left_semi").collect(), key=lambda row: (row.doc_id, row.text))
+    return fit([all_chunks(row.text) for row in rows], [row.label for row in rows])
 
 
 def quality(net: Network, text: Column) -> Column:

@@ -29,7 +29,7 @@ def direct(net, text):
 @pytest.fixture(scope="module")
 def net():
     texts = [f"A calm sentence number {i}, with words in it." for i in range(60)] + [f"%%% {i} ### &&& $$$ ***" * 4 for i in range(30)]
-    return quality_cnn.fit([quality_cnn.sampled_chunks(t) for t in texts], [1] * 60 + [0] * 30)
+    return quality_cnn.fit([quality_cnn.all_chunks(t) for t in texts], [1] * 60 + [0] * 30)
 
 
 @pytest.mark.parametrize("text", ["", "a", "seven..", "exactly8", "Plain words. " * 30, "é😀%% ### " * 400, "x" * 121, "x" * 128, "x" * 129])
@@ -50,7 +50,7 @@ def test_it_learns_and_one_class_is_a_constant(net):
     good, bad = quality_cnn.probabilities(net, ["Another sentence, calm as ever.", "### %%% $$$ &&& ***" * 5])
     assert good > 0.7 > 0.3 > bad
     for labels, share in (([], 0.5), ([1, 1, 1], 0.875), ([0], 0.25)):
-        constant = quality_cnn.fit([quality_cnn.sampled_chunks("x")] * len(labels), labels)
+        constant = quality_cnn.fit([quality_cnn.all_chunks("x")] * len(labels), labels)
         assert quality_cnn.probabilities(constant, ["", "any text"]) == pytest.approx([share, share])
 
 
@@ -72,3 +72,25 @@ def test_held_out_accuracy(spark):
     known = [(r.predicted, labels[r.doc_id]) for r in held if r.doc_id in labels]
     assert np.mean([a == b for a, b in known]) >= 0.95
     assert all(r.predicted == (r.score >= 0.7) for r in rows)
+
+
+def test_the_sample_is_whole_texts_of_bounded_bytes(spark, monkeypatch):
+    monkeypatch.setattr(quality_cnn, "SAMPLE_BYTES", 10_000)
+    seen = []
+    monkeypatch.setattr(quality_cnn, "fit", lambda cut, labels: seen.extend(zip(cut, labels)))
+    rows = [(n, "é" * 1000, n % 2) for n in range(8)] + [(9, "z" * 20_000, 1)]
+    quality_cnn.train(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    assert len(seen) == 5 and all(cut.shape == quality_cnn.all_chunks("é" * 1000).shape for cut, _ in seen)
+
+
+def test_samples_look_at_documents_first_and_take_one_row_an_id(spark):
+    docs = spark.range(300).selectExpr("id AS doc_id", "CONCAT('text ', id) AS text", "'x' AS label")
+    docs = docs.union(spark.range(100_000).selectExpr("7", "CONCAT('copy ', id)", "'y'")).union(spark.sql("SELECT NULL, 'no id', 'z'"))
+    docs = docs.union(spark.sql("SELECT 8, CAST(NULL AS STRING), 'z'"))
+    labels = spark.range(-50_000, 50_000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    found = entries.labelled_sample(docs, labels, "quality", 4, 2, 200).collect()
+    ids = [r.doc_id for r in found]
+    assert len(ids) == len(set(ids)) == 200 and all(0 <= i < 300 and zlib.crc32(str(i).encode()) % 4 != 2 for i in ids)
+    every = {r.doc_id: r.text for r in entries.labelled_sample(docs, labels, "quality", 4, 2, 100_000).collect()}
+    assert every.get(7, "copy 0") == "copy 0" and every.get(8, "") == ""
+    assert entries.labelled_sample(docs.where("false"), labels, "quality", 4, 2, 200).count() == 0
