@@ -25,22 +25,33 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The fit sees at most so many pages of the table, and so many put together.
-SAMPLE_PAGES, MADE_PAGES = 300, 500
+# The fit sees at most so many pages of the table, of so many characters together, and so many put together.
+SAMPLE_PAGES, SAMPLE_CHARS, MADE_PAGES = 300, 20_000_000, 500
+# Made pages take their words from the beginnings of the sample's texts, and so many different ones in all.
+WORDS_OF_A_TEXT, MADE_WORDS = 40, 5000
 # What it costs to drop something inside of a kept element: the less telling parts stay.
 INSIDE = 4.0
 
 # How elements behave in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math select".split())
+RAW = frozenset(
+    "script style textarea title xmp iframe noembed noframes noscript template svg select annotation annotation-xml".split()
+)
+# Of these, the ones that may stand inside one another.
+NESTED = ("svg", "template")
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer"
     " form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary"
     " table tbody tfoot thead tr caption ul".split()
 )
 CLOSES_P = BLOCK - frozenset("html body head li dt dd tr tbody thead tfoot caption".split())
+# Elements of formulas, whose text belongs to the line around them.
+FORMULA = frozenset(
+    "math menclose merror mfenced mfrac mi mn mo mover mpadded mroot mrow ms mspace msqrt mstyle msub msubsup msup"
+    " mtable mtd mtext mtr munder munderover semantics".split()
+)
 # Elements that do not end an open head.
-IN_HEAD = RAW - frozenset("textarea xmp iframe noembed svg math select".split()) | frozenset("base basefont bgsound link meta".split())
+IN_HEAD = RAW - frozenset("textarea xmp iframe noembed svg select annotation annotation-xml".split()) | frozenset("base basefont bgsound link meta".split())
 # An element that opens ends an open one of these, up to the given borders.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -67,13 +78,32 @@ TAGS = (
 ).split()
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*>|<\?[^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
     r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>?",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
 _PART = re.compile(r"[a-z]+")
-_RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
+_RAW_END = {tag: re.compile(f"</{tag}(?=[\\s/>]|$)", re.I | re.A) for tag in RAW}
+
+
+def _behind_raw(page: str, tag: str, at: int) -> int:
+    """Where a raw element whose head ends at ``at`` is over, or the end of the page."""
+    end = None
+    if tag in NESTED:
+        depth = 1
+        for edge in _TOKEN.finditer(page, at):
+            if (edge[1] or "").lower() == tag:
+                depth -= 1
+            elif (edge[2] or "").lower() == tag and not edge[3].endswith("/"):
+                depth += 1
+            if not depth:
+                end = edge.start()
+                break
+    elif found := _RAW_END[tag].search(page, at):
+        end = found.start()
+    stop = -1 if end is None else page.find(">", end)
+    return stop + 1 if stop >= 0 else len(page)
 
 
 @dataclass
@@ -125,11 +155,11 @@ def parse(page: str) -> list[Node]:
         tag, attributes = opening.lower(), found.group(3) or ""
         if nodes[open_[-1]].tag == "head" and tag not in IN_HEAD:
             close(len(open_) - 1)
+        if tag in FORMULA:
+            continue
         if tag in RAW:
             if not attributes.endswith("/"):
-                end = _RAW_END[tag].search(page, at)
-                stop = page.find(">", end.end()) if end else -1
-                at = stop + 1 if stop >= 0 else len(page)
+                at = _behind_raw(page, tag, at)
             continue
         if tag in CLOSES_P and counts["p"] > 0:
             k = len(open_) - 1
@@ -139,7 +169,7 @@ def parse(page: str) -> list[Node]:
                 close(k)
         if tag in ENDS:
             ends, borders = ENDS[tag]
-            for k in range(len(open_) - 1, max(0, len(open_) - 12), -1):
+            for k in range(len(open_) - 1 if any(counts[end] > 0 for end in ends) else 0, 0, -1):
                 if nodes[open_[k]].tag in borders:
                     break
                 if nodes[open_[k]].tag in ends:
@@ -547,8 +577,8 @@ class _Maker:
 def fit(pages: list[str]) -> Extractor:
     """An extractor from a bounded list of pages; it may be empty."""
     parsed = [(nodes, state) for nodes in map(parse, pages) if (state := plain_labels(nodes)) is not None]
-    words = sorted({w for nodes, _ in parsed for node in nodes for t in node.parts if isinstance(t, str) for w in t.split()[:40] if w.isalpha()})
-    maker = _Maker(words[:: max(1, len(words) // 5000)])
+    words = sorted({w for nodes, _ in parsed for node in nodes for t in node.parts if isinstance(t, str) for w in t.split()[:WORDS_OF_A_TEXT] if w.isalpha()})
+    maker = _Maker(words[:: max(1, len(words) // MADE_WORDS)])
     data = [*parsed, *(maker.labelled() for _ in range(MADE_PAGES))]
     labels = [_label_rows(nodes, state) for nodes, state in data]
     good, bad = Counter(), Counter()
@@ -568,11 +598,18 @@ def fit(pages: list[str]) -> Extractor:
 
 
 def train(pages: DataFrame, id_column: str = "page_id", column: str = "html", most: int = SAMPLE_PAGES) -> Extractor:
-    """Fit on at most ``most`` pages, picked by a hash of their ids, alike on every run."""
+    """Fit on at most ``most`` pages, picked by a hash of their ids, alike on every run.
+
+    Pages are taken in that order while they have ``SAMPLE_CHARS`` characters together; one that would
+    exceed them is passed over.
+    """
     known = pages.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{column}`").alias("html")).dropna()
-    # Only the fit leaves out pages of more than a million characters, so that the driver can hold the sample.
-    known = known.where(F.length("html") <= 1_000_000)
-    ids = [row.id for row in known.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(most).collect()]
+    sizes = known.groupBy("id").agg(F.max(F.length("html")).alias("n")).orderBy(F.xxhash64("id"), "id").limit(most)
+    ids, room = [], SAMPLE_CHARS
+    for row in sizes.collect():  # ``most`` rows of an id and a number
+        if row.n <= room:
+            ids.append(row.id)
+            room -= row.n
     chosen = known.where(F.col("id").isin(ids)).groupBy("id").agg(F.max("html").alias("html"))
     return fit([row.html for row in sorted(chosen.collect())])
 

@@ -120,3 +120,47 @@ def test_page_or_article_in_a_form(extractor):
 def test_raw_elements_end_where_they_end(extractor, tag):
     page = f"<article><p>{LONG}{'İ' * 50}<{tag}>a < b İ</{tag.upper()}> after</p><p>{LONG}</p></article>"
     assert extractor.texts([page]) == [f"{LONG}{'İ' * 50} after\n\n{LONG.strip()}"]
+
+
+LEAD_P = "<p>The first long paragraph of the article says something, with a comma and a full stop.</p>"
+TAIL_P = "<p>The rest of the article goes on in another long paragraph, and it ends here at last.</p>"
+LEAD = "The first long paragraph of the article says something, with a comma and a full stop."
+TAIL = "The rest of the article goes on in another long paragraph, and it ends here at last."
+
+
+@pytest.mark.parametrize(
+    "between",
+    [
+        "<!-->", "<!--->", "<!---->", "<!-- a -- b --!>", "<!-- a > b -->", "<svg><g><svg><text>x</text></svg></g><text>y</text></svg>",
+        "<template><template><p>x</p></template><p>y</p></template>", "<svg><path d='</svg>'/></svg>", "<svg/>", "<SVG a='>'><svg /></Svg >",
+        "<script>if (a < b) '</scripty>'</script>",
+    ],
+)
+def test_nothing_behind_comments_and_raw_elements_is_lost(extractor, between):
+    page = f"<html><body><article><h1>A title of some length</h1>{LEAD_P}{between}{TAIL_P}</article></body></html>"
+    assert extractor.texts([page])[0].split("\n\n")[1:] == [LEAD, TAIL]
+
+
+def test_formulas_are_text(extractor):
+    formula = "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation encoding='application/x-tex'>x=1</annotation></math>"
+    page = f"<html><body><article><h1>A title of some length</h1>{LEAD_P}<p>Here {formula} is the sum of all terms, as they stand.</p></article></body></html>"
+    assert extractor.texts([page])[0].endswith("Here x=1 is the sum of all terms, as they stand.")
+
+
+def test_list_items_end_however_much_is_open_inside():
+    inline = "".join(f"<b{n}>" for n in range(40))
+    nodes = html_extract.parse(f"<ul><li>{inline}one<li>two<ul><li>three</ul></ul>")
+    items = [i for i, node in enumerate(nodes) if node.tag == "li"]
+    assert [nodes[nodes[i].parent].tag for i in items] == ["ul", "ul", "ul"]
+    assert nodes[items[0]].parent == nodes[items[1]].parent != nodes[items[2]].parent
+    # Deep pages take time in proportion to their length.
+    assert len(html_extract.parse("<li><ul>" + "<b>" * 20_000 + "<td>x" * 20_000)) > 40_000
+
+
+def test_the_sample_is_bounded_by_characters(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "SAMPLE_CHARS", 1000)
+    seen = []
+    monkeypatch.setattr(html_extract, "fit", lambda pages: seen.extend(pages))
+    rows = [(n, "x" * (400 if n % 2 else 5000)) for n in range(20)] + [(3, "y" * 300), (21, None)]
+    html_extract.train(spark.createDataFrame(rows, "page_id long, html string"))
+    assert len(seen) == 2 and all(len(page) == 400 for page in seen)
