@@ -82,7 +82,7 @@ BASE = (
         lambda text: text.contains("@"),
         _always,
         0.9,
-        r"mail|contact|write|reach|kontakt|correo",
+        r"e?mails?|contact|write|reach|kontakt|correo",
         r"example|noreply",
     ),
     Kind(
@@ -91,8 +91,8 @@ BASE = (
         lambda text: text.rlike(r"[0-9]\.[0-9]"),
         _byte_parts,
         0.6,
-        r"ip|address|host|server|login|client|adresse",
-        r"version|release|section|chapter",
+        r"ip|ips|ipv4|address|addresses|hosts?|servers?|login|clients?|adresse",
+        r"versions?|releases?|sections?|chapters?",
     ),
     Kind(
         "card",
@@ -100,7 +100,7 @@ BASE = (
         lambda text: text.rlike(r"[0-9][ -]?[0-9][ -]?[0-9][ -]?[0-9]"),
         _luhn,
         0.7,
-        r"card|visa|mastercard|credit|payment|karte|carte|tarjeta",
+        r"cards?|visa|mastercard|credit|payments?|karte|kreditkarte|carte|tarjeta",
         r"isbn|serial|tracking",
     ),
     Kind(
@@ -109,8 +109,8 @@ BASE = (
         lambda text: text.contains("+"),
         _phone_digits,
         0.6,
-        r"phone|call|tel|mobile|fax|whatsapp|telefon|appel",
-        r"equals|plus|sum",
+        r"phones?|telephone|call|tel|mobile|fax|whatsapp|telefon|appel",
+        r"equals|minus|sum of",
     ),
 )
 MORE = (
@@ -120,7 +120,7 @@ MORE = (
         lambda text: text.rlike("[A-Z]{2}[0-9]{2}"),
         _mod_97,
         0.9,
-        r"iban|account|bank|konto|compte|cuenta",
+        r"iban|accounts?|bank|konto|compte|cuenta",
     ),
     Kind(
         "ssn",
@@ -129,12 +129,14 @@ MORE = (
         _issued,
         0.3,
         r"ssn|social|security|taxpayer",
-        r"part|order|invoice",
+        r"parts?|orders?|invoices?",
     ),
 )
 KINDS = BASE + MORE
 NEAR_CHARS = 48
-RAISE, LOWER = 0.2, 0.2
+# Words for another meaning weigh more, so that they alone take a span below what is masked, except one that has
+# little other meaning; with a word for the meaning beside them it stays above.
+RAISE, LOWER = 0.2, 0.35
 # Spans that score so much are masked.
 CERTAIN = 0.4
 # Arrays are summed up, and texts cut, in pieces of these sizes, so that the time stays linear.
@@ -204,10 +206,10 @@ def _between(blocks: Column, start: Column, end: Column) -> Column:
 def _score(kind: Kind, before: Column, after: Column) -> Column:
     def weigh(around: Column) -> Column:
         score = F.lit(kind.score)
-        score = score + F.when(around.rlike(rf"\b(?:{kind.near})"), RAISE).otherwise(0.0)
+        score = score + F.when(around.rlike(rf"\b(?:{kind.near})\b"), RAISE).otherwise(0.0)
         if kind.far:
-            score = score - F.when(around.rlike(rf"\b(?:{kind.far})"), LOWER).otherwise(0.0)
-        return F.least(F.lit(1.0), F.round(score, 2))
+            score = score - F.when(around.rlike(rf"\b(?:{kind.far})\b"), LOWER).otherwise(0.0)
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(score, 2)))
 
     return _let(F.lower(F.concat(before, F.lit(" "), after)), weigh)
 

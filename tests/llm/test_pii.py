@@ -75,7 +75,7 @@ def test_more_kinds_and_scores(spark):
     frame = spark.createDataFrame([(TRICKY[10],), (TRICKY[11],)], "text string")
     first, second = pii.with_spans(frame).collect()
     assert [(s.kind, s.start, s.end) for s in first.spans if s.kind == "iban"] == [("iban", 5, 32), ("iban", 37, 59)]
-    assert [(s.kind, s.score) for s in second.spans] == [("ssn", 0.5), ("ssn", 0.1)]
+    assert [(s.kind, s.score) for s in second.spans] == [("ssn", 0.5), ("ssn", 0.0)]
 
 
 def test_many_spans_use_blocks(spark):
@@ -125,3 +125,20 @@ def test_nearby_words_are_seen_across_other_spans(spark):
     assert scores == {0: [0.5] * 3, 1: [0.5] * 2, 2: [0.5] * 2, 3: [0.3]}
     got = {r.doc_id: r.text for r in pii.masked(frame).collect()}
     assert got[0] == "SSN: [SSN], [SSN], [SSN]" and got[2].endswith("SSN: [SSN], [SSN]") and got[3] == texts[3]
+
+
+@pytest.mark.parametrize(
+    "text, masked",
+    [
+        ("version 1.2.3.4 is out", "version 1.2.3.4 is out"), ("host 1.2.3.4 is out", "host [IP] is out"), ("at 1.2.3.4 then", "at [IP] then"),
+        ("server version at 1.2.3.4", "server version at [IP]"), ("ipso facto versional 1.2.3.4", "ipso facto versional [IP]"),
+        ("isbn 4111 1111 1111 1111", "isbn 4111 1111 1111 1111"), ("card 4111 1111 1111 1111", "card [CARD]"),
+        ("it equals +12 3456 789", "it equals +12 3456 789"), ("summer party, tell them +12 3456 789", "summer party, tell them [PHONE]"),
+        ("noreply: a@example.com", "noreply: [EMAIL]"), ("ssn 123-45-6789", "ssn [SSN]"), ("123-45-6789", "123-45-6789"),
+    ],
+)
+def test_words_nearby_mask_and_clear(spark, text, masked):
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert pii.masked(frame).first().text == masked
+    # Spans are listed whatever their score.
+    assert pii.with_spans(frame).selectExpr("size(spans) AS n").first().n == 1
