@@ -27,8 +27,11 @@ OPEN, CLOSE = "<turn>", "</turn>\n"
 class Budget:
     """``tokens`` a window holds, ``history`` tokens it may repeat, turns of ``segment`` windows gathered at once.
 
-    A turn costs its words and signs and ``overhead`` more. A turn that exceeds the budget by itself
-    is kept whole, in a window of its own.
+    A turn costs its words and signs and ``overhead`` more, or what a column of the turns says and ``overhead``.
+    What a window repeats, the system turn and the history, and what is new in it are within ``tokens`` together. A
+    system turn of more than half of ``tokens`` would leave little room: it stands in the first window only.
+    The one exception is a turn that exceeds its room by itself: it is kept whole, in a window whose only new turn
+    it is.
     """
 
     tokens: int = 512
@@ -56,25 +59,28 @@ def unescaped(text: Column, role: bool = False) -> Column:
 
 
 def n_tokens(text: Column, budget: Budget) -> Column:
-    return (F.regexp_count(text, F.lit(r"\w+|[^\w\s]")) + budget.overhead).cast("bigint")
+    """Words of any script, and signs by themselves."""
+    return (F.regexp_count(text, F.lit(r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]")) + budget.overhead).cast("bigint")
 
 
 def _rendered(turn: Column) -> Column:
     return F.concat(F.lit(OPEN), escaped_role(turn["role"]), F.lit("\n"), escaped(turn["text"]), F.lit(CLOSE))
 
 
-def segments(turns: DataFrame, budget: Budget, conv: str = "conv_id") -> DataFrame:
+def segments(turns: DataFrame, budget: Budget, conv: str = "conv_id", tokens: str | None = None) -> DataFrame:
     """(conv, segment, system, turns): the turns of each segment in order, with what may be repeated before them."""
+    text = F.coalesce("text", F.lit(""))
+    counted = n_tokens(text, budget)
+    if tokens is not None:
+        given = F.col(f"`{tokens}`").cast("bigint")
+        counted = F.when(given >= 0, given + budget.overhead).otherwise(counted)
     rows = turns.select(
-        F.col(f"`{conv}`").alias("conv"),
-        F.col("turn"),
-        F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"),
+        F.col(f"`{conv}`").alias("conv"), F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), text.alias("text"), counted.alias("tokens")
     )
-    rows = rows.withColumn("tokens", n_tokens(F.col("text"), budget))
     in_order = Window.partitionBy("conv").orderBy("turn", "role", "text")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    first = F.first(F.when(F.col("role") == "system", F.struct("role", "text", "tokens"))).over(so_far)
+    repeated = (F.col("role") == "system") & (F.col("tokens") <= budget.tokens // 2)
+    first = F.first(F.when(repeated, F.struct("role", "text", "tokens"))).over(so_far)
     rows = rows.select(
         "conv",
         F.row_number().over(in_order).alias("at"),
@@ -97,17 +103,18 @@ def segments(turns: DataFrame, budget: Budget, conv: str = "conv_id") -> DataFra
     return gathered
 
 
-def windows(turns: DataFrame, budget: Budget = Budget(), conv: str = "conv_id") -> DataFrame:
+def windows(turns: DataFrame, budget: Budget = Budget(), conv: str = "conv_id", tokens: str | None = None) -> DataFrame:
     """(conv, segment, window, n_repeated, n_turns, n_tokens, formatted, loss), one row per window.
 
     Turns go in the order of ``turn``, equal ones by role and text, a null turn first. A null role or
     text counts as empty. Rows with a null conversation id are one conversation, repeated rows are
-    turns of their own, other columns are not looked at; an empty table gives no rows. The system
-    turn that is repeated is a conversation's first turn, if that is one. The first ``n_repeated``
+    turns of their own, other columns are not looked at; an empty table gives no rows. ``tokens`` names a column of
+    the turns' token counts by some tokenizer; where it is null or negative, words and signs are counted. The system
+    turn that is repeated is a conversation's first turn, if that is one and not too long. The first ``n_repeated``
     turns of a window were there before; ``loss`` has (start, end) of every new assistant text, in
     code points of ``formatted``, where texts stand escaped.
     """
-    rows = segments(turns, budget, conv)
+    rows = segments(turns, budget, conv, tokens)
     fresh = F.filter("turns", lambda t: ~t["old"])
     rows = rows.withColumn("fresh", fresh)
     room = F.greatest(

@@ -32,7 +32,7 @@ SELECT doc_id, class_id, coalesce(linked.n, 0) AS n_links,
 FROM words JOIN classes ON node = doc_id LEFT JOIN linked ON x = doc_id
 """
 
-# Windows of 512 tokens with 128 of history, turns of 32 windows at a time, 4 tokens besides a turn's own.
+# Windows of 512 tokens with 128 of history, a system turn of at most 256 repeated, turns of 32 windows at a time, 4 tokens besides a turn's own.
 CHAT = r"""
 WITH RECURSIVE given AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -40,7 +40,7 @@ WITH RECURSIVE given AS (
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ),
 costed AS (
-  SELECT *, len(regexp_extract_all(text, '\w+|[^\w\s]')) + 4 AS cost,
+  SELECT *, len(regexp_extract_all(text, '[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]')) + 4 AS cost,
     15 + len(replace(replace(replace(role, '\', '\\'), '<', '\l'), chr(10), '\n'))
       + len(replace(replace(text, '\', '\\'), '<', '\l')) AS chars,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS nr
@@ -48,8 +48,8 @@ costed AS (
 ),
 placed AS (
   SELECT *, sum(cost) OVER (PARTITION BY conv_id ORDER BY nr) - cost AS start,
-    first_value(CASE WHEN role = 'system' THEN cost END) OVER (PARTITION BY conv_id ORDER BY nr) AS system_cost,
-    first_value(CASE WHEN role = 'system' THEN chars END) OVER (PARTITION BY conv_id ORDER BY nr) AS system_chars
+    first_value(CASE WHEN role = 'system' AND cost <= 256 THEN cost END) OVER (PARTITION BY conv_id ORDER BY nr) AS system_cost,
+    first_value(CASE WHEN role = 'system' AND cost <= 256 THEN chars END) OVER (PARTITION BY conv_id ORDER BY nr) AS system_chars
   FROM costed
 ),
 parted AS (SELECT *, start // (32 * 512) AS segment FROM placed),

@@ -1,9 +1,9 @@
 import hashlib
 import os
 import random
-import re
 
 import pytest
+import regex
 
 from clickbasin.llm import chat_windows, entries
 from clickbasin.llm.chat_windows import Budget
@@ -16,12 +16,16 @@ def render(role, text):
     return f"<turn>{plain(role)}".replace("\n", "\\n") + f"\n{plain(text)}</turn>\n"
 
 
-def brute(turns, budget=Budget()):
+WORD = regex.compile(r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_ \t\n\x0b\f\r]")
+
+
+def brute(turns, budget=Budget(), given=None):
     """[(n_repeated, [(role, text)], loss texts, tokens)] of a conversation's ordered turns."""
-    cost = [len(re.findall(r"\w+|[^\w\s]", t, re.A)) + budget.overhead for _, t in turns]
+    given = given or [None] * len(turns)
+    cost = [(len(WORD.findall(t)) if n is None else n) + budget.overhead for (_, t), n in zip(turns, given)]
     start = [sum(cost[:i]) for i in range(len(turns))]
     segment = [s // (budget.segment * budget.tokens) for s in start]
-    system = turns[0] if turns[0][0] == "system" else None
+    system = turns[0] if turns[0][0] == "system" and cost[0] <= budget.tokens // 2 else None
     spans = []
     for i in range(len(turns)):
         room = budget.tokens - budget.history
@@ -117,3 +121,29 @@ def test_query(spark):
         assert r.turns_sha256 == sha("".join(f"{role}\n{text}\n" for role, text in turns))
         assert (r.loss_chars, r.loss_sha256) == (len(loss), sha(loss))
         assert r.formatted_chars == sum(len(render(*t)) for w in brute(turns) for t in w[1])
+
+
+@pytest.mark.parametrize("size, repeated", [(3, True), (252, True), (253, False), (383, False), (5000, False)])
+def test_long_system_turns_keep_the_budget(spark, size, repeated):
+    rows = [(1, 0, "system", "s " * size)] + [(1, n, ("user", "assistant")[n % 2], "word " * 30) for n in range(1, 40)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = chat_windows.windows(frame)
+    compare(found, rows, Budget())
+    later = sorted(found.collect(), key=lambda r: (r.segment, r.window))[1:]
+    assert all(r.n_tokens <= 512 for r in later) and len(later) < 20
+    assert all(r.formatted.startswith("<turn>system") == repeated for r in later)
+
+
+def test_words_of_any_script_count_as_words(spark):
+    rows = [(n, 0, "user", text) for n, text in enumerate(["Слово и ещё одно", "für die größte Mühe", "日本語 です", "e\u0301te\u0301 x_1 9", "a-b, c!"])]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    compare(chat_windows.windows(frame), rows, Budget())
+    assert {r.conv_id: r.n_tokens - 4 for r in chat_windows.windows(frame).collect()} == {0: 4, 1: 4, 2: 2, 3: 3, 4: 6}
+
+
+def test_token_counts_from_a_column(spark):
+    rows = [(1, n, "user", "word " * 10, (None, -1, 100, 300, 0)[n % 5]) for n in range(30)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, tokens int")
+    found = sorted(chat_windows.windows(frame, tokens="tokens").collect(), key=lambda r: (r.segment, r.window))
+    want = brute([(r[2], r[3]) for r in rows], given=[None if r[4] is None or r[4] < 0 else r[4] for r in rows])
+    assert [(r.n_repeated, r.n_turns, r.n_tokens) for r in found] == [(w[0], len(w[1]), w[3]) for w in want]
