@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup tables over the digests of paragraphs.
 
-A text is cut into paragraphs (lines, long ones at sentence ends or after a fixed length), each
-with a 64-bit digest; a paragraph that repeats gets a digest of its own every time. A table has
+A text is cut into paragraphs: lines, at sentence ends, and where a sentence is long at places that a hash of
+the characters just before them picks, so that a change moves the cuts around it and no others. Each has a 64-bit digest; a paragraph that repeats gets a digest of its own every time. A table has
 cells of a count, the XOR of the digests and the XOR of their check values, and a digest goes to
 one cell in each third of it. The table of one text less that of another holds only what differs,
 and peeling cells of one digest recovers it. Where that fails the table was too small: it is made
@@ -13,6 +13,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,16 +25,43 @@ from pyspark.sql import functions as F
 
 # Cells of a fingerprint, a multiple of three, and how many times larger the next try is.
 CELLS, LARGER = 24, 4
-# Lines without a sentence end are cut after so many characters.
-LONG = 64
-# Ranges of ids for each shuffle partition and in all, and documents that are compared together.
-RANGES, MOST_RANGES, TOGETHER = 3, 50_000, 400
-_PIECE = re.compile(rf"[^\n.!?]{{0,{LONG}}}[\n.!?]+|[^\n.!?]{{1,{LONG}}}")
+# Longer sentences are cut, on average after so many characters, by a hash of so many characters.
+LONG, EVERY, BEFORE = 64, 16, 4
+# Bytes of a range of ids and ranges at most, and documents and characters that are compared together.
+RANGE_BYTES, MOST_RANGES, TOGETHER, TOGETHER_CHARS = 8_000_000, 100_000, 400, 4_000_000
+_SENTENCE = re.compile("[^\n.!?。！？]*[\n.!?。！？]+|[^\n.!?。！？]+")
 
 
 def paragraphs(text: str) -> list[str]:
     """The pieces of a text; joined they are the text again."""
-    return _PIECE.findall(text)
+    out: list[str] = []
+    for sentence in _SENTENCE.findall(text):
+        if len(sentence) <= LONG:
+            out.append(sentence)
+        else:
+            out += _by_content(sentence, EVERY)
+    return out
+
+
+def _by_content(text: str, every: int) -> list[str]:
+    """The text cut behind characters that a hash of the last few picks; what stays long is cut more closely.
+
+    Runs of one character are not cut, however long.
+    """
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    n = len(codes) - BEFORE + 1
+    hashed = np.zeros(n, dtype=np.uint64)
+    for k in range(BEFORE):
+        hashed = hashed * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + n]
+    picked = (_mixed(hashed) % np.uint64(every) == 0) & (codes[BEFORE - 1 :] != codes[BEFORE - 2 : -1])
+    ends = [*(np.flatnonzero(picked) + BEFORE).tolist(), len(text)]
+    out, at = [], 0
+    for end in ends:
+        if end > at:
+            piece = text[at:end]
+            out += _by_content(piece, every // 4) if len(piece) > 8 * every and every > 1 else [piece]
+            at = end
+    return out
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -189,44 +218,44 @@ def with_edits(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -
     """(id, ``COLUMNS``) of each row: its fingerprint, and that of the text with its last quarter
     replaced by the beginning of the next document's.
 
-    The next document is that of the next larger id; equal ids go by their texts, rows without an
-    id come before all others, and the first follows the last. A null text counts as empty, two
-    empty texts are alike. Other columns are not looked at; an empty table gives no rows.
+    Ids are whole numbers. The next document is that of the next larger id; equal ids go by a hash of their
+    texts and then by these, rows without an id come before all others, and the first follows the last. A null
+    text counts as empty, two empty texts are alike. Other columns are not looked at; an empty table gives no rows.
 
-    Ids are cut into ranges of about equal numbers of rows; a range is one stretch of one task, and
-    also gets the first row of the range after it. Each text is shuffled once.
+    Rows are cut into ranges of about equal numbers of rows and ``RANGE_BYTES`` of text, an id that fills several by
+    the hashes; a range is a task, and also gets the first row of the range after it. Each text is shuffled once.
     """
-    spark = docs.sparkSession
     lowest = F.lit(-(2**63)).cast("bigint")
     rows = docs.select(
         F.col(f"`{id_column}`").alias("id"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
         F.coalesce(F.col(f"`{id_column}`").cast("bigint"), lowest).alias("place"),
-    )
-    ranges = min(MOST_RANGES, RANGES * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shares = [i / ranges for i in range(1, ranges)] or [0.5]
+    ).withColumn("mix", F.xxhash64("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = min(MOST_RANGES, max(1, -(-size // RANGE_BYTES)))
     # Where the cuts lie decides how even the ranges are, not what comes out.
-    cuts = np.unique(rows.agg(F.percentile_approx("place", shares, 10 * ranges)).first()[0] or [0])
+    shares = [i / ranges for i in range(1, ranges)] or [0.5]
+    bounds = _bounds(rows.agg(F.percentile_approx("place", shares, 10 * ranges)).first()[0] or [0])
     firsts = (
-        rows.select("place", _codes(cuts, {})("place").alias("codes"))
+        rows.select("place", "mix", _codes(bounds, {})("place", "mix").alias("codes"))
         .groupBy(F.get("codes", 0).alias("code"))
-        .agg(F.min("place").alias("place"))
+        .agg(F.min(F.struct("place", "mix")).alias("first"))
         .orderBy("code")
         .collect()
     )
-    # One entry per range: its first place, and the range before, which shows that row as well.
-    ahead = {row.place: firsts[i - 1].code + 1 for i, row in enumerate(firsts)}
+    # One entry per range: its first row's place, and the range before, which shows that row as well.
+    ahead = {tuple(row.first): firsts[i - 1].code + 1 for i, row in enumerate(firsts)}
     dealt = (
-        rows.withColumn("code", F.explode(_codes(cuts, ahead)("place")))
-        .withColumn("range", F.expr("code div 2"))
-        .repartition("range")
-        .sortWithinPartitions("range", "code", "place", "text")
+        rows.withColumn("code", F.explode(_codes(bounds, ahead)("place", "mix")))
+        .repartitionById(len(bounds) + 1, F.expr("CAST(code div 2 AS INT)"))
+        .sortWithinPartitions("code", "place", "mix", "text")
         .select("id", "text", "code")
     )
     id_type = dealt.schema["id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple] = []
+        held = 0
         before = None
         id_arrow = None
 
@@ -242,11 +271,14 @@ def with_edits(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -
 
         for batch in batches:
             id_arrow = batch.schema.field("id").type
-            for key, text, code in zip(*(column.to_pylist() for column in batch.columns)):
+            for at in range(len(batch)):
+                key, text, code = (column[at].as_py() for column in batch.columns)
                 if before is not None and before[2] // 2 == code // 2 and before[2] % 2 == 0:
                     waiting.append((before[0], before[1], text))
-                    if len(waiting) >= TOGETHER:
+                    held += len(text)
+                    if len(waiting) >= TOGETHER or held >= TOGETHER_CHARS:
                         yield flush()
+                        held = 0
                 before = key, text, code
         if waiting:
             yield flush()
@@ -254,13 +286,26 @@ def with_edits(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -
     return dealt.mapInArrow(work, f"`{id_column}` {id_type}, {COLUMNS}")
 
 
-def _codes(cuts: np.ndarray, ahead: dict[int, int]) -> Callable[[str], Column]:
+def _bounds(cuts: list[int]) -> list[tuple[int, int]]:
+    """Where ranges end, in ascending order, as (place, hash): a place that is a cut several times is cut by hashes."""
+    out = []
+    for place, times in sorted(Counter(cuts).items()):
+        if times > 1:
+            out.append((place - 1, 2**63 - 1))
+            out += [(place, -(2**63) + 2**64 * part // times) for part in range(1, times)]
+        out.append((place, 2**63 - 1))
+    return sorted(set(out))
+
+
+def _codes(bounds: list[tuple[int, int]], ahead: dict[tuple[int, int], int]) -> Callable[..., Column]:
     """Where a row goes: twice its range, and for the first rows of a range the odd code of the range before."""
 
     @F.arrow_udf("array<bigint>")
-    def codes(places: pa.Array) -> pa.Array:
-        own = (2 * np.searchsorted(cuts, places.to_numpy(zero_copy_only=False))).tolist()
-        found = [[code] if (more := ahead.get(place)) is None else [code, more] for code, place in zip(own, places.to_pylist())]
+    def codes(places: pa.Array, mixes: pa.Array) -> pa.Array:
+        found = []
+        for key in zip(places.to_pylist(), mixes.to_pylist()):
+            own = [2 * bisect_left(bounds, key)]
+            found.append(own if (more := ahead.get(key)) is None else [*own, more])
         return pa.array(found, pa.list_(pa.int64()))
 
     return codes

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -22,7 +23,8 @@ def likeness(a, b):
 
 def brute(rows):
     """Expected columns of (id, text) rows, null ids first."""
-    ordered = sorted(((i if i is not None else -(2**63), t or "", i) for i, t in rows), key=lambda r: r[:2])
+    mix = lambda t: (xxhash.xxh64_intdigest(t.encode(), seed=42) + 2**63) % 2**64
+    ordered = sorted(((i if i is not None else -(2**63), t or "", i) for i, t in rows), key=lambda r: (r[0], mix(r[1]), r[1]))
     out = []
     for k, (_, text, i) in enumerate(ordered):
         following = ordered[(k + 1) % len(ordered)][1]
@@ -92,3 +94,28 @@ def test_peeling_recovers_the_digests():
     found, _, sign, empty = tables.peel()
     assert empty.all()
     assert dict(zip(found.tolist(), sign.tolist())) == {int(k): 1 for k in keys[:3]} | {int(k): -1 for k in keys[5:]}
+
+
+@pytest.mark.parametrize("size", [60, 400, 10**6])
+def test_ranges_of_any_size_and_ids_of_many_rows(spark, monkeypatch, size):
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", size)
+    rows = [(4, f"text {n} of one id. Sentence {n % 3}.") for n in range(120)] + [(None, f"none {n}") for n in range(60)]
+    rows += [(n, f"document {n}. It goes on." * (n % 4)) for n in range(-10, 30)] + [(2**62, "last"), (-(2**63), "first"), (7, "same")] + [(7, "same")] * 20
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(fingerprints.with_edits(frame)) == brute(rows)
+
+
+def test_an_insertion_at_the_front_changes_little():
+    rng = np.random.default_rng(6)
+    chinese = "".join(chr(c) for c in rng.integers(0x4E00, 0x9FA5, 640))
+    words = " ".join("".join(chr(c) for c in rng.integers(97, 123, rng.integers(2, 9))) for _ in range(400))
+    for text in (chinese, words, "word " * 400, "a line of words\n" * 30, "。".join([chinese[:30]] * 30)):
+        assert likeness(text, "x" + text) > 0.9 and likeness(text, text[:-1]) > 0.9
+        middle = text[: len(text) // 2] + "yy" + text[len(text) // 2 :]
+        assert likeness(text, middle) > 0.85
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="ab 。!\n😀x", max_size=400))
+def test_any_text_is_cut_without_loss(text):
+    assert "".join(fingerprints.paragraphs(text)) == text and all(fingerprints.paragraphs(text))
