@@ -22,7 +22,7 @@ from clickbasin.session import small_frame
 
 # The fit sees at most so many labelled documents, whole, of so many bytes together.
 SAMPLE_ROWS, SAMPLE_BYTES = 4_000, 12_000_000
-EPOCHS = 8
+EPOCHS = 12
 # Bytes a filter sees, and bytes in a chunk.
 WIDTH, CHUNK = 8, 128
 PAD = 256
