@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 # Cells of a fingerprint, a multiple of three, and how many times larger the next try is.
 CELLS, LARGER = 24, 4
-# Longer sentences are cut, on average after so many characters, by a hash of so many characters.
-LONG, EVERY, BEFORE = 64, 16, 4
+# Longer sentences are cut, on average after so many characters (in ones of more than ``VERY_LONG`` characters after
+# ``SELDOM``, at some of the same places), by a hash of so many characters.
+LONG, EVERY, VERY_LONG, SELDOM, BEFORE = 160, 16, 4_096, 64, 4
 # Bytes of a range of ids and ranges at most, and documents and characters that are compared together.
 RANGE_BYTES, MOST_RANGES, TOGETHER, TOGETHER_CHARS = 8_000_000, 100_000, 400, 4_000_000
 _SENTENCE = re.compile("[^\n.!?。！？]*[\n.!?。！？]+|[^\n.!?。！？]+")
@@ -34,32 +35,44 @@ _SENTENCE = re.compile("[^\n.!?。！？]*[\n.!?。！？]+|[^\n.!?。！？]+")
 
 def paragraphs(text: str) -> list[str]:
     """The pieces of a text; joined they are the text again."""
-    out: list[str] = []
-    for sentence in _SENTENCE.findall(text):
+    sentences = _SENTENCE.findall(text)
+    if max(map(len, sentences), default=0) <= LONG:
+        return sentences
+    places: dict[int, np.ndarray] = {}
+    out, at = [], 0
+    for sentence in sentences:
         if len(sentence) <= LONG:
             out.append(sentence)
         else:
-            out += _by_content(sentence, EVERY)
+            every = EVERY if len(sentence) <= VERY_LONG else SELDOM
+            if every not in places:
+                places[every] = _cuts(text, every)
+            out += _between_cuts(text, at, at + len(sentence), places[every], every, every // 2)
+        at += len(sentence)
     return out
 
 
-def _by_content(text: str, every: int) -> list[str]:
-    """The text cut behind characters that a hash of the last few picks; what stays long is cut more closely.
-
-    Runs of one character are not cut, however long.
-    """
+def _cuts(text: str, every: int) -> np.ndarray:
+    """Places behind characters that a hash of the last few picks, on average one in ``every``; none inside of runs of one character."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-    n = len(codes) - BEFORE + 1
-    hashed = np.zeros(n, dtype=np.uint64)
+    hashed = np.zeros(max(0, len(codes) - BEFORE + 1), dtype=np.uint64)
     for k in range(BEFORE):
-        hashed = hashed * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + n]
+        hashed = hashed * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + len(hashed)]
     picked = (_mixed(hashed) % np.uint64(every) == 0) & (codes[BEFORE - 1 :] != codes[BEFORE - 2 : -1])
-    ends = [*(np.flatnonzero(picked) + BEFORE).tolist(), len(text)]
-    out, at = [], 0
-    for end in ends:
-        if end > at:
+    return np.flatnonzero(picked) + BEFORE
+
+
+def _between_cuts(text: str, start: int, stop: int, places: np.ndarray, every: int, least: int) -> list[str]:
+    """The stretch of a text cut at places, each ``least`` characters behind the last; what stays long is cut more closely."""
+    low, high = np.searchsorted(places, (start, stop), side="right")
+    out, at = [], start
+    for end in (*places[low:high].tolist(), stop):
+        if end >= at + least or end == stop > at:
             piece = text[at:end]
-            out += _by_content(piece, every // 4) if len(piece) > 8 * every and every > 1 else [piece]
+            if len(piece) > 8 * every and every > 1:
+                out += _between_cuts(piece, 0, len(piece), _cuts(piece, every // 4), every // 4, least)
+            else:
+                out.append(piece)
             at = end
     return out
 
