@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 CELLS, LARGER = 24, 4
 # Longer sentences are cut, on average after so many characters (in ones of more than ``VERY_LONG`` characters after
 # ``SELDOM``, at some of the same places), by a hash of so many characters.
-LONG, EVERY, VERY_LONG, SELDOM, BEFORE = 160, 16, 4_096, 64, 4
+LONG, EVERY, VERY_LONG, SELDOM, BEFORE = 160, 16, 1_024, 32, 4
 # Bytes of a range of ids and ranges at most, and documents and characters that are compared together.
 RANGE_BYTES, MOST_RANGES, TOGETHER, TOGETHER_CHARS = 8_000_000, 100_000, 400, 4_000_000
 _SENTENCE = re.compile("[^\n.!?。！？]*[\n.!?。！？]+|[^\n.!?。！？]+")
@@ -53,12 +53,12 @@ def paragraphs(text: str) -> list[str]:
 
 
 def _cuts(text: str, every: int) -> np.ndarray:
-    """Places behind characters that a hash of the last few picks, on average one in ``every``; none inside of runs of one character."""
+    """Places behind characters that a hash of the last few picks, on average one in ``every``, a power of two; none inside of runs of one character."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     hashed = np.zeros(max(0, len(codes) - BEFORE + 1), dtype=np.uint64)
     for k in range(BEFORE):
         hashed = hashed * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + len(hashed)]
-    picked = (_mixed(hashed) % np.uint64(every) == 0) & (codes[BEFORE - 1 :] != codes[BEFORE - 2 : -1])
+    picked = (_mixed(hashed) & np.uint64(every - 1) == 0) & (codes[BEFORE - 1 :] != codes[BEFORE - 2 : -1])
     return np.flatnonzero(picked) + BEFORE
 
 
@@ -70,7 +70,8 @@ def _between_cuts(text: str, start: int, stop: int, places: np.ndarray, every: i
         if end >= at + least or end == stop > at:
             piece = text[at:end]
             if len(piece) > 8 * every and every > 1:
-                out += _between_cuts(piece, 0, len(piece), _cuts(piece, every // 4), every // 4, least)
+                closer = max(1, every // 4)
+                out += _between_cuts(piece, 0, len(piece), _cuts(piece, closer), closer, least)
             else:
                 out.append(piece)
             at = end
