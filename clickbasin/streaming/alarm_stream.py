@@ -112,11 +112,10 @@ def judge_new(
 
     The first run of an alarm and job begins with the period of ``since``, by default with the next one to end;
     earlier points only tell the state before. Later runs go on where the last one stopped. Jobs that
-    are not named are left out; so are points for a period that has been judged. One run at a time;
-    the state store has to be ``STATE_STORE``, which this sets for the session.
+    are not named are left out; so are points for a period that has been judged. One run at a time. The query
+    uses ``STATE_STORE``, whatever the session's other streams use.
     """
     pin(spark)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     seconds = lambda moment: F.unix_timestamp(clock(moment))
     calls = small_frame(spark, [(job,) for job in jobs], "job_name string")
     start = F.lit(None).cast("long") if since is None else seconds(since)
@@ -158,13 +157,20 @@ def judge_new(
         # A folder a batch: one that is run again replaces what it wrote.
         batch.write.mode("overwrite").parquet(f"{lake.alarm_history}/batch={batch_id}")
 
-    return (
-        rows.writeStream.outputMode("append")
-        .foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    # A stream takes the settings along with which it is started.
+    spark.conf.set(setting, STATE_STORE)
+    try:
+        return (
+            rows.writeStream.outputMode("append")
+            .foreachBatch(store)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(setting, before)
 
 
 def read_history(spark: SparkSession, lake: LakePaths) -> DataFrame:
