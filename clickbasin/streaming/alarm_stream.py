@@ -107,13 +107,15 @@ def judge_new(
     checkpoint: str,
     until: datetime | str,
     since: datetime | str | None = None,
+    partitions: int = 8,
 ) -> StreamingQuery:
     """Judge the periods that have ended by ``until`` and append them to ``lake.alarm_history``.
 
     The first run of an alarm and job begins with the period of ``since``, by default with the next one to end;
     earlier points only tell the state before. Later runs go on where the last one stopped. Jobs that
     are not named are left out; so are points for a period that has been judged. One run at a time. The query
-    uses ``STATE_STORE``, whatever the session's other streams use.
+    uses ``STATE_STORE`` in ``partitions`` parts, for there is a key for each alarm and job only; the first run settles
+    how many. The session's other streams keep their settings.
     """
     pin(spark)
     seconds = lambda moment: F.unix_timestamp(clock(moment))
@@ -157,10 +159,11 @@ def judge_new(
         # A folder a batch: one that is run again replaces what it wrote.
         batch.write.mode("overwrite").parquet(f"{lake.alarm_history}/batch={batch_id}")
 
-    setting = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(setting)
+    wanted = {"spark.sql.streaming.stateStore.providerClass": STATE_STORE, "spark.sql.shuffle.partitions": str(partitions)}
+    before = {name: spark.conf.get(name) for name in wanted}
     # A stream takes the settings along with which it is started.
-    spark.conf.set(setting, STATE_STORE)
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         return (
             rows.writeStream.outputMode("append")
@@ -170,7 +173,8 @@ def judge_new(
             .start()
         )
     finally:
-        spark.conf.set(setting, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def read_history(spark: SparkSession, lake: LakePaths) -> DataFrame:
