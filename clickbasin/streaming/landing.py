@@ -134,10 +134,11 @@ def _gather(rows: DataFrame, key: str) -> DataFrame:
 
     Left alone, every task would write a file per event type. Ranges are cut from
     a sample; the row number lets them cut through a type that fills many of
-    them, even when its lines are copies of each other.
+    them, even when its lines are copies of each other. A batch of empty files has
+    no task at all.
     """
     tasks = rows.rdd.getNumPartitions()
-    if tasks == 1:
+    if tasks <= 1:
         return rows
     numbered = rows.withColumn("_row", F.monotonically_increasing_id())
     return numbered.repartitionByRange(tasks, key, "_row").drop("_row")

@@ -146,6 +146,37 @@ def test_big_batch_writes_about_a_file_per_task(spark, lake):
     assert len(glob.glob(f"{lake.raw}/**/*.gz", recursive=True)) <= 8 + 5
 
 
+@pytest.mark.parametrize("parquet", [False, True])
+def test_batch_of_an_empty_file_lands_nothing_and_the_next_goes_on(spark, feed, lake, tmp_path, parquet):
+    lines = [typed("search", str(n), query="x" * 1000) for n in range(1100)]
+    feed("b.json", lines + BAD)
+    # Older, so it comes first, and the other file does not fit into its batch.
+    empty = os.path.join(feed.folder, "a.json")
+    open(empty, "w").close()
+    os.utime(empty, (1_600_000_000, 1_600_000_000))
+
+    def land():
+        stream = line_stream(spark, feed.folder, Buffering(mebibytes=1), buffers=1)
+        start_landing(
+            stream, lake, str(tmp_path / "k"), parquet=parquet, drain=True, arrival=stamp()
+        ).awaitTermination()
+        rows = landing.read_batches(spark, lake).orderBy("batch", "route").collect()
+        return [(r.batch, r.route, r.lines) for r in rows]
+
+    def days():
+        seen = []
+        curate_new_days(spark, lake, str(tmp_path / "c"), seen.append, announced=True).awaitTermination()
+        return seen
+
+    landed = [(1, "delivered", len(lines)), (1, "processing-failed", len(BAD))]
+    assert land() == landed and days() == [DAY]
+    assert {r["event_id"] for r in read_raw_day(spark, lake.raw, DAY).collect()} == {str(n) for n in range(1100)}
+    assert lines_below(lake.errors) == sorted(BAD)
+    # A run that finds nothing but an empty file.
+    open(os.path.join(feed.folder, "c.json"), "w").close()
+    assert land() == landed and days() == []
+
+
 def test_files_of_any_age_are_taken(spark, feed, lake, tmp_path):
     feed("a.json", GOOD[:1])
     drain(spark, feed, lake, tmp_path)
